@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from heliotab.llm import byte_bpe, ogg_media
+from heliotab.llm import byte_bpe, local_search_pack, ogg_media, secret_scan
 from heliotab.llm.common import documents
 
 
@@ -15,6 +15,15 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op4_local_search_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = local_search_pack.pieces(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 4096, "doc_id")
+    return local_search_pack.pack(items, 4096)
+
+
+def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.scan(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), "doc_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), "doc_id")
 
