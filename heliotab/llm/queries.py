@@ -2,9 +2,9 @@
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, local_search_pack, ogg_media, secret_scan
+from heliotab.llm import byte_bpe, language_id, local_search_pack, ogg_media, secret_scan
 from heliotab.llm.common import documents
 
 
@@ -15,6 +15,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = language_id.held_out(F.col("doc_id"))
+    model = language_id.fit(docs.where(~held_out), F.col("doc_id"))
+    return language_id.predict(docs.withColumn("held_out", held_out), model, "doc_id", "held_out")
+
+
 def op4_local_search_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = local_search_pack.pieces(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 4096, "doc_id")
     return local_search_pack.pack(items, 4096)
