@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, language_id, local_search_pack, ogg_media, secret_scan
+from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ogg_media, secret_scan
 from heliotab.llm.common import documents
 
 
@@ -15,6 +15,13 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit(""))
+    docs = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
+    out = histogram_sort.shard(docs, F.col("doc_id"), F.col("size"), 24)
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     held_out = language_id.held_out(F.col("doc_id"))
