@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ogg_media, secret_scan
+from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ogg_media, quality_rules, secret_scan
 from heliotab.llm.common import documents
 
 
@@ -15,6 +15,12 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    rules = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality_rules.assess(docs, rules, "doc_id").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
+
+
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     docs = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
