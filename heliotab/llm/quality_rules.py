@@ -134,9 +134,11 @@ def _grown(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
         best = max(sorted(counts), key=gain, default=None)
         if best is None or gain(best) <= 1e-9:
             break
-        # in the middle of the thresholds that part the rows alike, as far from either class as can be
-        alike = [c[2] for c in counts if c[:2] == best[:2] and counts[c] == counts[best]]
-        rule.conditions.append((best[0], best[1], (min(alike) + max(alike)) / 2))
+        name, above, t = best
+        x = F.col(name)
+        under, over = rows.where(rule.expression()).agg(F.max(F.when(x <= t, x)), F.min(F.when(x > t, x))).first()
+        # in the middle of the gap, as far from the rows on either side as can be
+        rule.conditions.append((name, above, t if under is None or over is None else (under + over) / 2))
     return rule
 
 
