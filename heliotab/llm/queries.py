@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ogg_media, quality_rules, secret_scan
+from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, secret_scan
 from heliotab.llm.common import documents
 
 
@@ -40,6 +40,11 @@ def op4_local_search_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return local_search_pack.pack(items, 4096)
 
 
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows, _ = ngram_join.near_duplicates(documents(spark, sf_dir))
+    return rows.select("doc_id", "n_shingles", "component_id")
+
+
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), "doc_id")
 
