@@ -2,13 +2,16 @@
 
 import bisect
 import zlib
+from array import array
 from functools import lru_cache
+from unicodedata import is_normalized
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
+from heliotab.llm.byte_bpe import byte_table
 from heliotab.llm.common import map_texts, materialised
 
 #: Pieces that one search works on. What each search leaves in its least filled sequence is packed again with what the others leave.
@@ -21,32 +24,59 @@ MEMORY = 600_000
 END = 1
 
 
+#: What is cut off the end of a word before it is looked up: none of these joins the pre-token of a letter or digit before it.
+_TAIL = b".,!?;:*$%&#|"
+#: Letters up to here have been letters in every Unicode version.
+_LATIN = "\u024f"
+
+
 class WordBPE:
-    """A vocabulary whose pre-tokens never cross white space (tokenizers JSON): the ids of each word between ASCII white space are remembered, as they are the same wherever the word stands."""
+    """A lower-casing vocabulary whose pre-tokens never cross white space (tokenizers JSON, byte-level, with word ends).
+
+    The ids of a word between ASCII white space are the same wherever it stands and in either case of A-Z, so they are remembered. A word of lower-case Latin letters is one pre-token and goes to the library's BPE model directly; any other goes through the whole library.
+    """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.model = self.library.model
         self.memory: dict[bytes, bytes] = {}
+        self.characters = {b: c for b, c in byte_table()[0].items() if chr(b) != c}
+
+    def _ids(self, part: bytes) -> bytes:
+        known = self.memory.get(part)
+        if known is None:
+            text = part.decode()
+            if text.isalpha() and max(text) <= _LATIN and text == text.lower() and is_normalized("NFC", text):
+                ids = [t.id for t in self.model.tokenize(part.decode("latin-1").translate(self.characters))]
+            else:
+                ids = self.library.encode(text, add_special_tokens=False).ids
+            known = self.memory[part] = array("I", ids).tobytes()
+        return known
+
+    def _learn(self, word: bytes) -> bytes:
+        start = word.rstrip(_TAIL)
+        if start and len(start) < len(word) and start[-1:].isalnum():
+            out = self._ids(start) + self._ids(word[len(start) :])
+        else:
+            out = self._ids(word)
+        self.memory[word] = out
+        return out
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """The ids of each text as little-endian unsigned 32-bit integers."""
-        cut = [x.encode().split() for x in texts]  # bytes.split(): ASCII white space alone
-        memory = self.memory
-        missing = list({w for words in cut for w in words if w not in memory})
-        if len(memory) + len(missing) > MEMORY:
-            memory.clear()
-            missing = list({w for words in cut for w in words})
-        for start in range(0, len(missing), 4096):
-            some = missing[start : start + 4096]
-            e = self.library.encode([w.decode() for w in some], is_pretokenized=True, add_special_tokens=False)
-            ids = np.array(e.ids, dtype="<u4")
-            bounds = np.searchsorted(np.array(e.word_ids, dtype=np.int64), np.arange(len(some) + 1)).tolist()
-            for w, i, j in zip(some, bounds, bounds[1:]):
-                memory[w] = ids[i:j].tobytes()
-        return [b"".join(map(memory.__getitem__, words)) for words in cut]
+        out = []
+        for text in texts:
+            if len(self.memory) > MEMORY:
+                self.memory.clear()
+            words = text.encode().lower().split()  # of bytes: ASCII letters and white space alone
+            for w in words:
+                if w not in self.memory:
+                    self._learn(w)
+            out.append(b"".join(map(self.memory.__getitem__, words)))
+        return out
 
 
 @lru_cache(2)
