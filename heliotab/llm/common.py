@@ -45,19 +45,19 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield batch.slice(start)
 
 
-def map_texts(df: DataFrame, setup: Callable[[], Callable], schema: str, *keep: str) -> DataFrame:
+def map_texts(df: DataFrame, setup: Callable[[], Callable], schema: str, *keep: str, extra: str | None = None) -> DataFrame:
     """Runs over the column `text`, chunk by chunk, and returns the columns in keep and those of the schema.
 
-    setup() is called once a task and returns a function from a list of texts (None for null) to a list of columns, each as long as the texts.
+    setup() is called once a task and returns a function from a list of texts (None for null) to a list of columns, each as long as the texts. With a column named in extra, the function gets the list of its values too.
     """
-    own = df.select(*keep, "text")
+    own = df.select(*keep, "text", *([extra] if extra else []))
     added = StructType.fromDDL(schema)
     types = [to_arrow_type(f.dataType) for f in added]
 
     def run(batches):
         each = setup()
         for chunk in chunks(batches):
-            made = each(chunk.column("text").to_pylist())
+            made = each(*(chunk.column(c).to_pylist() for c in ("text", extra) if c))
             yield pa.RecordBatch.from_arrays([chunk.column(i) for i in range(len(keep))] + [pa.array(c, type=t) for c, t in zip(made, types, strict=True)], names=[*keep, *added.names])
 
     return own.mapInArrow(run, StructType([StructField(k, own.schema[k].dataType) for k in keep] + list(added)))

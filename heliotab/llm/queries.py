@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, secret_scan
+from heliotab.llm import byte_bpe, edit_counts, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, secret_scan, token_matrix
 from heliotab.llm.common import documents
 
 
@@ -49,6 +49,18 @@ def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secret_scan.scan(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), "doc_id")
 
 
+def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document before and after three edits: a heading, a passage in the middle exchanged, and the end taken off."""
+    n = F.coalesce(F.length("text"), F.lit(0))
+    edits = F.array(
+        F.struct(F.lit(0).alias("start"), F.lit(0).alias("stop"), F.lit("Draft: ").alias("new")),
+        F.struct(F.floor(n / 2).cast("int").alias("start"), F.floor(n / 2 + 12).cast("int").alias("stop"), F.lit("a passage put in later").alias("new")),
+        F.struct((n + 2).alias("start"), (n + 64).alias("stop"), F.lit("").alias("new")),
+    )
+    docs = documents(spark, sf_dir).withColumn("edits", edits)
+    return edit_counts.count_edited(docs, tokenizer_path("byte_bpe_50k.tiktoken"), "doc_id")
+
+
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), "doc_id")
 
@@ -57,6 +69,10 @@ def op9_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ogg_media.digest(documents(spark, sf_dir), "doc_id")
 
 
+def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_matrix.digest(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), 50256, 2048)
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
