@@ -1,42 +1,12 @@
-"""The queries of this engine over the test tables, with the SQL that must give the same rows."""
+"""All queries of this engine over the test tables, with the SQL that must give the same rows."""
 
-from __future__ import annotations
+from heliotab.plans import relational, sky_and_series, streams, vectors  # noqa: F401  they register their queries
+from heliotab.plans.registry import ORACLES, QUERIES
 
-from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+def queries() -> dict:
+    return QUERIES
 
-_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
 
-
-def query(sql: str | None = None):
-    """Registers a query under its function's name."""
-
-    def add(f):
-        _QUERIES[f.__name__] = f
-        if sql:
-            _ORACLES[f.__name__] = sql
-        return f
-
-    return add
-
-
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return _QUERIES
-
-
-def oracle_sql() -> dict[str, str]:
-    return _ORACLES
-
-
-@query("""SELECT l_orderkey, l_extendedprice * (1 - l_discount) AS revenue
-          FROM lineitem WHERE l_quantity > 30 AND l_discount >= 0.05""")
-def extract_where(spark, d):
-    return table(spark, d, "lineitem").where((F.col("l_quantity") > 30) & (F.col("l_discount") >= 0.05)).select(
-        "l_orderkey", (F.col("l_extendedprice") * (1 - F.col("l_discount"))).alias("revenue")
-    )
+def oracle_sql() -> dict:
+    return ORACLES
