@@ -7,6 +7,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import Column, functions as F
+from pyspark.sql.types import DoubleType
 
 NAN, INF = float("nan"), float("inf")
 
@@ -114,11 +115,11 @@ def near(a: Column, b: Column, tolerance: float = 1e-6) -> Column:
     return F.abs(a - b) < tolerance
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def erf(x: pd.Series) -> pd.Series:
     return x.map(math.erf, na_action="ignore")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(DoubleType())
 def lgamma(x: pd.Series) -> pd.Series:
     return x.map(lambda v: INF if v <= 0 and v == int(v) else math.lgamma(v), na_action="ignore")
