@@ -13,8 +13,8 @@ def clamped_bin(x: Column, start: float, end: float, delta: float) -> Column:
     """The bin of x; what lies outside falls into the first or last bin; null for NaN and null."""
     step = delta if start <= end else -abs(delta)
     n = bin_count(start, end, delta)
-    place = F.when(~F.isnan(x), F.least(F.greatest((x - start) / step, F.lit(-1.0)), F.lit(float(n))))
-    return F.least(F.greatest(place.cast("bigint"), F.lit(0)), F.lit(n - 1)).cast("int")
+    place = F.least(F.greatest((x - start) / step, F.lit(-1.0)), F.lit(float(n)))
+    return F.when(x.isNotNull() & ~F.isnan(x), F.least(F.greatest(place.cast("bigint"), F.lit(0)), F.lit(n - 1)).cast("int"))
 
 
 def dense(df: DataFrame, key: str, n: int, fill: dict) -> DataFrame:
