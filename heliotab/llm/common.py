@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -31,6 +32,16 @@ def materialised(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def written(df: DataFrame, name: str) -> DataFrame:
+    """The same rows from a new Parquet table in the shared checkpoint folder."""
+    spark = df.sparkSession
+    with_checkpoint_dir(spark)
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    path = f"{shared}/heliotab/{uuid.uuid4().hex}/{name.replace(' ', '_')}"
+    df.write.parquet(path)
+    return spark.read.parquet(path)
+
+
 def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Batches cut to at most CHUNK_ROWS rows and about CHUNK_BYTES in the column `text`; a longer text stands alone."""
     for batch in batches:

@@ -159,6 +159,8 @@ def learn(training: DataFrame) -> list[Rule]:
     marks = rows.groupBy("bad").agg(*[F.percentile_approx(name, list(QUANTILES), 1000).alias(name) for name in FEATURES]).collect()
     thresholds = {name: sorted({t for r in marks for t in r[name]}) for name in FEATURES}
     rules: list[Rule] = []
+    if not any(thresholds.values()):
+        return rules
     while len(rules) < RULES:
         left = rows.where(~F.coalesce(verdict(rules) > 0, F.lit(False)))
         rule = _grown(left.where("_grow"), thresholds)
