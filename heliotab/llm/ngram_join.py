@@ -2,12 +2,12 @@
 
 Two sets of at least SIMILARITY must share one of the first |s| - ceil(SIMILARITY * |s|) + 1 shingles of any order that both are sorted by. Each order here puts shingles of rarer classes first and breaks ties by a hash of its own. Sets that share a prefix shingle under the first order are candidates; candidates must also share one under the second and the third, fit in size and in a parity signature, before the sets themselves are compared. Equal sets are one node from the start.
 
-Within a bucket of one prefix shingle no pairs are made at first: each node is compared with the bucket's most ordinary one. Once these links have joined most of a group of near copies, only pairs of different components are left to try.
+Within a bucket of one prefix shingle and one range of sizes no pairs are made at first: each node is compared with the bucket's most ordinary one, that in most buckets. Once these links have joined most of a group of near copies, only pairs of different components are left to try.
 """
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructType
 
@@ -16,12 +16,10 @@ from heliotab.llm.components import components
 
 #: Words a shingle; similarity in percent.
 WORDS, SIMILARITY = 5, 80
-#: Slots of the table of shingle classes (a byte each, broadcast); shingles that a worker holds before it counts them; counts below which a shingle is of the rarest class.
-SLOTS, HELD, COMMON = 1 << 20, 4_000_000, 8
-#: Words whose hashes a worker remembers.
-MEMORY = 500_000
+#: Slots of the table of shingle classes (a byte each, broadcast), a quarter of which are used at most; shingles that a worker holds before it counts them.
+SLOTS, HELD = 1 << 22, 6_000_000
 #: Orders besides the first that candidates must share a prefix under; longs of the parity signature.
-MORE_ORDERS, SIGNATURE = 2, 16
+MORE_ORDERS, SIGNATURE = 2, 8
 #: Nodes whose texts are fetched by a broadcast of their hashes; more are fetched by a shuffled join.
 BROADCAST_NODES = 1_000_000
 
@@ -37,31 +35,51 @@ def mixed(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(33))
 
 
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        from xxhash import xxh3_64_intdigest
-
-        self[word] = value = xxh3_64_intdigest(word)
-        return value
-
-
-def shingles(text: str | None, memory: WordHashes) -> np.ndarray:
-    """The sorted distinct hashes of a text's shingles: WORDS words in a row, A-Z lower-cased; all words where there are fewer."""
-    words = (text or "").encode().lower().split()  # of bytes: ASCII letters and white space alone
-    n = len(words)
-    if not n:
-        return np.zeros(0, dtype=np.uint64)
-    if len(memory) > MEMORY:
-        memory.clear()
-    h = np.fromiter(map(memory.__getitem__, words), dtype=np.uint64, count=n)
+class Words:
+    """64-bit hashes of a text's words, by whole-array steps: each byte has a random value, a word's hash is the polynomial of its bytes' values in an odd base, modulo 2^64, taken from running sums over the text."""
+
+    SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
+
+    def __init__(self):
+        self.values = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+        self.base = np.uint64(0x9FB21C651E98DF25)
+        self.powers = self.inverse = np.ones(1, dtype=np.uint64)
+
+    def _grow(self, n: int) -> None:
+        if len(self.powers) <= n:
+            size = max(1 << 16, 1 << (n + 1).bit_length())
+            self.powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, self.base)]))
+            back = np.uint64(pow(int(self.base), -1, 1 << 64))
+            self.inverse = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, back)]))
+
+    def hashes(self, text: bytes) -> np.ndarray:
+        """Words are runs of other than ASCII white space; A-Z count as a-z."""
+        data = np.frombuffer(text.lower(), dtype=np.uint8)  # of bytes: ASCII letters alone
+        n = len(data)
+        self._grow(n)
+        space = np.concatenate([[True], self.SPACE[data], [True]])
+        edges = np.flatnonzero(space[1:] != space[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        sums = np.zeros(n + 1, dtype=np.uint64)
+        np.cumsum(self.values[data] * self.powers[:n], out=sums[1:])
+        return mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+
+
+def shingles(text: bytes | None, words: Words) -> np.ndarray:
+    """The sorted distinct hashes of a text's shingles: WORDS words in a row; all words where there are fewer."""
+    h = words.hashes(text or b"")
+    n = len(h)
     if n < WORDS:
-        return mixed((h * _ODD[:n]).sum(keepdims=True) + np.uint64(n))
+        return mixed((h * _ODD[:n]).sum(keepdims=True) + np.uint64(n)) if n else h
     out = h[: n - WORDS + 1] * _ODD[0]
     for k in range(1, WORDS):
-        out = out + h[k : n - WORDS + 1 + k] * _ODD[k]
-    return np.unique(mixed(out))
+        out += h[k : n - WORDS + 1 + k] * _ODD[k]
+    out = np.sort(mixed(out))
+    return out[np.concatenate([[True], out[1:] != out[:-1]])]
+
+
+def texts_of(chunk: pa.RecordBatch) -> list[bytes | None]:
+    return chunk.column("text").cast(pa.binary()).to_pylist()
 
 
 def node_of(found: np.ndarray) -> int | None:
@@ -84,38 +102,48 @@ def prefix(found: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
 
 
 def signature(found: np.ndarray) -> np.ndarray:
-    """Whether an odd number of shingles fall on each of 64 * SIGNATURE bits. Where two signatures differ, so do the sets."""
-    bits = np.bincount((found >> np.uint64(54)).astype(np.int64), minlength=64 * SIGNATURE) & 1
-    return np.packbits(bits.astype(np.uint8)).view(np.int64)
+    """Whether an odd number of shingles fall on each bit of 64 * SIGNATURE or, for large sets, of the power of two from twice the size on. Where two signatures differ, so do the sets; the halves of one, combined by XOR, are the signature of half the width."""
+    bits = max(64 * SIGNATURE, 1 << (2 * len(found) - 1).bit_length()) if len(found) else 64 * SIGNATURE
+    odd = np.bincount((found & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
+def narrow(wide: np.ndarray) -> np.ndarray:
+    """The signature of the least width."""
+    return np.bitwise_xor.reduce(wide.reshape(-1, SIGNATURE), axis=0)
 
 
 def sets(docs: DataFrame) -> DataFrame:
-    """Two kinds of rows: (id, text_hash, n, node) of each document, and (token, times) of shingles that some task has met in several sets (of HELD shingles at a time)."""
+    """Two kinds of rows: (id, text_hash, n, node, signature, wide) of each document, with the signature in its least and its own width, and (token, times) of shingles that some task has met in several sets (of HELD shingles at a time)."""
     own = docs.select("id", "text", F.xxhash64("text").alias("text_hash"))
-    schema = StructType([own.schema["id"], *StructType.fromDDL("text_hash long, n int, node long, token long, times int")])
+    schema = StructType([own.schema["id"], *StructType.fromDDL("text_hash long, n int, node long, signature array<long>, wide array<long>, token long, times int")])
     types = [to_arrow_type(f.dataType) for f in schema]
 
     def run(batches):
-        memory, held, size, known = WordHashes(), [], 0, set()
+        words, held, size, known = Words(), [], 0, set()
 
         def counted():
-            tokens, times = np.unique(np.concatenate(held), return_counts=True)
-            tokens, times = tokens[times > 1].view(np.int64), times[times > 1].astype(np.int32)
+            tokens = np.sort(np.concatenate(held))
+            first = np.flatnonzero(np.concatenate([[True], tokens[1:] != tokens[:-1]]))
+            times = np.diff(np.append(first, len(tokens)))
+            tokens, times = tokens[first[times > 1]].view(np.int64), times[times > 1].astype(np.int32)
             for i in range(0, len(tokens), 100_000):
                 t = tokens[i : i + 100_000]
-                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(t), k) for k in types[:4]), pa.array(t), pa.array(times[i : i + 100_000])], names=schema.names)
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(t), k) for k in types[:6]), pa.array(t), pa.array(times[i : i + 100_000])], names=schema.names)
 
         for chunk in chunks(batches):
-            n, node = [], []
-            for x in chunk.column("text").to_pylist():
-                found = shingles(x, memory)
+            n, node, narrows, wides = [], [], [], []
+            for x in texts_of(chunk):
+                found = shingles(x, words)
                 n.append(len(found))
                 node.append(node_of(found))
+                wides.append(signature(found))
+                narrows.append(narrow(wides[-1]))
                 if len(found) and node[-1] not in known:
                     known.add(node[-1])
                     held.append(found)
                     size += len(found)
-            yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("text_hash"), pa.array(n, types[2]), pa.array(node, types[3]), pa.nulls(len(n), types[4]), pa.nulls(len(n), types[5])], names=schema.names)
+            yield pa.RecordBatch.from_arrays([chunk.column("id"), chunk.column("text_hash"), *(pa.array(c, t) for c, t in zip((n, node, narrows, wides), types[2:])), *(pa.nulls(len(n), t) for t in types[6:])], names=schema.names)
             if size > HELD:
                 yield from counted()
                 held, size, known = [], 0, set()
@@ -126,101 +154,136 @@ def sets(docs: DataFrame) -> DataFrame:
 
 
 def class_table(found: DataFrame) -> np.ndarray:
-    """For each slot the class of its most frequent shingle: 0 below COMMON, else the binary logarithm of the times that tasks have met it together with others of its kind. At most SLOTS rows come to the driver."""
-    times = found.where("token IS NOT NULL").groupBy("token").agg(F.sum("times").alias("times")).where(F.col("times") >= COMMON)
-    slots = times.groupBy(F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot")).agg(F.max(F.floor(F.log2("times"))).cast("int").alias("c")).toPandas()
+    """For each slot the class of its most frequent shingle: the binary logarithm of the times that tasks have met it together with others of its kind, 0 for those that none has met twice, and for so many of the lowest classes that a quarter of the slots holds the others. Those come to the driver."""
+    times = materialised(found.where("token IS NOT NULL").groupBy("token").agg(F.floor(F.log2(F.sum("times"))).cast("int").alias("c")))
+    sizes = {r["c"]: r["n"] for r in times.groupBy("c").agg(F.count("*").alias("n")).collect()}
+    lowest = next(c for c in range(1, 65) if sum(n for k, n in sizes.items() if k >= c) <= SLOTS // 4)
+    slots = times.where(F.col("c") >= lowest).select(F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot"), "c").toPandas()
     table = np.zeros(SLOTS, dtype=np.uint8)
-    table[slots["slot"].to_numpy()] = slots["c"].to_numpy()
+    np.maximum.at(table, slots["slot"].to_numpy(), slots["c"].to_numpy().astype(np.uint8))
     return table
 
 
+def size_class(n: int) -> int:
+    """Sizes of similar sets are in the same class or in neighbouring ones."""
+    return int(np.log(n) / np.log(100 / SIMILARITY) + 1e-9)
+
+
 def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
-    """(token, node, hot) of the first order's prefixes; a task gives each node once."""
+    """(token, node, size, hot) of the first order's prefixes, with the class of the set's size; a task gives each node once."""
 
     def run(batches):
-        memory, classes, known = WordHashes(), shared.value, set()
+        words, classes, known = Words(), shared.value, set()
         for chunk in chunks(batches):
-            tokens, nodes = [], []
-            for x in chunk.column("text").to_pylist():
-                found = shingles(x, memory)
+            tokens, nodes, sizes = [], [], []
+            for x in texts_of(chunk):
+                found = shingles(x, words)
                 node = node_of(found)
                 if len(found) and node not in known:
                     known.add(node)
                     tokens.append(prefix(found, classes, 0))
                     nodes.append(np.full(len(tokens[-1]), node, dtype=np.int64))
+                    sizes.append(np.full(len(tokens[-1]), size_class(len(found)), dtype=np.int8))
             if tokens:
                 t = np.concatenate(tokens)
-                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0)], names=["token", "node", "hot"])
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes)), pa.array(classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0)], names=["token", "node", "size", "hot"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, hot boolean")
+    return docs.select("text").mapInArrow(run, "token long, node long, size byte, hot boolean")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """The prefix rows whose token more than one node has. Rare tokens, of few rows each, meet in a window; the others, whose rows may be many, in a minimum that is combined before the shuffle and a join that Spark can split."""
-    at = Window.partitionBy("token")
-    rare = rows.where("NOT hot").withColumn("first", F.min("node").over(at)).withColumn("last", F.max("node").over(at)).where("first <> last").select("token", "node")
-    hot = rows.where("hot").select("token", "node")
-    several = hot.groupBy("token").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("token")
-    return rare.unionByName(hot.join(several, "token")).distinct()
-
-
-def _details(docs: DataFrame, found: DataFrame, buckets: DataFrame, shared) -> DataFrame:
-    """(node, n, rare, signature, orders, tokens) of the nodes in buckets, from their texts."""
-    wanted = materialised(found.where("node IS NOT NULL").join(buckets.select("node").distinct(), "node").groupBy("node").agg(F.min("text_hash").alias("text_hash")).select("text_hash"))
+    """(bucket, node) for each prefix shingle and pair of neighbouring size classes that more than one node has. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, a minimum is combined before the shuffle and joined, which Spark can split."""
+    at = Window.partitionBy("token").orderBy("size")
+    beside = (F.lag("size").over(at) >= F.col("size") - 1) | (F.lead("size").over(at) <= F.col("size") + 1)
+    rare = rows.where("NOT hot").withColumn("beside", beside).where("beside")
+    both = rare.select("token", "node", "size").unionByName(rows.where("hot").select("token", "node", "size"))
+    own = F.col("size").cast("int")
+    dealt = materialised(both.select(F.explode(F.array(F.xxhash64("token", own), F.xxhash64("token", own + 1))).alias("bucket"), "node"))
+    several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("bucket")
+    return dealt.join(several, "bucket").distinct()
+
+
+def _details(docs: DataFrame, wanted: DataFrame, shared) -> DataFrame:
+    """(node, orders, tokens) of the texts whose hashes are wanted."""
+    wanted = materialised(wanted.select("text_hash").distinct())
     keyed = docs.select("text", F.xxhash64("text").alias("text_hash"))
     texts = keyed.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "text_hash", "left_semi")
-    schema = StructType.fromDDL("node long, n long, rare long, signature array<long>, orders array<array<int>>, tokens array<long>")
+    schema = StructType.fromDDL("node long, orders array<array<int>>, tokens array<long>")
     types = [to_arrow_type(f.dataType) for f in schema]
 
     def run(batches):
-        memory, classes, known = WordHashes(), shared.value, set()
+        words, classes, known = Words(), shared.value, set()
         for chunk in chunks(batches):
             out = []
-            for x in chunk.column("text").to_pylist():
-                s = shingles(x, memory)
+            for x in texts_of(chunk):
+                s = shingles(x, words)
                 node = node_of(s)
                 if len(s) and node not in known:
                     known.add(node)
-                    rare = int((classes[(s & np.uint64(SLOTS - 1)).astype(np.int64)] == 0).sum())
                     orders = [np.sort((prefix(s, classes, k) >> np.uint64(32)).astype(np.uint32).view(np.int32)) for k in range(1, 1 + MORE_ORDERS)]
-                    out.append((node, len(s), rare, signature(s), orders, s.view(np.int64)))
+                    out.append((node, orders, s.view(np.int64)))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(c, type=t) for c, t in zip(map(list, zip(*out)), types)], names=schema.names)
 
-    return texts.select("text").mapInArrow(run, schema).dropDuplicates(["node"])
+    return materialised(texts.select("text").mapInArrow(run, schema).dropDuplicates(["node"]))
 
 
 def _fits(a: str, b: str):
-    """What sizes and signatures must satisfy: the sets differ in no more than a ninth of their sizes' sum (for 80 %: (|a| + |b|) * (100 - s) / (100 + s))."""
+    """What sizes and signatures must satisfy: similar sets differ in no more shingles than (100 - s) / (100 + s) of their sizes' sum, and the signatures in no more bits than the sets in shingles."""
     na, nb = F.col(f"{a}.n"), F.col(f"{b}.n")
     differ = sum((F.bit_count(F.col(f"{a}.signature")[k].bitwiseXOR(F.col(f"{b}.signature")[k])) for k in range(SIGNATURE)), F.lit(0))
     return (100 * F.least(na, nb) >= SIMILARITY * F.greatest(na, nb)) & ((100 + SIMILARITY) * differ <= (100 - SIMILARITY) * (na + nb))
 
 
-def _linked(pairs: DataFrame, details: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar: all filters first, then the sets themselves."""
-    light = details.select("node", F.struct("n", "signature", "orders").alias("x"))
-    near = pairs.join(light.select(F.col("node").alias("a"), F.col("x").alias("xa")), "a").join(light.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b")
-    near = near.where(_fits("xa", "xb"))
+def _both(pairs: DataFrame, values: DataFrame) -> DataFrame:
+    """The pairs (a, b) with the columns xa and xb of (node, x)."""
+    return pairs.join(values.select(F.col("node").alias("a"), F.col("x").alias("xa")), "a").join(values.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b")
+
+
+def _folded(x: Column, other: Column) -> Column:
+    half = (F.size(x) / 2).cast("int")
+    return F.when(F.size(x) > F.size(other), F.zip_with(F.slice(x, 1, half), F.slice(x, half + 1, half), lambda a, b: a.bitwiseXOR(b))).otherwise(x)
+
+
+def _fit_widely(pairs: DataFrame, light: DataFrame) -> DataFrame:
+    """The pairs (a, b), of sizes that fit, whose own signatures do too. Their widths differ by a factor of two at most."""
+    both = _both(pairs, light.select("node", F.struct("n", "wide").alias("x")))
+    a, b = F.col("xa.wide"), F.col("xb.wide")
+    differ = F.aggregate(F.zip_with(_folded(a, b), _folded(b, a), lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda s, x: s + x)
+    return both.where((100 + SIMILARITY) * differ <= (100 - SIMILARITY) * (F.col("xa.n") + F.col("xb.n"))).select("a", "b")
+
+
+def _linked(pairs: DataFrame, light: DataFrame, docs: DataFrame, shared) -> DataFrame:
+    """The pairs (a, b), which fit, whose sets are similar: their own signatures must fit and they must share a prefix under the further orders, then the sets themselves are compared."""
+    pairs = materialised(_fit_widely(pairs, light))
+    nodes = pairs.select(F.explode(F.array("a", "b")).alias("node")).distinct()
+    details = _details(docs, light.join(nodes, "node"), shared)
+    near = _both(pairs, details.select("node", F.col("orders").alias("x")))
     for k in range(MORE_ORDERS):
-        near = near.where(F.arrays_overlap(F.col("xa.orders")[k], F.col("xb.orders")[k]))
-    sets_ = details.select("node", "tokens")
-    full = near.select("a", "b").join(sets_.select(F.col("node").alias("a"), F.col("tokens").alias("ta")), "a").join(sets_.select(F.col("node").alias("b"), F.col("tokens").alias("tb")), "b")
-    both = F.size(F.array_intersect("ta", "tb"))
-    return full.where((100 + SIMILARITY) * both >= SIMILARITY * (F.size("ta") + F.size("tb"))).select("a", "b")
+        near = near.where(F.arrays_overlap(F.col("xa")[k], F.col("xb")[k]))
+    full = _both(near.select("a", "b"), details.select("node", F.col("tokens").alias("x")))
+    return materialised(full.where((100 + SIMILARITY) * F.size(F.array_intersect("xa", "xb")) >= SIMILARITY * (F.size("xa") + F.size("xb"))).select("a", "b"))
+
+
+def _stars(buckets: DataFrame, light: DataFrame) -> DataFrame:
+    """Pairs that fit of each node and the most ordinary node of a bucket it is in: the one in most buckets."""
+    ranked = buckets.join(buckets.groupBy("node").agg(F.count("*").alias("d")), "node")
+    centres = ranked.groupBy("bucket").agg(F.min(F.struct(-F.col("d"), "node")).alias("c"))
+    pairs = ranked.join(centres, "bucket").where("node <> c.node").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    return _both(pairs, light.select("node", F.struct("n", "signature").alias("x"))).where(_fits("xa", "xb")).select("a", "b")
 
 
-def _crossing(buckets: DataFrame, details: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs of nodes of one bucket and different components that fit."""
+def _crossing(buckets: DataFrame, light: DataFrame, roots: DataFrame) -> DataFrame:
+    """Pairs that fit of nodes of one bucket and different components."""
     labelled = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed_ = labelled.groupBy("token").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("token")
-    rows = labelled.join(mixed_, "token").join(details.select("node", F.struct("n", "signature").alias("x")), "node")
-    a, b = rows.select("token", F.col("node").alias("a"), F.col("root").alias("ra"), F.col("x").alias("xa")), rows.select("token", F.col("node").alias("b"), F.col("root").alias("rb"), F.col("x").alias("xb"))
-    return a.join(b, "token").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _fits("xa", "xb")).select("a", "b").distinct()
+    several = labelled.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("bucket")
+    rows = labelled.join(several, "bucket").join(light.select("node", F.struct("n", "signature").alias("x")), "node")
+    a, b = (rows.select("bucket", F.col("node").alias(k), F.col("root").alias(f"r{k}"), F.col("x").alias(f"x{k}")) for k in "ab")
+    return a.join(b, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _fits("xa", "xb")).select("a", "b").distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(rows, links): for each row of docs its id, n_shingles, node (equal sets have equal nodes, null: empty) and component_id, the least id that links reach from it; and the verified links (a, b) of nodes that join them, not all of those inside a component.
+    """(rows, links): for each row of docs its id, text_hash (xxhash64), n_shingles, node (equal sets have equal nodes, null: empty), class (equal in a component) and component_id, the least id that links reach from it; and the verified links (a, b) of nodes that join them, not all of those inside a component.
 
     Texts are compared whole. Null and empty texts have no shingles and are linked with nothing: their component is their own id. Rows with a null id take part; a component of such rows alone has a null id. Repeated rows each give their row. Equal sets are told by a 64-bit hash of the set. Other columns are ignored.
     """
@@ -228,15 +291,13 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id") -> tuple[Data
     found = materialised(sets(own))
     shared = docs.sparkSession.sparkContext.broadcast(class_table(found))
     buckets = materialised(_buckets(_prefix_rows(own, shared)))
-    details = materialised(_details(own, found, buckets, shared))
-    ranked = buckets.join(details.select("node", "rare"), "node")
-    centres = ranked.groupBy("token").agg(F.min(F.struct("rare", "node")).alias("c"))
-    star = ranked.join(centres, "token").where("node <> c.node").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
-    links = materialised(_linked(star, details))
-    crossing = materialised(_linked(_crossing(buckets, details, components(links)), details))
+    copies = found.where("node IS NOT NULL").join(buckets.select("node").distinct(), "node", "left_semi")
+    light = materialised(copies.groupBy("node").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("wide").alias("wide"), F.min("text_hash").alias("text_hash")))
+    links = _linked(_stars(buckets, light), light, own, shared)
+    crossing = _linked(_crossing(buckets, light, components(links)), light, own, shared)
     links = links.unionByName(crossing).distinct()
     roots = components(links)
-    rows = found.where("token IS NULL").select("id", "n", "node").join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    rows = found.where("token IS NULL").select("id", "text_hash", "n", "node").join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
     least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
-    out = rows.join(least, "class", "left").select(F.col("id").alias(id_column), F.col("n").cast("long").alias("n_shingles"), "node", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    out = rows.join(least, "class", "left").select(F.col("id").alias(id_column), "text_hash", F.col("n").cast("long").alias("n_shingles"), "node", "class", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
     return out, links
