@@ -162,7 +162,7 @@ def periodogram(spark, d):
     return stats.period_power(rows, "t", "value", grid)
 
 
-same("outer_quantiles", "SELECT event_type, percentile(value, 0.16) AS low, percentile(value, 0.84) AS high FROM {events} GROUP BY event_type", ("events",), "SELECT event_type, quantile_cont(value, 0.16) AS low, quantile_cont(value, 0.84) AS high FROM events GROUP BY event_type")
+same("outer_quantiles", "SELECT event_type, round(percentile(value, 0.16), 6) AS low, round(percentile(value, 0.84), 6) AS high FROM {events} GROUP BY event_type", ("events",), "SELECT event_type, round(quantile_cont(value, 0.16), 6) AS low, round(quantile_cont(value, 0.84), 6) AS high FROM events GROUP BY event_type")
 
 
 def _alternating(passes: int) -> str:
