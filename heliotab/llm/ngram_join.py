@@ -192,15 +192,18 @@ def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node) for each prefix shingle and pair of neighbouring size classes that more than one node has. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, a minimum is combined before the shuffle and joined, which Spark can split."""
+    """(bucket, node) for each prefix shingle and pair of neighbouring size classes that more than one node has. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, a minimum is combined before the shuffle and joined, which Spark can split. Near copies share many shingles; of buckets with the same nodes, told by sums of hashes (a node has as many rows in each of its buckets), one stays."""
     at = Window.partitionBy("token").orderBy("size")
     beside = (F.lag("size").over(at) >= F.col("size") - 1) | (F.lead("size").over(at) <= F.col("size") + 1)
     rare = rows.where("NOT hot").withColumn("beside", beside).where("beside")
     both = rare.select("token", "node", "size").unionByName(rows.where("hot").select("token", "node", "size"))
     own = F.col("size").cast("int")
     dealt = materialised(both.select(F.explode(F.array(F.xxhash64("token", own), F.xxhash64("token", own + 1))).alias("bucket"), "node"))
-    several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last")).where("first <> last").select("bucket")
-    return dealt.join(several, "bucket").distinct()
+    h = F.xxhash64("node")
+    halves = (F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
+    several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n"), *halves).where("first <> last")
+    one = several.groupBy("first", "last", "n", "high", "low").agg(F.min("bucket").alias("bucket")).select("bucket")
+    return dealt.join(one, "bucket").distinct()
 
 
 def _details(docs: DataFrame, wanted: DataFrame, shared) -> DataFrame:
