@@ -97,7 +97,7 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
         there = np.flatnonzero(found)
         yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(found[there])], names=["feature", "n"])
 
-    rows = train.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toPandas()
+    rows = train.select("text").mapInArrow(run, "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n")).toArrow()
     out = np.zeros(FEATURES + 1, dtype=np.int64)
     out[rows["feature"].to_numpy()] = rows["n"].to_numpy()
     return out[:FEATURES], int(out[FEATURES])
@@ -181,7 +181,7 @@ def fit(train: DataFrame, key: Column) -> Model:
     df, total = document_frequencies(train)
     idf = np.log((1 + total) / (1 + df)) + 1
     rows = []
-    drawn = sample(train, counts, key).toPandas().sort_values(["order", "lang"], kind="stable")
+    drawn = sample(train, counts, key).toArrow().to_pandas().sort_values(["order", "lang"], kind="stable")
     for lang, idx, n in zip(drawn["lang"], drawn["idx"], drawn["n"]):
         i = np.frombuffer(idx, dtype="<u4").astype(np.int64)
         if len(i):

@@ -158,7 +158,7 @@ def class_table(found: DataFrame) -> np.ndarray:
     times = materialised(found.where("token IS NOT NULL").groupBy("token").agg(F.floor(F.log2(F.sum("times"))).cast("int").alias("c")))
     sizes = {r["c"]: r["n"] for r in times.groupBy("c").agg(F.count("*").alias("n")).collect()}
     lowest = next(c for c in range(1, 65) if sum(n for k, n in sizes.items() if k >= c) <= SLOTS // 4)
-    slots = times.where(F.col("c") >= lowest).select(F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot"), "c").toPandas()
+    slots = times.where(F.col("c") >= lowest).select(F.col("token").bitwiseAND(F.lit(SLOTS - 1)).cast("int").alias("slot"), "c").toArrow()
     table = np.zeros(SLOTS, dtype=np.uint8)
     np.maximum.at(table, slots["slot"].to_numpy(), slots["c"].to_numpy().astype(np.uint8))
     return table
