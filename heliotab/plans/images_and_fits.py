@@ -1,38 +1,38 @@
-"""Images made of lineitem (an image a return flag, quantity by discount), and fits."""
+"""Images made of lineitem (an image a return flag, quantity by discount, pixels in whole cents so that sums are exact), and fits."""
 
 from pyspark.sql import functions as F
 
 from heliotab.operators import fits, images
 from heliotab.plans.registry import query, table
 
-_IMAGE = "SELECT l_returnflag AS image, CAST(l_quantity AS INT) AS x, CAST(round(l_discount * 100) AS INT) AS y, avg(l_extendedprice) AS v FROM lineitem GROUP BY ALL"
+_IMAGE = "SELECT l_returnflag AS image, CAST(l_quantity AS INT) AS x, CAST(round(l_discount * 100) AS INT) AS y, CAST(sum(round(l_extendedprice * 100)) AS DOUBLE) AS v FROM lineitem GROUP BY ALL"
 
-_COUNTS = _IMAGE.replace("avg(l_extendedprice)", "CAST(count(*) AS DOUBLE)")
+_COUNTS = _IMAGE.replace("CAST(sum(round(l_extendedprice * 100)) AS DOUBLE)", "CAST(count(*) AS DOUBLE)")
 
 
 def _image(spark, d, pixel=None):
     c = F.col
-    return table(spark, d, "lineitem").groupBy(c("l_returnflag").alias("image"), c("l_quantity").cast("int").alias("x"), F.round(c("l_discount") * 100).cast("int").alias("y")).agg((F.avg("l_extendedprice") if pixel is None else pixel).alias("v"))
+    return table(spark, d, "lineitem").groupBy(c("l_returnflag").alias("image"), c("l_quantity").cast("int").alias("x"), F.round(c("l_discount") * 100).cast("int").alias("y")).agg((F.sum(F.round(c("l_extendedprice") * 100)).cast("double") if pixel is None else pixel).alias("v"))
 
 
-@query(f"SELECT image, CAST((x + 5) % 51 AS INT) AS x, CAST((y + 8) % 11 AS INT) AS y, round(v, 4) AS v FROM ({_IMAGE})")
+@query(f"SELECT image, CAST((x + 5) % 51 AS INT) AS x, CAST((y + 8) % 11 AS INT) AS y, v FROM ({_IMAGE})")
 def image_roll(spark, d):
-    return images.roll(_image(spark, d), 5, -3, 51, 11).withColumn("v", F.round("v", 4))
+    return images.roll(_image(spark, d), 5, -3, 51, 11)
 
 
-@query(f"SELECT image, x, y, CASE WHEN x BETWEEN 10 AND 19 AND y BETWEEN 2 AND 5 THEN -1.0::DOUBLE ELSE round(v, 4) END AS v FROM ({_IMAGE})")
+@query(f"SELECT image, x, y, CASE WHEN x BETWEEN 10 AND 19 AND y BETWEEN 2 AND 5 THEN -1.0::DOUBLE ELSE v END AS v FROM ({_IMAGE})")
 def image_zap(spark, d):
-    return images.zap(_image(spark, d), 10, 2, 10, 4, -1.0).withColumn("v", F.round("v", 4))
+    return images.zap(_image(spark, d), 10, 2, 10, 4, -1.0)
 
 
-@query(f"SELECT image, y, round(avg(v), 4) AS mean, count(v) AS n, round(sum(v), 3) AS total FROM ({_IMAGE}) GROUP BY image, y")
+@query(f"SELECT image, y, avg(v) AS mean, count(v) AS n, sum(v) AS total FROM ({_IMAGE}) GROUP BY image, y")
 def image_collapse(spark, d):
-    return images.collapse(_image(spark, d), ["image", "y"]).withColumn("mean", F.round("mean", 4)).withColumn("total", F.round("total", 3))
+    return images.collapse(_image(spark, d), ["image", "y"])
 
 
-@query(f"SELECT image, CAST(x // 4 AS INT) AS x, CAST(y // 4 AS INT) AS y, round(avg(v), 4) AS v FROM ({_IMAGE}) GROUP BY image, x // 4, y // 4")
+@query(f"SELECT image, CAST(x // 4 AS INT) AS x, CAST(y // 4 AS INT) AS y, avg(v) AS v FROM ({_IMAGE}) GROUP BY image, x // 4, y // 4")
 def image_rebin(spark, d):
-    return images.rebin(_image(spark, d), ["image"], 4).withColumn("v", F.round("v", 4))
+    return images.rebin(_image(spark, d), ["image"], 4)
 
 
 @query(f"""WITH i AS ({_COUNTS}), k AS (SELECT a.range - 1 AS dx, b.range - 1 AS dy, (2 - abs(a.range - 1)) * (2 - abs(b.range - 1)) / 16.0::DOUBLE AS k FROM range(3) a, range(3) b)
