@@ -16,6 +16,8 @@ from heliotab.llm.common import map_texts, materialised
 
 #: Pieces that one search works on. What each search leaves in its least filled sequence is packed again with what the others leave.
 BLOCK = 2048
+#: Sequences that the pieces of a block fill on average at least, unless it is the only one: so what blocks leave open falls to 1 / FULL or less a round.
+FULL = 16
 #: Documents of a sequence of which pairs are tried.
 PAIRED = 48
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
@@ -193,15 +195,15 @@ def _packer(turn: int, capacity: int, names: list[str]):
 def pack(items: DataFrame, capacity: int) -> DataFrame:
     """The same rows with sequence_id (any numbers) and offset (gapless from 0 in each sequence).
 
-    `length` is from 1 to capacity. Rows are dealt to blocks of about BLOCK by a hash of all but no key alone, so equal rows spread. After each round the least filled sequence of each block is opened and its rows are packed again in fewer blocks, until one block is left. An empty table gives an empty one; null ids are carried.
+    `length` is from 1 to capacity. Rows are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, by a hash of all but no key alone, so equal rows spread. After each round the least filled sequence of each block is opened and its rows are packed again in fewer blocks, until one block is left. An empty table gives an empty one; null ids are carried.
     """
     names = items.columns
     rows = materialised(items.withColumn("_row", F.monotonically_increasing_id()))
     schema = StructType([*rows.schema, StructField("sequence_id", LongType()), StructField("offset", LongType()), StructField("_open", BooleanType())])
     closed, turn = [], 0
     while True:
-        count = rows.count()
-        blocks = max(1, -(-count // BLOCK))
+        count, total = rows.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        blocks = max(1, min(-(-count // BLOCK), total // (FULL * capacity)))
 
         packed = _packer(turn, capacity, schema.names)
         dealt = rows.withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(turn)), F.lit(blocks)))

@@ -196,6 +196,19 @@ def test_pack_is_whole_and_tight(spark, monkeypatch):
     assert local_search_pack.pack(spark.createDataFrame([], "doc_id long, length long"), 100).count() == 0
 
 
+@pytest.mark.parametrize("empty", [1.0, 1 / 3])
+def test_pack_of_many_empty_texts_ends(spark, empty):
+    r = random.Random(11)
+    lengths = [1 if i < 10_000 * empty else min(4096, 1 + int(r.lognormvariate(5.3, 1))) for i in range(10_000)]
+    out = local_search_pack.pack(spark.createDataFrame(list(enumerate(lengths)), "doc_id long, length long"), 4096).collect()
+    assert sorted((x["doc_id"], x["length"]) for x in out) == list(enumerate(lengths))
+    fill = Counter()
+    for x in sorted(out, key=lambda x: (x["sequence_id"], x["offset"])):
+        assert x["offset"] == fill[x["sequence_id"]]
+        fill[x["sequence_id"]] += x["length"]
+    assert max(fill.values()) <= 4096 and len(fill) <= -(-sum(lengths) // 4096) + 2
+
+
 # 5 n-gram Jaccard join
 
 
