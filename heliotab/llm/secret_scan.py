@@ -11,6 +11,10 @@ from heliotab.llm.common import map_texts
 KINDS = ("assign", "access", "hex", "inefficient")
 #: A run this long or longer with fewer code points a token than RATIO reads as random.
 RUN, RATIO = 20, 2.1
+#: Letters alone read as random below this, if their cases are mixed.
+LETTERS_RATIO = 1.75
+#: A stretch of parts has at most one separator in so many code points (base64 has one in 32): dates and short names have more.
+SPARSE = 8
 #: Hexadecimal digits of the usual digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_DIGITS = (32, 40, 56, 64, 96, 128)
 
@@ -21,6 +25,9 @@ _HEX = re.compile(r"[0-9a-f]{16,}")
 #: Maximal runs of the characters that keys are written in.
 _RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
+#: Parts of a run: UUIDs, and what stands between separators.
+_PART = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+=*")
+_MIXED = re.compile(r"[a-z][A-Z]|[A-Z][a-z]*[A-Z]+[a-z]")
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _INTEGRITY = re.compile(r"sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}")
 
@@ -43,8 +50,58 @@ def known(run: str) -> bool:
 
 
 def inefficient(run: str, encoding) -> bool:
-    """Letters and digits mixed, of RUN code points or more, not known, and below RATIO code points a token."""
-    return len(run) >= RUN and any(c.isdigit() for c in run) and any(c.isalpha() for c in run) and not known(run) and len(run) < RATIO * len(encoding.encode_ordinary(run))
+    """Of RUN code points or more, not known, and below RATIO code points a token if letters and digits are mixed, or below LETTERS_RATIO if there are letters alone and their cases are mixed within a part."""
+    if len(run) < RUN or known(run) or not any(c.isalpha() for c in run):
+        return False
+    if any(c.isdigit() for c in run):
+        ratio = RATIO
+    elif _MIXED.search(run):
+        ratio = LETTERS_RATIO
+    else:
+        return False
+    return len(run) < ratio * len(encoding.encode_ordinary(run))
+
+
+def inefficient_parts(run: str, encoding) -> list[tuple[int, int]]:
+    """(start, end) of the inefficient stretches of parts of a run that is as a whole too readable, as a key behind a path is.
+
+    A part counts RATIO for each token less 1 for each code point; the maximal stretches with positive sums are found in one pass (Ruzzo and Tompa) and tested. Of a stretch that fails, each part is tested alone. Parts that are known end a stretch.
+    """
+    found: list[tuple[int, int]] = []
+    stretches: list[tuple[int, int, float, float]] = []  # first part, end, sums before and behind
+    parts = list(_PART.finditer(run))
+
+    def close():
+        for first, end, _, _ in stretches:
+            start, stop = parts[first].start(), parts[end - 1].end()
+            if (end - first - 1) * SPARSE <= stop - start and inefficient(run[start:stop], encoding):
+                found.append((start, stop))
+            else:
+                found.extend(p.span() for p in parts[first:end] if inefficient(p[0], encoding))
+        stretches.clear()
+
+    total = least = 0.0
+    for i, part in enumerate(parts):
+        if known(part[0]):
+            close()
+            total = least = 0.0
+            continue
+        score = RATIO * len(encoding.encode_ordinary(part[0])) - len(part[0])
+        first, before, total = i, total, total + score
+        if total <= least:
+            close()
+            least = total
+        if score <= 0:
+            continue
+        while True:
+            j = next((j for j in reversed(range(len(stretches))) if stretches[j][2] < before), None)
+            if j is None or stretches[j][3] >= total:
+                break
+            first, _, before, _ = stretches[j]
+            del stretches[j:]
+        stretches.append((first, i + 1, before, total))
+    close()
+    return found
 
 
 def spans(text: str, encoding) -> list[tuple[int, int, int]]:
@@ -59,6 +116,8 @@ def spans(text: str, encoding) -> list[tuple[int, int, int]]:
         found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text, run.start(), run.end())]
         if inefficient(run[0], encoding):
             found.append((run.start(), 3, run.end()))
+        elif len(run[0]) > RUN and not known(run[0]):
+            found += [(run.start() + a, 3, run.start() + b) for a, b in inefficient_parts(run[0], encoding)]
     return sorted(found)
 
 

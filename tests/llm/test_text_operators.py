@@ -322,6 +322,37 @@ def test_inefficient_strings_and_what_is_known():
         assert not secret_scan.inefficient(known, e)
 
 
+def test_keys_behind_paths_and_of_letters():
+    import string
+
+    e, r = secret_scan._encoding(RANKS), random.Random(12)
+
+    def share(before, n, letters, after=""):
+        keys = ["".join(r.choices(letters, k=n)) for _ in range(400)]
+        texts = [f"see {before}{k}{after} end" for k in keys]
+        return sum(any(x[1] == 3 and x[0] <= t.index(k) and x[2] >= t.index(k) + n for x in secret_scan.spans(t, e)) for t, k in zip(texts, keys)) / 400
+
+    for before, after in (("", ""), ("config/production/", ""), ("/download/settings/account/reset-password/", ""), ("/download/settings/", "/reset-password/account")):
+        assert share(before, 24, string.ascii_letters + string.digits, after) > 0.97, before
+        assert share(before, 24, string.ascii_letters, after) > 0.97, before
+    assert share("/download/settings/account/reset-password/", 40, string.ascii_letters + string.digits + "+/") > 0.8
+    path = "/download/settings/account/reset-password" * 3
+    text = f"{path}/q7Zx9Kp2Vt4Lw8Rb3Nc6Yd{path}/Nc6Ydq7Zx9Kp2Vt4Lw8Rb3"
+    assert [text[a:b] for a, k, b in secret_scan.spans(text, e) if k == 3] == ["q7Zx9Kp2Vt4Lw8Rb3Nc6Yd", "Nc6Ydq7Zx9Kp2Vt4Lw8Rb3"]
+
+
+CLEAN = """/download/settings/account/reset-password/help how-to-make-sourdough-bread-at-home-in-10-steps /articles/2024/01/15/the-10-best-phones-of-the-year
+src/main/java/com/example/project/AbstractSingletonProxyFactoryBean getElementsByClassNameAndAttribute /usr/local/lib/python3/site-packages/numpy/core
+/download/settings/account/123e4567-e89b-12d3-a456-426614174000/reset-password /static/assets/images/d41d8cd98f00b204e9800998ecf8427e/thumbnail-large
+INTERNATIONAL_ORGANIZATION_FOR_STANDARDIZATION iso-8859-1-and-utf-8-encoded-documents the_quick_brown_fox_jumps_over_13_lazy_dogs Donaudampfschifffahrtsgesellschaft
+/wiki/History_of_the_United_States_1865-1918 product-category/mens-shoes/size-11-wide/page/2 assets/node_modules/react-dom/umd/production""".split()
+
+
+@pytest.mark.parametrize("text", CLEAN)
+def test_clean_paths_and_slugs_stay(text):
+    assert not [x for x in secret_scan.spans(text, secret_scan._encoding(RANKS)) if x[1] == 3]
+
+
 def test_scan_and_redact_all_rows(spark, docs, local):
     scanned = secret_scan.scan(docs, RANKS, "doc_id").collect()
     assert len(scanned) == len(local) and all(r["base_sha256"] == sha256(b"").hexdigest() for r in scanned if not r["spans"])
