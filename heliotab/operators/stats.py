@@ -1,8 +1,11 @@
 """Statistics of samples, robust ones among them."""
 
 import math
+from collections.abc import Callable, Iterator
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from heliotab.functions import sem
@@ -67,13 +70,57 @@ def apply_polynomial(x, coefficients: list[float]):
     return out
 
 
+#: Rows of which a task combines the sums by period; of the matrices that it works on, rows and periods.
+_TASK_ROWS, _ROWS, _PERIODS = 8192, 512, 256
+
+
+def period_grid(low: float, high: float, span: float) -> Iterator[float]:
+    """Periods from low on, below high, for times over a span: each is P + 0.1 P^2 / span after the last, a tenth of a peak's width. None if the span is 0."""
+    p = low
+    while span > 0 and p < high:
+        yield p
+        p *= 1 + 0.1 * p / span
+
+
+def period_search(df: DataFrame, t: str, y: str, low: float, high: float) -> DataFrame:
+    """(period, power) as from period_power, over the grid that fits the span of t. Work grows with the rows times the span: at a steady rate of rows, with the square of the table."""
+    first, last = df.where(_both_finite(t, y)).agg(F.min(F.col(t).cast("double")), F.max(F.col(t).cast("double"))).first()
+    span = 0.0 if first is None else last - first
+    return _power(df, t, y, lambda: period_grid(low, high, span))
+
+
 def period_power(df: DataFrame, t: str, y: str, periods: list[float]) -> DataFrame:
-    """(period, power): the Lomb-Scargle power of y over t at each period. The grid is a literal array; rows are combined by period before the shuffle."""
-    mean, variance = df.agg(F.avg(y), F.var_samp(y)).first()
-    grid = F.explode(F.array(*[F.lit(float(p)) for p in periods])).alias("period")
-    rows = df.select(F.col(t).cast("double").alias("t"), (F.col(y) - mean).alias("d"), grid)
-    w = 2 * math.pi / F.col("period")
-    tau = rows.groupBy("period").agg(F.sum(F.sin(2 * w * F.col("t"))).alias("s"), F.sum(F.cos(2 * w * F.col("t"))).alias("c")).select("period", (F.atan2("s", "c") / (2 * w)).alias("tau"))
-    a = w * (F.col("t") - F.col("tau"))
-    sums = rows.join(F.broadcast(tau), "period").groupBy("period").agg(*[F.sum(e).alias(n) for n, e in (("yc", F.col("d") * F.cos(a)), ("ys", F.col("d") * F.sin(a)), ("cc", F.cos(a) ** 2), ("ss", F.sin(a) ** 2))])
-    return sums.select("period", ((F.col("yc") ** 2 / F.col("cc") + F.col("ys") ** 2 / F.col("ss")) / (2 * F.lit(variance))).alias("power"))
+    """(period, power): the Lomb-Scargle power of y over t at each period. Rows are combined by period before the shuffle; those that aren't finite are left out."""
+    return _power(df, t, y, lambda: map(float, periods))
+
+
+def _both_finite(t: str, y: str):
+    return sem.is_finite(F.col(t).cast("double")) & sem.is_finite(F.col(y).cast("double"))
+
+
+def _power(df: DataFrame, t: str, y: str, grid: Callable[[], Iterator[float]]) -> DataFrame:
+    rows = df.where(_both_finite(t, y)).select(F.col(t).cast("double").alias("t"), F.col(y).cast("double").alias("y"))
+    count, mean, variance = rows.agg(F.count("*"), F.avg("y"), F.var_samp("y")).first()
+
+    def sums(batches):
+        for batch in batches:
+            at, d = batch.column(0).to_numpy(), batch.column(1).to_numpy() - mean
+            periods = grid()
+            while some := list(islice(periods, _PERIODS)):
+                w = 2 * math.pi / np.array(some)
+                total = np.zeros((4, len(some)))
+                for i in range(0, len(at), _ROWS):
+                    a = np.outer(at[i : i + _ROWS], w)
+                    s, c = np.sin(a), np.cos(a)
+                    total += d[i : i + _ROWS] @ c, d[i : i + _ROWS] @ s, np.einsum("ij,ij->j", s, s), np.einsum("ij,ij->j", s, c)
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.float64()), *map(pa.array, total)], names=["period", "yc", "ys", "ss", "sc"])
+
+    spread = rows.repartition(max(1, -(-count // _TASK_ROWS)))
+    by = spread.mapInArrow(sums, "period double, yc double, ys double, ss double, sc double").groupBy("period").agg(*[F.sum(x).alias(x) for x in ("yc", "ys", "ss", "sc")])
+    n = F.lit(float(count))
+    by = by.withColumn("c2", n - 2 * F.col("ss")).withColumn("s2", 2 * F.col("sc"))  # sums of cos and sin of 2 w t
+    by = by.withColumn("a", F.atan2("s2", "c2") / 2).withColumn("h", F.hypot("c2", "s2"))  # w tau, and the sum of cos 2 (w t - w tau)
+    yc = F.col("yc") * F.cos("a") + F.col("ys") * F.sin("a")
+    ys = F.col("ys") * F.cos("a") - F.col("yc") * F.sin("a")
+    both = sem.fdiv(yc * yc, (n + F.col("h")) / 2) + sem.fdiv(ys * ys, (n - F.col("h")) / 2)
+    return by.select("period", sem.fdiv(both, F.lit(2.0) * F.lit(variance).cast("double")).alias("power"))

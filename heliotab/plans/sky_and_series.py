@@ -158,8 +158,7 @@ def lightcurve(spark, d):
 @query()
 def periodogram(spark, d):
     rows = table(spark, d, "events").select((F.col("event_id") / 10.0).alias("t"), "value")
-    grid = [5.0 * 1.1**k for k in range(24)]
-    return stats.period_power(rows, "t", "value", grid)
+    return stats.period_search(rows, "t", "value", 5.0, 50.0)
 
 
 same("outer_quantiles", "SELECT event_type, round(percentile(value, 0.16), 6) AS low, round(percentile(value, 0.84), 6) AS high FROM {events} GROUP BY event_type", ("events",), "SELECT event_type, round(quantile_cont(value, 0.16), 6) AS low, round(quantile_cont(value, 0.84), 6) AS high FROM events GROUP BY event_type")

@@ -88,6 +88,33 @@ def test_period_is_found(spark):
     assert abs(best["period"] - 15) < 0.5
 
 
+def test_period_between_coarse_grid_points_is_found(spark, tmp_path):
+    from heliotab.plans import catalogue
+
+    data = [(i, 3 + math.sin(2 * math.pi * i / 10 / 16.4) + i % 7 / 10) for i in range(10_001)]
+    spark.createDataFrame(data, "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
+    got = {r["period"]: r["power"] for r in catalogue.queries()["periodogram"](spark, str(tmp_path)).collect()}
+    grid = [5.0]
+    while (p := grid[-1] * (1 + 0.1 * grid[-1] / 1000)) < 50:
+        grid.append(p)
+    assert sorted(got) == grid and len(grid) > 1700
+    assert abs(max(got, key=got.get) - 16.4) < 0.02
+
+    mean = sum(y for _, y in data) / len(data)
+    variance = sum((y - mean) ** 2 for _, y in data) / (len(data) - 1)
+    for p in (grid[0], grid[700], max(got, key=got.get), grid[-1]):
+        w = 2 * math.pi / p
+        tau = math.atan2(sum(math.sin(w * i / 5) for i, _ in data), sum(math.cos(w * i / 5) for i, _ in data)) / (2 * w)
+        c, s = ([f(w * (i / 10 - tau)) for i, _ in data] for f in (math.cos, math.sin))
+        power = sum(sum((y - mean) * x for (_, y), x in zip(data, v)) ** 2 / sum(x * x for x in v) for v in (c, s)) / (2 * variance)
+        assert abs(got[p] - power) <= 1e-6 * max(1, power)
+
+
+def test_no_span_gives_no_periods(spark):
+    df = spark.createDataFrame([(1.0, 2.0), (1.0, 3.0), (None, 1.0), (NAN, 1.0)], "t double, y double")
+    assert stats.period_search(df, "t", "y", 5.0, 50.0).count() == 0 and stats.period_search(df.limit(0), "t", "y", 5.0, 50.0).count() == 0
+
+
 def test_region_of_tiles(spark, tmp_path):
     df = spark.createDataFrame([(1, 359.5, 0.0), (2, 0.5, 0.0), (3, 180.0, 0.0), (4, 0.5, 80.0)], "id int, ra double, dec double")
     text.write_tiles(df, str(tmp_path / "sky"), "ra", "dec")
