@@ -21,13 +21,16 @@ def running_total(df: DataFrame, ordinal: str, value: str, out: str, block: int
 
 
 def shift(df: DataFrame, by: list[str], order: list[str], value: str, out: str, n: int = 1, roll: bool = False) -> DataFrame:
-    """Values n places later; the first n are 0, or with roll the last n."""
+    """Values n places later; the first n are 0, or with roll the last n: those are numbered by the places they go to and joined, so the order must leave no ties."""
     w = _w(by, order)
-    whole = Window.partitionBy(*by)
     moved = F.lag(value, n).over(w)
     if roll:
-        k, size = F.row_number().over(w), F.count("*").over(whole)
-        return df.withColumn("_k", k).withColumn("_n", size).withColumn("_all", F.collect_list(value).over(w.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).withColumn(out, F.element_at("_all", (F.pmod(F.col("_k") - 1 - n, F.col("_n")) + 1).cast("int"))).drop("_k", "_n", "_all")
+        rows = df.withColumn("_k", F.row_number().over(w)).withColumn("_n", F.count("*").over(Window.partitionBy(*by))).withColumn("_moved", moved)
+        last = rows.select(*[F.col(c).alias(f"_by{i}") for i, c in enumerate(by)], (F.pmod(F.col("_k") - 1 + n, F.col("_n")) + 1).alias("_to"), F.col(value).alias("_last")).where(F.col("_to") <= n)
+        same = F.col("_k") == F.col("_to")
+        for i, c in enumerate(by):
+            same = same & rows[c].eqNullSafe(F.col(f"_by{i}"))
+        return rows.join(last, same, "left").withColumn(out, F.when(F.col("_k") <= n, F.col("_last")).otherwise(F.col("_moved"))).drop("_k", "_n", "_moved", "_to", "_last", *[f"_by{i}" for i in range(len(by))])
     return df.withColumn(out, F.when(F.row_number().over(w) <= n, F.lit(0)).otherwise(moved))
 
 

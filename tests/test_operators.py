@@ -115,6 +115,30 @@ def test_no_span_gives_no_periods(spark):
     assert stats.period_search(df, "t", "y", 5.0, 50.0).count() == 0 and stats.period_search(df.limit(0), "t", "y", 5.0, 50.0).count() == 0
 
 
+def test_roll_collects_no_group(spark):
+    data = [(g, i, None if i == 4 else 10.0 * i) for g, size in ((1, 5), (None, 2), (3, 1)) for i in range(size)]
+    df = spark.createDataFrame(data, "g int, o int, v double")
+    for n in (1, 3):
+        out = series.shift(df, ["g"], ["o"], "v", "r", n, roll=True)
+        assert out.columns == ["g", "o", "v", "r"] and "collect_list" not in out._jdf.queryExecution().toString()
+        own = {g: [v for k, _, v in data if k == g] for g in (1, None, 3)}
+        assert {(r["g"], r["o"]): r["r"] for r in out.collect()} == {(g, i): v[(i - n) % len(v)] for g, v in own.items() for i in range(len(v))}
+
+
+def test_streams_end_in_files(spark, tmp_path):
+    from heliotab.streaming import events
+
+    rows = spark.range(40).selectExpr("id AS event_id", "timestamp'2024-01-01' + make_interval(0, 0, 0, 0, 0, CAST(id AS INT) * 7) AS ts", "id % 3 AS user_id")
+    rows.repartition(4).write.parquet(str(tmp_path / "in"))
+    stream = events.event_stream(spark, str(tmp_path / "in"))
+    once = events.finished(stream.select("user_id").dropDuplicates(["user_id"]), "append")
+    counts = events.finished(stream.groupBy("user_id").count(), "complete")
+    assert sorted(r["user_id"] for r in once.collect()) == [0, 1, 2] and sorted(tuple(r) for r in counts.collect()) == [(0, 14), (1, 13), (2, 13)]
+    assert all(x.inputFiles() and all(f.endswith(".parquet") for f in x.inputFiles()) for x in (once, counts))
+    none = events.finished(stream.where("user_id > 5").select("user_id").dropDuplicates(["user_id"]), "append")
+    assert none.count() == 0 and none.columns == ["user_id"]
+
+
 def test_region_of_tiles(spark, tmp_path):
     df = spark.createDataFrame([(1, 359.5, 0.0), (2, 0.5, 0.0), (3, 180.0, 0.0), (4, 0.5, 80.0)], "id int, ra double, dec double")
     text.write_tiles(df, str(tmp_path / "sky"), "ra", "dec")
