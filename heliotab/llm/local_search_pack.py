@@ -1,25 +1,24 @@
 """Packing of documents into sequences by local search: exchanges between underfull sequences that increase the sum of squared fills until sequences empty."""
 
-import bisect
 import zlib
 from array import array
 from functools import lru_cache
 from unicodedata import is_normalized
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, LongType, StructField, StructType
 
 from heliotab.llm.byte_bpe import byte_table
 from heliotab.llm.common import map_texts, materialised
 
-#: Pieces that one search works on. What each search leaves in its least filled sequence is packed again with what the others leave.
+#: Pieces that one search works on. What the searches leave in underfull sequences is packed again in fewer blocks.
 BLOCK = 2048
-#: Sequences that the pieces of a block fill on average at least, unless it is the only one: so what blocks leave open falls to 1 / FULL or less a round.
+#: Sequences that the pieces of a block fill on average at least, unless it is the only one.
 FULL = 16
-#: Documents of a sequence of which pairs are tried.
-PAIRED = 48
+#: Sequences filled below this part are opened for the next round in the first ROUNDS rounds, as long as a round saves at least one sequence in SAVED of those that it opened; after that, the least filled one of each block alone.
+OPEN, SAVED, ROUNDS = 15 / 16, 64, 8
 #: Words whose ids a worker remembers; the memory is emptied when it is full.
 MEMORY = 600_000
 #: The id that ends a document.
@@ -105,89 +104,109 @@ def pieces(docs: DataFrame, path: str, capacity: int, *keep: str, with_ids: bool
     return found.select(*keep, "piece", (F.col("piece").cast("long") * capacity).alias("start"), "p.length", F.col("p.crc").alias("ids_crc32"), *(["p.ids"] if with_ids else []))
 
 
-def best_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """The start of the search, a bin for each piece: from the longest on, each piece goes where it leaves the least room."""
+def first_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The start of the search, a bin for each piece: in the order of arrival, each piece goes into the first bin with room for it."""
     bin_of = np.zeros(len(lengths), dtype=np.int64)
-    rooms: list[tuple[int, int]] = []  # (room, bin), sorted
-    count = 0
-    for i in np.argsort(-lengths, kind="stable").tolist():
-        n = int(lengths[i])
-        k = bisect.bisect_left(rooms, (n, -1))
-        if k < len(rooms):
-            room, b = rooms.pop(k)
-        else:
-            room, b, count = capacity, count, count + 1
+    rooms = np.full(len(lengths) + 1, capacity, dtype=np.int64)
+    count = 1  # the last bin is empty
+    for i, n in enumerate(lengths.tolist()):
+        b = int((rooms[:count] >= n).argmax())
         bin_of[i] = b
-        if room > n:
-            bisect.insort(rooms, (room - n, b))
+        rooms[b] -= n
+        count += b == count - 1
     return bin_of
 
 
-def exchange(source: int, lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, capacity: int) -> tuple[list[int], int, int] | None:
-    """The exchange by which another underfull bin, no less filled than the source, gains most: (positions that leave the source, target, the position that comes back or -1). One or two documents go, for one or none. None if no bin can gain."""
-    own = np.flatnonzero(bin_of == source)
-    some = own[np.argsort(lengths[own], kind="stable")[-PAIRED:]]
-    i, j = np.triu_indices(len(some), 1)
-    given = np.concatenate([lengths[own], lengths[some[i]] + lengths[some[j]]])
-    order = np.argsort(given, kind="stable")
-    given = given[order]
-    targets = np.flatnonzero((fill >= fill[source]) & (fill < capacity))
-    targets = targets[targets != source]
-    there = np.flatnonzero(np.isin(bin_of, targets))
-    back = np.concatenate([np.zeros(len(targets), dtype=np.int64), lengths[there]])
-    bins = np.concatenate([targets, bin_of[there]])
-    if not len(bins):
-        return None
-    best = np.searchsorted(given, back + (capacity - fill[bins]), side="right") - 1
-    gain = np.where(best >= 0, given[best] - back, 0)
-    k = int(np.lexsort((fill[bins], gain))[-1])
-    if gain[k] <= 0:
+def choices(pieces: np.ndarray, lengths: np.ndarray, bin_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What may leave the bins of these pieces together, by rising sum: (sum, piece, another piece of its bin or -1).
+
+    Pieces of one length in one bin are as good as each other, so one of them stands for all, and two for their pairs. A bin of capacity c has fewer than sqrt(2c) different lengths, so pairs of lengths are no more than its tokens.
+    """
+    key = bin_of[pieces] << 32 | lengths[pieces]
+    order = np.argsort(key, kind="stable")
+    first = np.flatnonzero(np.concatenate([[True], key[order][1:] != key[order][:-1]])) if len(order) else order
+    times = np.diff(np.append(first, len(order)))
+    one = pieces[order[first]]
+    two = np.where(times > 1, pieces[order[np.minimum(first + 1, max(0, len(order) - 1))]], -1)
+    left, right = [one, one[two >= 0]], [np.full(len(one), -1), two[two >= 0]]
+    for d in range(1, len(one)):
+        same = np.flatnonzero(bin_of[one[d:]] == bin_of[one[:-d]])
+        if not len(same):
+            break
+        left.append(one[same])
+        right.append(one[same + d])
+    a, b = np.concatenate(left), np.concatenate(right)
+    sums = lengths[a] + np.where(b >= 0, lengths[b], 0)
+    order = np.argsort(sums, kind="stable")
+    return sums[order], a[order], b[order]
+
+
+def exchange(source: int, lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, capacity: int) -> tuple[list[int], int, list[int]] | None:
+    """The exchange by which an underfull bin, no less filled than the source, gains most: (pieces that leave the source, the other bin, pieces that come back). One piece goes for none, one or two, or two go for none or one. None if no bin can gain."""
+    given, one, two = choices(np.flatnonzero(bin_of == source), lengths, bin_of)
+    underfull = (fill >= fill[source]) & (fill < capacity)
+    underfull[source] = False
+    targets = np.flatnonzero(underfull)
+    if not len(targets):
         return None
-    g = int(order[best[k]])
-    out = [int(own[g])] if g < len(own) else [int(some[i[g - len(own)]]), int(some[j[g - len(own)]])]
-    return out, int(bins[k]), -1 if k < len(targets) else int(there[k - len(targets)])
+    got, back_one, back_two = choices(np.flatnonzero(underfull[bin_of]), lengths, bin_of)
+    single, alone = two < 0, back_two < 0
+    best: tuple[int, int, list[int], int, list[int]] | None = None
+
+    def offer(sums, a, b, returned, bins, c, d):
+        nonlocal best
+        k = np.searchsorted(sums, returned + capacity - fill[bins], side="right") - 1
+        gain = np.where(k >= 0, sums[k] - returned, 0)
+        at = int(np.argmax(gain * (capacity + 1) + fill[bins])) if len(gain) else 0
+        if len(gain) and gain[at] > 0 and (best is None or (gain[at], fill[bins[at]]) > best[:2]):
+            out = [int(x) for x in (a[k[at]], b[k[at]]) if x >= 0]
+            best = int(gain[at]), int(fill[bins[at]]), out, int(bins[at]), [int(x) for x in (c[at], d[at]) if x >= 0]
+
+    none = np.full(len(targets), -1)
+    offer(given, one, two, np.zeros(len(targets), dtype=np.int64), targets, none, none)
+    offer(given, one, two, got[alone], bin_of[back_one[alone]], back_one[alone], back_two[alone])
+    offer(given[single], one[single], two[single], got[~alone], bin_of[back_one[~alone]], back_one[~alone], back_two[~alone])
+    return None if best is None else best[2:]
 
 
 def local_search(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """The bin of each piece. The least filled bin is the source: its documents are moved or exchanged into other underfull bins. Each exchange makes a fuller bin fuller, so the sum of squared fills grows and the search ends. Sources go on until no bin can gain, or, when the sum of lengths forbids fewer bins, after the source at hand."""
-    bin_of = best_fit(lengths, capacity)
+    """The bin of each piece. The least filled bin is the source: its pieces are moved or exchanged into other underfull bins. Each exchange makes a fuller bin fuller at the cost of one that is no fuller, so the sum of squared fills grows and the search ends: where the sum of lengths forbids fewer bins, or where no bin can gain from any other."""
+    bin_of = first_fit(lengths, capacity)
     fill = np.bincount(bin_of, weights=lengths).astype(np.int64)
     least = -(-int(lengths.sum()) // capacity)
-    stuck = np.zeros(len(fill), dtype=bool)
-    while True:
+    stuck, gained = np.zeros(len(fill), dtype=bool), False
+    while (fill > 0).sum() > least:
         free = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
         if not len(free):
-            break
+            if not gained:
+                break
+            stuck[:], gained = False, False
+            continue
         source = int(free[np.argmin(fill[free])])
         while fill[source] and (found := exchange(source, lengths, bin_of, fill, capacity)):
             out, target, back = found
-            moved = int(lengths[out].sum()) - (int(lengths[back]) if back >= 0 else 0)
-            bin_of[out] = target
-            if back >= 0:
-                bin_of[back] = source
+            moved = int(lengths[out].sum() - lengths[back].sum())
+            bin_of[out], bin_of[back] = target, source
             fill[source] -= moved
             fill[target] += moved
+            gained = True
         stuck[source] = fill[source] > 0
-        if (fill > 0).sum() <= least:
-            break
     return np.unique(bin_of, return_inverse=True)[1]
 
 
 def _packer(turn: int, capacity: int, names: list[str]):
-    def packed(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("_row", kind="stable").reset_index(drop=True)
-        lengths = group["length"].to_numpy(np.int64)
+    def packed(key: tuple, group: pa.Table) -> pa.Table:
+        group = group.sort_by("row")
+        lengths = group.column("n").to_numpy()
         bin_of = local_search(lengths, capacity)
         fill = np.bincount(bin_of, weights=lengths).astype(np.int64)
         order = np.argsort(bin_of, kind="stable")
+        which = bin_of[order]
         before = np.cumsum(lengths[order]) - lengths[order]
         first = np.cumsum(fill) - fill
-        out = group.iloc[order].reset_index(drop=True)
-        which = bin_of[order]
-        out["sequence_id"] = (turn << 58) + (int(key[0]) << 16) + which
-        out["offset"] = before - first[which]
-        out["_open"] = (which == fill.argmin()) & (fill.min() < capacity)
-        return out[names]
+        out = group.take(order).drop_columns([c for c in ("sequence", "place", "fill", "least") if c in group.column_names])
+        out = out.append_column("sequence", pa.array((turn << 58) + (key[0].as_py() << 18) + which)).append_column("place", pa.array(before - first[which]))
+        return out.append_column("fill", pa.array(fill[which])).append_column("least", pa.array(which == fill.argmin())).select(names)
 
     return packed
 
@@ -195,26 +214,30 @@ def _packer(turn: int, capacity: int, names: list[str]):
 def pack(items: DataFrame, capacity: int) -> DataFrame:
     """The same rows with sequence_id (any numbers) and offset (gapless from 0 in each sequence).
 
-    `length` is from 1 to capacity. Rows are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, by a hash of all but no key alone, so equal rows spread. After each round the least filled sequence of each block is opened and its rows are packed again in fewer blocks, until one block is left. An empty table gives an empty one; null ids are carried.
+    `length` is from 1 to capacity. Rows are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, by a hash of a number of their own, so equal rows spread. Each block is packed by local search; then the sequences below OPEN are opened and their rows packed again in fewer blocks, while that saves sequences; after that, the least filled sequence of each block, until one block is left. Each round of the latter kind leaves at most 1 / FULL of the tokens, so the rounds end. An empty table gives an empty one; nulls in other columns are carried; columns named like those added are replaced, and no other name can clash.
     """
-    names = items.columns
-    rows = materialised(items.withColumn("_row", F.monotonically_increasing_id()))
-    schema = StructType([*rows.schema, StructField("sequence_id", LongType()), StructField("offset", LongType()), StructField("_open", BooleanType())])
-    closed, turn = [], 0
+    names = [c for c in items.columns if c not in ("sequence_id", "offset")]
+    own = [f"c{i}" for i in range(len(names))]
+    rows = materialised(items.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(names, own)], F.col("length").cast("long").alias("n"), F.monotonically_increasing_id().alias("row")))
+    schema = StructType([*rows.schema, *(StructField(x, LongType()) for x in ("sequence", "place", "fill")), StructField("least", BooleanType())])
+    closed, turn, widely, before = [], 0, True, None
     while True:
-        count, total = rows.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        count, total = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         blocks = max(1, min(-(-count // BLOCK), total // (FULL * capacity)))
-
-        packed = _packer(turn, capacity, schema.names)
-        dealt = rows.withColumn("_block", F.pmod(F.xxhash64("_row", F.lit(turn)), F.lit(blocks)))
-        done = materialised(dealt.groupBy("_block").applyInPandas(packed, schema))
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(blocks)))
+        done = materialised(dealt.groupBy("block").applyInArrow(_packer(turn, capacity, schema.names), schema))
         if blocks == 1:
             closed.append(done)
             break
-        closed.append(done.where(~F.col("_open")))
-        rows = done.where("_open").select(*names, "_row")
+        low = F.col("fill") < OPEN * capacity
+        sequences, underfull = done.where("place = 0").agg(F.count("*"), F.sum(low.cast("long"))).first()
+        widely = widely and turn < ROUNDS and (before is None or (before - sequences) * SAVED >= before)
+        opened = (F.col("least") | low) if widely else F.col("least")
+        before = max(underfull or 0, blocks) if widely else blocks
+        closed.append(done.where(~opened))
+        rows = done.where(opened).select(*own, "n", "row")
         turn += 1
     out = closed[0]
     for x in closed[1:]:
         out = out.unionByName(x)
-    return out.select(*names, "sequence_id", "offset")
+    return out.select(*[F.col(x).alias(c) for c, x in zip(names, own)], F.col("sequence").alias("sequence_id"), F.col("place").alias("offset"))

@@ -162,19 +162,85 @@ def test_word_pieces_are_the_librarys(docs, local):
     assert Counter((r["doc_id"], r["piece"], r["start"], r["length"], r["ids_crc32"], tuple(r["ids"])) for r in got) == want
 
 
+def gaining(lengths, bins, capacity):
+    """Whether any move or exchange of one or two pieces for none, one or two (not two for two) fits and makes a bin fuller at the cost of one that is no fuller, by trying all."""
+    from itertools import combinations
+
+    fill = Counter()
+    own = {}
+    for i, b in enumerate(bins):
+        fill[b] += lengths[i]
+        own.setdefault(b, []).append(i)
+    some = {b: [()] + [c for n in (1, 2) for c in combinations(x, n)] for b, x in own.items()}
+    total = lambda c: sum(lengths[i] for i in c)
+    return any(
+        s != t and fill[s] <= fill[t] < capacity and len(out) + len(back) < 4 and total(out) > total(back) and fill[t] + total(out) - total(back) <= capacity
+        for s in own for t in own for out in some[s] for back in some[t]
+    )
+
+
+def fewest(lengths, capacity):
+    """The least number of bins, by trying all ways."""
+    best = len(lengths)
+
+    def go(i, rooms):
+        nonlocal best
+        if len(rooms) >= best:
+            return
+        if i == len(lengths):
+            best = len(rooms)
+            return
+        for k in range(len(rooms)):
+            if rooms[k] >= lengths[i]:
+                go(i + 1, rooms[:k] + [rooms[k] - lengths[i]] + rooms[k + 1 :])
+        go(i + 1, [*rooms, capacity - lengths[i]])
+
+    go(0, [])
+    return best
+
+
+def test_local_search_against_all_ways():
+    r, worse = random.Random(3), 0
+    for _ in range(150):
+        lengths = np.array([r.randint(1, 60) for _ in range(r.randint(1, 8))])
+        bins = local_search_pack.local_search(lengths, 100)
+        assert np.bincount(bins, weights=lengths).max() <= 100
+        n, least = bins.max() + 1, fewest(lengths.tolist(), 100)
+        assert least <= n <= least + 1
+        worse += n > least
+        if n > -(-lengths.sum() // 100):
+            assert not gaining(lengths.tolist(), bins.tolist(), 100)
+    assert worse <= 8
+
+
 @pytest.mark.parametrize("seed", range(4))
 def test_local_search(seed):
     r = np.random.default_rng(seed)
     lengths = [r.integers(1, 101, 300), r.integers(30, 55, 200), np.ones(500, dtype=np.int64), np.array([100, 51, 49, 50, 50, 34, 33, 33])][seed].astype(np.int64)
-    first, bins = local_search_pack.best_fit(lengths, 100), local_search_pack.local_search(lengths, 100)
+    first, bins = local_search_pack.first_fit(lengths, 100), local_search_pack.local_search(lengths, 100)
     fill = np.bincount(bins, weights=lengths)
     assert fill.max() <= 100 and (fill > 0).all() and len(fill) <= first.max() + 1 and len(fill) >= -(-lengths.sum() // 100)
 
 
-def test_search_empties_bins_that_best_fit_leaves():
-    lengths = np.random.default_rng(0).integers(1300, 2100, 2048)
-    first, bins = local_search_pack.best_fit(lengths, 4096), local_search_pack.local_search(lengths, 4096)
-    assert bins.max() < first.max() and (np.bincount(bins, weights=lengths) ** 2).sum() > (np.bincount(first, weights=lengths) ** 2).sum()
+def test_search_empties_bins_of_the_start():
+    r = np.random.default_rng(0)
+    for lengths in (r.integers(1300, 2100, 2048), r.lognormal(6.8, 0.7, 2048).astype(np.int64).clip(1, 4096)):
+        first, bins = local_search_pack.first_fit(lengths, 4096), local_search_pack.local_search(lengths, 4096)
+        assert bins.max() < first.max() and (np.bincount(bins, weights=lengths) ** 2).sum() > (np.bincount(first, weights=lengths) ** 2).sum()
+    assert bins.max() + 1 <= -(-lengths.sum() // 4096) + 3
+
+
+def test_surpluses_of_blocks_meet(spark, monkeypatch):
+    monkeypatch.setattr(local_search_pack, "BLOCK", 100)
+    data = [(i, 2500 if i % 2 else 1500) for i in range(3000)]
+    assert local_search_pack.pack(spark.createDataFrame(data, "doc_id long, length long"), 4096).select("sequence_id").distinct().count() <= 1501
+
+
+def test_pack_leaves_columns_alone(spark):
+    data = [(2**60 + i if i % 3 else None, 5, i, i, i, i) for i in range(50)]
+    out = local_search_pack.pack(spark.createDataFrame(data, "doc_id long, length long, row long, block long, sequence long, sequence_id long"), 64)
+    assert out.columns == ["doc_id", "length", "row", "block", "sequence", "sequence_id", "offset"]
+    assert Counter((r["doc_id"], r["row"], r["block"], r["sequence"]) for r in out.collect()) == Counter((d, *x[:3]) for d, _, *x in data)
 
 
 def test_pack_is_whole_and_tight(spark, monkeypatch):
