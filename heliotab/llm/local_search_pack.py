@@ -1,5 +1,6 @@
 """Packing of documents into sequences by local search: exchanges between underfull sequences that increase the sum of squared fills until sequences empty."""
 
+import bisect
 import zlib
 from array import array
 from functools import lru_cache
@@ -104,17 +105,21 @@ def pieces(docs: DataFrame, path: str, capacity: int, *keep: str, with_ids: bool
     return found.select(*keep, "piece", (F.col("piece").cast("long") * capacity).alias("start"), "p.length", F.col("p.crc").alias("ids_crc32"), *(["p.ids"] if with_ids else []))
 
 
-def first_fit(lengths: np.ndarray, capacity: int) -> np.ndarray:
-    """The start of the search, a bin for each piece: in the order of arrival, each piece goes into the first bin with room for it."""
-    bin_of = np.zeros(len(lengths), dtype=np.int64)
-    rooms = np.full(len(lengths) + 1, capacity, dtype=np.int64)
-    count = 1  # the last bin is empty
-    for i, n in enumerate(lengths.tolist()):
-        b = int((rooms[:count] >= n).argmax())
-        bin_of[i] = b
-        rooms[b] -= n
-        count += b == count - 1
-    return bin_of
+def first_moves(lengths: np.ndarray, capacity: int) -> np.ndarray:
+    """The start of the search, a bin for each piece: each piece has a bin of its own; then, from the shortest on, each piece that is still alone moves into the fullest bin with room for it, until one finds none. These are the search's own moves, looked up in a sorted list."""
+    bin_of = np.arange(len(lengths))
+    alone = [True] * len(lengths)
+    fills = sorted(zip(lengths.tolist(), bin_of.tolist()))
+    while len(fills) > 1:
+        n, b = fills[0]
+        k = bisect.bisect_left(fills, (capacity - n + 1, -1)) - 1
+        if not alone[b] or k < 1:
+            break
+        f, target = fills.pop(k)
+        del fills[0]
+        bin_of[b], alone[target] = target, False
+        bisect.insort(fills, (f + n, target))
+    return np.unique(bin_of, return_inverse=True)[1]
 
 
 def choices(pieces: np.ndarray, lengths: np.ndarray, bin_of: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -141,39 +146,69 @@ def choices(pieces: np.ndarray, lengths: np.ndarray, bin_of: np.ndarray) -> tupl
     return sums[order], a[order], b[order]
 
 
-def exchange(source: int, lengths: np.ndarray, bin_of: np.ndarray, fill: np.ndarray, capacity: int) -> tuple[list[int], int, list[int]] | None:
-    """The exchange by which an underfull bin, no less filled than the source, gains most: (pieces that leave the source, the other bin, pieces that come back). One piece goes for none, one or two, or two go for none or one. None if no bin can gain."""
-    given, one, two = choices(np.flatnonzero(bin_of == source), lengths, bin_of)
-    underfull = (fill >= fill[source]) & (fill < capacity)
-    underfull[source] = False
-    targets = np.flatnonzero(underfull)
-    if not len(targets):
-        return None
-    got, back_one, back_two = choices(np.flatnonzero(underfull[bin_of]), lengths, bin_of)
-    single, alone = two < 0, back_two < 0
-    best: tuple[int, int, list[int], int, list[int]] | None = None
-
-    def offer(sums, a, b, returned, bins, c, d):
-        nonlocal best
-        k = np.searchsorted(sums, returned + capacity - fill[bins], side="right") - 1
-        gain = np.where(k >= 0, sums[k] - returned, 0)
-        at = int(np.argmax(gain * (capacity + 1) + fill[bins])) if len(gain) else 0
-        if len(gain) and gain[at] > 0 and (best is None or (gain[at], fill[bins[at]]) > best[:2]):
-            out = [int(x) for x in (a[k[at]], b[k[at]]) if x >= 0]
-            best = int(gain[at]), int(fill[bins[at]]), out, int(bins[at]), [int(x) for x in (c[at], d[at]) if x >= 0]
-
-    none = np.full(len(targets), -1)
-    offer(given, one, two, np.zeros(len(targets), dtype=np.int64), targets, none, none)
-    offer(given, one, two, got[alone], bin_of[back_one[alone]], back_one[alone], back_two[alone])
-    offer(given[single], one[single], two[single], got[~alone], bin_of[back_one[~alone]], back_one[~alone], back_two[~alone])
-    return None if best is None else best[2:]
+class Offers:
+    """The choices of all bins, one after the other in arrays; those of a bin that has changed are written anew at the end, and the arrays are made anew when they are full."""
+
+    def __init__(self, lengths: np.ndarray, bin_of: np.ndarray, bins: int):
+        self.lengths, self.bin_of = lengths, bin_of
+        self.start, self.stop = np.zeros(bins, dtype=np.int64), np.zeros(bins, dtype=np.int64)
+        self._gather()
+
+    def _gather(self) -> None:
+        sums, one, two = choices(np.arange(len(self.lengths)), self.lengths, self.bin_of)
+        bins = self.bin_of[one]
+        order = np.argsort(bins, kind="stable")
+        self.used = len(order)
+        self.sums, self.one, self.two, self.bins = (np.concatenate([x[order], np.zeros(len(order) + 8192, dtype=np.int64)]) for x in (sums, one, two, bins))
+        every = np.arange(len(self.start))
+        self.start, self.stop = np.searchsorted(bins[order], every), np.searchsorted(bins[order], every, side="right")
+
+    def changed(self, b: int) -> None:
+        found = choices(np.flatnonzero(self.bin_of == b), self.lengths, self.bin_of)
+        self.bins[self.start[b] : self.stop[b]] = -1
+        end = self.used + len(found[0])
+        if end > len(self.sums):
+            self._gather()
+            return
+        for have, new in zip((self.sums, self.one, self.two, self.bins), (*found, b)):
+            have[self.used : end] = new
+        self.start[b], self.stop[b], self.used = self.used, end, end
+
+    def exchange(self, source: int, fill: np.ndarray, capacity: int) -> tuple[list[int], int, list[int]] | None:
+        """The exchange by which an underfull bin, no less filled than the source, gains most: (pieces that leave the source, the other bin, pieces that come back). One piece goes for none, one or two, or two go for none or one. None if no bin can gain."""
+        underfull = np.append((fill >= fill[source]) & (fill < capacity), False)  # the last one for what is out of date
+        underfull[source] = False
+        targets = np.flatnonzero(underfull)
+        there = np.flatnonzero(underfull[self.bins[: self.used]])
+        if not len(targets):
+            return None
+        given = np.arange(self.start[source], self.stop[source])
+        pair = self.two[there] >= 0
+        nothing = np.full(len(targets), -1)
+        best: tuple[int, int, list[int], int, list[int]] | None = None
+        for ours, theirs, bins in ((given, nothing, targets), (given, there[~pair], None), (given[self.two[given] < 0], there[pair], None)):
+            if not len(theirs):
+                continue
+            bins = self.bins[theirs] if bins is None else bins
+            back = np.where(theirs >= 0, self.sums[theirs], 0)
+            sums = self.sums[ours]
+            k = np.searchsorted(sums, back + capacity - fill[bins], side="right") - 1
+            gain = np.where(k >= 0, sums[k] - back, 0)
+            at = int(np.argmax(gain * (capacity + 1) + fill[bins]))
+            if gain[at] > 0 and (best is None or (gain[at], fill[bins[at]]) > best[:2]):
+                members = [[int(x) for x in (self.one[j], self.two[j]) if x >= 0] if j >= 0 else [] for j in (ours[k[at]], theirs[at])]
+                best = int(gain[at]), int(fill[bins[at]]), members[0], int(bins[at]), members[1]
+        return None if best is None else best[2:]
 
 
 def local_search(lengths: np.ndarray, capacity: int) -> np.ndarray:
     """The bin of each piece. The least filled bin is the source: its pieces are moved or exchanged into other underfull bins. Each exchange makes a fuller bin fuller at the cost of one that is no fuller, so the sum of squared fills grows and the search ends: where the sum of lengths forbids fewer bins, or where no bin can gain from any other."""
-    bin_of = first_fit(lengths, capacity)
+    bin_of = first_moves(lengths, capacity)
     fill = np.bincount(bin_of, weights=lengths).astype(np.int64)
     least = -(-int(lengths.sum()) // capacity)
+    if len(fill) <= least:
+        return bin_of
+    offers = Offers(lengths, bin_of, len(fill))
     stuck, gained = np.zeros(len(fill), dtype=bool), False
     while (fill > 0).sum() > least:
         free = np.flatnonzero((fill > 0) & (fill < capacity) & ~stuck)
@@ -183,12 +218,14 @@ def local_search(lengths: np.ndarray, capacity: int) -> np.ndarray:
             stuck[:], gained = False, False
             continue
         source = int(free[np.argmin(fill[free])])
-        while fill[source] and (found := exchange(source, lengths, bin_of, fill, capacity)):
+        while fill[source] and (found := offers.exchange(source, fill, capacity)):
             out, target, back = found
             moved = int(lengths[out].sum() - lengths[back].sum())
             bin_of[out], bin_of[back] = target, source
             fill[source] -= moved
             fill[target] += moved
+            offers.changed(source)
+            offers.changed(target)
             gained = True
         stuck[source] = fill[source] > 0
     return np.unique(bin_of, return_inverse=True)[1]

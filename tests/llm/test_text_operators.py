@@ -217,7 +217,7 @@ def test_local_search_against_all_ways():
 def test_local_search(seed):
     r = np.random.default_rng(seed)
     lengths = [r.integers(1, 101, 300), r.integers(30, 55, 200), np.ones(500, dtype=np.int64), np.array([100, 51, 49, 50, 50, 34, 33, 33])][seed].astype(np.int64)
-    first, bins = local_search_pack.first_fit(lengths, 100), local_search_pack.local_search(lengths, 100)
+    first, bins = local_search_pack.first_moves(lengths, 100), local_search_pack.local_search(lengths, 100)
     fill = np.bincount(bins, weights=lengths)
     assert fill.max() <= 100 and (fill > 0).all() and len(fill) <= first.max() + 1 and len(fill) >= -(-lengths.sum() // 100)
 
@@ -225,7 +225,7 @@ def test_local_search(seed):
 def test_search_empties_bins_of_the_start():
     r = np.random.default_rng(0)
     for lengths in (r.integers(1300, 2100, 2048), r.lognormal(6.8, 0.7, 2048).astype(np.int64).clip(1, 4096)):
-        first, bins = local_search_pack.first_fit(lengths, 4096), local_search_pack.local_search(lengths, 4096)
+        first, bins = local_search_pack.first_moves(lengths, 4096), local_search_pack.local_search(lengths, 4096)
         assert bins.max() < first.max() and (np.bincount(bins, weights=lengths) ** 2).sum() > (np.bincount(first, weights=lengths) ** 2).sum()
     assert bins.max() + 1 <= -(-lengths.sum() // 4096) + 3
 
