@@ -70,7 +70,8 @@ def op9_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return token_matrix.digest(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), 50256, 2048)
+    """Packed matrices of 2,048 ids a row, with the positions, segment lengths and documents of each."""
+    return token_matrix.packed(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), 50256, 2048)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:

@@ -3,18 +3,17 @@
 import zlib
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
 from heliotab.llm.common import chunks, materialised
 from heliotab.llm.secret_scan import _encoding
 
-#: Documents that one task packs together.
-BLOCK = 2048
+#: Pieces that are packed together; sequences that they fill on average at least, unless there is one block only; blocks a task of the exchange.
+BLOCK, FULL, BLOCKS_A_TASK = 2048, 128, 16
 
 
 class Rooms:
@@ -66,8 +65,8 @@ def best_fit_decreasing(lengths: np.ndarray, capacity: int) -> np.ndarray:
 
 def _pieces(docs: DataFrame, ranks_path: str, end: int, capacity: int, key: str) -> DataFrame:
     """(key, row, start, length, ids): the ids of each text and `end`, cut after each `capacity`, as little-endian unsigned 16-bit integers if all ids fit."""
-    own = docs.select(key, "text")
-    schema = StructType([own.schema[key], *StructType.fromDDL("row long, start long, length int, ids binary")])
+    own = docs.select(F.col(key).alias("key"), "text")
+    schema = StructType([own.schema["key"], *StructType.fromDDL("row long, start long, length int, ids binary")])
     types = [to_arrow_type(f.dataType) for f in schema]
 
     def run(batches):
@@ -88,49 +87,54 @@ def _pieces(docs: DataFrame, ranks_path: str, end: int, capacity: int, key: str)
 
 
 def packed(docs: DataFrame, ranks_path: str, end: int, capacity: int, *, key: str = "doc_id", pad: int | None = None) -> DataFrame:
-    """One row a sequence: sequence_id (any numbers), n_tokens, input_ids (array of int, padded to the capacity), cu_seqlens (cumulative segment lengths from 0 on), position_ids (from 0 in each segment, 0 in the padding), keys and starts (of each segment: the document's key, and the document's ids before it).
+    """One row a sequence: sequence_id (any numbers), n_tokens, input_ids (array of int, padded to the capacity), position_ids (from 0 in each segment, 0 in the padding), cu_seqlens (cumulative segment lengths from 0 on), keys and starts (of each segment: the document's key, and the document's ids before it).
 
-    pad: the padding's id, `end` unless given. Full pieces of overlong documents are sequences as they are, without a shuffle; all others, one a document at most, are dealt to blocks of about BLOCK and packed there, so each block leaves one sequence at most that could take more. Null and empty texts are one `end`; null keys are carried; repeated rows each have their place; an empty table gives no sequence. Other columns are ignored.
+    pad: the padding's id, `end` unless given. Full pieces of overlong documents are sequences as they are, without a shuffle; all others, one a document at most, are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, and packed there: each block leaves one sequence at most that could take more, less than 1 in FULL. Null and empty texts are one `end`; null keys are carried; repeated rows each have their place; an empty table gives no sequence. Other columns are ignored.
     """
-    return _packed(docs, ranks_path, end, capacity, key, True, end if pad is None else pad)
-
-
-def digest(docs: DataFrame, ranks_path: str, end: int, capacity: int, *, key: str = "doc_id") -> DataFrame:
-    """As packed(), with ids_crc32 (unsigned, of the ids as little-endian unsigned 32-bit integers, without padding) and last_positions (the last position of each segment) instead of input_ids and position_ids."""
-    return _packed(docs, ranks_path, end, capacity, key, False, end)
-
-
-def _packed(docs: DataFrame, ranks_path: str, end: int, capacity: int, key: str, whole: bool, pad: int) -> DataFrame:
+    pad = end if pad is None else pad
     rows = materialised(_pieces(docs, ranks_path, end, capacity, key))  # two branches read it: encoded once
-    kind = rows.schema[key].dataType.simpleString()
-    added = "input_ids array<int>, position_ids array<int>" if whole else "ids_crc32 long, last_positions array<int>"
-    schema = f"sequence_id long, n_tokens int, cu_seqlens array<int>, keys array<{kind}>, starts array<long>, {added}"
-    names = [f.name for f in StructType.fromDDL(schema)]
-
-    def sequence(number: int, keys: list, starts: list, ids: list[bytes], lengths: np.ndarray) -> tuple:
-        flat = b"".join(ids)
-        total = int(lengths.sum())
-        values = np.frombuffer(flat, dtype="<u2" if len(flat) == 2 * total else "<u4")
+    many = lambda kind: ArrayType(kind)
+    fields = [("sequence_id", LongType()), ("n_tokens", IntegerType()), ("input_ids", many(IntegerType())), ("position_ids", many(IntegerType())), ("cu_seqlens", many(IntegerType())), ("keys", many(rows.schema["key"].dataType)), ("starts", many(LongType()))]
+    schema = StructType([StructField(*f) for f in fields])
+    types = [to_arrow_type(k) for _, k in fields]
+
+    def lists(values: np.ndarray | pa.Array, bounds: np.ndarray, kind: pa.DataType) -> pa.Array:
+        values = values if isinstance(values, pa.Array) else pa.array(values, type=kind.value_type)
+        return pa.ListArray.from_arrays(pa.array(bounds.astype(np.int32)), values.cast(kind.value_type))
+
+    def matrices(table: pa.Table, bins: np.ndarray, numbers: np.ndarray) -> pa.Table:
+        """The pieces of the table, in the order of their bins, as one sequence for each bin from 0 on."""
+        lengths = table.column("length").to_numpy().astype(np.int64)
+        segments = np.bincount(bins, minlength=len(numbers))
+        first = np.concatenate([[0], np.cumsum(segments)])  # the first segment of each sequence
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        positions = np.arange(total) - np.repeat(ends[:-1], lengths)
-        room = np.zeros(capacity - total, dtype=np.int32)
-        more = (np.concatenate([values.astype(np.int32), room + pad]), np.concatenate([positions, room]).astype(np.int32)) if whole else (zlib.crc32(values.astype("<u4").tobytes()), positions[ends[1:] - 1].astype(np.int32))
-        return number, total, ends.astype(np.int32), keys, starts, *more
-
-    def block(key_: tuple, group: pd.DataFrame) -> pd.DataFrame:
-        group = group.sort_values("row", kind="stable")
-        keys, starts, ids = (group[c].astype(object).where(group[c].notna(), None).tolist() for c in (key, "start", "ids"))
-        lengths = group["length"].to_numpy(np.int64)
-        bins = best_fit_decreasing(lengths, capacity)
-        members = np.split(np.argsort(bins, kind="stable"), np.cumsum(np.bincount(bins))[:-1])
-        out = [sequence((int(key_[0]) << 20) + b, [keys[i] for i in m], [starts[i] for i in m], [ids[i] for i in m], lengths[m]) for b, m in enumerate(members)]
-        return pd.DataFrame(out, columns=names)
+        totals = ends[first[1:]] - ends[first[:-1]]
+        flat = b"".join(table.column("ids").to_pylist())
+        ids = np.frombuffer(flat, dtype="<u2" if len(flat) == 2 * ends[-1] else "<u4")
+        at = np.repeat(np.arange(len(numbers)) * capacity - ends[first[:-1]], totals) + np.arange(ends[-1])
+        input_ids, positions = np.full(len(numbers) * capacity, pad, dtype=np.int32), np.zeros(len(numbers) * capacity, dtype=np.int32)
+        input_ids[at], positions[at] = ids, np.arange(ends[-1]) - np.repeat(ends[:-1], lengths)
+        rows_of = np.arange(len(numbers) + 1) * capacity
+        cumulative = np.insert(ends[1:] - np.repeat(ends[first[:-1]], segments), first[:-1], 0)
+        columns = [pa.array(numbers), pa.array(totals, type=types[1]), lists(input_ids, rows_of, types[2]), lists(positions, rows_of, types[3]), lists(cumulative, first + np.arange(len(first)), types[4])]
+        columns += [lists(table.column(c).combine_chunks(), first, k) for c, k in ((0, types[5]), ("start", types[6]))]
+        return pa.Table.from_arrays(columns, names=schema.names)
+
+    def block(key_: tuple, group: pa.Table) -> pa.Table:
+        group = group.sort_by("row")
+        bins = best_fit_decreasing(group.column("length").to_numpy().astype(np.int64), capacity)
+        order = np.argsort(bins, kind="stable")
+        return matrices(group.take(order), bins[order], (key_[0].as_py() << 20) + np.arange(bins.max() + 1))
 
     def alone(batches):
-        for frame in batches:
-            keys = frame[key].astype(object).where(frame[key].notna(), None)
-            yield pd.DataFrame([sequence(-1 - r, [k], [s], [i], np.array([n])) for k, r, s, n, i in zip(keys, frame["row"], frame["start"], frame["length"], frame["ids"])], columns=names)
-
-    blocks = max(1, -(-docs.count() // BLOCK))
-    parts = rows.where(F.col("length") < capacity).withColumn("_block", F.pmod(F.xxhash64("row"), F.lit(blocks)))
-    return parts.groupBy("_block").applyInPandas(block, schema).unionByName(rows.where(F.col("length") == capacity).mapInPandas(alone, schema))
+        for batch in batches:
+            for i in range(0, batch.num_rows, 256):
+                some = pa.Table.from_batches([batch.slice(i, 256)])
+                yield from matrices(some, np.arange(len(some)), -1 - some.column("row").to_numpy()).to_batches()
+
+    short = rows.where(F.col("length") < capacity)
+    count, total = short.agg(F.count("*"), F.coalesce(F.sum("length"), F.lit(0))).first()
+    blocks = max(1, min(-(-count // BLOCK), total // (FULL * capacity)))
+    tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), blocks // BLOCKS_A_TASK)
+    dealt = short.select(*rows.columns, F.pmod(F.xxhash64("row"), F.lit(blocks)).alias("block")).repartition(tasks, "block")
+    return dealt.groupBy("block").applyInArrow(block, schema).unionByName(rows.where(F.col("length") == capacity).mapInArrow(alone, schema))
