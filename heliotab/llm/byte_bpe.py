@@ -1,5 +1,6 @@
 """Byte-level BPE encoding and decoding over Arrow batches, with the tokenizers library."""
 
+import codecs
 import json
 from functools import lru_cache
 
@@ -11,6 +12,8 @@ from heliotab.llm.common import map_texts
 
 #: Pieces whose ids a worker remembers; the memory is emptied when it is full.
 MEMORY = 700_000
+#: Ids that are decoded at once; a character whose bytes are split between two such steps waits for the second.
+STEP = 4096
 
 
 @lru_cache(1)
@@ -25,6 +28,7 @@ def byte_table() -> tuple[dict[int, str], dict[str, int]]:
 class ByteBPE:
     """One vocabulary file (tokenizers JSON, byte-level BPE) with encoding, offsets and decoding.
 
+    The JSON file holds the same tokens with the same ids as the rank file of the same name, and its merges in the order of the ranks, so its ids are those of tiktoken; a test compares the two files token by token.
     A text is cut before each single space between two characters that aren't white space. The pre-token pattern always has a boundary there and no merge crosses it, so each piece has the same ids wherever it stands; they are looked up in a memory before the library is asked.
     """
 
@@ -39,18 +43,24 @@ class ByteBPE:
         self.bytes_of: list[bytes] = [b""] * (max(vocabulary.values()) + 1)
         for token, i in vocabulary.items():
             self.bytes_of[i] = bytes(back[c] for c in token)
+        self.sizes = np.array(list(map(len, self.bytes_of)))
         self.memory: dict[str, bytes] = {}
 
     @staticmethod
     def pieces(text: str) -> list[str]:
         parts = text.split(" ")
-        out = [parts[0]]
+        out: list[str] = []
+        begun, held, last = parts[0], [], parts[0]  # the piece at hand, what it goes on with, and its last part
         for part in parts[1:]:
-            last = out[-1]
-            if part and last and not part[0].isspace() and not last[-1].isspace() and last != " ":
-                out.append(" " + part)
+            if part and last and not part[0].isspace() and not last[-1].isspace():
+                out.append(" ".join([begun, *held]) if held else begun)
+                begun = " " + part
+                if held:
+                    held = []
             else:
-                out[-1] = f"{last} {part}"
+                held.append(part)
+            last = part
+        out.append(" ".join([begun, *held]) if held else begun)
         return out
 
     def encode_batch(self, texts: list[str]) -> list[np.ndarray]:
@@ -70,23 +80,21 @@ class ByteBPE:
                 memory[p] = ids[i:j].tobytes()
         return [np.frombuffer(b"".join(map(memory.__getitem__, pieces)), dtype="<u4") for pieces in cut]
 
-    def offsets(self, text: str, ids: np.ndarray) -> list[tuple[int, int]]:
-        """The code points that each id covers in part at least, as (start, end); a character that several ids share counts for each."""
+    def offsets(self, text: str, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The code points that each id covers in part at least, as starts and ends; a character that several ids share counts for each."""
         lead = (np.frombuffer(text.encode(), dtype=np.uint8) & 0xC0) != 0x80
         at = np.cumsum(lead)  # characters begun up to and with each byte
-        ends = np.cumsum([len(self.bytes_of[i]) for i in ids])
-        return [(int(at[s] - 1), int(at[e - 1])) for s, e in zip([0, *ends[:-1]], ends)]
+        ends = np.cumsum(self.sizes[ids])
+        return at[ends - self.sizes[ids]] - 1, at[ends - 1]
 
     def decode_bytes(self, ids) -> bytes:
         return b"".join(map(self.bytes_of.__getitem__, ids))
 
-    def decode_stream(self, ids):
-        """Text for one id after the other; bytes of a character that isn't complete wait for the ids that complete it, and what never becomes one is replaced by U+FFFD."""
-        import codecs
-
+    def decode_stream(self, ids, step: int = 1):
+        """Text for `step` ids after the other; bytes of a character that isn't complete wait for the ids that complete it, and what never becomes one is replaced by U+FFFD."""
         decoder = codecs.getincrementaldecoder("utf-8")("replace")
-        for i in ids:
-            yield decoder.decode(self.bytes_of[i])
+        for i in range(0, len(ids), step):
+            yield decoder.decode(self.decode_bytes(ids[i : i + step]))
         yield decoder.decode(b"", True)
 
 
@@ -107,7 +115,7 @@ def encode(docs: DataFrame, path: str, *keep: str) -> DataFrame:
 
         def each(texts):
             ids = bpe.encode_batch([x or "" for x in texts])
-            return [i.astype(np.int32) for i in ids], [[s for s, _ in bpe.offsets(x, i)] if x else [] for x, i in zip(texts, ids)]
+            return [i.astype(np.int32) for i in ids], [bpe.offsets(x, i)[0].astype(np.int32) if x else [] for x, i in zip(texts, ids)]
 
         return each
 
@@ -125,17 +133,25 @@ def decode(encoded: DataFrame, path: str, *keep: str) -> DataFrame:
 
 
 def round_trip(docs: DataFrame, path: str, *keep: str) -> DataFrame:
-    """Columns in keep, n_tokens, ids_sha256 of the ids as little-endian unsigned 32-bit integers, and decoded_sha256 of the bytes that the ids decode to. Null text counts as empty."""
+    """Columns in keep, n_tokens, ids_sha256 of the ids as little-endian unsigned 32-bit integers, decoded_sha256 of the text that the ids decode to, STEP ids at a time, and of the offsets: n_split, the ids that end inside a character, and offsets_crc32 of the code points at which the ids start (little-endian unsigned 32-bit integers). Null text counts as empty."""
 
     def setup():
+        import zlib
         from hashlib import sha256
 
         bpe = loaded(path)
 
+        def one(text, ids):
+            whole = sha256()
+            for part in bpe.decode_stream(ids.tolist(), STEP):
+                whole.update(part.encode())
+            starts, ends = bpe.offsets(text, ids) if text else (ids, ids)
+            return len(ids), sha256(ids.tobytes()).hexdigest(), whole.hexdigest(), int((ends[:-1] > starts[1:]).sum()), zlib.crc32(starts.astype("<u4").tobytes())
+
         def each(texts):
-            ids = bpe.encode_batch([x or "" for x in texts])
-            return [len(i) for i in ids], [sha256(i.tobytes()).hexdigest() for i in ids], [sha256(bpe.decode_bytes(i.tolist())).hexdigest() for i in ids]
+            texts = [x or "" for x in texts]
+            return list(zip(*map(one, texts, bpe.encode_batch(texts))))
 
         return each
 
-    return map_texts(docs, setup, "n_tokens long, ids_sha256 string, decoded_sha256 string", *keep)
+    return map_texts(docs, setup, "n_tokens long, ids_sha256 string, decoded_sha256 string, n_split long, offsets_crc32 long", *keep)

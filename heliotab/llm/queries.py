@@ -16,12 +16,14 @@ def tokenizer_path(name: str) -> str:
 
 
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Statistics, the base's verdict and that of rules learned from the table labels, of each document."""
     docs = documents(spark, sf_dir)
     rules = quality_rules.fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     return quality_rules.assess(docs, rules, "doc_id").select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept", "rule")
 
 
 def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shards of near equal bytes (law `bytes`), by rising doc_id."""
     text = F.coalesce("text", F.lit(""))
     docs = documents(spark, sf_dir).select("doc_id", (F.octet_length(text) + 8).cast("long").alias("size"), F.crc32(text.cast("binary")).alias("text_crc32"))
     out = histogram_sort.shard(docs, F.col("doc_id"), F.col("size"), 24)
@@ -29,6 +31,7 @@ def op2_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The language of each document, by a model of the documents that aren't held out."""
     docs = documents(spark, sf_dir)
     held_out = language_id.held_out(F.col("doc_id"))
     model = language_id.fit(docs.where(~held_out), F.col("doc_id"))
@@ -36,16 +39,19 @@ def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_local_search_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in sequences of 4,096 tokens."""
     items = local_search_pack.pieces(documents(spark, sf_dir), tokenizer_path("word_bpe_49k.json"), 4096, "doc_id")
     return local_search_pack.pack(items, 4096)
 
 
 def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The component of each document under links of similar shingle sets."""
     rows, _ = ngram_join.near_duplicates(documents(spark, sf_dir))
     return rows.select("doc_id", "n_shingles", "component_id")
 
 
 def op6_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The secrets in each document."""
     return secret_scan.scan(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), "doc_id")
 
 
@@ -62,10 +68,12 @@ def op7_edit_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ids of each document, what they decode to, and a digest of their offsets."""
     return byte_bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), "doc_id")
 
 
 def op9_ogg_media(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each document stored as an Ogg clip and read back."""
     return ogg_media.digest(documents(spark, sf_dir), "doc_id")
 
 

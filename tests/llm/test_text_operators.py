@@ -491,10 +491,52 @@ def test_encode_decode_columns(docs, local):
 def test_offsets_of_split_characters():
     b = byte_bpe.ByteBPE(BYTES)
     ids = b.encode_batch(["a 👍 b"])[0]
-    assert b.offsets("a 👍 b", ids)[0] == (0, 1) and all(0 <= s < e <= 5 for s, e in b.offsets("a 👍 b", ids))
+    starts, ends = b.offsets("a 👍 b", ids)
+    assert (starts[0], ends[0]) == (0, 1) and all(0 <= s < e <= 5 for s, e in zip(starts, ends))
+    for step in (1, 2, 3, 100):
+        assert "".join(b.decode_stream(ids.tolist(), step)) == "a 👍 b"
     assert list(b.decode_stream([b.bytes_of.index(b"\xf0")]))[-1] == "�"
 
 
+def test_offsets_by_bytes():
+    b, r = byte_bpe.ByteBPE(BYTES), random.Random(9)
+    for _ in range(300):
+        text = "".join(r.choice(["a", "é", "日", "👍🏽", " ", "the"]) for _ in range(20))
+        ids = b.encode_batch([text])[0]
+        whole = [i for i, c in enumerate(text) for _ in c.encode()]
+        at, want = 0, []
+        for i in ids:
+            n = len(b.bytes_of[i])
+            want.append((whole[at], whole[at + n - 1] + 1))
+            at += n
+        assert list(zip(*b.offsets(text, ids))) == want
+
+
+def test_the_two_vocabulary_files_are_one():
+    import base64
+
+    b = byte_bpe.ByteBPE(BYTES)
+    with open(RANKS, "rb") as f:
+        ranks = {int(n): base64.b64decode(t) for t, n in map(bytes.split, f)}
+    assert len(ranks) == 50256 and all(b.bytes_of[i] == t for i, t in ranks.items())
+
+
+def test_pieces_of_blanks_are_linear():
+    import time
+
+    cut = byte_bpe.ByteBPE.pieces
+    for text in ("a  b", " a", "a ", "  ", "a b", " a b  c \n d e", "a\x1c b", ""):
+        assert "".join(cut(text)) == text
+    assert cut("a b  c d") == ["a", " b  c", " d"]
+    began = time.time()
+    text = "word " * 1000 + " " * 10_000_000 + "end"
+    assert "".join(cut(text)) == text and time.time() - began < 10
+    b = byte_bpe.ByteBPE(BYTES)
+    began = time.time()
+    ids = b.encode_batch([" " * 1_000_000])[0]
+    assert b.decode_bytes(ids.tolist()) == b" " * 1_000_000 and time.time() - began < 20
+
+
 # 9 Ogg
 
 
