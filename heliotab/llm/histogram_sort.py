@@ -1,4 +1,7 @@
-"""Shards by histogram sort: bytes below candidate boundaries are counted exactly, probes are refined until the splitters meet the tolerance, and rows are exchanged once."""
+"""Shards by histogram sort: bytes below candidate boundaries are counted exactly, probes are refined until the splitters meet the tolerance, and rows are exchanged once.
+
+A row's place is told by its key and, among rows with equal keys, by a tie: a hash of a number of its own. Both are longs; together they count as one number of 128 bits, of which a round of probes resolves BITS.
+"""
 
 from dataclasses import dataclass
 
@@ -6,93 +9,113 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from heliotab.llm.common import materialised
 
-#: Bits of the key that one round of probes resolves.
+#: Bits of key and tie that one round of probes resolves.
 BITS = 8
-#: Parts of each shard, so that a task of the exchange gets less than a shard. The splitters between them needn't be exact: a probe within this part of a cell settles them.
-CELLS, CELL_TOLERANCE = 4, 0.25
+#: A task of the exchange gets a cell. A shard has CELLS of them at least, and as many as hold CELL_BYTES each, but all shards MOST_CELLS together, since the splitters between cells come to the driver. These needn't be exact: a probe within this part of a cell settles them.
+CELLS, CELL_BYTES, MOST_CELLS, CELL_TOLERANCE = 4, 256 << 20, 4096, 0.25
+
+_SIGN, _LONG = 1 << 63, 1 << 64
 
 
 @dataclass
 class Splitter:
-    """A boundary: exactly so many bytes and rows have keys below it."""
+    """A boundary, as a number of 128 bits: exactly so many bytes and rows are below it."""
 
     key: int
     bytes: int
     rows: int
 
 
-def splitters(sized: DataFrame, low: int, high: int, targets: list[tuple[float, float]]) -> list[Splitter]:
-    """One splitter for each (bytes wanted below it, tolerance in bytes), in order, for the columns _key (long, low to high) and _size.
+def _signed(x: int) -> int:
+    return x - _LONG if x >= _SIGN else x
+
+
+def _leading(bits: int) -> tuple[Column, Column]:
+    """The first so many bits of _key and _tie, as unsigned numbers, in two longs; the second is 0 as long as the key's bits suffice."""
+    key, tie = (F.col(c).bitwiseXOR(F.lit(-_SIGN)) for c in ("_key", "_tie"))
+    if bits <= 64:
+        return (F.shiftrightunsigned(key, 64 - bits) if bits else F.lit(0).cast("long")), F.lit(0).cast("long")
+    return key, F.shiftrightunsigned(tie, 128 - bits)
+
 
-    Probes are the boundaries of ranges of 2^shift keys. Each round counts the bytes and rows of the ranges inside those that still hold a splitter, in one aggregation that is combined before the shuffle and whose rows (BITS and the number of splitters bound them) come to the driver. A splitter is settled once a probe is within its tolerance, else at the first key with at least the wanted bytes below.
+def splitters(sized: DataFrame, bits: int, start: int, targets: list[tuple[int, int]], shares: int) -> list[Splitter]:
+    """One splitter for each (shares * bytes wanted below it, shares * tolerance in bytes), in order, for the columns _key, _tie and _size (long), whose first `bits` bits are those of the number `start` in all rows.
+
+    Probes are the boundaries of ranges of keys and ties with the same leading bits. Each round counts the bytes and rows of the ranges inside those that still hold a splitter, which are joined as a table of no more rows than splitters, in one aggregation that is combined before the shuffle; its rows, 2^BITS a range at most, come to the driver. A splitter is settled once a probe is within its tolerance, or else where one row lies between two probes, or all bits are used: then it is the first boundary with at least the wanted bytes below.
     """
-    shift = -(-max(1, (high - low).bit_length()) // BITS) * BITS
-    offset = F.col("_key") - F.lit(low)
-    waiting = {i: 0 for i in range(len(targets))}  # splitter -> the range that holds it
-    below = {0: (0, 0)}  # range -> bytes and rows below it
+    waiting = {i: start for i in range(len(targets))}  # splitter -> the range that holds it
+    below = {start: (0, 0)}  # range -> bytes and rows below it
     found: dict[int, Splitter] = {}
     while waiting:
-        shift -= BITS
-        rows = sized.select(F.shiftright(offset, shift).alias("range"), "_size").where(F.shiftright("range", BITS).isin(sorted(below)))
-        counts = {r["range"]: (r["b"], r["n"]) for r in rows.groupBy("range").agg(F.sum("_size").alias("b"), F.count("*").alias("n")).collect()}
+        outer = [(_signed(r), 0) if bits <= 64 else (_signed(r >> (bits - 64)), r & ((1 << (bits - 64)) - 1)) for r in sorted(below)]
+        values = ", ".join(f"({n}, CAST('{a}' AS BIGINT), CAST('{b}' AS BIGINT))" for n, (a, b) in enumerate(outer))
+        table = sized.sparkSession.sql(f"SELECT * FROM VALUES {values} AS t(range, first, second)")
+        first, second = _leading(bits)
+        inner = _leading(bits + BITS)[0 if bits < 64 else 1]
+        keyed = sized.select(first.alias("first"), second.alias("second"), inner.bitwiseAND(F.lit((1 << BITS) - 1)).cast("int").alias("digit"), "_size")
+        counted = keyed.join(F.broadcast(table), ["first", "second"]).groupBy("range", "digit").agg(F.sum("_size").alias("b"), F.count("*").alias("n")).collect()
+        counts = {(r["range"], r["digit"]): (r["b"], r["n"]) for r in counted}
         probes: dict[int, list[tuple[int, int, int]]] = {}
-        for outer, (b, n) in below.items():
-            probes[outer] = [(outer << BITS, b, n)]
-            for p in range(outer << BITS, (outer + 1) << BITS):
-                b, n = b + counts.get(p, (0, 0))[0], n + counts.get(p, (0, 0))[1]
-                probes[outer].append((p + 1, b, n))
-        left, below = waiting, {}
-        waiting = {}
-        for i, outer in left.items():
+        for k, r in enumerate(sorted(below)):
+            b, n = below[r]
+            probes[r] = [(r << BITS, b, n)]
+            for d in range(1 << BITS):
+                more = counts.get((k, d), (0, 0))
+                b, n = b + more[0], n + more[1]
+                probes[r].append(((r << BITS) + d + 1, b, n))
+        bits += BITS
+        left, below, waiting = waiting, {}, {}
+        for i, r in left.items():
             want, tolerance = targets[i]
-            p, b, n = min(probes[outer], key=lambda e: (abs(e[1] - want), e[0]))
-            if abs(b - want) > tolerance:
-                k = next((k for k, e in enumerate(probes[outer]) if e[1] >= want), len(probes[outer]) - 1)
-                p, b, n = probes[outer][k]
-                if shift and k:
-                    inner = probes[outer][k - 1]
-                    waiting[i], below[inner[0]] = inner[0], inner[1:]
+            p, b, n = min(probes[r], key=lambda e: (abs(shares * e[1] - want), e[0]))
+            if abs(shares * b - want) > tolerance:
+                k = next((k for k, e in enumerate(probes[r]) if shares * e[1] >= want), len(probes[r]) - 1)
+                p, b, n = probes[r][k]
+                if bits < 128 and k and n - probes[r][k - 1][2] > 1:
+                    waiting[i], below[probes[r][k - 1][0]] = probes[r][k - 1][0], probes[r][k - 1][1:]
                     continue
-            found[i] = Splitter(low + (p << shift), b, n)
+            found[i] = Splitter(p << (128 - bits), b, n)
     return [found[i] for i in range(len(targets))]
 
 
-def cell_of(keys: list[int], low: int, high: int) -> Column:
-    """How many of the sorted keys are at or below _key. A row finds its bin among 1024 by its leading bits; keys of lower bins are counted beforehand, those of its own bin are compared."""
-    shift = max(0, (high - low).bit_length() - 10)
-    own: list[list[int]] = [[] for _ in range(((high - low) >> shift) + 1)]
-    lower = []
-    for k in keys:
-        if k <= high:
-            own[(k - low) >> shift].append(k)
-    for x in own:
-        lower.append(sum(lower[-1:]) + len(x))
-    lists = ",".join("array(" + ",".join(f"{k}L" for k in x) + ")" for x in own)
-    bin_ = (F.shiftright(F.col("_key") - F.lit(low), shift) + 1).cast("int")
-    near = F.element_at(F.expr(f"cast(array({lists}) as array<array<bigint>>)"), bin_)
-    before = F.element_at(F.expr(f"array({','.join(map(str, [0, *lower[:-1]]))})"), bin_)
-    return before + F.size(F.filter(near, lambda k: k <= F.col("_key")))
+def cell_of(splits: list[int]) -> Column:
+    """How many of the sorted splitters are at or below the row, by binary search in two constant arrays."""
+    inside = [s for s in splits if s < 1 << 128]
+    if not inside:
+        return F.lit(0)
+    array = lambda part: F.expr("array(" + ",".join(f"CAST('{_signed(part(s) ^ _SIGN)}' AS BIGINT)" for s in inside) + ")")
+    keys, ties = array(lambda s: s >> 64), array(lambda s: s & (_LONG - 1))
+    steps = F.array(*[F.lit(1 << k) for k in range(len(inside).bit_length() - 1, -1, -1)])
+
+    def reached(at: Column) -> Column:
+        k = F.get(keys, at - 1)
+        return (at <= len(inside)) & ((k < F.col("_key")) | ((k == F.col("_key")) & (F.get(ties, at - 1) <= F.col("_tie"))))
+
+    return F.aggregate(steps, F.lit(0), lambda at, step: F.when(reached(at + step), at + step).otherwise(at))
 
 
 def shard(df: DataFrame, key: Column, size: Column, shards: int, tolerance: float = 0.0) -> DataFrame:
     """The same rows with `shard` (0 to shards - 1, by rising key) and `slot` (gapless from 0 in each shard, by rising key).
 
-    key: long, spanning less than 2^63; null counts as the least key; size: positive. Rows with equal keys stay together, so where many rows may share a key, follow it by bits of a hash that tells them apart. A shard's bytes differ from an even share by at most the tolerance (a part of a share) and the rows at its two boundaries; with tolerance 0 a boundary is the first key with at least its share of bytes below. An empty table gives an empty one. Slots among equal keys follow no order. Columns named like those added are replaced; texts of any length cost one pass for sizes and one for the exchange.
+    key: long; null counts as the least long; size: positive. Rows with equal keys are told apart by a hash of a number of their own, so any number of them is spread like others. A shard's bytes differ from an even share by at most the tolerance (a part of a share) and the rows at its two boundaries; with tolerance 0 a boundary is the first row with at least its share of bytes before it. An empty table gives an empty one. Columns named like those added are replaced, and no other name can clash.
+
+    The rows are written to the checkpoint folder first, so that their numbers stay as they are: give ids and sizes, and join texts to the result where they are large.
     """
     names = [c for c in df.columns if c not in ("shard", "slot")]
-    keyed = df.select(*names, key.cast("long").alias("_key"), size.cast("long").alias("_size"))
-    sized = materialised(keyed.select("_key", "_size"))
-    low, high, total = sized.agg(F.min("_key"), F.max("_key"), F.sum("_size")).first()
-    low, high, total = (0 if low is None else low) - 1, 0 if high is None else high, total or 0
-    if high - low >= 1 << 63:
-        raise ValueError("the keys span 2^63 or more")
-    filled = F.coalesce("_key", F.lit(low))
-    share = total / shards
-    targets = [(share * i / CELLS, share * (CELL_TOLERANCE / CELLS if i % CELLS else tolerance)) for i in range(1, shards * CELLS)]
-    found = splitters(sized.select(filled.alias("_key"), "_size"), low, high, targets)
-    starts = [Splitter(low, 0, 0), *found]
-    before = [s.rows - starts[i // CELLS * CELLS].rows for i, s in enumerate(starts)]
-    out = keyed.withColumn("_key", filled).withColumn("_cell", cell_of([s.key for s in found], low, high))
-    rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_key")) - 1
+    own = [f"c{i}" for i in range(len(names))]
+    keyed = df.select(*[F.col(f"`{c}`").alias(x) for c, x in zip(names, own)], F.coalesce(key.cast("long"), F.lit(-_SIGN)).alias("_key"), size.cast("long").alias("_size"))
+    rows = materialised(keyed.withColumn("_tie", F.xxhash64(F.monotonically_increasing_id())))
+    low, high, total = rows.agg(F.min("_key"), F.max("_key"), F.sum("_size")).first()
+    low, high, total = (0 if x is None else x for x in (low, high, total))
+    cells = shards * max(CELLS, min(-(-total // (CELL_BYTES * shards)), MOST_CELLS // shards))
+    a, b = (x + _SIGN for x in (low, high))
+    same = max(k for k in range(0, 65, BITS) if a >> (64 - k) == b >> (64 - k))
+    per = cells // shards
+    targets = [(total * i, int(total * (tolerance * per if i % per == 0 else CELL_TOLERANCE))) for i in range(1, cells)]
+    found = splitters(rows, same, a >> (64 - same), targets, cells) if total else [Splitter(1 << 128, 0, 0)] * (cells - 1)
+    starts = [Splitter(0, 0, 0), *found]
+    before = [s.rows - starts[i // per * per].rows for i, s in enumerate(starts)]
+    out = rows.withColumn("_cell", cell_of([s.key for s in found]))
+    rank = F.row_number().over(Window.partitionBy("_cell").orderBy("_key", "_tie")) - 1
     first = F.element_at(F.expr("array(" + ",".join(f"{b}L" for b in before) + ")"), F.col("_cell") + 1)
-    return out.select(*names, F.floor(F.col("_cell") / CELLS).cast("int").alias("shard"), (rank + first).alias("slot"))
+    return out.select(*[F.col(x).alias(c) for c, x in zip(names, own)], F.floor(F.col("_cell") / per).cast("int").alias("shard"), (rank + first).alias("slot"))

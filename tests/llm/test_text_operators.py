@@ -84,20 +84,33 @@ def test_assess_keeps_every_row(docs):
 @pytest.mark.parametrize("shards,tolerance", [(1, 0.0), (5, 0.0), (24, 0.0), (5, 0.05)])
 def test_histogram_sort(spark, shards, tolerance):
     r = random.Random(shards)
-    data = [(r.choice([7, r.randint(-1000, 10**12)]), r.randint(1, 500)) for _ in range(700)] + [(None, 3), (None, 4)]
-    out = histogram_sort.shard(spark.createDataFrame(data, "k long, size long").withColumn("shard", F.lit("old")), F.col("k"), F.col("size"), shards, tolerance).collect()
-    assert Counter((x["k"], x["size"]) for x in out) == Counter(data)
-    low = min(k for k, _ in data if k is not None) - 1
+    low, high = -(1 << 63), (1 << 63) - 1
+    data = [(r.choice([7, r.randint(-1000, 10**12), r.randint(low, high), high, low]), r.randint(1, 500)) for _ in range(700)] + [(None, 3), (None, 4)]
+    given = spark.createDataFrame([(k, n, n, n) for k, n in data], "k long, size long, _key long, _tie long").withColumn("shard", F.lit("old")).withColumn("_size", F.lit(1)).withColumn("_cell", F.lit(2))
+    df = histogram_sort.shard(given, F.col("k"), F.col("size"), shards, tolerance)
+    assert df.columns == ["k", "size", "_key", "_tie", "_size", "_cell", "shard", "slot"]
+    out = df.collect()
+    assert Counter((x["k"], x["size"]) for x in out) == Counter(data) and all(x["_key"] == x["_tie"] == x["size"] for x in out)
     key = lambda k: low if k is None else k
     for s in range(shards):
         assert sorted(x["slot"] for x in out if x["shard"] == s) == list(range(sum(x["shard"] == s for x in out)))
     ordered = sorted(out, key=lambda x: (x["shard"], x["slot"]))
     assert [key(x["k"]) for x in ordered] == sorted(key(k) for k, _ in data)
-    if not tolerance:
-        total = sum(n for _, n in data)
-        for x in out:
-            below = sum(n for k, n in data if key(k) < key(x["k"]))
-            assert x["shard"] == sum(below >= total * i / shards for i in range(1, shards))
+    total, at = sum(n for _, n in data), 0
+    for x in ordered:
+        if tolerance:
+            assert abs(at * shards / total - x["shard"] - 0.5) <= 0.5 + tolerance + 500 * shards / total
+        else:
+            assert x["shard"] == at * shards // total
+        at += x["size"]
+
+
+@pytest.mark.parametrize("key", [5, None])
+def test_one_key_is_spread(spark, key):
+    data = [(key, 10 + i % 7) for i in range(6000)]
+    out = histogram_sort.shard(spark.createDataFrame(data, "k long, size long"), F.col("k"), F.col("size"), 24).groupBy("shard").agg(F.sum("size").alias("b"), F.count("*").alias("n"), F.max("slot").alias("top")).collect()
+    share = sum(n for _, n in data) / 24
+    assert len(out) == 24 and all(abs(r["b"] - share) <= 16 and r["top"] == r["n"] - 1 for r in out)
 
 
 def test_histogram_sort_of_nothing(spark):
