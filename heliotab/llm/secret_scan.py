@@ -1,18 +1,23 @@
 """Secrets in texts: three fixed patterns, and strings that a tokenizer's vocabulary spells badly."""
 
 import re
+from bisect import bisect_right
 from functools import lru_cache
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, functions as F
 
 from heliotab.llm.common import map_texts
 
 #: Kinds in the order in which spans with the same start are listed.
 KINDS = ("assign", "access", "hex", "inefficient")
-#: A run this long or longer with fewer code points a token than RATIO reads as random.
+#: A string reads as random below so many code points a token, by what it is made of and by its least length; digits alone never do. Chosen so that random strings of 24 characters are found (9 of 10 or more in each alphabet) and prose, names in source code, paths and slugs aren't; the README has the figures.
+LIMITS = {
+    "letters and digits": ((20, 2.1), (16, 1.8), (12, 1.6)),
+    "letters of mixed case": ((20, 1.75), (16, 1.6)),
+    "letters of one case": ((24, 2.0), (20, 1.9)),
+}
+#: Of a longer string, parts may be random where the whole isn't; a part counts so many code points for each token, less its own.
 RUN, RATIO = 20, 2.1
-#: Letters alone read as random below this, if their cases are mixed.
-LETTERS_RATIO = 1.75
 #: A stretch of parts has at most one separator in so many code points (base64 has one in 32): dates and short names have more.
 SPARSE = 8
 #: Hexadecimal digits of the usual digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
@@ -23,11 +28,12 @@ _ASSIGN = re.compile(r"""(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW
 _ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 _HEX = re.compile(r"[0-9a-f]{16,}")
 #: Maximal runs of the characters that keys are written in.
-_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{16,}+={0,2}")
+_RUN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{12,}+={0,2}")
 _UUID = re.compile(r"[0-9a-fA-F]{8}-(?:[0-9a-fA-F]{4}-){3}[0-9a-fA-F]{12}")
 #: Parts of a run: UUIDs, and what stands between separators.
 _PART = re.compile(rf"(?<![A-Za-z0-9]){_UUID.pattern}(?![A-Za-z0-9])|[A-Za-z0-9]+=*")
 _MIXED = re.compile(r"[a-z][A-Z]|[A-Z][a-z]*[A-Z]+[a-z]")
+_ONE_CASE = re.compile(r"[^A-Za-z]*(?:[a-z]+|[A-Z]+)[^A-Za-z]*")
 _HEX_ONLY = re.compile(r"(?:[0-9a-f]+|[0-9A-F]+)")
 _INTEGRITY = re.compile(r"sha(?:256|384|512)-[A-Za-z0-9+/]+={0,2}")
 
@@ -44,22 +50,26 @@ def _encoding(path: str):
     return tiktoken.Encoding("ranks", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
-def known(run: str) -> bool:
-    """Digests of the usual lengths, integrity strings and UUIDs: random by design, and no secrets."""
-    return bool(_UUID.fullmatch(run) or _INTEGRITY.fullmatch(run) or len(run) in DIGEST_DIGITS and _HEX_ONLY.fullmatch(run))
+def known(run: str, assigned: bool = False) -> bool:
+    """Integrity strings, UUIDs, and hexadecimal digits of a usual digest's length: random by design, and no secrets. Digests are printed in either case by common tools, so both are left out, but not where the digits are the value that a text assigns to a password, token or key."""
+    return bool(_UUID.fullmatch(run) or _INTEGRITY.fullmatch(run) or not assigned and len(run) in DIGEST_DIGITS and _HEX_ONLY.fullmatch(run))
 
 
-def inefficient(run: str, encoding) -> bool:
-    """Of RUN code points or more, not known, and below RATIO code points a token if letters and digits are mixed, or below LETTERS_RATIO if there are letters alone and their cases are mixed within a part."""
-    if len(run) < RUN or known(run) or not any(c.isalpha() for c in run):
-        return False
+def limit(run: str) -> float:
+    """The entry of LIMITS for a string; 0 if there is none."""
     if any(c.isdigit() for c in run):
-        ratio = RATIO
+        kind = "letters and digits" if any(c.isalpha() for c in run) else None
     elif _MIXED.search(run):
-        ratio = LETTERS_RATIO
+        kind = "letters of mixed case"
     else:
-        return False
-    return len(run) < ratio * len(encoding.encode_ordinary(run))
+        kind = "letters of one case" if _ONE_CASE.fullmatch(run) else None
+    return next((ratio for n, ratio in LIMITS.get(kind, ()) if len(run) >= n), 0.0)
+
+
+def inefficient(run: str, encoding, assigned: bool = False) -> bool:
+    """Not known, and below the limit of code points a token for its kind and length."""
+    ratio = limit(run)
+    return ratio > 0 and not known(run, assigned) and len(run) < ratio * len(encoding.encode_ordinary(run))
 
 
 def inefficient_parts(run: str, encoding) -> list[tuple[int, int]]:
@@ -106,15 +116,19 @@ def inefficient_parts(run: str, encoding) -> list[tuple[int, int]]:
 
 def spans(text: str, encoding) -> list[tuple[int, int, int]]:
     """(start, number of the kind, end) in order; code points, end exclusive."""
-    found = []
+    found, values = [], []
     low = text.lower()
     if any(k in low for k in _KEYWORDS):
-        found += [(m.start(), 0, m.end()) for m in _ASSIGN.finditer(text) if len(m[1]) >= 12]
+        matches = [m for m in _ASSIGN.finditer(text) if len(m[1]) >= 12]
+        found += [(m.start(), 0, m.end()) for m in matches]
+        values = [m.span(1) for m in matches]
     if "AKIA" in text:
         found += [(m.start(), 1, m.end()) for m in _ACCESS.finditer(text) if len(m[0]) >= 18]
     for run in _RUN.finditer(text):
         found += [(m.start(), 2, m.end()) for m in _HEX.finditer(text, run.start(), run.end())]
-        if inefficient(run[0], encoding):
+        k = bisect_right(values, (run.start(), len(text)))
+        assigned = k > 0 and run.end() <= values[k - 1][1]
+        if inefficient(run[0], encoding, assigned):
             found.append((run.start(), 3, run.end()))
         elif len(run[0]) > RUN and not known(run[0]):
             found += [(run.start() + a, 3, run.start() + b) for a, b in inefficient_parts(run[0], encoding)]
@@ -165,5 +179,6 @@ def redact(docs: DataFrame, ranks_path: str, mask: str = "[secret]") -> DataFram
         return lambda texts: [list(map(one, texts))]
 
     others = [c for c in docs.columns if c != "text"]
-    made = map_texts(docs, setup, "redacted_text string", *others)
-    return made.withColumnRenamed("redacted_text", "text").select(*docs.columns)
+    own = docs.select(F.struct(*[F.col(f"`{c}`") for c in others]).alias("others") if others else F.lit(0).alias("others"), "text")
+    made = map_texts(own, setup, "redacted string", "others")
+    return made.select(*[F.col("redacted").alias(c) if c == "text" else F.col("others").getField(c).alias(c) for c in docs.columns])
