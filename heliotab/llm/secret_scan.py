@@ -18,7 +18,7 @@ LIMITS = {
 }
 #: Of a longer string, parts may be random where the whole isn't; a part counts so many code points for each token, less its own.
 RUN, RATIO = 20, 2.1
-#: A stretch of parts has at most one separator in so many code points (base64 has one in 32): dates and short names have more.
+#: A random string has at most one separator in so many code points (base64 has one in 32): paths, dates and joined names have more.
 SPARSE = 8
 #: Hexadecimal digits of the usual digests: MD5, SHA-1, SHA-224, SHA-256, SHA-384, SHA-512.
 DIGEST_DIGITS = (32, 40, 56, 64, 96, 128)
@@ -67,8 +67,10 @@ def limit(run: str) -> float:
 
 
 def inefficient(run: str, encoding, assigned: bool = False) -> bool:
-    """Not known, and below the limit of code points a token for its kind and length."""
-    ratio = limit(run)
+    """Not known, and below the limit of code points a token for its kind and length. A string with separators must have RUN code points, and SPARSE ones or more for each separator."""
+    ratio, between = limit(run), sum(map(run.count, "/-_+"))
+    if between and (len(run) < RUN or between * SPARSE > len(run)):
+        return False
     return ratio > 0 and not known(run, assigned) and len(run) < ratio * len(encoding.encode_ordinary(run))
 
 
@@ -84,7 +86,7 @@ def inefficient_parts(run: str, encoding) -> list[tuple[int, int]]:
     def close():
         for first, end, _, _ in stretches:
             start, stop = parts[first].start(), parts[end - 1].end()
-            if (end - first - 1) * SPARSE <= stop - start and inefficient(run[start:stop], encoding):
+            if inefficient(run[start:stop], encoding):
                 found.append((start, stop))
             else:
                 found.extend(p.span() for p in parts[first:end] if inefficient(p[0], encoding))
