@@ -2,7 +2,7 @@
 
 Two sets of at least SIMILARITY must share one of the first |s| - ceil(SIMILARITY * |s|) + 1 shingles of any order that both are sorted by. Each order here puts shingles of rarer classes first and breaks ties by a hash of its own. Sets that share a prefix shingle under the first order are candidates; candidates must also share one under the second and the third, fit in size and in a parity signature, before the sets themselves are compared. Equal sets are one node from the start.
 
-Within a bucket of one prefix shingle and one range of sizes no pairs are made at first: each node is compared with the bucket's most ordinary one, that in most buckets. Once these links have joined most of a group of near copies, only pairs of different components are left to try.
+Within a bucket of one prefix shingle and one range of sizes no pairs are made at first: each node is compared with the bucket's most ordinary one, that in most buckets. Once these links have joined most of a group of near copies, only pairs of different components are left to try, and of these only pairs that share a shingle which stands early enough in both sets for the sizes of the two: similar sets of n and m shingles share at least t = SIMILARITY * (n + m) / (100 + SIMILARITY), so they share one of the first n - t + 1 and m - t + 1. Sets that share a passage alone have t or more of their own, rarer ones before it, and so make no pairs. Joins by bucket deal the rows of large buckets to several tasks.
 """
 
 import numpy as np
@@ -20,6 +20,10 @@ WORDS, SIMILARITY = 5, 80
 SLOTS, HELD = 1 << 22, 6_000_000
 #: Orders besides the first that candidates must share a prefix under; longs of the parity signature.
 MORE_ORDERS, SIGNATURE = 2, 8
+#: Rows of a bucket in one task of a join; buckets that are split are no more than MOST_SPLIT (with more rows, larger ones are split), so their list is broadcast.
+BUCKET_ROWS, MOST_SPLIT = 1024, 8192
+#: Ratio of the sizes in a range of sizes within which pairs are made.
+FINE = 1.02
 #: Nodes whose texts are fetched by a broadcast of their hashes; more are fetched by a shuffled join.
 BROADCAST_NODES = 1_000_000
 
@@ -94,11 +98,12 @@ def prefix_length(n: int) -> int:
 
 
 def prefix(found: np.ndarray, classes: np.ndarray, order: int) -> np.ndarray:
-    """The first shingles of a set under an order: by class, then by the order's hash."""
+    """The first shingles of a set under an order, in that order: by class, then by the order's hash."""
     p = prefix_length(len(found))
     key = classes[(found & np.uint64(SLOTS - 1)).astype(np.int64)].astype(np.uint64) << np.uint64(56)
     key = key | (mixed(found + _ODD[order]) >> np.uint64(8))
-    return found[np.argpartition(key, p - 1)[:p]]
+    first = np.argpartition(key, p - 1)[:p]
+    return found[first[np.argsort(key[first])]]
 
 
 def signature(found: np.ndarray) -> np.ndarray:
@@ -164,13 +169,13 @@ def class_table(found: DataFrame) -> np.ndarray:
     return table
 
 
-def size_class(n: int) -> int:
-    """Sizes of similar sets are in the same class or in neighbouring ones."""
-    return int(np.log(n) / np.log(100 / SIMILARITY) + 1e-9)
+def size_class(n: Column, ratio: float) -> Column:
+    """The number of a range of sizes. With a ratio of 100 / SIMILARITY, sizes of similar sets are in the same or in neighbouring ones."""
+    return F.floor(F.log(n.cast("double")) / float(np.log(ratio)) + 1e-9).cast("int")
 
 
 def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
-    """(token, node, size, hot) of the first order's prefixes, with the class of the set's size; a task gives each node once."""
+    """(token, node, n, place, hot) of the first order's prefixes, with the size of the set and the token's place in it; a task gives each node once."""
 
     def run(batches):
         words, classes, known = Words(), shared.value, set()
@@ -182,28 +187,43 @@ def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
                 if len(found) and node not in known:
                     known.add(node)
                     tokens.append(prefix(found, classes, 0))
-                    nodes.append(np.full(len(tokens[-1]), node, dtype=np.int64))
-                    sizes.append(np.full(len(tokens[-1]), size_class(len(found)), dtype=np.int8))
+                    nodes.append(node)
+                    sizes.append(len(found))
             if tokens:
-                t = np.concatenate(tokens)
-                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(np.concatenate(nodes)), pa.array(np.concatenate(sizes)), pa.array(classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0)], names=["token", "node", "size", "hot"])
+                t, times = np.concatenate(tokens), list(map(len, tokens))
+                place = np.arange(len(t)) - np.repeat(np.cumsum(times) - times, times)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(t.view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), times)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), times)), pa.array(place.astype(np.int32)), pa.array(classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0)],
+                    names=["token", "node", "n", "place", "hot"],
+                )
 
-    return docs.select("text").mapInArrow(run, "token long, node long, size byte, hot boolean")
+    return docs.select("text").mapInArrow(run, "token long, node long, n int, place int, hot boolean")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
-    """(bucket, node) for each prefix shingle and pair of neighbouring size classes that more than one node has. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, a minimum is combined before the shuffle and joined, which Spark can split. Near copies share many shingles; of buckets with the same nodes, told by sums of hashes (a node has as many rows in each of its buckets), one stays."""
+    """(bucket, node, n, place, rows) for each prefix shingle and pair of neighbouring size classes that more than one node has, with about the number of rows of the bucket. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, sums are combined before the shuffle and joined. Near copies share many shingles; of buckets with the same nodes, told by sums of hashes (a node has as many rows in each of its buckets), that of the shingle which is first by the order stays: its places are the lowest in all sets."""
+    sized = rows.withColumn("size", size_class(F.col("n"), 100 / SIMILARITY))
     at = Window.partitionBy("token").orderBy("size")
     beside = (F.lag("size").over(at) >= F.col("size") - 1) | (F.lead("size").over(at) <= F.col("size") + 1)
-    rare = rows.where("NOT hot").withColumn("beside", beside).where("beside")
-    both = rare.select("token", "node", "size").unionByName(rows.where("hot").select("token", "node", "size"))
-    own = F.col("size").cast("int")
-    dealt = materialised(both.select(F.explode(F.array(F.xxhash64("token", own), F.xxhash64("token", own + 1))).alias("bucket"), "node"))
+    names = ("token", "node", "n", "place", "size")
+    rare = sized.where("NOT hot").withColumn("beside", beside).where("beside")
+    both = rare.select(*names).unionByName(sized.where("hot").select(*names))
+    dealt = materialised(both.select(F.explode(F.array(F.xxhash64("token", "size"), F.xxhash64("token", F.col("size") + 1))).alias("bucket"), "node", "n", "place"))
     h = F.xxhash64("node")
     halves = (F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
-    several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("n"), *halves).where("first <> last")
-    one = several.groupBy("first", "last", "n", "high", "low").agg(F.min("bucket").alias("bucket")).select("bucket")
-    return dealt.join(one, "bucket").distinct()
+    several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows"), F.sum("place").alias("places"), *halves).where("first <> last")
+    one = materialised(several.groupBy("first", "last", "rows", "high", "low").agg(F.min(F.struct("places", "bucket")).alias("m")).select("m.bucket", "rows"))
+    total = one.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
+    size = max(BUCKET_ROWS, total // MOST_SPLIT)
+    split = F.broadcast(one.where(F.col("rows") > size))  # MOST_SPLIT rows at most
+    return _by_bucket(dealt.join(split, "bucket", "left").withColumn("rows", F.coalesce("rows", F.lit(1))), one, size).dropDuplicates(["bucket", "node"])
+
+
+def _by_bucket(rows: DataFrame, values: DataFrame, size: int = BUCKET_ROWS) -> DataFrame:
+    """The rows of buckets, with the columns of the one row that `values` has for each bucket. Both know the number of rows of a bucket (`rows`; those of the left side may have any number up to `size` for buckets up to it); a bucket is dealt to a task for each `size` of them."""
+    parts = F.ceil(F.col("rows") / size).cast("int")
+    ours = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).drop("rows")
+    return ours.join(values.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))), ["bucket", "part"]).drop("part")
 
 
 def _details(docs: DataFrame, wanted: DataFrame, shared) -> DataFrame:
@@ -270,19 +290,45 @@ def _linked(pairs: DataFrame, light: DataFrame, docs: DataFrame, shared) -> Data
 
 def _stars(buckets: DataFrame, light: DataFrame) -> DataFrame:
     """Pairs that fit of each node and the most ordinary node of a bucket it is in: the one in most buckets."""
-    ranked = buckets.join(buckets.groupBy("node").agg(F.count("*").alias("d")), "node")
-    centres = ranked.groupBy("bucket").agg(F.min(F.struct(-F.col("d"), "node")).alias("c"))
-    pairs = ranked.join(centres, "bucket").where("node <> c.node").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
+    ranked = buckets.select("bucket", "node", "rows").join(buckets.groupBy("node").agg(F.count("*").alias("d")), "node")
+    centres = ranked.groupBy("bucket").agg(F.min(F.struct(-F.col("d"), "node")).alias("c"), F.first("rows").alias("rows"))
+    pairs = _by_bucket(ranked, centres).where("node <> c.node").select(F.least("node", "c.node").alias("a"), F.greatest("node", "c.node").alias("b")).distinct()
     return _both(pairs, light.select("node", F.struct("n", "signature").alias("x"))).where(_fits("xa", "xb")).select("a", "b")
 
 
+def _reach(n: Column, place: Column) -> Column:
+    """The largest set that can be similar to one of n shingles if the first shingle that both have stands at this place (from 0) in the latter."""
+    return F.floor((100 + SIMILARITY) * (n - place) / SIMILARITY).cast("int") - n
+
+
 def _crossing(buckets: DataFrame, light: DataFrame, roots: DataFrame) -> DataFrame:
-    """Pairs that fit of nodes of one bucket and different components."""
+    """Pairs that fit of nodes of one bucket and different components, of which each is in reach of the other.
+
+    The rows of a bucket are dealt anew by two fine classes of sizes, their own and one in reach, and pairs are made between those of the lower and those of the upper class, in blocks.
+    """
     labelled = buckets.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    several = labelled.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last")).where("first <> last").select("bucket")
-    rows = labelled.join(several, "bucket").join(light.select("node", F.struct("n", "signature").alias("x")), "node")
-    a, b = (rows.select("bucket", F.col("node").alias(k), F.col("root").alias(f"r{k}"), F.col("x").alias(f"x{k}")) for k in "ab")
-    return a.join(b, "bucket").where((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & _fits("xa", "xb")).select("a", "b").distinct()
+    several = labelled.groupBy("bucket").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.first("rows").alias("rows")).where("first <> last").select("bucket", "rows")
+    rows = _by_bucket(labelled, several).drop("rows")
+    n, own = F.col("n"), F.col("own")
+    reach = F.least(_reach(n, F.col("place")), F.floor(100 * n / SIMILARITY).cast("int"))
+    rows = rows.withColumn("own", size_class(n, FINE)).where(100 * reach >= SIMILARITY * n)
+    other = F.explode(F.sequence(size_class(F.greatest(F.ceil(SIMILARITY * n / 100), F.lit(1)), FINE), size_class(reach, FINE)))
+    dealt = rows.withColumn("other", other).withColumn("cell", F.xxhash64("bucket", F.least("own", "other"), F.greatest("own", "other")))
+    dealt = materialised(dealt.select("cell", "node", "root", "n", "place", (own <= F.col("other")).alias("low"), (own >= F.col("other")).alias("up")))
+    counted = dealt.groupBy("cell").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count_if("low").alias("lows"), F.count_if("up").alias("ups"))
+    counted = materialised(counted.where("first <> last AND lows > 0 AND ups > 0").select("cell", "lows", "ups"))
+    size = max(BUCKET_ROWS, counted.agg(F.coalesce(F.sum(F.col("lows") + F.col("ups")), F.lit(0))).first()[0] // MOST_SPLIT)
+    parts = lambda c: F.ceil(F.col(c) / size).cast("int")
+    split = F.broadcast(counted.where((F.col("lows") > size) | (F.col("ups") > size)).select("cell", parts("lows").alias("i"), parts("ups").alias("j")))  # 2 * MOST_SPLIT rows at most
+    known = dealt.join(split, "cell", "left").withColumn("i", F.coalesce("i", F.lit(1))).withColumn("j", F.coalesce("j", F.lit(1)))
+    known = known.join(light.select("node", F.struct("n", "signature").alias("x")), "node")
+    every, mine = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)), lambda c: F.pmod(F.xxhash64("node"), F.col(c))
+    side = lambda df, k: df.select("cell", "p", "q", F.col("node").alias(k), F.col("root").alias(f"r{k}"), F.col("n").alias(f"n{k}"), F.col("place").alias(f"p{k}"), F.col("x").alias(f"x{k}"))
+    lower = side(known.where("low").withColumn("p", mine("i")).withColumn("q", every("j")), "a")
+    upper = side(known.where("up").withColumn("q", mine("j")).withColumn("p", every("i")), "b")
+    near = (_reach(F.col("na"), F.col("pa")) >= F.col("nb")) & (_reach(F.col("nb"), F.col("pb")) >= F.col("na"))
+    pairs = lower.join(upper, ["cell", "p", "q"]).where((F.col("a") != F.col("b")) & (F.col("ra") != F.col("rb")) & near & _fits("xa", "xb"))
+    return pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id") -> tuple[DataFrame, DataFrame]:
