@@ -86,5 +86,26 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
 
+#: The same shards: a boundary is the first row with at least its share of bytes before it. The checksum goes byte by byte through the usual table of 256 entries, made by its rule.
+_SHARDS = """WITH RECURSIVE step(i, k, c) AS (SELECT range, 0, range FROM range(256) UNION ALL SELECT i, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END FROM step WHERE k < 8),
+  crc AS (SELECT list(c ORDER BY i) AS t FROM step WHERE k = 8),
+  d AS (SELECT doc_id, octet_length(encode(coalesce(text, ''))) + 8 AS size, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: CAST('0x' || h AS BIGINT)) AS bytes FROM documents),
+  s AS (SELECT doc_id, CAST(size AS BIGINT) AS size, CAST(xor(list_reduce(list_concat([4294967295::BIGINT], bytes), lambda a, x: xor(a >> 8, t[(xor(a, x) & 255) + 1])), 4294967295) AS BIGINT) AS text_crc32,
+        CAST((sum(size) OVER w - size) * 24 // sum(size) OVER () AS INT) AS shard FROM d, crc WINDOW w AS (ORDER BY doc_id NULLS FIRST ROWS UNBOUNDED PRECEDING))
+  SELECT doc_id, size, text_crc32, 'bytes' AS law, shard, row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST) - 1 AS slot, CAST(NULL AS INT) AS grown_shard FROM s"""
+
+#: The same components, from all pairs of documents that share a shingle.
+_COMPONENTS = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+  s AS (SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')] ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s FROM w),
+  n AS (SELECT doc_id, len(s) AS n FROM s),
+  e AS (SELECT doc_id, unnest(s) AS g FROM s),
+  p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+  l AS (SELECT p.a, p.b FROM p JOIN n x ON x.doc_id = p.a JOIN n y ON y.doc_id = p.b WHERE 100 * p.both >= 80 * (x.n + y.n - p.both)),
+  k AS MATERIALIZED (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+  r AS (SELECT doc_id AS node, doc_id AS least FROM n UNION SELECT k.b, r.least FROM r JOIN k ON r.node = k.a)
+  SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.least) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY ALL"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {}
+    """DuckDB SQL for what it can say. Learned rules and models, tokenizers, packing by search and Ogg are tested against brute force, round trips and held-out rows instead."""
+    return {"op2_histogram_sort": _SHARDS, "op5_ngram_join": _COMPONENTS}
