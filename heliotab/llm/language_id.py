@@ -9,8 +9,8 @@ from heliotab.llm.common import map_texts
 
 #: n-grams of 1 to 3 characters of the lower-cased text are hashed to so many features; one more, of weight 0, takes the padding.
 FEATURES = 1 << 16
-#: A language's documents in the training sample, as expected; languages that are learned, the most frequent ones.
-PER_LANGUAGE, LANGUAGES = 600, 200
+#: A language's documents in the training sample, as expected; training rows that a language must have to be learned. The model takes 0.26 MB a language.
+PER_LANGUAGE, LEAST_ROWS = 600, 10
 #: FTRL: learning rate, its smoothing, penalties, passes over the sample. SCALE: the sum of a document's feature values.
 ALPHA, BETA, L1, L2, PASSES, SCALE = 0.1, 1.0, 0.01, 0.001, 4, 64.0
 #: Code points that are looked up at once.
@@ -56,15 +56,19 @@ class Model:
         use = [i for i, x in enumerate(texts) if has_letter(x)] if self.languages else []
         names, scores = [UNKNOWN] * len(texts), [0.0] * len(texts)
         if use:
-            grams, starts, _ = ngram_features([texts[i] for i in use])
             total = np.zeros((len(use), self.table.shape[1]))
-            step = max(1024, SLICE * 4 // self.table.shape[1])
-            for a in range(0, len(grams[0]), step):
-                b = min(a + step, len(grams[0]))
-                first, last = np.searchsorted(starts, a, side="right") - 1, np.searchsorted(starts, b, side="left")
-                bounds = np.maximum(starts[first:last], a) - a
-                for g in grams:
-                    total[first:last] += np.add.reduceat(self.table[g[a:b]], bounds, axis=0)
+            some: list[tuple[int, str, int]] = []  # a text's place, a part of it, and how many n-grams begin in the part
+            size = 0
+            for k, i in enumerate(use):
+                low = texts[i].lower()
+                for a in range(0, len(low), SLICE):
+                    some.append((k, low[a : a + SLICE + 2], min(SLICE, len(low) - a)))
+                    size += some[-1][2]
+                    if size >= SLICE:
+                        self._add(total, some)
+                        some, size = [], 0
+            if some:
+                self._add(total, some)
             logits = (SCALE * total[:, :-1] / np.maximum(total[:, -1:], 1e-9) + self.bias) / self.temperature
             p = np.exp(logits - logits.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
@@ -73,6 +77,21 @@ class Model:
         return names, scores
 
 
+    def _add(self, total: np.ndarray, some: list[tuple[int, str, int]]) -> None:
+        """Adds the table's rows of the n-grams that begin in each part; two characters more are there for those that run over its end."""
+        grams, starts, _ = ngram_features([x for _, x, _ in some])
+        for (_, x, n), at in zip(some, starts.tolist()):
+            for g in grams:
+                g[at + n : at + len(x)] = FEATURES
+        step = max(1024, SLICE * 4 // self.table.shape[1])
+        for a in range(0, len(grams[0]), step):
+            b = min(a + step, len(grams[0]))
+            first, last = np.searchsorted(starts, a, side="right") - 1, np.searchsorted(starts, b, side="left")
+            bounds = np.maximum(starts[first:last], a) - a
+            for g in grams:
+                np.add.at(total, [k for k, _, _ in some[first:last]], np.add.reduceat(self.table[g[a:b]], bounds, axis=0))
+
+
 def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
     """In how many texts of all of `train` each feature is, and how many texts there are."""
 
@@ -104,12 +123,12 @@ def document_frequencies(train: DataFrame) -> tuple[np.ndarray, int]:
 
 
 def sample(train: DataFrame, counts: dict[str, int], key: Column) -> DataFrame:
-    """About PER_LANGUAGE rows of each language, by a hash of the key: all rows of a language with fewer. Returns lang, order, idx and n (the features and their counts as bytes)."""
+    """About PER_LANGUAGE rows of each language, by a hash of the key and the text: all rows of a language with fewer; of rows that repeat both, one. Returns lang, order, idx and n (the features and their counts as bytes)."""
     import itertools
 
     rate = F.element_at(F.create_map(*itertools.chain.from_iterable((F.lit(k), F.lit(min(1.0, PER_LANGUAGE / n))) for k, n in counts.items())), F.col("lang"))
-    order = F.xxhash64(key)
-    drawn = train.select("lang", "text", order.alias("order")).where(F.col("lang").isin(list(counts)) & (F.pmod("order", F.lit(1_000_000)) < rate * 1_000_000))
+    order = F.xxhash64(key, F.col("text"))
+    drawn = train.select("lang", "text", order.alias("order")).where(F.col("lang").isin(list(counts)) & (F.pmod("order", F.lit(1_000_000)) < rate * 1_000_000)).dropDuplicates(["lang", "order"])
 
     def setup():
         def each(texts):
@@ -172,9 +191,9 @@ def calibrate(logits: np.ndarray, y: np.ndarray) -> float:
 
 
 def fit(train: DataFrame, key: Column) -> Model:
-    """Learns from the columns text and lang. Document frequencies are over all rows; the weights come from a sample of about PER_LANGUAGE rows a language, a fifth of it kept for the temperature. Rows without text, letter or lang are left out; an empty table gives a model that knows no language."""
+    """Learns from the columns text and lang. Document frequencies are over all rows; the weights come from a sample of about PER_LANGUAGE rows a language, a fifth of it kept for the temperature. Every value of lang with LEAST_ROWS rows or more is learned; rows of rarer ones, and those without text, letter or lang, are left out; an empty table gives a model that knows no language."""
     train = train.where(F.col("lang").isNotNull() & F.col("text").isNotNull())
-    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
+    counts = {r["lang"]: r["n"] for r in train.groupBy("lang").agg(F.count("*").alias("n")).where(F.col("n") >= LEAST_ROWS).collect()}
     languages = sorted(counts)
     if not languages:
         return Model([], np.zeros((FEATURES + 1, 1), dtype=np.float32), np.zeros(0), 1.0)
@@ -197,7 +216,7 @@ def fit(train: DataFrame, key: Column) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """Columns in keep, lang_pred and score (0 to 1) of every row's whole text, and of nothing else. The model, whose size FEATURES and LANGUAGES bound, is broadcast."""
+    """Columns in keep, lang_pred and score (0 to 1) of every row's whole text, and of nothing else; repeated rows each give their row, an empty table gives none. The model, whose size FEATURES and the number of languages bound, is broadcast. A kept column with the name of one of those added makes the call ambiguous: rename it before."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_texts(docs, lambda: shared.value.predict, "lang_pred string, score double", *keep)
 

@@ -152,6 +152,18 @@ def test_language_slices_change_nothing():
     assert cut[0] == whole[0] and np.allclose(cut[1], whole[1], atol=1e-4)
 
 
+def test_rare_languages_are_learned_and_copies_are_bounded(spark, monkeypatch):
+    monkeypatch.setattr(language_id, "PER_LANGUAGE", 20)
+    many = [(i, f"{prose(i, 30)} common", "aa") for i in range(400)] + [(None, "one text with no id " * 5, "aa")] * 300
+    rare = [(1000 + i, " ".join("xyzqw"[(i + j) % 5] * 3 for j in range(60)), "zz") for i in range(12)] + [(2000, "seldom", "yy")] * 3
+    df = spark.createDataFrame(many + rare, "doc_id long, text string, lang string")
+    model = language_id.fit(df, F.col("doc_id"))
+    assert model.languages == ["aa", "zz"] and model.predict([rare[0][1]])[0] == ["zz"]
+    counts = {"aa": 700, "zz": 12}
+    drawn = language_id.sample(df, counts, F.col("doc_id")).groupBy("lang").count().collect()
+    assert {r["lang"]: r["count"] for r in drawn}["zz"] == 12 and {r["lang"]: r["count"] for r in drawn}["aa"] < 50
+
+
 def test_no_language_known(spark, docs):
     model = language_id.fit(docs.limit(0), F.col("doc_id"))
     assert {r["lang_pred"] for r in language_id.predict(docs, model, "doc_id").collect()} == {"und"}
