@@ -39,12 +39,12 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     best = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
     gone = rows.join(best, "class").where(~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))))
     gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
-    hashed = docs.withColumn("_hash", F.xxhash64("text"))
-    left = hashed.join(gone, hashed["doc_id"].eqNullSafe(F.col("gone_id")) & (hashed["_hash"] == F.col("gone_hash")), "left_anti")
+    keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+    left = keyed.join(gone, keyed["id"].eqNullSafe(F.col("gone_id")) & (keyed["hash"] == F.col("gone_hash")), "left_anti")
     if rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():  # repeated rows
-        blank = F.length(F.translate(F.coalesce("text", F.lit("")), " \t\n\x0b\f\r", "")) == 0
-        left = left.where(~blank).dropDuplicates(["doc_id", "_hash"]).unionByName(left.where(blank))
-    return left.select(*docs.columns)
+        blank = F.length(F.translate(F.coalesce("row.text", F.lit("")), " \t\n\x0b\f\r", "")) == 0
+        left = left.where(~blank).dropDuplicates(["id", "hash"]).unionByName(left.where(blank))
+    return left.select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
