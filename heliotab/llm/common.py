@@ -21,8 +21,10 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def with_checkpoint_dir(spark: SparkSession) -> None:
-    """Keeps the cluster's spark.checkpoint.dir; only where none is set (tests), a folder of this machine is used."""
+    """Keeps the cluster's spark.checkpoint.dir. Where none is set, a session in local mode (tests) uses a folder of this machine; on a cluster that is an error, since executors don't share such folders."""
     if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="heliotab-checkpoints-"))
 
 

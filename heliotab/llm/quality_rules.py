@@ -10,8 +10,8 @@ from heliotab.llm.common import materialised
 TRAINING_ROWS = 20_000
 #: Thresholds that are tried for a feature: these quantiles of the bad rows and of the others.
 QUANTILES = (0.0, 0.02, *(i / 10 for i in range(1, 10)), 0.98, 1.0)
-#: Rules at most, conditions a rule at most; what a rule must reach on the rows that it wasn't grown on, and how many bad rows it must cover there.
-RULES, CONDITIONS, PRECISION, COVERED = 8, 4, 0.9, 3
+#: What a rule must reach on the rows that it wasn't grown on, and how many bad rows it must cover there.
+PRECISION, COVERED = 0.9, 3
 #: The statistics that rules may test, each a double.
 FEATURES = ("words", "word_length", "symbols_per_100", "bangs_per_100", "bars_per_100", "upper_percent", "dup_lines_percent", "repeat_percent", "distinct_percent", "words_per_line")
 
@@ -121,11 +121,11 @@ def _counted(rows: DataFrame, thresholds: dict[str, list[float]]) -> tuple[int,
 
 
 def _grown(rows: DataFrame, thresholds: dict[str, list[float]]) -> Rule:
-    """Adds the condition of most FOIL gain until no good row is covered or none gains."""
+    """Adds the condition of most FOIL gain until no good row is covered or none gains; each takes rows away, so this ends."""
     from math import log2
 
     rule = Rule()
-    while len(rule.conditions) < CONDITIONS:
+    while True:
         bad, good, counts = _counted(rows.where(rule.expression()), thresholds)
         if not bad or not good:
             break
@@ -154,14 +154,14 @@ def _pruned(rule: Rule, rows: DataFrame) -> tuple[Rule, int, int]:
 
 
 def learn(training: DataFrame) -> list[Rule]:
-    """A decision list that finds bad rows, from FEATURES and `bad` (0 or 1). Two thirds of the rows grow each rule and one third prunes it; what a rule covers is taken out before the next. Ends at a rule that isn't precise enough. No rows or no bad ones: no rules."""
+    """A decision list that finds bad rows, from FEATURES and `bad` (0 or 1). Two thirds of the rows grow each rule and one third prunes it; what a rule covers is taken out before the next. Ends at the first rule that isn't precise enough or covers too few bad rows: each one before it covers COVERED bad rows or more of a bounded sample, so the list ends. No rows or no bad ones: no rules."""
     rows = materialised(training.select("bad", "doc_id", *FEATURES).repartition(8)).withColumn("_grow", F.pmod(F.xxhash64("doc_id", F.lit(7)), F.lit(3)) > 0)
     marks = rows.groupBy("bad").agg(*[F.percentile_approx(name, list(QUANTILES), 1000).alias(name) for name in FEATURES]).collect()
     thresholds = {name: sorted({t for r in marks for t in r[name]}) for name in FEATURES}
     rules: list[Rule] = []
     if not any(thresholds.values()):
         return rules
-    while len(rules) < RULES:
+    while True:
         left = rows.where(~F.coalesce(verdict(rules) > 0, F.lit(False)))
         rule = _grown(left.where("_grow"), thresholds)
         if not rule.conditions:

@@ -40,3 +40,48 @@ def test_stages(spark):
     packed = by_name[pipeline.STAGES[4][0]]
     assert packed.select("doc_id").distinct().count() == masked.count()
     assert packed.groupBy("sequence_id").agg(F.sum("length").alias("n")).where(f"n > {pipeline.CAPACITY}").count() == 0
+
+
+ODD = {
+    "empty": [],
+    "nulls": [(None, None, None, None, None)] * 5,
+    "blanks": [(i, " \n\t " * (i % 3), "en", "web", 5) for i in range(50)],
+}
+
+
+@pytest.mark.parametrize("kind", list(ODD))
+def test_odd_tables(kind, spark, tmp_path):
+    docs = spark.createDataFrame(ODD[kind], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    spark.createDataFrame([(1, 0, 0), (None, None, None)], "doc_id long, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    assert pipeline.run(spark, str(tmp_path)).count() == 0  # the base rejects texts without words
+    for name, stage in pipeline.STAGES[1:]:
+        out = pipeline.written(stage(spark, docs, str(tmp_path)), name)
+        if name == "language ID":
+            assert out.count() == 0
+        else:  # texts without words are like no other, hold no secret, and are one token each
+            assert out.count() == len(ODD[kind])
+            if name == "best-fit packing" and ODD[kind]:
+                assert out.select("sequence_id").distinct().count() == 1
+
+
+def test_columns_with_the_names_of_our_own(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(60)
+    names = ("_row", "row", "id", "hash", "_hash", "gone_id", "gone_hash", "redacted", "redacted_text", "others", "kept", "rule", "n_words", "lang_pred", "score", "node", "class", "length", "piece", "token")
+    more = docs.select("*", *[F.col("doc_id").alias(x) for x in names])
+    now, plain = more, docs
+    for name, stage in pipeline.STAGES[:-1]:
+        now, plain = (pipeline.written(stage(spark, x, SF), name) for x in (now, plain))
+        assert now.columns == more.columns, name
+        got = [tuple(r) for r in now.collect()]
+        assert sorted(r[0] for r in got) == sorted(r[0] for r in plain.select("doc_id").collect()), name
+        assert all(set(r[len(docs.columns) :]) == {r[0]} for r in got), name
+    assert pipeline.STAGES[-1][1](spark, now, SF).select("doc_id").distinct().count() == plain.count()
+
+
+def test_run_is_the_stages(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in pipeline.STAGES:
+        docs = pipeline.written(stage(spark, docs, SF), name)
+    key = ("doc_id", "piece", "start", "length", "ids_crc32")
+    assert sorted(tuple(r) for r in pipeline.run(spark, SF).select(*key).collect()) == sorted(tuple(r) for r in docs.select(*key).collect())

@@ -68,7 +68,7 @@ def test_rules_are_learned_and_spare_clean_texts(spark):
     docs = spark.createDataFrame(good + bad, "doc_id long, text string")
     labels = spark.createDataFrame([(i, int(i < 200), 0) for i in range(320)] + [(None, 0, 0), (3, None, 0)], "doc_id long, quality int, toxic int")
     rules = quality_rules.fit(docs, labels)
-    assert 1 <= len(rules) <= quality_rules.RULES and all(r.conditions for r in rules)
+    assert rules and all(r.conditions for r in rules)
     kept = {r["doc_id"] for r in quality_rules.assess(docs, rules, "doc_id").where("kept").collect()}
     assert set(range(200)) <= kept and len(kept) <= 203
     assert quality_rules.fit(docs, labels.limit(0)) == [] and quality_rules.fit(docs.limit(0), labels) == []
