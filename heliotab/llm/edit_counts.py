@@ -12,8 +12,8 @@ from heliotab.llm.common import map_texts
 
 #: Code points behind its end that can decide on a pre-token: the two letters of a contraction, and one for white space.
 LOOK = 3
-#: Pre-tokens a leaf; distinct pre-tokens whose counts a worker remembers.
-LEAF, MEMORY = 64, 500_000
+#: Pre-tokens a leaf at first; a leaf of more than GROWN times as many makes the tree anew. Distinct pre-tokens whose counts a worker remembers.
+LEAF, GROWN, MEMORY = 64, 8, 500_000
 
 
 class Counter:
@@ -45,7 +45,7 @@ def _loaded(ranks_path: str) -> Counter:
 
 
 class Tree:
-    """A text as leaves of up to LEAF pre-tokens (about that many once edits have split and joined some), with sums of code points and tokens in a complete binary tree above them."""
+    """A text as leaves of LEAF pre-tokens, with sums of code points and tokens in a complete binary tree above them. Edits keep the number of leaves, which may grow or become empty, and update the sums on the paths above those that they touch; only when a leaf has become GROWN times as large, after at least as many insertions, is the tree made anew."""
 
     def __init__(self, text: str, counter: Counter):
         self.counter = counter
@@ -92,7 +92,7 @@ class Tree:
         """Code points start to stop are replaced. Positions beyond the text count as its end."""
         stop = min(max(stop, 0), self.length)
         start = min(max(start, 0), stop)
-        if not self.leaves:
+        if not self.length:
             self._build(self._leaves(self.counter.cut.findall(new)))
             return
         first, at = self.find(max(0, start - LOOK))
@@ -107,7 +107,10 @@ class Tree:
             old = [p for leaf, _ in self.leaves[first : last + 1] for p in leaf][kept:]
             text = "".join(old)
             fresh = text[: start - at] + new + text[stop - at :]
-            ahead = "".join(self.leaves[last + 1][0]) if last + 1 < len(self.leaves) else ""
+            ahead, behind = "", last + 1  # the next leaves, with LOOK code points or more if there are so many
+            while len(ahead) < LOOK and behind < len(self.leaves):
+                ahead += "".join(self.leaves[behind][0])
+                behind += 1
             ends, position = {}, at  # old boundaries behind the edit, where they are now
             for k, p in enumerate(old):
                 position += len(p)
@@ -124,25 +127,28 @@ class Tree:
                     break
             if met is not None or not ahead:
                 break
-            last = min(len(self.leaves) - 1, 2 * last - first + 1)
+            last = min(len(self.leaves) - 1, max(behind - 1, 2 * last - first + 1))
         met = len(old) if met is None else met
         old_counts = [c for _, leaf in self.leaves[first : last + 1] for c in leaf][kept:]
         self.encoded += len(made)
         self._replace(first, last, pre_tokens[:kept] + made + old[met:], counts[:kept] + self.counter.counts(made) + old_counts[met:])
 
     def _replace(self, first: int, last: int, pre_tokens: list[str], counts: list[int]) -> None:
-        parts = -(-len(pre_tokens) // (2 * LEAF))
-        step = -(-len(pre_tokens) // parts) if parts else 1
-        leaves = [(pre_tokens[i : i + step], counts[i : i + step]) for i in range(0, len(pre_tokens), step)]
-        if len(leaves) != last + 1 - first:
-            self._build(self.leaves[:first] + leaves + self.leaves[last + 1 :])
+        """Deals the pre-tokens to the leaves from first to last and updates the sums above these."""
+        step = -(-len(pre_tokens) // (last + 1 - first))
+        self.leaves[first : last + 1] = [(pre_tokens[i * step : (i + 1) * step], counts[i * step : (i + 1) * step]) for i in range(last + 1 - first)]
+        if step > GROWN * LEAF:
+            every = [[x for leaf in self.leaves for x in leaf[k]] for k in (0, 1)]
+            self._build([(every[0][i : i + LEAF], every[1][i : i + LEAF]) for i in range(0, len(every[0]), LEAF)])
             return
-        self.leaves[first : last + 1] = leaves
-        for k, (p, c) in enumerate(leaves):
-            node = self.size + first + k
+        nodes = range(self.size + first, self.size + last + 1)
+        for node in nodes:
+            p, c = self.leaves[node - self.size]
             self.sums[node] = sum(map(len, p)), sum(c)
-            while node > 1:
-                node //= 2
+        low, high = nodes[0], nodes[-1]
+        while low > 1:
+            low, high = low // 2, high // 2
+            for node in range(low, high + 1):
                 self.sums[node] = self.sums[2 * node] + self.sums[2 * node + 1]
 
 

@@ -507,6 +507,31 @@ def test_edits_give_the_counts_of_the_new_text(monkeypatch, leaf):
             assert tree.text() == text and tree.tokens == len(counter.encoding.encode_ordinary(text)) and tree.length == len(text)
 
 
+def test_many_insertions_grow_a_leaf(monkeypatch):
+    monkeypatch.setattr(edit_counts, "LEAF", 4)
+    counter = edit_counts.Counter(RANKS)
+    text, built = prose(3, 400), 0
+    tree = edit_counts.Tree(text, counter)
+    whole = tree._build
+
+    def build(leaves):
+        nonlocal built
+        built += 1
+        whole(leaves)
+
+    tree._build = build
+    for i in range(60):
+        new = f" inserted words {i}"
+        tree.edit(300, 300, new)
+        text = text[:300] + new + text[300:]
+        assert tree.text() == text and tree.tokens == len(counter.encoding.encode_ordinary(text))
+    assert 1 <= built <= 10
+    tree.edit(0, len(text), "")
+    assert tree.tokens == tree.length == 0
+    tree.edit(5, 9, "anew")
+    assert tree.text() == "anew"
+
+
 def test_an_edit_encodes_little_again():
     tree = edit_counts.Tree(prose(1, 20_000), edit_counts.Counter(RANKS))
     before = tree.encoded
