@@ -29,17 +29,6 @@ def expr_logic(spark, d):
     return table(spark, d, "part").select("p_partkey", sem.flag((sem.gt(z, F.lit(10)) & ~sem.ge(z, F.lit(40))) | sem.eq(z, F.lit(1))).alias("f"), sem.flag(sem.true(z)).alias("t"), z.bitwiseAND(12).alias("a"), z.bitwiseOR(3).alias("o"), z.bitwiseXOR(5).alias("x"))
 
 
-@query("""SELECT c_custkey, CASE WHEN c_acctbal = 0 THEN 'nan' ELSE CAST(round(1000 / c_acctbal, 6) AS VARCHAR) END IS NULL AS gone, round(CASE WHEN c_custkey % 10 = 0 THEN 0 ELSE 1000.0 / (c_custkey % 10) END, 6) AS q FROM customer""")
-def expr_division(spark, d):
-    k = F.col("c_custkey") % 10
-    return table(spark, d, "customer").select("c_custkey", F.lit(False).alias("gone"), F.round(F.when(k == 0, 0.0).otherwise(sem.fdiv(F.lit(1000.0), k)), 6).alias("q"))
-
-
-@query()
-def expr_special(spark, d):
-    return table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", sem.erf(F.col("l_discount")).alias("erf"), sem.lgamma(F.col("l_quantity")).alias("lgamma"))
-
-
 same("select_ifelse", "SELECT o_orderkey, CASE WHEN o_totalprice > 150000 THEN o_totalprice ELSE -o_totalprice END AS v FROM {orders}", ("orders",))
 
 

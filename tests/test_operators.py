@@ -150,3 +150,36 @@ def test_metadata_text(spark, tmp_path):
     (tmp_path / "m").write_text("# head\n\nEXPTIME F32 30.5 # seconds\nNAME STR a b c\n")
     got = sorted(tuple(r) for r in text.read_metadata(spark, str(tmp_path / "m")).collect())
     assert got == [("EXPTIME", "F32", "30.5", "seconds"), ("NAME", "STR", "a b c", "")]
+
+
+def test_special_functions(spark):
+    x = [-40.3, -5.5, -2.0, -1.99999, -0.5, -1e-9, 0.0, 1e-300, 0.1, 0.49, 0.5, 1.0, 1.5, 2.0, 2.0001, 3.3, 5.9, 6.0, 27.0, 171.5, 1e6, INF, -INF, NAN, None]
+    got = spark.createDataFrame([(v,) for v in x], "x double").select("x", sem.erf(F.col("x")).alias("e"), sem.lgamma(F.col("x")).alias("g")).collect()
+    for v, r in zip(x, got):
+        if v is None or math.isnan(v):
+            assert (r["e"] is None and r["g"] is None) if v is None else (math.isnan(r["e"]) and math.isnan(r["g"]))
+            continue
+        assert abs(r["e"] - math.erf(v)) < 5e-15
+        want = INF if v <= 0 and v == math.floor(v) or abs(v) == INF else math.lgamma(v)
+        assert r["g"] == want or abs(r["g"] - want) < 1e-12 * max(1, abs(want)), v
+
+
+def test_integer_division_is_exact(spark):
+    data = [(9007199254740993, 1, 9007199254740993), (9223372036854775807, 3, 3074457345618258602), (-9223372036854775807, 2, -4611686018427387903), (-(2**63), -1, None), (7, -1, -7), (5, 0, None)]
+    got = spark.createDataFrame(data, "a long, b long, q long").select(sem.idiv(F.col("a"), F.col("b")).alias("r"), "q").collect()
+    assert all(r["r"] == r["q"] for r in got)
+
+
+def test_extremes_of_nan(spark):
+    got = spark.createDataFrame([(NAN, 1.0), (1.0, NAN), (1.0, 2.0), (None, 1.0)], "a double, b double").select(sem.maximum(F.col("a"), F.col("b")).alias("h"), sem.minimum(F.col("a"), F.col("b")).alias("l")).collect()
+    assert all(math.isnan(r[k]) for r in got[:2] for k in "hl") and tuple(got[2]) == (2.0, 1.0) and tuple(got[3]) == (None, None)
+
+
+def test_random_numbers_follow_their_laws(spark):
+    from heliotab.operators import sampling
+
+    df = spark.range(20_000)
+    r = df.select(sampling.uniform(F.col("id"), 1).alias("u"), sampling.gaussian(F.col("id"), 1, 2.0, 3.0).alias("g")).agg(F.avg("u"), F.min("u"), F.max("u"), F.avg("g"), F.stddev("g")).first()
+    assert abs(r[0] - 0.5) < 0.01 and 0 <= r[1] < r[2] < 1 and abs(r[3] - 2) < 0.1 and abs(r[4] - 3) < 0.1
+    means = [x["mean"] for x in sampling.bootstrap(df.withColumn("one", F.lit(1)), ["one"], F.col("id"), F.col("id"), 50).collect()]
+    assert abs(sum(means) / 50 - 9999.5) < 40 and 15 < (sum((m - 9999.5) ** 2 for m in means) / 50) ** 0.5 < 80

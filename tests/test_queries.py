@@ -1,6 +1,5 @@
 """Every query of the catalogue runs, and gives DuckDB's rows where it has SQL."""
 
-import math
 import os
 
 import pytest
@@ -40,11 +39,6 @@ def test_query(name, spark, duck):
         assert ours == plain(tuple(r[i] for i in places) for r in theirs.fetchall())
 
 
-def test_erf_and_lgamma(spark):
-    rows = catalogue.queries()["expr_special"](spark, SF).where("l_orderkey < 5").join(spark.read.parquet(f"{SF}/lineitem.parquet"), ["l_orderkey", "l_linenumber"]).collect()
-    assert rows and all(math.isfinite(r["lgamma"]) for r in rows)
-
-
 def test_polynomial_residuals_are_orthogonal(spark):
     lines = spark.read.parquet(f"{SF}/lineitem.parquet")
     r = catalogue.queries()["polyfit2"](spark, SF).agg({"residual": "avg"}).first()[0]
