@@ -34,10 +34,10 @@ def tangent_plane(ra: Column, dec: Column, ra0: float, dec0: float) -> tuple[Col
 
 
 def to_sexagesimal(x: Column) -> Column:
-    """Degrees as [-]DD:MM:SS.ss."""
+    """Degrees as [-]DD:MM:SS.ss, with as many digits of degrees as there are."""
     c = F.round(F.abs(x) * 360000).cast("bigint")
     whole = lambda by: F.floor(c / by)
-    return F.concat(F.when(x < 0, "-").otherwise(""), F.lpad(whole(360000).cast("string"), 2, "0"), F.lit(":"), F.lpad((whole(6000) % 60).cast("string"), 2, "0"), F.lit(":"), F.lpad((whole(100) % 60).cast("string"), 2, "0"), F.lit("."), F.lpad((c % 100).cast("string"), 2, "0"))
+    return F.format_string("%s%02d:%02d:%02d.%02d", F.when(x < 0, "-").otherwise(""), whole(360000), whole(6000) % 60, whole(100) % 60, c % 100)
 
 
 def from_sexagesimal(s: Column) -> Column:

@@ -1,8 +1,9 @@
 """Grouping by bins of numbers."""
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from heliotab.functions import sem
+from heliotab.operators import ranks
 
 
 def bin_count(start: float, end: float, delta: float) -> int:
@@ -46,11 +47,17 @@ def accumulate(df: DataFrame, key: str, value: str, start: float, end: float, de
     return dense(summed, "bin", n, {"value": sem.NAN if mean else 0.0})
 
 
-def inner_mean(df: DataFrame, by: list[str], value: str, low: float = 0.25, high: float = 0.75) -> DataFrame:
-    """The mean of each group's sorted values from place low * n up to high * n. Groups are ranked by one sort each."""
-    w = Window.partitionBy(*by)
-    ranked = df.select(*by, F.col(value).alias("v")).withColumn("k", F.row_number().over(w.orderBy("v")) - 1).withColumn("n", F.count("*").over(w))
-    return ranked.where((F.col("k") >= F.floor(F.col("n") * low)) & (F.col("k") < F.greatest(F.floor(F.col("n") * high), F.floor(F.col("n") * low) + 1))).groupBy(*by).agg(F.avg("v").alias("value"))
+def inner_mean(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, value, used): the mean of each group's sorted finite values from place n / 4 up to 3 n / 4, rounded outwards."""
+    return ranks.window_mean(df, by, value, F.floor(F.col("n") * 0.25), F.ceil(F.col("n") * 0.75))
+
+
+def list_mean(df: DataFrame, by: list[str], value: str) -> DataFrame:
+    """(by, value, used): the mean of each group's sorted finite values from place n / 4 + 1/2 up to 3 n / 4 + 1/4, cut to whole places; of all, where there are two or three; a single value gives none."""
+    n = F.col("n")
+    few = n <= 3
+    found = ranks.window_mean(df, by, value, F.when(few, 0).otherwise(F.floor(n * 0.25 + 0.5)), F.when(n < 2, 0).when(few, n).otherwise(F.floor(n * 0.75 + 0.25)))
+    return found
 
 
 def gridify(df: DataFrame, x: str, y: str, z: str, x_axis: tuple[float, float, float], y_axis: tuple[float, float, float]) -> DataFrame:
@@ -65,5 +72,6 @@ def gridify(df: DataFrame, x: str, y: str, z: str, x_axis: tuple[float, float, f
 def grouped_by_edges(df: DataFrame, x: str, value: str, edges: list[float]) -> DataFrame:
     """(bin, n, mean, median) for each pair of neighbouring edges, both included, so a value on an edge counts twice. The edges are a literal array: no join."""
     pairs = F.array(*[F.struct(F.lit(i).alias("bin"), F.lit(float(a)).alias("a"), F.lit(float(b)).alias("b")) for i, (a, b) in enumerate(zip(edges, edges[1:]))])
-    hits = df.select(F.col(value).alias("v"), F.explode(F.filter(pairs, lambda p: F.col(x).between(p["a"], p["b"]))).alias("p"))
-    return hits.groupBy("p.bin").agg(F.count("*").alias("n"), F.avg("v").alias("mean"), F.percentile("v", 0.5).alias("median"))
+    hits = df.select(F.col(value).alias("v"), F.explode(F.filter(pairs, lambda p: F.col(x).between(p["a"], p["b"]))).alias("p")).select(F.col("p.bin").alias("bin"), "v")
+    means = hits.groupBy("bin").agg(F.count("*").alias("n"), F.avg("v").alias("mean"))
+    return means.join(ranks.quantiles(hits, ["bin"], "v", {"median": 0.5}), "bin", "left")

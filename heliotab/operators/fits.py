@@ -1,5 +1,9 @@
 """Fits whose sums come from one aggregation; only those come to the driver."""
 
+from functools import reduce
+from itertools import product
+from operator import mul
+
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -18,6 +22,11 @@ def powers_2d(x: Column, y: Column, order: int) -> list[Column]:
     return [F.pow(x, F.lit(float(i))) * F.pow(y, F.lit(float(j))) for j in range(order + 1) for i in range(order + 1 - j)]
 
 
+def powers_nd(x: list[Column], order: int) -> list[Column]:
+    """Products of powers of all coordinates, with exponents that sum to the order at most."""
+    return [reduce(mul, [F.pow(c, F.lit(float(k))) for c, k in zip(x, e)]) for e in product(range(order + 1), repeat=len(x)) if sum(e) <= order]
+
+
 def linear_fit(df: DataFrame, terms: list[Column], y: Column) -> list[float]:
     """Least-squares coefficients of the terms. Rows with a null or NaN don't count."""
     n = len(terms)
@@ -37,15 +46,31 @@ def applied(terms: list[Column], coefficients: list[float]) -> Column:
     return sum((t * c for t, c in zip(terms, coefficients)), F.lit(0.0))
 
 
-def interpolate(points: DataFrame, nodes: DataFrame, by: list[str], x: str, y: str, out: str) -> DataFrame:
-    """The points with `out`: linear between the nodes (by, x, y) around them, null outside. The nodes' x differ within a key. Both sides are merged in one window of each key; no pairs are made."""
+def projection_sql(rows: str, terms: list[str]) -> str:
+    """DuckDB SQL of the same fit, by projection on orthogonal terms: the rows, which have y, with `fitted`. For tests and oracles."""
+    out = [f"WITH b0 AS MATERIALIZED (SELECT *, {', '.join(f'CAST({t} AS DOUBLE) AS t{k}' for k, t in enumerate(terms))} FROM ({rows}))"]
+    for k in range(len(terms)):
+        less = "".join(f" - q{j} * (SELECT sum(t{k} * q{j}) / sum(q{j} * q{j}) FROM b{k})" for j in range(k))
+        out.append(f"b{k + 1} AS MATERIALIZED (SELECT *, t{k}{less} AS q{k} FROM b{k})")
+    n = len(terms)
+    fitted = " + ".join(f"q{k} * (SELECT sum(y * q{k}) / sum(q{k} * q{k}) FROM b{n})" for k in range(n))
+    return ", ".join(out) + f" SELECT *, {fitted} AS fitted FROM b{n}"
+
+
+def interpolate(points: DataFrame, nodes: DataFrame, by: list[str], x: str, y: str, out: str, extrapolate: bool = True) -> DataFrame:
+    """The points with `out`: linear between the nodes (by, x, y) around them; outside, on the line through the two outermost nodes (a single node's value everywhere), or null without `extrapolate`. The nodes' x differ within a key; a key without nodes has null. Both sides are merged in one window of each key; no pairs are made."""
     names = points.columns
-    at = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
-    both = points.withColumn("_node", F.lit(None).cast("struct<x:double,y:double>")).unionByName(nodes.select(*by, x, at.alias("_node")), allowMissingColumns=True)
-    w = Window.partitionBy(*by).orderBy(x)
-    before = F.last("_node", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
-    after = F.first("_node", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
-    found = both.select("*", before.alias("_a"), after.alias("_b")).where("_node IS NULL")
+    own = Window.partitionBy(*by).orderBy(x)
+    node = F.struct(F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+    nodes = nodes.select(*by, x, node.alias("_own")).select(*by, x, F.struct("_own", F.lag("_own").over(own).alias("before"), F.lead("_own").over(own).alias("after")).alias("_node"))
+    both = points.withColumn("_node", F.lit(None).cast(nodes.schema["_node"].dataType)).unionByName(nodes, allowMissingColumns=True)
+    before = F.last("_node", ignorenulls=True).over(own.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.first("_node", ignorenulls=True).over(own.rangeBetween(0, Window.unboundedFollowing))
+    found = both.select("*", before.alias("_left"), after.alias("_right")).where("_node IS NULL")
     a, b, v = F.col("_a"), F.col("_b"), F.col(x).cast("double")
-    value = F.when(a["x"] == b["x"], a["y"]).otherwise(a["y"] + (v - a["x"]) * (b["y"] - a["y"]) / (b["x"] - a["x"]))
-    return found.select(*names, value.alias(out))
+    if extrapolate:  # left of all nodes, the first two; right of all, the last two
+        ends = F.coalesce("_left._own", "_right._own").alias("_a"), F.when(F.col("_left").isNull(), F.coalesce("_right.after", "_right._own")).when(F.col("_right").isNull(), F.coalesce("_left.before", "_left._own")).otherwise(F.col("_right._own")).alias("_b")
+    else:
+        ends = F.col("_left._own").alias("_a"), F.col("_right._own").alias("_b")
+    value = F.when(a["x"] == b["x"], a["y"]).otherwise(a["y"] + (v - a["x"]) * (b["y"] - a["y"]) / F.when(a["x"] != b["x"], b["x"] - a["x"]))
+    return found.select("*", *ends).select(*names, value.alias(out))

@@ -5,6 +5,10 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from heliotab.functions import sky
 
 
+#: Degrees a side of the tiles that tell whether a position is in the catalogue's reach.
+TILE = 10.0
+
+
 def first_match(left: DataFrame, right: DataFrame, key: str, order: str, index: str) -> DataFrame:
     """Each left row with `index` of the first right row by `order` that has its key, or -1. The right side is reduced to one row a key before the join."""
     first = right.groupBy(key).agg(F.min_by(index, order).alias(index))
@@ -20,10 +24,10 @@ def band(left: DataFrame, right: DataFrame, x: str, y: str, radius: float) -> Da
 
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, x: str, y: str, radius: float, tie: str) -> DataFrame:
-    """For each left key the nearest right row strictly within the radius, the least `tie` among equals; left rows without one are absent."""
-    pairs = band(left, right, x, y, radius)
-    best = F.row_number().over(Window.partitionBy(key).orderBy(F.abs(F.col(x) - F.col(y)), tie))
-    return pairs.withColumn("_k", best).where("_k = 1").drop("_k")
+    """Each left row's key and x with `tie`, the number of the nearest right row strictly within the radius, the least among equals, or -1. The nearest is a minimum, combined before the shuffle."""
+    pairs = band(left.select(key, x), right.select(y, tie), x, y, radius)
+    best = pairs.groupBy(key).agg(F.min(F.struct(F.abs(F.col(x) - F.col(y)).alias("d"), tie)).alias("_m"))
+    return left.select(key, x).join(best, key, "left").select(key, x, F.coalesce(f"_m.{tie}", F.lit(-1)).alias(tie))
 
 
 def bracket(df: DataFrame, steps: DataFrame, by: list[str], x: str, at: str, value: str) -> DataFrame:
@@ -61,6 +65,11 @@ def sky_radius(left: DataFrame, right: DataFrame, radius_arcsec: float, a: tuple
 
 
 def sky_nearest(left: DataFrame, right: DataFrame, key: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str], tie: str) -> DataFrame:
-    """For each left key its nearest right row within the radius; the least `tie` among equals."""
-    pairs = sky_radius(left, right, radius_arcsec, a, b)
-    return pairs.withColumn("_k", F.row_number().over(Window.partitionBy(key).orderBy("arcsec", tie))).where("_k = 1").drop("_k")
+    """Each left row's key and position with `tie`, the number of its nearest right row within the radius, the least among equals, and `arcsec`. Without one, the number is -2, or -1 where the tile of TILE degrees that holds the position has no right row at all. The nearest is a minimum, combined before the shuffle; tiles of the sky are few and broadcast."""
+    pairs = sky_radius(left.select(key, *a), right.select(tie, *b), radius_arcsec, a, b)
+    best = pairs.groupBy(key).agg(F.min(F.struct("arcsec", tie)).alias("_m"))
+    tile = lambda ra, dec: (F.floor(F.pmod(F.col(ra), F.lit(360.0)) / TILE).alias("_ra"), F.least(F.floor((F.col(dec) + 90) / TILE), F.lit(int(180 / TILE) - 1)).alias("_dec"))
+    tiles = right.select(*tile(*b)).distinct().withColumn("_there", F.lit(True))
+    found = left.select(key, *a, *tile(*a)).join(best, key, "left").join(F.broadcast(tiles), ["_ra", "_dec"], "left")
+    missing = F.when(F.col("_there"), F.lit(-2)).otherwise(-1)
+    return found.select(key, *a, F.coalesce(f"_m.{tie}", missing).alias(tie), F.col("_m.arcsec").alias("arcsec"))

@@ -9,16 +9,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
 from heliotab.functions import sem
+from heliotab.operators import ranks
+from heliotab.operators.store import written
 
 
 def summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """n, total, mean, sigma, low, high, median, skewness and kurtosis of the finite values of each group."""
+    """n, total, mean, sigma, low, high, skewness, kurtosis, median, mode and binned_median of the finite values of each group; the last two are lower edges of bins, of which there are 1000 from low to high."""
     v = F.col(value)
-    return (
-        df.where(sem.is_finite(v))
-        .groupBy(*by)
-        .agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sigma"), F.min(v).alias("low"), F.max(v).alias("high"), F.percentile(v, 0.5).alias("median"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
-    )
+    sums = df.where(sem.is_finite(v)).groupBy(*by).agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sigma"), F.min(v).alias("low"), F.max(v).alias("high"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
+    out = ranks.join_groups(sums, ranks.quantiles(df, by, value, {"median": 0.5}), by, "left")
+    return ranks.join_groups(out, ranks.modes(df, by, value), by, "left")
 
 
 def clipped(df: DataFrame, by: list[str], value: str, nsigma: float = 3.0, passes: int = 3) -> DataFrame:
@@ -41,16 +41,20 @@ def weighted_mean(df: DataFrame, by: list[str], value: str, sigma: str) -> DataF
     return df.where(sem.is_finite(v) & sem.is_finite(F.col(sigma))).groupBy(*by).agg((F.sum(v * w) / F.sum(w)).alias("value"), (1 / F.sum(w)).alias("variance"))
 
 
-def irls(df: DataFrame, by: list[str], value: str, sigma: str, passes: int = 10) -> DataFrame:
-    """The mean with Cauchy weights 1 / (1 + d^2), d in sigmas from the last mean, after `passes` passes from the weighted mean on."""
+def irls(df: DataFrame, by: list[str], value: str, sigma: str, passes: int = 10, tolerance: float = 1e-4) -> DataFrame:
+    """The mean with Cauchy weights 1 / (1 + d^2), d in sigmas from the last mean, from the weighted mean on. A group ends where its mean changes by less than the tolerance times its size, all end after so many passes. Each pass is one aggregation, whose result, a row a group, is written to the shared folder."""
     v, s = F.col(value), F.col(sigma)
     rows = df.where(sem.is_finite(v) & (s > 0)).select(*by, v.alias("v"), s.alias("s"))
-    now = rows.groupBy(*by).agg((F.sum(F.col("v") / F.col("s") ** 2) / F.sum(1 / F.col("s") ** 2)).alias("value"))
+    now = written(rows.groupBy(*by).agg((F.sum(F.col("v") / F.col("s") ** 2) / F.sum(1 / F.col("s") ** 2)).alias("value")).withColumn("done", F.lit(False)))
     for _ in range(passes):
         d = (F.col("v") - F.col("value")) / F.col("s")
         w = 1 / (1 + d * d) / F.col("s") ** 2
-        now = rows.join(now, by).groupBy(*by).agg((F.sum(F.col("v") * w) / F.sum(w)).alias("value"))
-    return now
+        new = ranks.join_groups(rows, now.where("NOT done"), by).groupBy(*by).agg((F.sum(F.col("v") * w) / F.sum(w)).alias("new"))
+        ended = F.col("done") | (F.abs(F.col("new") - F.col("value")) < tolerance * F.abs(F.col("new")))
+        now = written(ranks.join_groups(now, new, by, "left").select(*by, F.coalesce("new", "value").alias("value"), ended.alias("done")))
+        if not now.where("NOT done").limit(1).count():
+            break
+    return now.select(*by, "value")
 
 
 def polynomial_fit(df: DataFrame, x: str, y: str, order: int, weight: str | None = None) -> list[float]:

@@ -42,27 +42,57 @@ def image_convolve(spark, d):
     return images.convolve(_image(spark, d, F.count("*").cast("double")), ["image"], kernel)
 
 
-@query("""WITH n AS (SELECT user_id, ts, max(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts)
-  SELECT event_id, round(CASE WHEN a.ts = b.ts THEN a.v ELSE a.v + (epoch_us(e.ts) - epoch_us(a.ts))::DOUBLE * (b.v - a.v) / (epoch_us(b.ts) - epoch_us(a.ts)) END, 6) AS level
-  FROM (SELECT * FROM events WHERE event_type <> 'purchase') e ASOF LEFT JOIN n a ON e.user_id = a.user_id AND e.ts >= a.ts ASOF LEFT JOIN n b ON e.user_id = b.user_id AND e.ts <= b.ts""")
-def interpolate(spark, d):
+_NODES = """WITH n AS (SELECT user_id, ts, max(value) AS v FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts),
+  m AS (SELECT *, epoch_us(ts) AS t, lag(epoch_us(ts)) OVER w AS bt, lag(v) OVER w AS bv, lead(epoch_us(ts)) OVER w AS nt, lead(v) OVER w AS nv FROM n WINDOW w AS (PARTITION BY user_id ORDER BY ts)),
+  e AS (SELECT event_id, epoch_us(e.ts) AS t, a.t AS t0, a.v AS v0, a.bt AS abt, a.bv AS abv, b.t AS bt, b.v AS bv, b.nt AS bnt, b.nv AS bnv FROM (SELECT * FROM events WHERE event_type <> 'purchase') e ASOF LEFT JOIN m a ON e.user_id = a.user_id AND e.ts >= a.ts ASOF LEFT JOIN m b ON e.user_id = b.user_id AND e.ts <= b.ts)"""
+
+
+def _nodes(spark, d):
     events = table(spark, d, "events").select("event_id", "user_id", "event_type", "value", F.unix_micros(F.col("ts").cast("timestamp")).alias("t"))
-    nodes = events.where("event_type = 'purchase'").groupBy("user_id", "t").agg(F.max("value").alias("v"))
-    found = fits.interpolate(events.where("event_type <> 'purchase'").select("event_id", "user_id", "t"), nodes, ["user_id"], "t", "v", "level")
-    return found.select("event_id", F.round("level", 6).alias("level"))
+    return events.where("event_type <> 'purchase'").select("event_id", "user_id", "t"), events.where("event_type = 'purchase'").groupBy("user_id", "t").agg(F.max("value").alias("v"))
+
+
+@query(f"""{_NODES} SELECT event_id, round(CASE WHEN t0 IS NULL AND bt IS NULL THEN NULL WHEN t0 = bt THEN v0 WHEN t0 IS NULL AND bnt IS NULL THEN bv WHEN bt IS NULL AND abt IS NULL THEN v0
+  WHEN t0 IS NULL THEN bv + (t - bt)::DOUBLE * (bnv - bv) / (bnt - bt) WHEN bt IS NULL THEN v0 + (t - t0)::DOUBLE * (abv - v0) / (abt - t0) ELSE v0 + (t - t0)::DOUBLE * (bv - v0) / (bt - t0) END, 4) AS level FROM e""")
+def interpolate(spark, d):
+    """Levels between purchases, and beyond the first and the last of them on the line through the outermost two."""
+    points, nodes = _nodes(spark, d)
+    return fits.interpolate(points, nodes, ["user_id"], "t", "v", "level").select("event_id", F.round("level", 4).alias("level"))
+
+
+@query(f"{_NODES} SELECT event_id, round(CASE WHEN t0 = bt THEN v0 ELSE v0 + (t - t0)::DOUBLE * (bv - v0) / (bt - t0) END, 6) AS level FROM e")
+def interpolate_inside(spark, d):
+    """The same without values outside."""
+    points, nodes = _nodes(spark, d)
+    return fits.interpolate(points, nodes, ["user_id"], "t", "v", "level", extrapolate=False).select("event_id", F.round("level", 6).alias("level"))
 
 
-@query()
+_U = "((2 * l_quantity - 51) / 49)"
+
+
+@query("SELECT l_orderkey, l_linenumber, round(fitted, 4) AS fitted FROM (" + fits.projection_sql("SELECT *, l_extendedprice AS y FROM lineitem", ["1.0", _U, f"2 * {_U} * {_U} - 1", f"4 * power({_U}, 3) - 3 * {_U}"]) + ")")
 def chebyshev_fit(spark, d):
     lines = table(spark, d, "lineitem")
     terms = fits.chebyshev_terms(F.col("l_quantity"), 1.0, 50.0, 3)
     c = fits.linear_fit(lines, terms, F.col("l_extendedprice"))
-    return lines.select("l_orderkey", "l_linenumber", fits.applied(terms, c).alias("fitted"))
+    return lines.select("l_orderkey", "l_linenumber", F.round(fits.applied(terms, c), 4).alias("fitted"))
+
+
+_TERMS_2D = ["1.0", "l_quantity", "l_quantity * l_quantity", "l_discount", "l_quantity * l_discount", "l_discount * l_discount"]
 
 
-@query()
+@query("SELECT l_orderkey, l_linenumber, round(fitted, 3) AS fitted FROM (" + fits.projection_sql("SELECT *, l_extendedprice AS y FROM lineitem", _TERMS_2D) + ")")
 def fit_2d(spark, d):
     lines = table(spark, d, "lineitem")
     terms = fits.powers_2d(F.col("l_quantity"), F.col("l_discount"), 2)
     c = fits.linear_fit(lines, terms, F.col("l_extendedprice"))
-    return lines.select("l_orderkey", "l_linenumber", fits.applied(terms, c).alias("fitted"))
+    return lines.select("l_orderkey", "l_linenumber", F.round(fits.applied(terms, c), 3).alias("fitted"))
+
+
+@query("SELECT l_orderkey, l_linenumber, round(fitted, 3) AS fitted FROM (" + fits.projection_sql("SELECT *, l_extendedprice AS y FROM lineitem", ["1.0", "l_quantity", "l_discount", "l_tax"]) + ")")
+def fit_3d(spark, d):
+    """A plane over three coordinates, and its values."""
+    lines = table(spark, d, "lineitem")
+    terms = fits.powers_nd([F.col("l_quantity"), F.col("l_discount"), F.col("l_tax")], 1)
+    c = fits.linear_fit(lines, terms, F.col("l_extendedprice"))
+    return lines.select("l_orderkey", "l_linenumber", F.round(fits.applied(terms, c), 3).alias("fitted"))

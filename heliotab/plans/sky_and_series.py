@@ -3,9 +3,9 @@
 from pyspark.sql import Window, functions as F
 
 from heliotab.functions import sky
-from heliotab.operators import joins, series, stats
+from heliotab.operators import joins, ranks, series, stats
 from heliotab.operators.calibrate import alternating_means
-from heliotab.plans.registry import query, same, table
+from heliotab.plans.registry import query, table
 
 
 @query("SELECT s_suppkey, c_custkey FROM supplier, customer WHERE abs(s_acctbal - c_acctbal) < 1.5")
@@ -13,9 +13,9 @@ def band_join(spark, d):
     return joins.band(table(spark, d, "supplier"), table(spark, d, "customer"), "s_acctbal", "c_acctbal", 1.5).select("s_suppkey", "c_custkey")
 
 
-@query("""SELECT s_suppkey, c_custkey FROM supplier, customer WHERE abs(s_acctbal - c_acctbal) < 20 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(s_acctbal - c_acctbal), c_custkey) = 1""")
+@query("""SELECT s_suppkey, coalesce(c_custkey, -1) AS c_custkey FROM supplier LEFT JOIN (SELECT s_suppkey, c_custkey FROM supplier, customer WHERE abs(s_acctbal - c_acctbal) < 4 QUALIFY row_number() OVER (PARTITION BY s_suppkey ORDER BY abs(s_acctbal - c_acctbal), c_custkey) = 1) USING (s_suppkey)""")
 def nearest_1d(spark, d):
-    return joins.nearest_within(table(spark, d, "supplier"), table(spark, d, "customer"), "s_suppkey", "s_acctbal", "c_acctbal", 20.0, "c_custkey").select("s_suppkey", "c_custkey")
+    return joins.nearest_within(table(spark, d, "supplier"), table(spark, d, "customer"), "s_suppkey", "s_acctbal", "c_acctbal", 4.0, "c_custkey").select("s_suppkey", "c_custkey")
 
 
 @query("""SELECT e.event_id, s.value AS state FROM events e ASOF LEFT JOIN (SELECT user_id, ts, max(value) AS value FROM events WHERE event_type = 'purchase' GROUP BY user_id, ts) s ON e.user_id = s.user_id AND e.ts >= s.ts""")
@@ -48,15 +48,21 @@ def sky_radius(spark, d):
     return joins.sky_radius(listed, stars, 18000.0, ("ra0", "dec0"), ("ra", "dec")).select("src", "id", F.round("arcsec", 3).alias("arcsec"))
 
 
-@query(f"SELECT src, id, round({_ARC}, 3) AS arcsec FROM {_LIST} l, {_STARS} s WHERE {_ARC} < 18000 QUALIFY row_number() OVER (PARTITION BY src ORDER BY {_ARC}, id) = 1")
+_NEAREST = f"""SELECT l.src, CASE WHEN id IS NOT NULL THEN id WHEN EXISTS (SELECT 1 FROM {_STARS} t WHERE floor(t.ra / 10) = floor(l.ra0 / 10) AND floor((t.dec + 90) / 10) = floor((l.dec0 + 90) / 10)) THEN -2 ELSE -1 END AS id, arcsec
+  FROM {_LIST} l LEFT JOIN (SELECT src, id, round({_ARC}, 3) AS arcsec FROM {_LIST} l, {_STARS} s WHERE {_ARC} < 7200 QUALIFY row_number() OVER (PARTITION BY src ORDER BY {_ARC}, id) = 1) m ON l.src = m.src"""
+
+
+@query(_NEAREST)
 def sky_nearest(spark, d):
+    """The nearest star of each position within two degrees, or -1 and -2."""
     listed, stars = _sky(spark, d)
-    return joins.sky_nearest(listed, stars, "src", 18000.0, ("ra0", "dec0"), ("ra", "dec"), "id").select("src", "id", F.round("arcsec", 3).alias("arcsec"))
+    return joins.sky_nearest(listed, stars, "src", 7200.0, ("ra0", "dec0"), ("ra", "dec"), "id").select("src", "id", F.round("arcsec", 3).alias("arcsec"))
 
 
-@query(f"""SELECT src, o_orderkey FROM (SELECT src, id FROM {_LIST} l, {_STARS} s WHERE {_ARC} < 18000 QUALIFY row_number() OVER (PARTITION BY src ORDER BY {_ARC}, id) = 1) JOIN orders ON o_custkey = id""")
+@query(f"SELECT src, id, o_orderkey FROM ({_NEAREST}) LEFT JOIN orders ON o_custkey = id")
 def sky_nearest_measures(spark, d):
-    return sky_nearest(spark, d).join(table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("id")), "id").select("src", "o_orderkey")
+    """All measures of the nearest star of each position, with the position's index; without a star, its code and no measure."""
+    return sky_nearest(spark, d).join(table(spark, d, "orders").select("o_orderkey", F.col("o_custkey").alias("id")), "id", "left").select("src", "id", "o_orderkey")
 
 
 @query(f"SELECT id, round(degrees(asin(sin(radians(dec)) * sin(radians(27.12825)) + cos(radians(dec)) * cos(radians(27.12825)) * cos(radians(ra - 192.85948)))), 6) AS b FROM {_STARS}")
@@ -71,11 +77,18 @@ def sky_density(spark, d):
     return stars.groupBy(F.floor(F.col("ra") / 30).alias("cell_ra"), F.floor((F.col("dec") + 90) / 30).alias("cell_dec")).agg(F.count("*").alias("n"))
 
 
-@query()
+def _words_of(x: str) -> str:
+    c = f"CAST(round(abs({x}) * 360000) AS BIGINT)"
+    return f"printf('%s%02d:%02d:%02d.%02d', CASE WHEN {x} < 0 THEN '-' ELSE '' END, {c} // 360000, {c} // 6000 % 60, {c} // 100 % 60, {c} % 100)"
+
+
+@query(f"SELECT id, {_words_of('dec')} AS dec_text, {_words_of('ra')} AS ra_text, TRUE AS back FROM {_STARS}")
 def sky_sexagesimal(spark, d):
+    """Positions as text, and whether the text reads as the position again."""
     _, stars = _sky(spark, d)
-    text = stars.withColumn("text", sky.to_sexagesimal(F.col("dec")))
-    return text.select("id", "text", F.round(sky.from_sexagesimal(F.col("text")) - F.col("dec"), 5).alias("off"))
+    text = stars.withColumn("dec_text", sky.to_sexagesimal(F.col("dec"))).withColumn("ra_text", sky.to_sexagesimal(F.col("ra")))
+    near = lambda t, x: F.abs(sky.from_sexagesimal(F.col(t)) - F.col(x)) < 2e-6
+    return text.select("id", "dec_text", "ra_text", (near("dec_text", "dec") & near("ra_text", "ra")).alias("back"))
 
 
 @query("""SELECT a.vec_id, b.vec_id AS nearest FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
@@ -108,10 +121,36 @@ def shift(spark, d):
 
 
 @query(f"""SELECT event_id, coalesce(lag(value) {_W}), last_value(value) {_W} ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)) AS rolled FROM events""")
-def roll(spark, d):
+def shift_roll(spark, d):
     return series.shift(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "rolled", 1, roll=True).select("event_id", "rolled")
 
 
+@query(f"""SELECT event_id, coalesce(lead(value) {_W}), first_value(value) {_W})) AS rolled FROM events""")
+def roll(spark, d):
+    return series.roll_first(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "rolled").select("event_id", "rolled")
+
+
+@query(f"SELECT event_id, row_number() {_W}) - 2 AS k FROM events QUALIFY row_number() {_W}) > 1")
+def pop_first(spark, d):
+    return series.pop_first(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "k").select("event_id", "k")
+
+
+@query("SELECT 0.5::DOUBLE AS v UNION ALL SELECT 2.0 UNION ALL SELECT s_acctbal FROM supplier")
+def list_append(spark, d):
+    """Values given as such, with a vector appended."""
+    return spark.createDataFrame([(0.5,), (2.0,)], "v double").unionByName(table(spark, d, "supplier").select(F.col("s_acctbal").alias("v")))
+
+
+@query(f"SELECT user_id, k // 7 AS bin, round(sum(value), 4) AS total, round(avg(value), 6) AS mean FROM (SELECT user_id, value, row_number() {_W}) - 1 AS k FROM events) GROUP BY ALL HAVING count(*) = 7")
+def bin_by_count(spark, d):
+    return series.bins_of(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", 7).select("user_id", "bin", F.round("total", 4).alias("total"), F.round("mean", 6).alias("mean"))
+
+
+@query("SELECT user_id, event_id AS x, value AS y FROM events WHERE event_id BETWEEN 100 AND 5000 QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY value DESC, event_id DESC) = 1")
+def peak(spark, d):
+    return series.peak(table(spark, d, "events"), ["user_id"], "event_id", "value", 100, 5000)
+
+
 @query(f"SELECT event_id, round(median(value) {_W} ROWS BETWEEN 2 PRECEDING AND 2 FOLLOWING), 6) AS m FROM events")
 def medfilt(spark, d):
     return series.median_filter(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "m", 2).select("event_id", F.round("m", 6).alias("m"))
@@ -122,19 +161,29 @@ def smooth(spark, d):
     return series.smooth(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", "s", [0.25, 0.5, 0.25]).select("event_id", F.round("s", 6).alias("s"))
 
 
-@query(f"SELECT event_id, value FROM (SELECT *, lag(value) {_W}) AS a, lead(value) {_W}) AS b FROM events) WHERE a < value AND b < value")
+@query(f"SELECT event_id, value FROM (SELECT *, lag(value) {_W}) AS a, lead(value) {_W}) AS b FROM events) WHERE a < value AND b < value AND value >= 40")
 def peaks(spark, d):
-    return series.peaks(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value").select("event_id", "value")
+    return series.peaks(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", 40.0).select("event_id", "value")
 
 
-@query(f"SELECT event_id, value > 50 AS rising FROM (SELECT *, lag(value > 50) {_W}) AS b FROM events) WHERE b <> (value > 50)")
+@query("SELECT event_id, value > 50 AS rising, round(a + (50 - v) * (event_id - a) / (value - v), 6) AS at FROM (SELECT *, lag(value) OVER w AS v, lag(event_id) OVER w AS a FROM events WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) WHERE (v > 50) <> (value > 50)")
 def transitions(spark, d):
-    return series.transitions(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], "value", 50.0).select("event_id", "rising")
+    """Where the series of each user crosses 50, between the events on either side."""
+    return series.transitions(table(spark, d, "events"), ["user_id"], ["event_id"], "value", 50.0, "event_id").select("event_id", "rising", F.round("at", 6).alias("at"))
 
 
-@query("SELECT event_id, least(greatest(value, 10), 60) AS v FROM events WHERE value >= 5")
+@query("WITH t AS (SELECT user_id, event_id, sum(value) OVER (PARTITION BY user_id ORDER BY event_id) AS y FROM events), u AS (SELECT *, lag(y) OVER w AS y0, lag(event_id) OVER w AS x0 FROM t WINDOW w AS (PARTITION BY user_id ORDER BY event_id)) SELECT user_id, round(min(x0 + (500 - y0) * (event_id - x0) / (y - y0)), 4) AS at FROM u WHERE y0 <= 500 AND y > 500 GROUP BY user_id")
 def threshold(spark, d):
-    return table(spark, d, "events").where("value >= 5").select("event_id", F.least(F.greatest("value", F.lit(10.0)), F.lit(60.0)).alias("v"))
+    """Where each user's running total reaches 500."""
+    rows = series.cumulative(table(spark, d, "events"), ["user_id"], ["event_id"], "value", "total")
+    return series.threshold(rows, ["user_id"], ["event_id"], "event_id", "total", 500.0).select("user_id", F.round("at", 4).alias("at"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 11 = 0 THEN -1 WHEN event_id % 13 = 0 THEN -2 WHEN value < 10 THEN 0 WHEN value > 60 THEN 99 ELSE value END::DOUBLE AS v FROM events")
+def clip(spark, d):
+    """Values outside of a range, infinities and NaN (planted by number) replaced."""
+    x = F.when(F.col("event_id") % 11 == 0, F.lit(float("inf"))).when(F.col("event_id") % 13 == 0, F.lit(float("nan"))).otherwise(F.col("value"))
+    return table(spark, d, "events").select("event_id", series.clip(x, 10.0, 0.0, 60.0, 99.0, -1.0, -2.0).alias("v"))
 
 
 @query("""SELECT user_id, round(sum(a), 6) AS integral FROM (SELECT user_id, x, (lead(x) OVER w - x) * (lead(value) OVER w + value) / 2 AS a FROM (SELECT *, event_id / 100.0::DOUBLE AS x FROM events) WINDOW w AS (PARTITION BY user_id ORDER BY x)) WHERE x BETWEEN 10 AND 80 GROUP BY user_id""")
@@ -149,19 +198,25 @@ def tgroup_sessions(spark, d):
     return series.time_groups(table(spark, d, "events"), ["user_id"], ["ts", "event_id"], gap).groupBy("user_id", "tgroup").agg(F.count("*").alias("n"))
 
 
-@query("SELECT event_id, ts, value, row_number() OVER (ORDER BY ts, event_id) AS k FROM events WHERE user_id = 7")
+@query("SELECT user_id, event_id, ts, value, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS k FROM events")
 def lightcurve(spark, d):
-    own = table(spark, d, "events").where("user_id = 7")
-    return own.select("event_id", "ts", "value", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint").alias("k"))
+    """The series of every user in its order."""
+    return table(spark, d, "events").select("user_id", "event_id", "ts", "value", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")).cast("bigint").alias("k"))
 
 
-@query()
+@query("""WITH RECURSIVE r AS (SELECT event_id / 10.0::DOUBLE AS t, value AS y FROM events), s AS (SELECT max(t) - min(t) AS span, avg(y) AS m, var_samp(y) AS v FROM r),
+  g(p) AS (SELECT 5.0::DOUBLE UNION ALL SELECT p * (1 + 0.1 * p / span) FROM g, s WHERE p * (1 + 0.1 * p / span) < 50),
+  a AS (SELECT p, 2 * pi() / p AS w, atan2(sum(sin(2 * 2 * pi() / p * t)), sum(cos(2 * 2 * pi() / p * t))) / 2 AS a FROM g, r GROUP BY p)
+  SELECT round(p, 6) AS period, round((power(sum((y - m) * cos(w * t - a)), 2) / sum(power(cos(w * t - a), 2)) + power(sum((y - m) * sin(w * t - a)), 2) / sum(power(sin(w * t - a), 2))) / (2 * any_value(v)), 5) AS power FROM a, r, s GROUP BY p""")
 def periodogram(spark, d):
     rows = table(spark, d, "events").select((F.col("event_id") / 10.0).alias("t"), "value")
-    return stats.period_search(rows, "t", "value", 5.0, 50.0)
+    return stats.period_search(rows, "t", "value", 5.0, 50.0).select(F.round("period", 6).alias("period"), F.round("power", 5).alias("power"))
 
 
-same("outer_quantiles", "SELECT event_type, round(percentile(value, 0.16), 6) AS low, round(percentile(value, 0.84), 6) AS high FROM {events} GROUP BY event_type", ("events",), "SELECT event_type, round(quantile_cont(value, 0.16), 6) AS low, round(quantile_cont(value, 0.84), 6) AS high FROM events GROUP BY event_type")
+@query("SELECT event_type, round(quantile_cont(value, 0.16), 6) AS low, round(quantile_cont(value, 0.84), 6) AS high FROM events GROUP BY event_type")
+def outer_quantiles(spark, d):
+    out = ranks.quantiles(table(spark, d, "events"), ["event_type"], "value", {"low": 0.16, "high": 0.84})
+    return out.select("event_type", F.round("low", 6).alias("low"), F.round("high", 6).alias("high"))
 
 
 def _alternating(passes: int) -> str:

@@ -1,9 +1,9 @@
 """Expressions, binning, distinct values, statistics and fits over columns."""
 
-from pyspark.sql import Window, functions as F
+from pyspark.sql import functions as F
 
 from heliotab.functions import sem
-from heliotab.operators import bins, stats
+from heliotab.operators import bins, fits, series, stats
 from heliotab.plans.registry import query, same, table
 
 
@@ -40,11 +40,9 @@ def create_sequence(spark, d):
 
 @query("""SELECT row_number() OVER (ORDER BY part, k) - 1 AS ordinal, k FROM (SELECT 0 AS part, s_suppkey AS k FROM supplier UNION ALL SELECT 1, n_nationkey FROM nation)""")
 def concat_vectors(spark, d):
-    first = table(spark, d, "supplier").select(F.col("s_suppkey").alias("k"))
-    second = table(spark, d, "nation").select(F.col("n_nationkey").cast("bigint").alias("k"))
-    count = first.count()
-    place = lambda df, base: df.withColumn("ordinal", (F.row_number().over(Window.orderBy("k")) - 1 + base).cast("bigint"))  # noqa: E731  two dimension tables
-    return place(first, 0).unionByName(place(second, count)).select("ordinal", "k")
+    first = table(spark, d, "supplier").select(F.lit(0).alias("part"), F.col("s_suppkey").alias("k"))
+    second = table(spark, d, "nation").select(F.lit(1).alias("part"), F.col("n_nationkey").cast("bigint").alias("k"))
+    return series.numbered(first.unionByName(second), ["part", "k"], "ordinal").select("ordinal", "k")
 
 
 @query("""SELECT o_orderkey, coalesce(c_acctbal, -4096) AS v FROM orders LEFT JOIN customer ON c_custkey = o_custkey * 2""")
@@ -81,10 +79,10 @@ def accum_mean(spark, d):
     return bins.accumulate(table(spark, d, "lineitem"), "l_quantity", "l_extendedprice", 0, 60, 5, mean=True).withColumn("value", F.round("value", 4))
 
 
-@query("""SELECT CAST(trunc(l_quantity) AS INT) AS q, round(avg(l_extendedprice), 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY trunc(l_quantity) ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY trunc(l_quantity)) AS n FROM lineitem) WHERE k >= floor(n * 0.25) AND k < greatest(floor(n * 0.75), floor(n * 0.25) + 1) GROUP BY q""")
+@query("""SELECT CAST(trunc(l_quantity) AS INT) AS q, round(avg(l_extendedprice), 4) AS value FROM (SELECT *, row_number() OVER (PARTITION BY trunc(l_quantity) ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY trunc(l_quantity)) AS n FROM lineitem) WHERE k >= floor(n * 0.25) AND k < ceil(n * 0.75) GROUP BY q""")
 def medacc(spark, d):
     rows = table(spark, d, "lineitem").select(sem.trunc(F.col("l_quantity")).cast("int").alias("q"), "l_extendedprice")
-    return bins.inner_mean(rows, ["q"], "l_extendedprice").withColumn("value", F.round("value", 4))
+    return bins.inner_mean(rows, ["q"], "l_extendedprice").select("q", F.round("value", 4).alias("value"))
 
 
 @query("""SELECT CAST(b.i AS INT) AS bin, count(*) AS n, round(avg(l_extendedprice), 4) AS mean, round(median(l_extendedprice), 4) AS median FROM (SELECT range AS i, 1 + 10 * range AS a, 11 + 10 * range AS z FROM range(0, 5)) b JOIN lineitem ON l_quantity BETWEEN a AND z GROUP BY b.i""")
@@ -99,17 +97,20 @@ def gridify(spark, d):
     return out.withColumn("value", F.round("value", 4))
 
 
-same("uniq_counts", "SELECT l_extendedprice AS v, count(*) AS n FROM {lineitem} GROUP BY l_extendedprice", ("lineitem",))
+same("uniq_counts", "SELECT l_extendedprice AS v, count(*) AS n FROM {lineitem} WHERE NOT isnan(l_extendedprice) AND abs(l_extendedprice) < double('inf') GROUP BY l_extendedprice ORDER BY v", ("lineitem",), "SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE isfinite(l_extendedprice) GROUP BY l_extendedprice ORDER BY v")
 same("uniqpair_counts", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM {lineitem} GROUP BY l_orderkey, l_linenumber", ("lineitem",))
 same("uniqpair_repeated", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM {lineitem} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1", ("lineitem",))
 same("distinct_values", "SELECT DISTINCT l_returnflag, l_linestatus FROM {lineitem}", ("lineitem",))
 same("cast_vectors", "SELECT p_partkey, CAST(p_size AS DOUBLE) AS d, CAST(p_partkey AS INT) AS i, CAST(p_size AS STRING) AS s FROM {part}", ("part",), "SELECT p_partkey, CAST(p_size AS DOUBLE) AS d, CAST(p_partkey AS INT) AS i, CAST(p_size AS VARCHAR) AS s FROM part")
 
 
-@query("""SELECT l_returnflag, count(*) AS n, round(sum(l_extendedprice), 2) AS total, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS sigma, min(l_extendedprice) AS low, max(l_extendedprice) AS high, round(median(l_extendedprice), 4) AS median, round(kurtosis_pop(l_extendedprice), 6) AS kurtosis FROM lineitem GROUP BY l_returnflag""")
+@query("""WITH s AS (SELECT l_returnflag AS f, count(*) AS n, round(sum(l_extendedprice), 2) AS total, round(avg(l_extendedprice), 4) AS mean, round(stddev_samp(l_extendedprice), 4) AS sigma, min(l_extendedprice) AS low, max(l_extendedprice) AS high, round(median(l_extendedprice), 4) AS median, round(kurtosis_pop(l_extendedprice), 6) AS kurtosis FROM lineitem GROUP BY l_returnflag),
+  b AS (SELECT f, CAST(least(floor((l_extendedprice - low) / ((high - low) / 1000)), 999) AS INT) AS bin, count(*) AS m FROM lineitem JOIN s ON l_returnflag = f GROUP BY ALL),
+  m AS (SELECT f, bin FROM b QUALIFY row_number() OVER (PARTITION BY f ORDER BY m DESC, bin) = 1)
+  SELECT f AS l_returnflag, n, total, mean, sigma, low, high, median, kurtosis, round(low + bin * (high - low) / 1000, 6) AS mode FROM s JOIN m USING (f)""")
 def vstats(spark, d):
     out = stats.summary(table(spark, d, "lineitem"), ["l_returnflag"], "l_extendedprice")
-    return out.select("l_returnflag", "n", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"), F.round("sigma", 4).alias("sigma"), "low", "high", F.round("median", 4).alias("median"), F.round("kurtosis", 6).alias("kurtosis"))
+    return out.select("l_returnflag", "n", F.round("total", 2).alias("total"), F.round("mean", 4).alias("mean"), F.round("sigma", 4).alias("sigma"), "low", "high", F.round("median", 4).alias("median"), F.round("kurtosis", 6).alias("kurtosis"), F.round("mode", 6).alias("mode"))
 
 
 @query("""WITH p1 AS (SELECT event_type, avg(value) m, stddev_samp(value) s FROM events GROUP BY event_type),
@@ -127,22 +128,23 @@ def wtmean(spark, d):
     return out.select("l_returnflag", F.round("value", 4).alias("value"), F.round("variance", 9).alias("variance"))
 
 
-_PASS = "SELECT r.f, sum(v / (1 + power((v - m) / s, 2)) / (s * s)) / sum(1 / (1 + power((v - m) / s, 2)) / (s * s)) AS m FROM r JOIN {0} USING (f) GROUP BY r.f"
+#: A pass: groups that have ended keep their value.
+_PASS = "SELECT f, CASE WHEN d THEN m ELSE x END AS m, d OR abs(x - m) < 1e-4 * abs(x) AS d FROM (SELECT r.f, any_value(m) AS m, any_value(d) AS d, sum(v / (1 + power((v - m) / s, 2)) / (s * s)) / sum(1 / (1 + power((v - m) / s, 2)) / (s * s)) AS x FROM r JOIN {0} USING (f) GROUP BY r.f)"
 
 
 @query(
-    "WITH r AS (SELECT l_returnflag AS f, l_extendedprice AS v, l_quantity * 500 AS s FROM lineitem), p0 AS (SELECT f, sum(v / (s * s)) / sum(1 / (s * s)) AS m FROM r GROUP BY f), "
-    + ", ".join(f"p{k} AS ({_PASS.format(f'p{k - 1}')})" for k in range(1, 5))
-    + " SELECT f AS l_returnflag, round(m, 3) AS value FROM p4"
+    "WITH r AS (SELECT l_returnflag AS f, l_extendedprice AS v, l_quantity * 500 AS s FROM lineitem), p0 AS (SELECT f, sum(v / (s * s)) / sum(1 / (s * s)) AS m, FALSE AS d FROM r GROUP BY f), "
+    + ", ".join(f"p{k} AS MATERIALIZED ({_PASS.format(f'p{k - 1}')})" for k in range(1, 11))
+    + " SELECT f AS l_returnflag, round(m, 3) AS value FROM p10"
 )
 def virls(spark, d):
     rows = table(spark, d, "lineitem").select("l_returnflag", "l_extendedprice", (F.col("l_quantity") * 500).alias("s"))
-    return stats.irls(rows, ["l_returnflag"], "l_extendedprice", "s", 4).withColumn("value", F.round("value", 3))
+    return stats.irls(rows, ["l_returnflag"], "l_extendedprice", "s").withColumn("value", F.round("value", 3))
 
 
-@query("""SELECT l_suppkey, round(avg(v), 4) AS value FROM (SELECT l_suppkey, l_extendedprice AS v, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem) WHERE k >= floor(n * 0.25) AND k < greatest(floor(n * 0.75), floor(n * 0.25) + 1) GROUP BY l_suppkey""")
+@query("""SELECT l_suppkey, round(avg(v), 4) AS value FROM (SELECT l_suppkey, l_extendedprice AS v, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_extendedprice) - 1 AS k, count(*) OVER (PARTITION BY l_suppkey) AS n FROM lineitem) WHERE n > 1 AND k >= CASE WHEN n <= 3 THEN 0 ELSE floor(n * 0.25 + 0.5) END AND k < CASE WHEN n <= 3 THEN n ELSE floor(n * 0.75 + 0.25) END GROUP BY l_suppkey""")
 def liststats_inner(spark, d):
-    return bins.inner_mean(table(spark, d, "lineitem"), ["l_suppkey"], "l_extendedprice").withColumn("value", F.round("value", 4))
+    return bins.list_mean(table(spark, d, "lineitem"), ["l_suppkey"], "l_extendedprice").select("l_suppkey", F.round("value", 4).alias("value"))
 
 
 @query("""SELECT round(regr_slope(l_extendedprice, l_quantity), 5) AS slope, round(regr_intercept(l_extendedprice, l_quantity), 4) AS intercept FROM lineitem""")
@@ -151,8 +153,8 @@ def linfit(spark, d):
     return spark.createDataFrame([(round(b, 5), round(a, 4))], "slope double, intercept double")
 
 
-@query()
+@query("SELECT l_orderkey, l_linenumber, round(y - fitted, 4) AS residual FROM (" + fits.projection_sql("SELECT *, l_extendedprice AS y FROM lineitem", ["1.0::DOUBLE", "l_quantity", "l_quantity * l_quantity"]) + ")")
 def polyfit2(spark, d):
     lines = table(spark, d, "lineitem")
     c = stats.polynomial_fit(lines, "l_quantity", "l_extendedprice", 2)
-    return lines.select("l_orderkey", "l_linenumber", (F.col("l_extendedprice") - stats.apply_polynomial(F.col("l_quantity"), c)).alias("residual"))
+    return lines.select("l_orderkey", "l_linenumber", F.round(F.col("l_extendedprice") - stats.apply_polynomial(F.col("l_quantity"), c), 4).alias("residual"))

@@ -1,11 +1,10 @@
 """Streams of event files: windows, sessions, duplicates, and upkeep of means while events come in."""
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructField, StructType
 
+from heliotab.operators.store import shared_folder
+
 
 def event_stream(spark: SparkSession, path: str, files_per_trigger: int = 1) -> DataFrame:
     """The Parquet files that a pattern finds, as they come, with `ts` as an instant of the session's time zone; the schema is that of the files there."""
@@ -29,17 +28,10 @@ def once_each(events: DataFrame, keys: list[str], late: str) -> DataFrame:
     return events.withWatermark("ts", late).dropDuplicatesWithinWatermark(keys)
 
 
-def _shared_folder(spark: SparkSession) -> str:
-    """A new folder in spark.checkpoint.dir; only where none is set (tests), of this machine."""
-    if not spark.conf.get("spark.checkpoint.dir", None) and not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="heliotab-checkpoints-"))
-    return f"{spark.conf.get('spark.checkpoint.dir', None) or spark.sparkContext.getCheckpointDir()}/heliotab/{uuid.uuid4().hex}"
-
-
 def finished(stream: DataFrame, mode: str) -> DataFrame:
     """The result after all that is there has been read, from a Parquet table in the shared checkpoint folder; no row passes through the driver. In append mode each batch adds its rows, in complete mode each one replaces the table."""
     spark = stream.sparkSession
-    at = _shared_folder(spark)
+    at = shared_folder(spark)
     schema = StructType([StructField(f.name, f.dataType) for f in stream.schema])
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", f"{at}/state").trigger(availableNow=True)
     batches = []

@@ -32,5 +32,8 @@ def test_fits_find_the_coefficients(spark):
 def test_interpolate(spark):
     nodes = spark.createDataFrame([(1, 0.0, 0.0), (1, 10.0, 5.0), (1, 20.0, 1.0)], "k int, x double, y double")
     points = spark.createDataFrame([(1, -1.0), (1, 0.0), (1, 4.0), (1, 10.0), (1, 15.0), (1, 21.0), (2, 1.0)], "k int, x double")
-    got = {(r.k, r.x): r.v for r in fits.interpolate(points, nodes, ["k"], "x", "y", "v").collect()}
+    got = {(r.k, r.x): r.v for r in fits.interpolate(points, nodes, ["k"], "x", "y", "v", extrapolate=False).collect()}
     assert got == {(1, -1.0): None, (1, 0.0): 0.0, (1, 4.0): 2.0, (1, 10.0): 5.0, (1, 15.0): 3.0, (1, 21.0): None, (2, 1.0): None}
+    single = nodes.unionByName(spark.createDataFrame([(2, 0.0, 7.0)], nodes.schema))
+    got = {(r.k, r.x): r.v for r in fits.interpolate(points, single, ["k"], "x", "y", "v").collect()}
+    assert got[1, -1.0] == -0.5 and abs(got[1, 21.0] - 0.6) < 1e-12 and got[1, 15.0] == 3.0 and got[2, 1.0] == 7.0

@@ -60,12 +60,22 @@ def test_band_is_open_and_skips_nan(spark):
 def test_sky_over_the_pole_and_the_seam(spark):
     a = spark.createDataFrame([(1, 359.9999, 0.0), (2, 10.0, 89.9999), (3, 90.0, -45.0)], "src int, ra0 double, dec0 double")
     b = spark.createDataFrame([(7, 0.0001, 0.0), (8, 190.0, 89.9999), (9, 95.0, -45.0)], "id int, ra double, dec double")
-    got = sorted((r["src"], r["id"], round(r["arcsec"], 2)) for r in joins.sky_nearest(a, b, "src", 2.0, ("ra0", "dec0"), ("ra", "dec"), "id").collect())
-    assert got == [(1, 7, 0.72), (2, 8, 0.72)]
+    got = sorted((r["src"], r["id"], r["arcsec"] and round(r["arcsec"], 2)) for r in joins.sky_nearest(a, b, "src", 2.0, ("ra0", "dec0"), ("ra", "dec"), "id").collect())
+    assert got == [(1, 7, 0.72), (2, 8, 0.72), (3, -2, None)]
+    far = joins.sky_nearest(spark.createDataFrame([(4, 200.0, 5.0)], a.schema), b, "src", 2.0, ("ra0", "dec0"), ("ra", "dec"), "id").first()
+    assert far["id"] == -1
+
+
+def test_nearest_without_a_partner_is_minus_one(spark):
+    a = spark.createDataFrame([(1, 0.0), (2, 5.0), (3, NAN), (4, None)], "k int, x double")
+    b = spark.createDataFrame([(7, 1.0), (8, -0.5), (9, 0.5)], "t int, y double")
+    assert {r["k"]: r["t"] for r in joins.nearest_within(a, b, "k", "x", "y", 1.0, "t").collect()} == {1: 8, 2: -1, 3: -1, 4: -1}
 
 
 def test_sexagesimal(spark):
     df = spark.createDataFrame([(-0.5,), (12.582,), (89.99999999,)], "x double")
+    wide = spark.createDataFrame([(182.5,), (359.9,), (-123.0,)], "x double").select(sky.to_sexagesimal(F.col("x")).alias("s")).collect()
+    assert [r["s"] for r in wide] == ["182:30:00.00", "359:54:00.00", "-123:00:00.00"]
     got = df.select(sky.to_sexagesimal(F.col("x")).alias("s")).withColumn("x", sky.from_sexagesimal(F.col("s"))).collect()
     assert [r["s"] for r in got] == ["-00:30:00.00", "12:34:55.20", "90:00:00.00"] and abs(got[0]["x"] + 0.5) < 1e-9
 
@@ -88,12 +98,10 @@ def test_period_is_found(spark):
     assert abs(best["period"] - 15) < 0.5
 
 
-def test_period_between_coarse_grid_points_is_found(spark, tmp_path):
-    from heliotab.plans import catalogue
-
+def test_period_between_coarse_grid_points_is_found(spark):
     data = [(i, 3 + math.sin(2 * math.pi * i / 10 / 16.4) + i % 7 / 10) for i in range(10_001)]
-    spark.createDataFrame(data, "event_id long, value double").write.parquet(str(tmp_path / "events.parquet"))
-    got = {r["period"]: r["power"] for r in catalogue.queries()["periodogram"](spark, str(tmp_path)).collect()}
+    rows = spark.createDataFrame(data, "event_id long, value double").select((F.col("event_id") / 10.0).alias("t"), "value")
+    got = {r["period"]: r["power"] for r in stats.period_search(rows, "t", "value", 5.0, 50.0).collect()}
     grid = [5.0]
     while (p := grid[-1] * (1 + 0.1 * grid[-1] / 1000)) < 50:
         grid.append(p)
@@ -160,7 +168,7 @@ def test_special_functions(spark):
             assert (r["e"] is None and r["g"] is None) if v is None else (math.isnan(r["e"]) and math.isnan(r["g"]))
             continue
         assert abs(r["e"] - math.erf(v)) < 5e-15
-        want = INF if v <= 0 and v == math.floor(v) or abs(v) == INF else math.lgamma(v)
+        want = INF if abs(v) == INF or v <= 0 and v == math.floor(v) else math.lgamma(v)
         assert r["g"] == want or abs(r["g"] - want) < 1e-12 * max(1, abs(want)), v
 
 
@@ -183,3 +191,26 @@ def test_random_numbers_follow_their_laws(spark):
     assert abs(r[0] - 0.5) < 0.01 and 0 <= r[1] < r[2] < 1 and abs(r[3] - 2) < 0.1 and abs(r[4] - 3) < 0.1
     means = [x["mean"] for x in sampling.bootstrap(df.withColumn("one", F.lit(1)), ["one"], F.col("id"), F.col("id"), 50).collect()]
     assert abs(sum(means) / 50 - 9999.5) < 40 and 15 < (sum((m - 9999.5) ** 2 for m in means) / 50) ** 0.5 < 80
+
+
+def test_order_statistics_of_groups(spark):
+    import random
+
+    import numpy as np
+
+    from heliotab.operators import ranks
+
+    r = random.Random(1)
+    groups = {1: [r.gauss(0, 1) for _ in range(500)], 2: [5.0] * 300 + [r.choice([4.0, 6.0, 1e6]) for _ in range(50)], None: [3.0, 1.0], 3: [7.0]}
+    df = spark.createDataFrame([(g, v) for g, x in groups.items() for v in x] + [(1, NAN), (1, INF), (2, None), (4, NAN)], "g int, v double")
+    got = {x["g"]: x for x in ranks.quantiles(df, ["g"], "v", {"q1": 0.16, "m": 0.5, "top": 1.0}).collect()}
+    assert set(got) == set(groups)
+    for g, x in groups.items():
+        assert np.allclose([got[g]["q1"], got[g]["m"], got[g]["top"]], np.quantile(x, [0.16, 0.5, 1.0]), rtol=1e-12)
+    n = F.col("n")
+    inner = {x["g"]: (x["value"], x["used"]) for x in ranks.window_mean(df, ["g"], "v", F.floor(n * 0.25), F.ceil(n * 0.75)).collect()}
+    for g, x in groups.items():
+        part = sorted(x)[int(len(x) * 0.25) : math.ceil(len(x) * 0.75)]
+        assert inner[g][1] == len(part) and abs(inner[g][0] - sum(part) / len(part)) < 1e-9
+    assert {x["g"]: x["mode"] for x in ranks.modes(df, ["g"], "v").collect()}[3] == 7.0
+    assert ranks.quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).count() == 0
