@@ -1,5 +1,7 @@
 """Angles and positions on the sky, in degrees unless said otherwise."""
 
+import math
+
 from pyspark.sql import Column, functions as F
 
 #: The north pole of the Galaxy (right ascension, declination) and the galactic longitude of the celestial pole, J2000; fixed values.
@@ -25,9 +27,10 @@ def galactic(ra: Column, dec: Column) -> tuple[Column, Column]:
     return F.pmod(F.lit(GALACTIC_NODE) - F.degrees(turn), F.lit(360.0)), F.degrees(b)
 
 
-def tangent_plane(ra: Column, dec: Column, ra0: float, dec0: float) -> tuple[Column, Column]:
+def tangent_plane(ra: Column, dec: Column, ra0: Column | float, dec0: Column | float) -> tuple[Column, Column]:
     """Gnomonic projection about (ra0, dec0): standard coordinates in degrees; null on the far hemisphere."""
-    d, a, d0 = F.radians(dec), F.radians(ra - ra0), F.radians(F.lit(dec0))
+    ra0, dec0 = (x if isinstance(x, Column) else F.lit(x) for x in (ra0, dec0))
+    d, a, d0 = F.radians(dec), F.radians(ra - ra0), F.radians(dec0)
     depth = F.sin(d0) * F.sin(d) + F.cos(d0) * F.cos(d) * F.cos(a)
     over = F.when(depth > 0, depth)
     return F.degrees(F.cos(d) * F.sin(a) / over), F.degrees((F.cos(d0) * F.sin(d) - F.sin(d0) * F.cos(d) * F.cos(a)) / over)
@@ -44,3 +47,84 @@ def from_sexagesimal(s: Column) -> Column:
     """[-]DD:MM:SS.s as degrees; null for other text."""
     part = lambda k: F.regexp_extract(s, r"^\s*-?(\d+):(\d+):(\d+(?:\.\d*)?)\s*$", k).try_cast("double")
     return (part(1) + part(2) / 60 + part(3) / 3600) * F.when(F.ltrim(s).startswith("-"), -1.0).otherwise(1.0)
+
+
+#: The obliquity of the ecliptic at J2000, in degrees; a fixed value.
+OBLIQUITY = 23.4392911
+#: Arcseconds of Newcomb's precession angles for t centuries since J2000: coefficients of t, t^2 and t^3 of zeta, z and theta (IAU 1976); fixed values.
+PRECESSION = {"zeta": (2306.2181, 0.30188, 0.017998), "z": (2306.2181, 1.09468, 0.018203), "theta": (2004.3109, -0.42665, -0.041833)}
+#: Modified Julian date of the Unix epoch; Julian date of modified date 0; days of a Julian century; Julian date of J2000; fixed values.
+MJD_UNIX, JD_MJD, CENTURY, J2000 = 40587.0, 2400000.5, 36525.0, 2451545.0
+
+
+def _turned(lon: Column, lat: Column, tilt: float) -> tuple[Column, Column]:
+    """Longitude (0 to 360) and latitude after a turn by `tilt` degrees about the x axis."""
+    a, d, e = F.radians(lon), F.radians(lat), math.radians(tilt)
+    up = F.sin(d) * math.cos(e) - F.cos(d) * F.sin(a) * math.sin(e)
+    return F.pmod(F.degrees(F.atan2(F.sin(a) * F.cos(d) * math.cos(e) + F.sin(d) * math.sin(e), F.cos(a) * F.cos(d))), F.lit(360.0)), F.degrees(F.asin(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), up))))
+
+
+def ecliptic(ra: Column, dec: Column) -> tuple[Column, Column]:
+    return _turned(ra, dec, OBLIQUITY)
+
+
+def from_ecliptic(lon: Column, lat: Column) -> tuple[Column, Column]:
+    return _turned(lon, lat, -OBLIQUITY)
+
+
+def from_galactic(lon: Column, lat: Column) -> tuple[Column, Column]:
+    """Right ascension (0 to 360) and declination."""
+    b, a = F.radians(lat), F.radians(GALACTIC_NODE - lon)
+    pole = math.radians(GALACTIC_POLE_DEC)
+    d = F.asin(F.sin(b) * math.sin(pole) + F.cos(b) * math.cos(pole) * F.cos(a))
+    turn = F.atan2(F.cos(b) * F.sin(a), F.sin(b) * math.cos(pole) - F.cos(b) * math.sin(pole) * F.cos(a))
+    return F.pmod(F.degrees(turn) + GALACTIC_POLE_RA, F.lit(360.0)), F.degrees(d)
+
+
+def precessed(ra: Column, dec: Column, years: float) -> tuple[Column, Column]:
+    """Positions of the equinox of J2000 at that of so many years later."""
+    t = years / 100
+    zeta, z, theta = (math.radians(sum(c * t**k for k, c in enumerate(PRECESSION[x], 1)) / 3600) for x in ("zeta", "z", "theta"))
+    a, d = F.radians(ra) + zeta, F.radians(dec)
+    x = math.cos(theta) * F.cos(d) * F.cos(a) - math.sin(theta) * F.sin(d)
+    y = math.sin(theta) * F.cos(d) * F.cos(a) + math.cos(theta) * F.sin(d)
+    return F.pmod(F.degrees(F.atan2(F.cos(d) * F.sin(a), x) + z), F.lit(360.0)), F.degrees(F.asin(y))
+
+
+def mjd(ts: Column) -> Column:
+    """The modified Julian date of an instant."""
+    return F.unix_micros(ts.cast("timestamp")) / 86_400e6 + MJD_UNIX
+
+
+def from_mjd(day: Column) -> Column:
+    """The instant of a modified Julian date, to a microsecond."""
+    return F.timestamp_micros(F.round((day - MJD_UNIX) * 86_400e6).cast("bigint"))
+
+
+def julian_date(ts: Column) -> Column:
+    return mjd(ts) + JD_MJD
+
+
+def sidereal_hours(day: Column, longitude: float) -> Column:
+    """Mean sidereal time, in hours, of a Julian date at a longitude in degrees east."""
+    d = day - J2000
+    return F.pmod((280.46061837 + 360.98564736629 * d + longitude) / 15, F.lit(24.0))
+
+
+def altitude_azimuth(hour_angle: Column, dec: Column, latitude: float) -> tuple[Column, Column]:
+    """Altitude, and azimuth from north over east, of an hour angle in degrees."""
+    h, d, p = F.radians(hour_angle), F.radians(dec), math.radians(latitude)
+    up = F.sin(d) * math.sin(p) + F.cos(d) * math.cos(p) * F.cos(h)
+    return F.degrees(F.asin(up)), F.pmod(F.degrees(F.atan2(-F.cos(d) * F.sin(h), F.sin(d) * math.cos(p) - F.cos(d) * math.sin(p) * F.cos(h))), F.lit(360.0))
+
+
+def plane_sky(x: Column, y: Column, ra0: Column, dec0: Column) -> tuple[Column, Column]:
+    """The position of standard coordinates, in degrees, about (ra0, dec0): the inverse of tangent_plane."""
+    x, y, d0 = F.radians(x), F.radians(y), F.radians(dec0)
+    under = F.cos(d0) - y * F.sin(d0)
+    return F.pmod(ra0 + F.degrees(F.atan2(x, under)), F.lit(360.0)), F.degrees(F.atan2(F.sin(d0) + y * F.cos(d0), F.hypot(x, under)))
+
+
+def fields_of(ra: Column, dec: Column, degrees: float) -> Column:
+    """The name of the tile of so many degrees a side that holds a position."""
+    return F.format_string("r%03d.d%+03d", (F.floor(F.pmod(ra, F.lit(360.0)) / degrees) * degrees).cast("int"), (F.floor((dec + 90) / degrees) * degrees - 90).cast("int"))
