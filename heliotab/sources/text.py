@@ -1,6 +1,7 @@
 """Sources and sinks of vectors and of metadata text."""
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 
 def read_vectors(spark: SparkSession, path: str, schema: str, separator: str = ",", header: bool = False) -> DataFrame:
@@ -35,3 +36,26 @@ def read_metadata(spark: SparkSession, path: str) -> DataFrame:
     line = F.trim("value")
     part = lambda k: F.regexp_extract(line, r"^(\S+)\s+(\S+)\s*([^#]*?)\s*(?:#\s*(.*))?$", k)
     return spark.read.text(path).where((line != "") & ~line.startswith("#")).select(part(1).alias("name"), part(2).alias("type"), part(3).alias("value"), part(4).alias("comment"))
+
+
+def write_metadata(df: DataFrame, path: str) -> None:
+    """Rows (name, type, value, comment) as lines `NAME TYPE VALUE # COMMENT`."""
+    comment = F.when(F.coalesce("comment", F.lit("")) != "", F.concat(F.lit(" # "), "comment")).otherwise("")
+    df.select(F.concat("name", F.lit(" "), "type", F.lit(" "), F.coalesce("value", F.lit("")), comment).alias("value")).write.text(path)
+
+
+def read_xml(spark: SparkSession, path: str, row: str, schema: str) -> DataFrame:
+    """The elements named `row`, each a row."""
+    return spark.read.format("xml").option("rowTag", row).schema(schema).load(path)
+
+
+def write_xml(df: DataFrame, path: str, row: str) -> None:
+    df.write.format("xml").option("rowTag", row).option("rootTag", f"{row}s").save(path)
+
+
+def read_feed(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """Lines of fields between bars, with blanks around them; lines that begin with # are left out. Fields that don't fit their type are null."""
+    kinds = StructType.fromDDL(schema)
+    lines = spark.read.text(path).where((F.trim("value") != "") & ~F.ltrim("value").startswith("#"))
+    parts = F.split("value", r"\|")
+    return lines.select(*[F.trim(F.get(parts, i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(kinds)])
