@@ -65,7 +65,7 @@ def linear(df: DataFrame, by: list[str], terms: list[Column], y: Column, sigma:
         if clip is not None:
             known = known.where(F.abs(d) <= clip * F.col("sd") + 1e-12)
         weight = w / (1 + F.when(F.col("sd") > 0, d * d / (F.col("sd") * F.col("sd"))).otherwise(0.0)) if robust else w
-        now = _solved(_sums(known, by, n, weight), by, n)
+        now = _solved(_sums(known.where("c IS NOT NULL"), by, n, weight), by, n).unionByName(now.where("c IS NULL"))
     return now
 
 

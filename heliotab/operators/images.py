@@ -35,11 +35,11 @@ def convolve(df: DataFrame, by: list[str], kernel: dict[tuple[int, int], float],
     parts = F.array(*[F.struct(F.lit(-i).alias("i"), F.lit(-j).alias("j"), F.lit(float(k)).alias("k")) for (i, j), k in kernel.items()])
     sent = df.select(*by, "x", "y", "v", F.explode(parts).alias("p"))
     own = (F.col("p.i") == 0) & (F.col("p.j") == 0)
-    sums = sent.groupBy(*by, (F.col("x") + F.col("p.i")).alias("x"), (F.col("y") + F.col("p.j")).alias("y")).agg(F.sum(F.col("v") * F.col("p.k")).alias("s"), F.sum("p.k").alias("k"), F.max(own.cast("int")).alias("there"))
+    sums = sent.groupBy(*by, (F.col("x") + F.col("p.i")).alias("x"), (F.col("y") + F.col("p.j")).alias("y")).agg(F.sum(F.col("v") * F.col("p.k")).alias("_s"), F.sum("p.k").alias("_k"), F.max(own.cast("int")).alias("_there"))
     whole = float(sum(kernel.values()))
     if (0, 0) not in kernel:
-        return sums.join(df.select(*by, "x", "y"), [*by, "x", "y"], "left_semi").select(*by, "x", "y", (F.col("s") * whole / F.col("k") if normalise else F.col("s")).alias("v"))
-    return sums.where("there = 1").select(*by, "x", "y", (F.col("s") * whole / F.col("k") if normalise else F.col("s")).alias("v"))
+        return sums.join(df.select(*by, "x", "y"), [*by, "x", "y"], "left_semi").select(*by, "x", "y", (F.col("_s") * whole / F.col("_k") if normalise else F.col("_s")).alias("v"))
+    return sums.where("_there = 1").select(*by, "x", "y", (F.col("_s") * whole / F.col("_k") if normalise else F.col("_s")).alias("v"))
 
 
 def box(df: DataFrame, x: int, y: int, nx: int, ny: int, to_x: int | None = None, to_y: int | None = None) -> DataFrame:

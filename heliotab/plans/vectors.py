@@ -97,7 +97,17 @@ def gridify(spark, d):
     return out.withColumn("value", F.round("value", 4))
 
 
-same("uniq_counts", "SELECT l_extendedprice AS v, count(*) AS n FROM {lineitem} WHERE NOT isnan(l_extendedprice) AND abs(l_extendedprice) < double('inf') GROUP BY l_extendedprice ORDER BY v", ("lineitem",), "SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE isfinite(l_extendedprice) GROUP BY l_extendedprice ORDER BY v")
+def unique_counts(df, value: str):
+    """(v, n): the distinct finite values in order, with their counts."""
+    v = F.col(value)
+    return df.where(sem.is_finite(v)).groupBy(v.alias("v")).agg(F.count("*").alias("n")).orderBy("v")
+
+
+@query("SELECT l_extendedprice AS v, count(*) AS n FROM lineitem WHERE isfinite(l_extendedprice) GROUP BY l_extendedprice ORDER BY v")
+def uniq_counts(spark, d):
+    return unique_counts(table(spark, d, "lineitem"), "l_extendedprice")
+
+
 same("uniqpair_counts", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM {lineitem} GROUP BY l_orderkey, l_linenumber", ("lineitem",))
 same("uniqpair_repeated", "SELECT l_orderkey, l_linenumber, count(*) AS n FROM {lineitem} GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1", ("lineitem",))
 same("distinct_values", "SELECT DISTINCT l_returnflag, l_linestatus FROM {lineitem}", ("lineitem",))
