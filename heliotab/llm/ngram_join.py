@@ -24,8 +24,8 @@ MORE_ORDERS, SIGNATURE = 2, 8
 BUCKET_ROWS, MOST_SPLIT = 1024, 8192
 #: Ratio of the sizes in a range of sizes within which pairs are made.
 FINE = 1.02
-#: Nodes whose texts are fetched by a broadcast of their hashes; more are fetched by a shuffled join.
-BROADCAST_NODES = 1_000_000
+#: Rows of one or two longs that are broadcast, once they are counted, to join large tables; more are joined by a shuffle.
+BROADCAST_ROWS = 1_000_000
 
 _ODD = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0x85EBCA77C2B2AE63, 0x27D4EB2F165667C5], dtype=np.uint64)
 
@@ -174,8 +174,12 @@ def size_class(n: Column, ratio: float) -> Column:
     return F.floor(F.log(n.cast("double")) / float(np.log(ratio)) + 1e-9).cast("int")
 
 
+def few(rows: DataFrame) -> bool:
+    return rows.count() <= BROADCAST_ROWS
+
+
 def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
-    """(token, node, n, place, hot) of the first order's prefixes, with the size of the set and the token's place in it; a task gives each node once."""
+    """(token, node, detail) of the first order's prefixes; a task gives each node once. The detail packs, from the high bits on, the size of the set, the token's place in it, and whether the table of classes knows the token."""
 
     def run(batches):
         words, classes, known = Words(), shared.value, set()
@@ -192,27 +196,29 @@ def _prefix_rows(docs: DataFrame, shared) -> DataFrame:
             if tokens:
                 t, times = np.concatenate(tokens), list(map(len, tokens))
                 place = np.arange(len(t)) - np.repeat(np.cumsum(times) - times, times)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(t.view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), times)), pa.array(np.repeat(np.array(sizes, dtype=np.int32), times)), pa.array(place.astype(np.int32)), pa.array(classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0)],
-                    names=["token", "node", "n", "place", "hot"],
-                )
+                hot = classes[(t & np.uint64(SLOTS - 1)).astype(np.int64)] > 0
+                detail = np.repeat(np.array(sizes, dtype=np.int64), times) << 33 | place << 1 | hot
+                yield pa.RecordBatch.from_arrays([pa.array(t.view(np.int64)), pa.array(np.repeat(np.array(nodes, dtype=np.int64), times)), pa.array(detail)], names=["token", "node", "detail"])
 
-    return docs.select("text").mapInArrow(run, "token long, node long, n int, place int, hot boolean")
+    return docs.select("text").mapInArrow(run, "token long, node long, detail long")
 
 
 def _buckets(rows: DataFrame) -> DataFrame:
     """(bucket, node, n, place, rows) for each prefix shingle and pair of neighbouring size classes that more than one node has, with about the number of rows of the bucket. Rare shingles, of few rows each, are thinned out in a window first: a row goes unless the row before or behind it by size has the same class or a neighbouring one. The others may have many rows; for them all, sums are combined before the shuffle and joined. Near copies share many shingles; of buckets with the same nodes, told by sums of hashes (a node has as many rows in each of its buckets), that of the shingle which is first by the order stays: its places are the lowest in all sets."""
-    sized = rows.withColumn("size", size_class(F.col("n"), 100 / SIMILARITY))
+    n, place, hot = F.shiftright("detail", 33).cast("int"), F.shiftright("detail", 1).bitwiseAND(F.lit((1 << 32) - 1)).cast("int"), F.col("detail").bitwiseAND(F.lit(1)) == 1
+    size = size_class(n, 100 / SIMILARITY)
     at = Window.partitionBy("token").orderBy("size")
     beside = (F.lag("size").over(at) >= F.col("size") - 1) | (F.lead("size").over(at) <= F.col("size") + 1)
-    names = ("token", "node", "n", "place", "size")
-    rare = sized.where("NOT hot").withColumn("beside", beside).where("beside")
-    both = rare.select(*names).unionByName(sized.where("hot").select(*names))
-    dealt = materialised(both.select(F.explode(F.array(F.xxhash64("token", "size"), F.xxhash64("token", F.col("size") + 1))).alias("bucket"), "node", "n", "place"))
+    rare = rows.where(~hot).withColumn("size", size).withColumn("beside", beside).where("beside")
+    both = rare.select("token", "node", "detail").unionByName(rows.where(hot))
+    dealt = both.select(F.explode(F.array(F.xxhash64("token", size), F.xxhash64("token", size + 1))).alias("bucket"), "node", n.alias("n"), place.alias("place"))
+    dealt = materialised(dealt)
     h = F.xxhash64("node")
     halves = (F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
     several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows"), F.sum("place").alias("places"), *halves).where("first <> last")
     one = materialised(several.groupBy("first", "last", "rows", "high", "low").agg(F.min(F.struct("places", "bucket")).alias("m")).select("m.bucket", "rows"))
+    if few(one):
+        return dealt.join(F.broadcast(one), "bucket").dropDuplicates(["bucket", "node"])
     total = one.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     size = max(BUCKET_ROWS, total // MOST_SPLIT)
     split = F.broadcast(one.where(F.col("rows") > size))  # MOST_SPLIT rows at most
@@ -230,7 +236,7 @@ def _details(docs: DataFrame, wanted: DataFrame, shared) -> DataFrame:
     """(node, orders, tokens) of the texts whose hashes are wanted."""
     wanted = materialised(wanted.select("text_hash").distinct())
     keyed = docs.select("text", F.xxhash64("text").alias("text_hash"))
-    texts = keyed.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_NODES else wanted, "text_hash", "left_semi")
+    texts = keyed.join(F.broadcast(wanted) if few(wanted) else wanted, "text_hash", "left_semi")
     schema = StructType.fromDDL("node long, orders array<array<int>>, tokens array<long>")
     types = [to_arrow_type(f.dataType) for f in schema]
 
@@ -319,8 +325,10 @@ def _crossing(buckets: DataFrame, light: DataFrame, roots: DataFrame) -> DataFra
     counted = materialised(counted.where("first <> last AND lows > 0 AND ups > 0").select("cell", "lows", "ups"))
     size = max(BUCKET_ROWS, counted.agg(F.coalesce(F.sum(F.col("lows") + F.col("ups")), F.lit(0))).first()[0] // MOST_SPLIT)
     parts = lambda c: F.ceil(F.col(c) / size).cast("int")
-    split = F.broadcast(counted.where((F.col("lows") > size) | (F.col("ups") > size)).select("cell", parts("lows").alias("i"), parts("ups").alias("j")))  # 2 * MOST_SPLIT rows at most
-    known = dealt.join(split, "cell", "left").withColumn("i", F.coalesce("i", F.lit(1))).withColumn("j", F.coalesce("j", F.lit(1)))
+    counted = counted.select("cell", parts("lows").alias("i"), parts("ups").alias("j"))
+    split = F.broadcast(counted.where((F.col("i") > 1) | (F.col("j") > 1)).select("cell", F.greatest("i", "j").alias("parts")))  # 2 * MOST_SPLIT rows at most
+    dealt = dealt.join(split, "cell", "left").withColumn("part", F.pmod(F.xxhash64("node"), F.coalesce("parts", F.lit(1)))).drop("parts")
+    known = dealt.join(counted.withColumn("part", F.explode(F.sequence(F.lit(0), F.greatest("i", "j") - 1))), ["cell", "part"])
     known = known.join(light.select("node", F.struct("n", "signature").alias("x")), "node")
     every, mine = lambda c: F.explode(F.sequence(F.lit(0), F.col(c) - 1)), lambda c: F.pmod(F.xxhash64("node"), F.col(c))
     side = lambda df, k: df.select("cell", "p", "q", F.col("node").alias(k), F.col("root").alias(f"r{k}"), F.col("n").alias(f"n{k}"), F.col("place").alias(f"p{k}"), F.col("x").alias(f"x{k}"))
@@ -340,13 +348,23 @@ def near_duplicates(docs: DataFrame, *, id_column: str = "doc_id") -> tuple[Data
     found = materialised(sets(own))
     shared = docs.sparkSession.sparkContext.broadcast(class_table(found))
     buckets = materialised(_buckets(_prefix_rows(own, shared)))
-    copies = found.where("node IS NOT NULL").join(buckets.select("node").distinct(), "node", "left_semi")
-    light = materialised(copies.groupBy("node").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("wide").alias("wide"), F.min("text_hash").alias("text_hash")))
+    nodes = materialised(buckets.select("node").distinct())
+    seen, broadcast = found.where("node IS NOT NULL"), few(nodes)
+    if broadcast:
+        seen = seen.join(F.broadcast(nodes), "node", "left_semi")
+    light = seen.groupBy("node").agg(F.first("n").alias("n"), F.first("signature").alias("signature"), F.first("wide").alias("wide"), F.min("text_hash").alias("text_hash"))
+    light = materialised(light if broadcast else light.join(nodes, "node", "left_semi"))
     links = _linked(_stars(buckets, light), light, own, shared)
     crossing = _linked(_crossing(buckets, light, components(links)), light, own, shared)
     links = links.unionByName(crossing).distinct()
     roots = components(links)
-    rows = found.where("token IS NULL").select("id", "text_hash", "n", "node").join(roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
-    least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"))
-    out = rows.join(least, "class", "left").select(F.col("id").alias(id_column), "text_hash", F.col("n").cast("long").alias("n_shingles"), "node", "class", F.when(F.col("class").isNull(), F.col("id")).otherwise(F.col("least")).alias("component_id"))
+    rows = found.where("token IS NULL").select("id", "text_hash", "n", "node").join(F.broadcast(roots) if few(roots) else roots, "node", "left").withColumn("class", F.coalesce("root", "node"))
+    least = rows.where("class IS NOT NULL").groupBy("class").agg(F.min("id").alias("least"), F.count("*").alias("rows"))
+    least = materialised(least.where("rows > 1"))  # a row by itself has its own id
+    size = max(BUCKET_ROWS, least.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0] // MOST_SPLIT)
+    parts = F.ceil(F.col("rows") / size).cast("int")
+    split = F.broadcast(least.where(parts > 1).select("class", parts.alias("parts")))  # MOST_SPLIT rows at most
+    rows = rows.join(split, "class", "left").withColumn("part", F.when(F.col("parts").isNull(), 0).otherwise(F.pmod(F.xxhash64("id", "text_hash"), F.col("parts"))))
+    least = least.select("class", "least", F.lit(True).alias("several"), F.explode(F.sequence(F.lit(0), parts - 1)).alias("part"))
+    out = rows.join(least, ["class", "part"], "left").select(F.col("id").alias(id_column), "text_hash", F.col("n").cast("long").alias("n_shingles"), "node", "class", F.when(F.col("several"), F.col("least")).otherwise(F.col("id")).alias("component_id"))
     return out, links

@@ -343,14 +343,28 @@ def near_copies(seed):
     return out + ["", None, "A b", "a B", "  ", out[0].upper()]
 
 
-@pytest.mark.parametrize("seed", range(3))
-def test_near_duplicates(spark, seed):
+@pytest.mark.parametrize("seed,rows_a_task", [(0, 1024), (1, 4), (2, 1)])
+def test_near_duplicates(spark, seed, rows_a_task, monkeypatch):
+    monkeypatch.setattr(ngram_join, "BUCKET_ROWS", rows_a_task)
+    monkeypatch.setattr(ngram_join, "BROADCAST_ROWS", 1_000_000 if seed < 1 else 0)
     data = list(enumerate(near_copies(seed))) + [(None, near_copies(seed)[3]), (0, near_copies(seed)[0]), (None, "only here without an id at all")]
     df = spark.createDataFrame(data, "doc_id long, text string").withColumn("node", F.lit(1)).repartition(3)
     got = ngram_join.near_duplicates(df)[0]
     assert rows(got, "doc_id", "n_shingles", "component_id") == brute_components(data)
 
 
+def test_a_shared_passage_makes_no_pairs(spark, monkeypatch):
+    """Texts of a passage of 36 shingles and 5 of their own are no copies; 5 of the 41 come before any of the passage's, as many as a pair may miss."""
+    passage = prose("shared", 40)
+    data = [(i, f"{passage} {prose(f'own{i}', 5)}") for i in range(400)] + [(i, f"{passage} {prose(f'near{i % 7}', 3)} {'x' * (i % 3)}") for i in range(400, 440)]
+    made = []
+    crossing = ngram_join._crossing
+    monkeypatch.setattr(ngram_join, "_crossing", lambda *a: made.append(crossing(*a)) or made[0])
+    got = ngram_join.near_duplicates(spark.createDataFrame(data, "doc_id long, text string"))[0]
+    assert rows(got, "doc_id", "n_shingles", "component_id") == brute_components(data)
+    assert made[0].count() < 200
+
+
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert ngram_join.near_duplicates(empty)[0].count() == 0
