@@ -111,11 +111,11 @@ def delete_region(spark, d):
     return catalogue.without(_sky(spark, d)[1], F.col("ra").between(90, 180) & (F.col("dec") > 0)).select("id")
 
 
-@query("SELECT o_custkey AS id, CAST(count(*) AS BIGINT) AS n, round(avg(o_totalprice), 4) AS mean FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY o_custkey HAVING count(*) >= 3")
+@query("SELECT o_custkey AS id, CAST(count(*) AS BIGINT) AS n, round(avg(o_totalprice), 2) AS mean FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY o_custkey HAVING count(*) >= 3")
 def good_photometry(spark, d):
     """Objects with three good measures or more, averaged over these."""
     good = catalogue.without(table(spark, d, "orders"), (F.col("o_orderstatus") == "P") | (F.col("o_totalprice") <= 1000))
-    return good.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 4).alias("mean")).where("n >= 3")
+    return good.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean")).where("n >= 3")
 
 
 @query()

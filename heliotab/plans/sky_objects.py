@@ -158,7 +158,7 @@ def valid_calibration(spark, d):
     return found.where("c.at > ts - INTERVAL 30 DAYS").select("event_id", F.col("c.id").alias("calibration"))
 
 
-@query("WITH m AS (SELECT o_custkey, list(epoch_us(o_orderdate) / 86400e6 ORDER BY o_orderdate, o_orderkey) AS t, list(o_totalprice ORDER BY o_orderdate, o_orderkey) AS v FROM orders GROUP BY o_custkey HAVING count(*) = 3), s AS (SELECT o_custkey, (v[2] - v[1]) / (t[2] - t[1]) AS a, (v[3] - v[2]) / (t[3] - t[2]) AS b FROM m WHERE t[2] > t[1] AND t[3] > t[2]) SELECT o_custkey, round((a - b) / (a + b), 4) AS change, round((a + b) / 2, 4) AS slope FROM s WHERE abs(a + b) > 1e-9")
+@query("WITH m AS (SELECT o_custkey, list(epoch_us(o_orderdate) / 86400e6 ORDER BY o_orderdate, o_orderkey) AS t, list(o_totalprice ORDER BY o_orderdate, o_orderkey) AS v FROM orders GROUP BY o_custkey HAVING count(*) = 3), s AS (SELECT o_custkey, (v[2] - v[1]) / (t[2] - t[1]) AS a, (v[3] - v[2]) / (t[3] - t[2]) AS b FROM m WHERE t[2] > t[1] AND t[3] > t[2]) SELECT o_custkey, round((a - b) / (a + b), 4) AS change, round((a + b) / 2, 2) AS slope FROM s WHERE abs(a + b) > 1e-9")
 def slope_change(spark, d):
     """Objects with exactly three measures: how the slope changes between them, and the mean slope."""
     day = F.unix_micros(F.col("o_orderdate").cast("timestamp")) / 86_400e6
@@ -167,7 +167,7 @@ def slope_change(spark, d):
     middle = {"t": F.col("t") - F.col("p.t") - F.col("r.t"), "v": F.col("v") - F.col("p.v") - F.col("r.v")}
     s = three.select("o_custkey", (middle["t"] - F.col("p.t")).alias("u"), (F.col("r.t") - middle["t"]).alias("w"), (middle["v"] - F.col("p.v")).alias("x"), (F.col("r.v") - middle["v"]).alias("y")).where("u > 1e-9 AND w > 1e-9")
     s = s.select("o_custkey", (F.col("x") / F.col("u")).alias("a"), (F.col("y") / F.col("w")).alias("b")).where("abs(a + b) > 1e-9")
-    return s.select("o_custkey", F.round((F.col("a") - F.col("b")) / (F.col("a") + F.col("b")), 4).alias("change"), F.round((F.col("a") + F.col("b")) / 2, 4).alias("slope"))
+    return s.select("o_custkey", F.round((F.col("a") - F.col("b")) / (F.col("a") + F.col("b")), 4).alias("change"), F.round((F.col("a") + F.col("b")) / 2, 2).alias("slope"))
 
 
 _GRID = "(SELECT 5 * power(1.1, unnest(range(24))) AS p)"
