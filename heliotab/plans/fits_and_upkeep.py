@@ -96,13 +96,13 @@ def merge_catalogues(spark, d):
     return catalogue.merged(first, second, "id", "n", ["mag"], 18000.0, ("ra", "dec")).select("id", "n", F.round("mag", 6).alias("mag"))
 
 
-@query("SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, round(avg(o_totalprice), 2) AS mean FROM orders GROUP BY o_custkey")
+@query("SELECT o_custkey, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 2) AS total FROM orders GROUP BY o_custkey")
 def incremental_means(spark, d):
     """Means of the first half of all orders, brought up to date by those of the second: the same as over all."""
     orders = table(spark, d, "orders")
     old = orders.where("o_orderkey % 2 = 0").groupBy("o_custkey").agg(F.count("*").alias("n"), F.avg("o_totalprice").alias("mean"))
     out = catalogue.updated_means(old, orders.where("o_orderkey % 2 = 1"), "o_custkey", "n", "mean", "o_totalprice")
-    return out.select("o_custkey", "n", F.round("mean", 2).alias("mean"))
+    return out.select("o_custkey", "n", F.round(F.col("mean") * F.col("n"), 2).alias("total"))
 
 
 @query(f"SELECT s.id AS id FROM {_STARS} s WHERE NOT (s.ra BETWEEN 90 AND 180 AND s.dec > 0)")
@@ -111,11 +111,11 @@ def delete_region(spark, d):
     return catalogue.without(_sky(spark, d)[1], F.col("ra").between(90, 180) & (F.col("dec") > 0)).select("id")
 
 
-@query("SELECT o_custkey AS id, CAST(count(*) AS BIGINT) AS n, round(avg(o_totalprice), 2) AS mean FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY o_custkey HAVING count(*) >= 3")
+@query("SELECT o_custkey AS id, CAST(count(*) AS BIGINT) AS n, round(sum(o_totalprice), 2) AS total FROM orders WHERE o_orderstatus <> 'P' AND o_totalprice > 1000 GROUP BY o_custkey HAVING count(*) >= 3")
 def good_photometry(spark, d):
-    """Objects with three good measures or more, averaged over these."""
+    """Objects with three good measures or more, and the sums of these."""
     good = catalogue.without(table(spark, d, "orders"), (F.col("o_orderstatus") == "P") | (F.col("o_totalprice") <= 1000))
-    return good.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.avg("o_totalprice"), 2).alias("mean")).where("n >= 3")
+    return good.groupBy(F.col("o_custkey").alias("id")).agg(F.count("*").alias("n"), F.round(F.sum("o_totalprice"), 2).alias("total")).where("n >= 3")
 
 
 @query()

@@ -62,12 +62,12 @@ def sky_precess(spark, d):
     return _rounded(_stars(spark, d).select("id", ra.alias("ra"), dec.alias("dec")), 6, "ra", "dec")
 
 
-@query("SELECT event_id, round(epoch_us(ts) / 86400e6 + 40587.0, 7) AS mjd, round(epoch_us(ts) / 86400e6 + 2440587.5, 6) AS jd, TRUE AS back, round((280.46061837 + 360.98564736629 * (epoch_us(ts) / 86400e6 + 2440587.5 - 2451545.0) - 155.5) / 15 % 24, 5) AS lst FROM events")
+@query("SELECT event_id, CAST(floor((epoch_us(ts) / 86400e6 + 40587.0) * 86400 + 0.25) AS BIGINT) AS mjd, CAST(floor((epoch_us(ts) / 86400e6 + 2440587.5) * 86400 + 0.25) AS BIGINT) AS jd, TRUE AS back, round((280.46061837 + 360.98564736629 * (epoch_us(ts) / 86400e6 + 2440587.5 - 2451545.0) - 155.5) / 15 % 24, 5) AS lst FROM events")
 def sky_times(spark, d):
-    """Julian dates of events, whether they lead back, and sidereal time at 155.5 degrees west."""
+    """Julian dates of events, in whole seconds, whether they lead back, and sidereal time at 155.5 degrees west."""
     ts = F.col("ts").cast("timestamp")
     off = F.abs(F.unix_micros(sky.from_mjd(sky.mjd(ts))) - F.unix_micros(ts)) <= 10
-    return table(spark, d, "events").select("event_id", F.round(sky.mjd(ts), 7).alias("mjd"), F.round(sky.julian_date(ts), 6).alias("jd"), off.alias("back"), F.round(sky.sidereal_hours(sky.julian_date(ts), -155.5), 5).alias("lst"))
+    return table(spark, d, "events").select("event_id", F.floor(sky.mjd(ts) * 86400 + 0.25).alias("mjd"), F.floor(sky.julian_date(ts) * 86400 + 0.25).alias("jd"), off.alias("back"), F.round(sky.sidereal_hours(sky.julian_date(ts), -155.5), 5).alias("lst"))
 
 
 _H = "radians(ra - 180)"
