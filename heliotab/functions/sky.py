@@ -128,3 +128,30 @@ def plane_sky(x: Column, y: Column, ra0: Column, dec0: Column) -> tuple[Column,
 def fields_of(ra: Column, dec: Column, degrees: float) -> Column:
     """The name of the tile of so many degrees a side that holds a position."""
     return F.format_string("r%03d.d%+03d", (F.floor(F.pmod(ra, F.lit(360.0)) / degrees) * degrees).cast("int"), (F.floor((dec + 90) / degrees) * degrees - 90).cast("int"))
+
+
+def sun_vector(day: Column) -> tuple[Column, Column, Column]:
+    """The Sun's place as seen from the Earth, in astronomical units along the equatorial axes, to about 0.01 degrees, at a Julian date."""
+    n = day - J2000
+    g = F.radians(357.528 + 0.9856003 * n)
+    lon = F.radians(280.460 + 0.9856474 * n + 1.915 * F.sin(g) + 0.020 * F.sin(2 * g))
+    r = 1.00014 - 0.01671 * F.cos(g) - 0.00014 * F.cos(2 * g)
+    tilt = math.radians(OBLIQUITY)
+    return r * F.cos(lon), r * F.sin(lon) * math.cos(tilt), r * F.sin(lon) * math.sin(tilt)
+
+
+def parallax_factors(ra: Column, dec: Column, day: Column) -> tuple[Column, Column]:
+    """How far a star of unit parallax stands from its mean place along right ascension (on the sky) and declination."""
+    x, y, z = sun_vector(day)
+    a, d = F.radians(ra), F.radians(dec)
+    return y * F.cos(a) - x * F.sin(a), z * F.cos(d) - x * F.cos(a) * F.sin(d) - y * F.sin(a) * F.sin(d)
+
+
+def rotated(x: Column, y: Column, z: Column, axis: str, degrees: float) -> tuple[Column, Column, Column]:
+    """A vector turned about one of the axes, against the clock as seen from its end."""
+    c, s = math.cos(math.radians(degrees)), math.sin(math.radians(degrees))
+    if axis == "x":
+        return x, c * y - s * z, s * y + c * z
+    if axis == "y":
+        return c * x + s * z, y, c * z - s * x
+    return c * x - s * y, s * x + c * y, z

@@ -5,7 +5,9 @@ from itertools import product
 from operator import mul
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 
 def chebyshev_terms(x: Column, low: float, high: float, order: int) -> list[Column]:
@@ -74,3 +76,44 @@ def interpolate(points: DataFrame, nodes: DataFrame, by: list[str], x: str, y: s
         ends = F.col("_left._own").alias("_a"), F.col("_right._own").alias("_b")
     value = F.when(a["x"] == b["x"], a["y"]).otherwise(a["y"] + (v - a["x"]) * (b["y"] - a["y"]) / F.when(a["x"] != b["x"], b["x"] - a["x"]))
     return found.select("*", *ends).select(*names, value.alias(out))
+
+
+def _bends(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The second derivatives at the nodes of the natural cubic spline, by elimination along the three diagonals."""
+    n = len(x)
+    out = np.zeros(n)
+    if n < 3:
+        return out
+    h, slope = np.diff(x), np.diff(y) / np.diff(x)
+    upper, right = np.zeros(n - 2), np.zeros(n - 2)
+    for i in range(n - 2):
+        under = h[i] * upper[i - 1] if i else 0.0
+        pivot = 2 * (h[i] + h[i + 1]) - under
+        upper[i] = h[i + 1] / pivot
+        right[i] = (6 * (slope[i + 1] - slope[i]) - (h[i] * right[i - 1] if i else 0.0)) / pivot
+    for i in range(n - 3, -1, -1):
+        out[i + 1] = right[i] - upper[i] * out[i + 2]
+    return out
+
+
+def spline(points: DataFrame, nodes: DataFrame, by: list[str], x: str, y: str, out: str) -> DataFrame:
+    """The points with `out`: the natural cubic spline through the nodes (by, x, y), null outside. The nodes' x differ within a key. A key's nodes are fitted in one task; points are merged with them in one window of each key, as in interpolate()."""
+    names = [f"b{i}" for i in range(len(by))]
+    own = nodes.select(*[F.col(c).alias(b) for c, b in zip(by, names)], F.col(x).cast("double").alias("x"), F.col(y).cast("double").alias("y"))
+
+    def fitted(table: pa.Table) -> pa.Table:
+        table = table.sort_by("x")
+        bends = _bends(table.column("x").to_numpy(), table.column("y").to_numpy())
+        return table.append_column("m", pa.array(bends))
+
+    bent = own.groupBy(*names).applyInArrow(fitted, StructType([*own.schema, StructField("m", DoubleType())]))
+    w = Window.partitionBy(*by).orderBy(x)
+    both = points.withColumn("_node", F.lit(None).cast("struct<x:double,y:double,m:double>")).unionByName(bent.select(*[F.col(b).alias(c) for c, b in zip(by, names)], F.col("x").cast(points.schema[x].dataType).alias(x), F.struct("x", "y", "m").alias("_node")), allowMissingColumns=True)
+    before = F.last("_node", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, 0))
+    after = F.first("_node", ignorenulls=True).over(w.rangeBetween(0, Window.unboundedFollowing))
+    found = both.select("*", before.alias("_a"), after.alias("_b")).where("_node IS NULL")
+    a, b, v = F.col("_a"), F.col("_b"), F.col(x).cast("double")
+    h = F.when(b["x"] != a["x"], b["x"] - a["x"])
+    left, right = (b["x"] - v) / h, (v - a["x"]) / h
+    value = left * a["y"] + right * b["y"] + ((left * left * left - left) * a["m"] + (right * right * right - right) * b["m"]) * h * h / 6
+    return found.select(*points.columns, F.when(a["x"] == b["x"], a["y"]).otherwise(value).alias(out))

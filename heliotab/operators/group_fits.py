@@ -167,3 +167,13 @@ def nonlinear(df: DataFrame, by: list[str], x: Column, y: Column, shape: str, st
         if not state.where("NOT done").limit(1).count():
             break
     return state.select(*by, "p", "chi", "n")
+
+
+def motion_and_parallax(df: DataFrame, by: list[str], x: Column, y: Column, t: Column, factor_x: Column, factor_y: Column, sigma: Column | None = None, **options) -> DataFrame:
+    """(by, x0, mu_x, y0, mu_y, parallax, n, chi): positions along two axes as a start, a motion and a parallax that both share, by one least-squares fit; options as in linear(). n counts both coordinates of each row."""
+    zero = F.lit(0.0)
+    s = F.lit(1.0) if sigma is None else sigma
+    halves = [F.struct(v.cast("double").alias("v"), *[k.cast("double").alias(f"k{i}") for i, k in enumerate(terms)], s.cast("double").alias("s")) for v, terms in ((x, (F.lit(1.0), t, zero, zero, factor_x)), (y, (zero, zero, F.lit(1.0), t, factor_y)))]
+    rows = df.select(*by, F.explode(F.array(*halves)).alias("h")).select(*by, "h.*")
+    out = linear(rows, by, [F.col(f"k{i}") for i in range(5)], F.col("v"), sigma=F.col("s"), **options)
+    return out.select(*by, *[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(("x0", "mu_x", "y0", "mu_y", "parallax"))], "n", "chi")

@@ -168,3 +168,12 @@ def multiply(a: DataFrame, b: DataFrame) -> DataFrame:
     """The product of two matrices of rows (i, j, v): a join of equal inner indices, summed by cell before the shuffle."""
     left, right = a.select("i", F.col("j").alias("k"), F.col("v").alias("_a")), b.select(F.col("i").alias("k"), "j", F.col("v").alias("_b"))
     return left.join(right, "k").groupBy("i", "j").agg(F.sum(F.col("_a") * F.col("_b")).alias("v"))
+
+
+def sampled(df: DataFrame, points: DataFrame, by: list[str], key: str) -> DataFrame:
+    """(by, key, v): the image at each point (by, key, x, y), by bilinear interpolation between the four pixels around it; points without all of those that count are left out."""
+    parts = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i in (0, 1) for j in (0, 1)])
+    fx, fy = F.col("x") - F.floor("x"), F.col("y") - F.floor("y")
+    weight = F.when(F.col("p.i") == 1, fx).otherwise(1 - fx) * F.when(F.col("p.j") == 1, fy).otherwise(1 - fy)
+    sent = points.select(*by, key, "x", "y", F.explode(parts).alias("p")).select(*by, key, (F.floor("x") + F.col("p.i")).cast("int").alias("x"), (F.floor("y") + F.col("p.j")).cast("int").alias("y"), weight.alias("_w")).where("_w > 0")
+    return sent.join(df, [*by, "x", "y"]).groupBy(*by, key).agg(F.sum(F.col("v") * F.col("_w")).alias("v"), F.sum("_w").alias("_w")).where(F.col("_w") > 1 - 1e-9).drop("_w")
