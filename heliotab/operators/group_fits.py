@@ -177,3 +177,25 @@ def motion_and_parallax(df: DataFrame, by: list[str], x: Column, y: Column, t: C
     rows = df.select(*by, F.explode(F.array(*halves)).alias("h")).select(*by, "h.*")
     out = linear(rows, by, [F.col(f"k{i}") for i in range(5)], F.col("v"), sigma=F.col("s"), **options)
     return out.select(*by, *[F.get("c", F.lit(i)).alias(name) for i, name in enumerate(("x0", "mu_x", "y0", "mu_y", "parallax"))], "n", "chi")
+
+
+def ellipse(df: DataFrame, by: list[str], x: Column, y: Column) -> DataFrame:
+    """(by, x, y, major, minor, angle, n): the ellipse through the points of each group by least squares on a x^2 + b x y + c y^2 + d x + e y = 1, with its half axes and the angle of the longer one in degrees, -90 to 90; null where the points lie on none. Points should lie around the origin."""
+    fit = linear(df, by, [x * x, x * y, y * y, x, y], F.lit(1.0))
+    a, b, c, d, e = (F.get("c", F.lit(i)) for i in range(5))
+    under = F.when(4 * a * c - b * b > 0, 4 * a * c - b * b)
+    x0, y0 = (b * e - 2 * c * d) / under, (b * d - 2 * a * e) / under
+    level = 1 + a * x0 * x0 + b * x0 * y0 + c * y0 * y0
+    half, root = (a + c) / 2, F.hypot((a - c) / 2, b / 2)
+    angle = F.degrees(F.atan2(-b, c - a)) / 2
+    return fit.select(*by, x0.alias("x"), y0.alias("y"), F.sqrt(level / (half - root)).alias("major"), F.sqrt(level / (half + root)).alias("minor"), angle.alias("angle"), "n")
+
+
+def best_template(df: DataFrame, templates: DataFrame, by: list[str], band: str, value: str, sigma: str, name: str) -> DataFrame:
+    """(by, name, scale, chi): the template (name, band, value) that fits each group's values best, with its scale by weighted least squares. Templates are few: they are broadcast by band, and each group keeps one row a template."""
+    t = templates.select(F.col(name), F.col(band), F.col(value).alias("_t"))
+    w = 1 / (F.col(sigma) * F.col(sigma))
+    v = F.col(value)
+    sums = df.join(F.broadcast(t), band).groupBy(*by, name).agg(F.sum(w * v * F.col("_t")).alias("vt"), F.sum(w * F.col("_t") * F.col("_t")).alias("tt"), F.sum(w * v * v).alias("vv"))
+    fit = sums.where("tt > 0").select(*by, name, (F.col("vt") / F.col("tt")).alias("scale"), (F.col("vv") - F.col("vt") * F.col("vt") / F.col("tt")).alias("chi"))
+    return fit.groupBy(*by).agg(F.min(F.struct("chi", name, "scale")).alias("_m")).select(*by, f"_m.{name}", "_m.scale", "_m.chi")

@@ -180,3 +180,25 @@ def feed_of_files(spark, d):
     lines = table(spark, d, "part").select(F.concat_ws("|", *[F.concat(F.lit("  "), x, F.lit("  ")) for x in fields]).alias("value"))
     lines.unionByName(spark.createDataFrame([("# fileID|bytes|md5sum|type",)], "value string")).write.text(path)
     return text.read_feed(spark, path, "id string, bytes long, digest string, kind string")
+
+
+@query("WITH v AS (SELECT o_custkey AS k, CAST(month(o_orderdate) AS INT) AS band, avg(o_totalprice) AS v FROM orders GROUP BY ALL), t AS (SELECT i AS template, CAST(b AS INT) AS band, 2 + sin(b * (i + 1) * 0.5) AS t FROM (SELECT unnest(range(4)) AS i), (SELECT unnest(range(1, 13)) AS b)), s AS (SELECT k, template, count(*) AS n, sum(v * t) AS vt, sum(t * t) AS tt, sum(v * v) AS vv FROM v JOIN t USING (band) GROUP BY k, template HAVING count(*) >= 3) SELECT k AS o_custkey, template, round(vt / tt, 3) AS scale FROM s QUALIFY row_number() OVER (PARTITION BY k ORDER BY vv - vt * vt / tt, template) = 1")
+def template_fit(spark, d):
+    """The template out of four that fits each customer's monthly means best, where there are three months or more."""
+    months = table(spark, d, "orders").groupBy("o_custkey", F.month("o_orderdate").alias("band")).agg(F.avg("o_totalprice").alias("v")).withColumn("s", F.lit(1.0))
+    many = months.groupBy("o_custkey").agg(F.count("*").alias("m")).where("m >= 3").select("o_custkey")
+    i, b = F.col("template"), F.col("band")
+    templates = spark.range(4).select(F.col("id").alias("template"), F.explode(F.sequence(F.lit(1), F.lit(12))).alias("band")).withColumn("v", 2 + F.sin(b * (i + 1) * 0.5))
+    return group_fits.best_template(months.join(many, "o_custkey"), templates, ["o_custkey"], "band", "v", "s", "template").select("o_custkey", "template", F.round("scale", 3).alias("scale"))
+
+
+@query("SELECT g, 2.0::DOUBLE AS x, -1.0::DOUBLE AS y, 5.0 + g AS major, 3.0::DOUBLE AS minor, 30.0::DOUBLE AS angle FROM (SELECT l_linenumber AS g FROM lineitem GROUP BY l_linenumber HAVING count(DISTINCT l_quantity) >= 10)")
+def ellipse_fit(spark, d):
+    """Ellipses through points that lie on known ones, an ellipse a line number."""
+    turn = F.col("l_quantity") * 0.12
+    u, w = (5.0 + F.col("l_linenumber")) * F.cos(turn), 3.0 * F.sin(turn)
+    c, s = F.cos(F.radians(F.lit(30.0))), F.sin(F.radians(F.lit(30.0)))
+    rows = table(spark, d, "lineitem").select(F.col("l_linenumber").alias("g"), "l_quantity", (2 + u * c - w * s).alias("px"), (-1 + u * s + w * c).alias("py"))
+    many = rows.groupBy("g").agg(F.countDistinct("l_quantity").alias("m")).where("m >= 10").select("g")
+    out = group_fits.ellipse(rows.join(many, "g"), ["g"], F.col("px"), F.col("py"))
+    return out.select("g", *[F.round(k, 4).alias(k) for k in ("x", "y", "major", "minor", "angle")])
