@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import StructField, StructType
 
@@ -59,18 +59,19 @@ def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def map_texts(df: DataFrame, setup: Callable[[], Callable], schema: str, *keep: str, extra: str | None = None) -> DataFrame:
-    """Runs over the column `text`, chunk by chunk, and returns the columns in keep and those of the schema.
+    """Runs over the column `text`, chunk by chunk, and returns the columns in keep and those of the schema; a column in keep with the name of one of the latter is left out.
 
     setup() is called once a task and returns a function from a list of texts (None for null) to a list of columns, each as long as the texts. With a column named in extra, the function gets the list of its values too.
     """
-    own = df.select(*keep, "text", *([extra] if extra else []))
     added = StructType.fromDDL(schema)
+    names = [k for k in keep if k not in added.names]
+    own = df.select(*[F.col(f"`{k}`").alias(f"k{i}") for i, k in enumerate(names)], "text", *([F.col(extra).alias("extra")] if extra else []))
     types = [to_arrow_type(f.dataType) for f in added]
 
     def run(batches):
         each = setup()
         for chunk in chunks(batches):
-            made = each(*(chunk.column(c).to_pylist() for c in ("text", extra) if c))
-            yield pa.RecordBatch.from_arrays([chunk.column(i) for i in range(len(keep))] + [pa.array(c, type=t) for c, t in zip(made, types, strict=True)], names=[*keep, *added.names])
+            made = each(*(chunk.column(c).to_pylist() for c in ("text", extra and "extra") if c))
+            yield pa.RecordBatch.from_arrays([chunk.column(i) for i in range(len(names))] + [pa.array(c, type=t) for c, t in zip(made, types, strict=True)], names=[*names, *added.names])
 
-    return own.mapInArrow(run, StructType([StructField(k, own.schema[k].dataType) for k in keep] + list(added)))
+    return own.mapInArrow(run, StructType([StructField(k, own.schema[f"k{i}"].dataType) for i, k in enumerate(names)] + list(added)))

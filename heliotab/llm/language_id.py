@@ -216,7 +216,7 @@ def fit(train: DataFrame, key: Column) -> Model:
 
 
 def predict(docs: DataFrame, model: Model, *keep: str) -> DataFrame:
-    """Columns in keep, lang_pred and score (0 to 1) of every row's whole text, and of nothing else; repeated rows each give their row, an empty table gives none. The model, whose size FEATURES and the number of languages bound, is broadcast. A kept column with the name of one of those added makes the call ambiguous: rename it before."""
+    """Columns in keep, lang_pred and score (0 to 1) of every row's whole text, and of nothing else; repeated rows each give their row, an empty table gives none. The model, whose size FEATURES and the number of languages bound, is broadcast. A kept column with the name of one of those added is left out."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
     return map_texts(docs, lambda: shared.value.predict, "lang_pred string, score double", *keep)
 

@@ -561,6 +561,14 @@ def test_counts_of_odd_rows(spark):
     assert got == {1: (0, 1), 2: (2, 2), 3: (2, 1), 4: (0, 0)}
 
 
+def test_kept_columns_may_be_named_like_texts_and_results(spark):
+    edit = "array<struct<start:int,stop:int,new:string>>"
+    df = spark.createDataFrame([(1, "some text", [(0, 4, "any")], 5, 6)], f"doc_id long, text string, edits {edit}, n_tokens int, extra int")
+    out = edit_counts.count_edited(df, RANKS, "doc_id", "text", "edits", "n_tokens", "extra")
+    assert out.columns == ["doc_id", "text", "edits", "extra", "n_tokens", "n_tokens_edited", "n_pre_tokens", "n_reencoded"]
+    assert (out.first()["text"], out.first()["n_tokens"], out.first()["extra"]) == ("some text", 2, 6)
+
+
 # 8 byte-level BPE
 
 
