@@ -37,14 +37,13 @@ def keep_one_of_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: st
     rows, _ = ngram_join.near_duplicates(docs)
     rows = materialised(rows.where("class IS NOT NULL").select("doc_id", "text_hash", "class"))
     best = rows.groupBy("class").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("best"))
-    gone = rows.join(best, "class").where(~(F.col("doc_id").eqNullSafe(F.col("best.doc_id")) & (F.col("text_hash") == F.col("best.text_hash"))))
-    gone = gone.select(F.col("doc_id").alias("gone_id"), F.col("text_hash").alias("gone_hash")).distinct()
+    best = materialised(best.select(F.col("best.doc_id").alias("best_id"), F.col("best.text_hash").alias("best_hash")))  # equal texts are of one class
     keyed = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    left = keyed.join(gone, keyed["id"].eqNullSafe(F.col("gone_id")) & (keyed["hash"] == F.col("gone_hash")), "left_anti")
+    blank = F.length(F.translate(F.coalesce("row.text", F.lit("")), " \t\n\x0b\f\r", "")) == 0
+    single = keyed.where(~blank).join(best, F.col("id").eqNullSafe(F.col("best_id")) & (F.col("hash") == F.col("best_hash")), "left_semi")
     if rows.groupBy("doc_id", "text_hash").count().where("count > 1").limit(1).count():  # repeated rows
-        blank = F.length(F.translate(F.coalesce("row.text", F.lit("")), " \t\n\x0b\f\r", "")) == 0
-        left = left.where(~blank).dropDuplicates(["id", "hash"]).unionByName(left.where(blank))
-    return left.select("row.*")
+        single = single.dropDuplicates(["id", "hash"])
+    return single.unionByName(keyed.where(blank)).select("row.*")
 
 
 def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
