@@ -16,6 +16,8 @@ from heliotab.llm.common import map_texts, materialised
 
 #: Pieces that one search works on. What the searches leave in underfull sequences is packed again in fewer blocks.
 BLOCK = 2048
+#: Blocks a task searches at most where there are many; rows are small beside the work on them, so their bytes don't tell how to deal them.
+BLOCKS_A_TASK = 64
 #: Sequences that the pieces of a block fill on average at least, unless it is the only one.
 FULL = 16
 #: Sequences filled below this part are opened for the next round in the first ROUNDS rounds, as long as a round saves at least one sequence in SAVED of those that it opened; after that, the least filled one of each block alone.
@@ -261,7 +263,8 @@ def pack(items: DataFrame, capacity: int) -> DataFrame:
     while True:
         count, total = rows.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
         blocks = max(1, min(-(-count // BLOCK), total // (FULL * capacity)))
-        dealt = rows.withColumn("block", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(blocks)))
+        tasks = max(min(blocks, 4 * items.sparkSession.sparkContext.defaultParallelism), blocks // BLOCKS_A_TASK)
+        dealt = rows.withColumn("block", F.pmod(F.xxhash64("row", F.lit(turn)), F.lit(blocks))).repartition(tasks, "block")
         done = materialised(dealt.groupBy("block").applyInArrow(_packer(turn, capacity, schema.names), schema))
         if blocks == 1:
             closed.append(done)
