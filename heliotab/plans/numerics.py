@@ -120,7 +120,7 @@ def reject_extremes(spark, d):
 def stream_means(spark, d):
     """Counts, sums and the last instant of each user, brought up to date as events come in."""
     sums = _stream(spark, d).groupBy("user_id").agg(F.count("*").alias("n"), F.sum("value").alias("total"), F.max("ts").alias("last"))
-    return events.finished(sums, "complete").select("user_id", "n", F.round("total", 4).alias("total"), "last")
+    return events.finished(sums, "update", ("user_id",)).select("user_id", "n", F.round("total", 4).alias("total"), "last")
 
 
 @query("SELECT DISTINCT user_id, event_type FROM events")

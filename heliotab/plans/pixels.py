@@ -1,7 +1,5 @@
 """Boxes, statistics, peaks, resampling, stacks and transforms of the images and cubes made of lineitem."""
 
-
-
 from pyspark.sql import functions as F
 
 from heliotab.operators import bins, fourier, images, series, stats

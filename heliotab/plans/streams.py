@@ -12,13 +12,13 @@ def _stream(spark, d):
 
 @query("""SELECT time_bucket(INTERVAL 1 HOUR, ts) AS start, event_type, count(*) AS n, round(sum(value), 4) AS total FROM events GROUP BY 1, 2""")
 def stream_tumbling(spark, d):
-    out = events.finished(events.tumbling(_stream(spark, d), "1 hour", "2 hours"), "complete")
+    out = events.finished(events.tumbling(_stream(spark, d), "1 hour", "2 hours"), "update", ("window", "event_type"))
     return out.select(F.col("window.start").alias("start"), "event_type", "n", F.round("total", 4).alias("total"))
 
 
 @query("""SELECT b - INTERVAL 1 HOUR * k AS start, event_type, count(*) AS n FROM (SELECT *, time_bucket(INTERVAL 1 HOUR, ts) AS b FROM events), (SELECT unnest([0, 1]) AS k) GROUP BY 1, 2""")
 def stream_sliding(spark, d):
-    out = events.finished(events.sliding(_stream(spark, d), "2 hours", "1 hour", "2 hours"), "complete")
+    out = events.finished(events.sliding(_stream(spark, d), "2 hours", "1 hour", "2 hours"), "update", ("window", "event_type"))
     return out.select(F.col("window.start").alias("start"), "event_type", "n")
 
 

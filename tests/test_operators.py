@@ -143,6 +143,8 @@ def test_streams_end_in_files(spark, tmp_path):
     counts = events.finished(stream.groupBy("user_id").count(), "complete")
     assert sorted(r["user_id"] for r in once.collect()) == [0, 1, 2] and sorted(tuple(r) for r in counts.collect()) == [(0, 14), (1, 13), (2, 13)]
     assert all(x.inputFiles() and all(f.endswith(".parquet") for f in x.inputFiles()) for x in (once, counts))
+    latest = events.finished(stream.groupBy("user_id").count(), "update", ("user_id",))
+    assert sorted(tuple(r) for r in latest.collect()) == [(0, 14), (1, 13), (2, 13)]
     none = events.finished(stream.where("user_id > 5").select("user_id").dropDuplicates(["user_id"]), "append")
     assert none.count() == 0 and none.columns == ["user_id"]
 
