@@ -1,7 +1,5 @@
 """Token ids as packed matrices: best-fit-decreasing packing with a segment tree over the room left, lossless pieces of overlong documents, cumulative segment lengths and positions that begin anew in each segment."""
 
-import zlib
-
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
