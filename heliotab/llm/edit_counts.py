@@ -8,6 +8,7 @@ from functools import lru_cache
 import numpy as np
 from pyspark.sql import DataFrame
 
+from heliotab.llm import rank_bpe
 from heliotab.llm.common import map_texts
 
 #: Code points behind its end that can decide on a pre-token: the two letters of a contraction, and one for white space.
@@ -23,10 +24,8 @@ class Counter:
         import public_tokenizers
         import regex
 
-        from heliotab.llm.secret_scan import _encoding
-
         self.cut = regex.compile(public_tokenizers.PATTERN)
-        self.encoding = _encoding(ranks_path)
+        self.bpe = rank_bpe.loaded(ranks_path)
         self.memory: dict[str, int] = {}
 
     def counts(self, pre_tokens: list[str]) -> list[int]:
@@ -35,7 +34,7 @@ class Counter:
             memory.clear()
         for p in pre_tokens:
             if p not in memory:
-                memory[p] = len(self.encoding.encode_ordinary(p))
+                memory[p] = len(self.bpe.piece(p))
         return list(map(memory.__getitem__, pre_tokens))
 
 
@@ -155,7 +154,7 @@ class Tree:
 def count_edited(docs: DataFrame, ranks_path: str, *keep: str) -> DataFrame:
     """Columns in keep, n_tokens, n_tokens_edited, n_pre_tokens and n_reencoded of each row's `text` before and after its `edits`.
 
-    edits: an array of structs (start, stop, new), applied in order, each on the text as the ones before it left it; code points; positions beyond the text count as its end. n_reencoded counts the pre-tokens that were encoded again for the edits. Null text counts as empty, null edits as none, a null part of an edit as 0 or empty.
+    edits: an array of structs (start, stop, new), applied in order, each on the text as the ones before it left it; code points; positions beyond the text count as its end. n_reencoded counts the pre-tokens that were encoded again for the edits. Null text counts as empty, null edits as none, a null part of an edit as 0 or empty. Texts of any length and shape are counted whole; a run of one kind of characters, blanks too, is one pre-token however long.
     """
     def setup():
         counter = _loaded(ranks_path)

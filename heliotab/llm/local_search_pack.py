@@ -37,7 +37,7 @@ _LATIN = "\u024f"
 class WordBPE:
     """A lower-casing vocabulary whose pre-tokens never cross white space (tokenizers JSON, byte-level, with word ends).
 
-    The ids of a word between ASCII white space are the same wherever it stands and in either case of A-Z, so they are remembered. A word of lower-case Latin letters is one pre-token and goes to the library's BPE model directly; any other goes through the whole library.
+    The ids of a word between ASCII white space are the same wherever it stands and in either case of A-Z, so they are remembered. A word of lower-case Latin letters is one pre-token and goes to the library's BPE model directly; any other goes through the whole library. A text in which one of the file's added tokens stands (`<|endoftext|>`) goes there as it is, and gets that token's id, as the library has it.
     """
 
     def __init__(self, path: str):
@@ -45,6 +45,8 @@ class WordBPE:
 
         self.library = Tokenizer.from_file(path)
         self.library.encode_special_tokens = True
+        self.whole = Tokenizer.from_file(path)
+        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self.model = self.library.model
         self.memory: dict[bytes, bytes] = {}
         self.characters = {b: c for b, c in byte_table()[0].items() if chr(b) != c}
@@ -75,6 +77,9 @@ class WordBPE:
         for text in texts:
             if len(self.memory) > MEMORY:
                 self.memory.clear()
+            if any(t in text for t in self.added):
+                out.append(array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
             words = text.encode().lower().split()  # of bytes: ASCII letters and white space alone
             for w in words:
                 if w not in self.memory:

@@ -40,33 +40,30 @@ def mixed(x: np.ndarray) -> np.ndarray:
 
 
 class Words:
-    """64-bit hashes of a text's words, by whole-array steps: each byte has a random value, a word's hash is the polynomial of its bytes' values in an odd base, modulo 2^64, taken from running sums over the text."""
+    """64-bit hashes of a text's words, by whole-array steps: eight bytes after the other are mixed into a word's hash, so words of up to eight bytes have different ones for sure. Words of more than LONG bytes are hashed by XXH3."""
 
     SPACE = np.array([b == 32 or 9 <= b <= 13 for b in range(256)])
-
-    def __init__(self):
-        self.values = np.random.default_rng(20).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.base = np.uint64(0x9FB21C651E98DF25)
-        self.powers = self.inverse = np.ones(1, dtype=np.uint64)
-
-    def _grow(self, n: int) -> None:
-        if len(self.powers) <= n:
-            size = max(1 << 16, 1 << (n + 1).bit_length())
-            self.powers = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, self.base)]))
-            back = np.uint64(pow(int(self.base), -1, 1 << 64))
-            self.inverse = np.multiply.accumulate(np.concatenate([[np.uint64(1)], np.full(size - 1, back)]))
+    MASKS = np.array([(1 << (8 * k)) - 1 for k in range(9)], dtype=np.uint64)
+    LONG = 64
 
     def hashes(self, text: bytes) -> np.ndarray:
         """Words are runs of other than ASCII white space; A-Z count as a-z."""
-        data = np.frombuffer(text.lower(), dtype=np.uint8)  # of bytes: ASCII letters alone
-        n = len(data)
-        self._grow(n)
-        space = np.concatenate([[True], self.SPACE[data], [True]])
+        text = text.lower()  # of bytes: ASCII letters alone
+        space = np.concatenate([[True], self.SPACE[np.frombuffer(text, dtype=np.uint8)], [True]])
         edges = np.flatnonzero(space[1:] != space[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        sums = np.zeros(n + 1, dtype=np.uint64)
-        np.cumsum(self.values[data] * self.powers[:n], out=sums[1:])
-        return mixed((sums[ends] - sums[starts]) * self.inverse[starts] + (ends - starts).astype(np.uint64))
+        starts, sizes = edges[::2], edges[1::2] - edges[::2]
+        lanes = np.ndarray((len(text) + 1,), dtype="<u8", buffer=text + bytes(8), strides=(1,))  # the eight bytes from each place on
+        out = mixed((lanes[starts] & self.MASKS[np.minimum(sizes, 8)]) ^ sizes.astype(np.uint64) * _ODD[0])
+        for k in range(8, self.LONG, 8):
+            more = np.flatnonzero(sizes > k)
+            if not len(more):
+                return out
+            out[more] = mixed(out[more] * _ODD[1] ^ (lanes[starts[more] + k] & self.MASKS[np.minimum(sizes[more] - k, 8)]))
+        for i in np.flatnonzero(sizes > self.LONG).tolist():
+            from xxhash import xxh3_64_intdigest
+
+            out[i] = xxh3_64_intdigest(text[starts[i] : starts[i] + sizes[i]])
+        return out
 
 
 def shingles(text: bytes | None, words: Words) -> np.ndarray:

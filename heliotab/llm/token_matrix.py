@@ -7,8 +7,8 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StructField, StructType
 
+from heliotab.llm import rank_bpe
 from heliotab.llm.common import chunks, materialised
-from heliotab.llm.secret_scan import _encoding
 
 #: Pieces that are packed together; sequences that they fill on average at least, unless there is one block only; blocks a task of the exchange.
 BLOCK, FULL, BLOCKS_A_TASK = 2048, 128, 16
@@ -68,12 +68,12 @@ def _pieces(docs: DataFrame, ranks_path: str, end: int, capacity: int, key: str)
     types = [to_arrow_type(f.dataType) for f in schema]
 
     def run(batches):
-        encoding, row = _encoding(ranks_path), TaskContext.get().partitionId() << 33
-        kind = "<u2" if max(encoding.max_token_value, end) < 1 << 16 else "<u4"
+        bpe, row = rank_bpe.loaded(ranks_path), TaskContext.get().partitionId() << 33
+        kind = "<u2" if max(bpe.largest, end) < 1 << 16 else "<u4"
         for chunk in chunks(batches):
             out: list[tuple] = []
             for k, text in enumerate(chunk.column("text").to_pylist()):
-                ids = np.array([*encoding.encode_ordinary(text or ""), end], dtype=kind)
+                ids = np.array([*bpe.encode(text or ""), end], dtype=kind)
                 for s in range(0, len(ids), capacity):
                     part = ids[s : s + capacity]
                     out.append((k, row, s, len(part), part.tobytes()))
@@ -87,7 +87,7 @@ def _pieces(docs: DataFrame, ranks_path: str, end: int, capacity: int, key: str)
 def packed(docs: DataFrame, ranks_path: str, end: int, capacity: int, *, key: str = "doc_id", pad: int | None = None) -> DataFrame:
     """One row a sequence: sequence_id (any numbers), n_tokens, input_ids (array of int, padded to the capacity), position_ids (from 0 in each segment, 0 in the padding), cu_seqlens (cumulative segment lengths from 0 on), keys and starts (of each segment: the document's key, and the document's ids before it).
 
-    pad: the padding's id, `end` unless given. Full pieces of overlong documents are sequences as they are, without a shuffle; all others, one a document at most, are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, and packed there: each block leaves one sequence at most that could take more, less than 1 in FULL. Null and empty texts are one `end`; null keys are carried; repeated rows each have their place; an empty table gives no sequence. Other columns are ignored.
+    pad: the padding's id, `end` unless given. Full pieces of overlong documents are sequences as they are, without a shuffle; all others, one a document at most, are dealt to blocks of about BLOCK, or of more where these would fill fewer than FULL sequences, and packed there: each block leaves one sequence at most that could take more, less than 1 in FULL. Null and empty texts are one `end`; null keys are carried; repeated rows each have their place; an empty table gives no sequence; texts may be of any length and shape. Other columns are ignored.
     """
     pad = end if pad is None else pad
     rows = materialised(_pieces(docs, ranks_path, end, capacity, key))  # two branches read it: encoded once

@@ -10,7 +10,7 @@ import public_tokenizers as tokenizers_
 import pytest
 from pyspark.sql import functions as F
 
-from heliotab.llm import byte_bpe, components, edit_counts, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, secret_scan, token_matrix
+from heliotab.llm import byte_bpe, components, edit_counts, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, rank_bpe, secret_scan, token_matrix
 
 RANKS, BYTES, WORDS = (tokenizers_.path(x) for x in ("byte_bpe_50k.tiktoken", "byte_bpe_50k.json", "word_bpe_49k.json"))
 ODD = ["", None, " ", "\n\n", "a", "é", "日本語 👍🏽 text", "\x00\x1c\x85", "word " * 30, "x" * 5000, "tab\tand\r\nlines\n\nmore", "don't  stop", "<|endoftext|>"]
@@ -176,7 +176,6 @@ def test_word_pieces_are_the_librarys(docs, local):
     from tokenizers import Tokenizer
 
     t = Tokenizer.from_file(WORDS)
-    t.encode_special_tokens = True
     got = local_search_pack.pieces(docs, WORDS, 64, "doc_id", with_ids=True).collect()
     want = Counter()
     for i, text in local:
@@ -732,3 +731,48 @@ def test_packed_matrices(docs, local, monkeypatch):
     padded = token_matrix.packed(docs.select(F.col("doc_id").alias("ids"), "text"), RANKS, 50256, capacity, key="ids", pad=7)
     assert {x for r in padded.collect() for x in r["input_ids"][r["n_tokens"] :]} == {7}
     assert token_matrix.packed(docs.limit(0), RANKS, 50256, capacity).count() == 0
+
+
+# -- long runs and special strings ------------------------------------------------------------------------------------
+
+
+@pytest.mark.parametrize("run", [" ", "\n", "\t", "　", "x", "é", "9", "'"])
+def test_long_runs_are_encoded_whole(run, spark):
+    n = 3_000_000
+    bpe = rank_bpe.loaded(RANKS)
+    short = bpe.library.encode_ordinary(run * 100_000 + "a b")
+    assert bpe.encode(run * n + "a b")[-3:] == short[-3:] and sum(map(len, map(bpe.library.decode_single_token_bytes, bpe.encode(run * n + "a b")))) == len(run.encode()) * n + 3
+    frame = spark.createDataFrame([(1, "a" + run * n), (2, run * n + "b"), (3, run * n)], "doc_id long, text string").withColumn("edits", F.array(F.struct(F.lit(5).alias("start"), F.lit(6).alias("stop"), F.lit("q").alias("new"))))
+    counts = {r["doc_id"]: r for r in edit_counts.count_edited(frame, RANKS, "doc_id").collect()}
+    tokens = {r["keys"][0]: 0 for r in token_matrix.packed(frame, RANKS, 50256, 2048).where("size(keys) > 0").select("keys").collect()}
+    assert set(tokens) <= {1, 2, 3}
+    for k, text in ((1, "a" + run * n), (2, run * n + "b"), (3, run * n)):
+        assert counts[k]["n_tokens"] == len(bpe.encode(text)) and counts[k]["n_tokens_edited"] == len(bpe.encode(text[:5] + "q" + text[6:]))
+
+
+@pytest.mark.parametrize("n", [1, 1023, 1024, 1025, 5000])
+@pytest.mark.parametrize("ends", [("", ""), ("a", ""), ("", "b"), ("a", " 'll x"), ("a'", "\x1c"), ("1", "9"), ("a", "　 .")])
+def test_runs_of_white_space_are_tiktokens(n, ends):
+    bpe = rank_bpe.loaded(RANKS)
+    for run in (" ", "\n", " \t", "  ", "\r\n"):
+        text = ends[0] + run * n + ends[1] + run * n + "z"
+        assert bpe.encode(text) == bpe.library.encode_ordinary(text)
+
+
+def test_added_tokens_are_the_librarys():
+    from tokenizers import Tokenizer
+
+    library, own = Tokenizer.from_file(WORDS), local_search_pack.WordBPE(WORDS)
+    for text in ("hello <|endoftext|> world", "a<|startoftext|>b <|ENDOFTEXT|>", "<|EndOfText|> q", "<|endoftext|>", "x<|endoftext|><|endoftext|>  y "):
+        assert np.frombuffer(own.encode_batch([text])[0], "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_unlike_words_have_unlike_hashes(spark):
+    """Thue-Morse words, which polynomials modulo 2^64 can't tell apart."""
+    word = "a"
+    for _ in range(12):
+        word += word.translate(str.maketrans("ab", "ba"))
+    other = word.translate(str.maketrans("ab", "ba"))
+    frame = spark.createDataFrame([(1, word), (2, other), (3, word.upper())], "doc_id long, text string")
+    found = {r["doc_id"]: r["component_id"] for r in ngram_join.near_duplicates(frame)[0].collect()}
+    assert found == {1: 1, 2: 2, 3: 1}
