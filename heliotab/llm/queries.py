@@ -4,7 +4,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from heliotab.llm import byte_bpe, edit_counts, histogram_sort, language_id, local_search_pack, ngram_join, ogg_media, quality_rules, secret_scan, token_matrix
+from heliotab.llm import byte_bpe, edit_counts, histogram_sort, language_id, lexical_search, local_search_pack, ngram_join, ogg_media, phrases, quality_rules, secret_scan, simhash_dedup, token_matrix
 from heliotab.llm.common import documents
 
 
@@ -82,6 +82,22 @@ def op10_token_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_matrix.packed(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.tiktoken"), 50256, 2048)
 
 
+def op11_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first 2,000 phrases of each language."""
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for each benchmark item."""
+    return lexical_search.search(lexical_search.build(documents(spark, sf_dir)), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_simhash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fingerprint of each document and its component under links of near ones."""
+    rows, _ = simhash_dedup.near_duplicates(documents(spark, sf_dir))
+    return rows.select("doc_id", "fingerprint", "n_links", "component_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
 
@@ -106,6 +122,33 @@ _COMPONENTS = r"""WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(transla
   SELECT n.doc_id, CAST(n.n AS BIGINT) AS n_shingles, min(r.least) AS component_id FROM n JOIN r ON r.node = n.doc_id GROUP BY ALL"""
 
 
+_A_TO_Z = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+#: The same phrases, from the counts of all phrases of one to five words.
+_PHRASES = rf"""WITH p AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({_A_TO_Z}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+  w AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM p),
+  i AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w),
+  g AS (SELECT lang, w[i:i + k - 1] AS p, k FROM i, range(1, 6) t(k) WHERE i + k - 1 <= len(w)),
+  f AS MATERIALIZED (SELECT lang, p, any_value(k) AS k, count(*) AS a FROM g GROUP BY lang, p HAVING count(*) >= 100),
+  n AS (SELECT lang, sum(len(w))::BIGINT AS n FROM w GROUP BY lang),
+  inner_ AS (SELECT lang, p[j:j + m - 1] AS p, max(a) AS longer FROM f, range(2, 5) t(m), range(1, 5) u(j) WHERE m < k AND j + m - 1 <= k GROUP BY ALL),
+  c AS (SELECT f.* FROM f LEFT JOIN inner_ x ON x.lang = f.lang AND x.p = f.p WHERE f.k > 1 AND (x.longer IS NULL OR 100 * x.longer < 100 * f.a)),
+  s AS (SELECT c.lang, c.p, c.a, l.a AS l, r.a AS r, n.n, (1000::HUGEINT * c.a * n.n // (l.a::HUGEINT * r.a))::BIGINT AS score, cut
+        FROM c JOIN n USING (lang), range(1, 5) t(cut) JOIN f l ON l.lang = c.lang AND l.p = c.p[1:cut] JOIN f r ON r.lang = c.lang AND r.p = c.p[cut + 1:] WHERE cut < c.k),
+  m AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY lang, p ORDER BY score, cut) = 1)
+  SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(p, ' ')) AS rank, array_to_string(p, ' ') AS phrase, a, l, r, n, score FROM m QUALIFY rank <= 2000"""
+
+#: The same scores, from every document that holds a term of an item.
+_SEARCH = rf"""WITH b AS (SELECT row_number() OVER () AS row, doc_id, regexp_extract_all({_A_TO_Z}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t FROM documents),
+  s AS (SELECT count(*)::BIGINT AS docs, sum(len(t))::BIGINT AS terms FROM b WHERE len(t) > 0),
+  o AS (SELECT row, doc_id, 25 + (75 * len(t) * docs) // terms AS m, unnest(t) AS t FROM b, s WHERE len(t) > 0),
+  f AS (SELECT row, doc_id, t, m, count(*) AS tf FROM o GROUP BY ALL),
+  w AS (SELECT t, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM f, s GROUP BY t, docs),
+  q AS (SELECT row_number() OVER () AS item, item_id, unnest(regexp_extract_all({_A_TO_Z}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark),
+  x AS (SELECT item, item_id, row, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * m))) AS BIGINT) AS score FROM q JOIN w USING (t) JOIN f USING (t) GROUP BY ALL)
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item ORDER BY score DESC, doc_id) AS INT) AS rank, doc_id, score FROM x WHERE score > 0 QUALIFY rank <= 10"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """DuckDB SQL for what it can say. Learned rules and models, tokenizers, packing by search and Ogg are tested against brute force, round trips and held-out rows instead."""
-    return {"op2_histogram_sort": _SHARDS, "op5_ngram_join": _COMPONENTS}
+    """DuckDB SQL for what it can say. Learned rules and models, tokenizers, packing by search, Ogg and XXH64 are tested against brute force, round trips and held-out rows instead."""
+    return {"op2_histogram_sort": _SHARDS, "op5_ngram_join": _COMPONENTS, "op11_phrases": _PHRASES, "op12_lexical_search": _SEARCH}

@@ -25,7 +25,7 @@ def texts(spark):
 def run(spark, texts):
     def rows(name):
         out = queries.queries()[name](spark, SF).collect()
-        if name != "op10_token_matrix":
+        if name not in ("op10_token_matrix", "op11_phrases", "op12_lexical_search"):
             assert {r["doc_id"] for r in out} == set(texts)
         return out
 
@@ -37,7 +37,8 @@ def test_oracles(name, spark):
     import duckdb
 
     con = duckdb.connect()
-    con.sql(f"CREATE VIEW documents AS SELECT * FROM '{SF}/documents.parquet'")
+    for t in ("documents", "benchmark"):
+        con.sql(f"CREATE VIEW {t} AS SELECT * FROM '{SF}/{t}.parquet'")
     theirs = con.sql(queries.oracle_sql()[name])
     ours = queries.queries()[name](spark, SF)
     assert sorted(ours.columns) == sorted(theirs.columns)
@@ -141,3 +142,22 @@ def test_op10(run, texts):
         for s in range(0, len(ids), 2048):
             want[i, s, tuple(ids[s : s + 2048])] += 1
     assert found == want
+
+
+def test_op13(run, texts):
+    from xxhash import xxh64_intdigest
+
+    fps = {}
+    for i, text in texts.items():
+        w = [re.sub("[A-Z]", lambda m: m[0].lower(), x) for x in re.findall(r"[^\x20\x09-\x0D]+", text)]
+        h = [xxh64_intdigest(" ".join(w[j : j + 3]).encode(), 42) for j in range(max(1, len(w) - 2))] if w else []
+        fps[i] = sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+    least = {i: i for i in fps}
+    changed = True
+    while changed:
+        changed = False
+        for a in fps:
+            for b in fps:
+                if (fps[a] ^ fps[b]).bit_count() <= 2 and least[b] < least[a]:
+                    least[a], changed = least[b], True
+    assert {r["doc_id"]: (r["fingerprint"], r["component_id"]) for r in run("op13_simhash_dedup")} == {i: (f"{f:016x}", least[i]) for i, f in fps.items()}
