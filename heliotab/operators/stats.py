@@ -14,11 +14,13 @@ from heliotab.operators.store import written
 
 
 def summary(df: DataFrame, by: list[str], value: str) -> DataFrame:
-    """n, total, mean, sigma, low, high, skewness, kurtosis, median, mode and binned_median of the finite values of each group; the last two are lower edges of bins, of which there are 1000 from low to high."""
+    """n, total, mean, sigma, low, high, skewness, kurtosis, median, mode and binned_median of the finite values of each group; the last two are lower edges of bins, of which there are 1000 from low to high. The sums are written to the shared folder, since the others begin with them."""
     v = F.col(value)
     sums = df.where(sem.is_finite(v)).groupBy(*by).agg(F.count(v).alias("n"), F.sum(v).alias("total"), F.avg(v).alias("mean"), F.stddev_samp(v).alias("sigma"), F.min(v).alias("low"), F.max(v).alias("high"), F.skewness(v).alias("skewness"), F.kurtosis(v).alias("kurtosis"))
-    out = ranks.join_groups(sums, ranks.quantiles(df, by, value, {"median": 0.5}), by, "left")
-    return ranks.join_groups(out, ranks.modes(df, by, value), by, "left")
+    sums = written(sums)
+    limits = sums.select(*by, "n", F.col("low").cast("double").alias("low"), F.col("high").cast("double").alias("high"))
+    out = ranks.join_groups(sums, ranks.quantiles(df, by, value, {"median": 0.5}, limits), by, "left")
+    return ranks.join_groups(out, ranks.modes(df, by, value, limits), by, "left")
 
 
 def clipped(df: DataFrame, by: list[str], value: str, nsigma: float = 3.0, passes: int = 3) -> DataFrame:

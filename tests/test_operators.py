@@ -2,6 +2,7 @@
 
 import math
 
+import pytest
 from pyspark.sql import functions as F
 
 from heliotab.functions import sem, sky
@@ -216,3 +217,24 @@ def test_order_statistics_of_groups(spark):
         assert inner[g][1] == len(part) and abs(inner[g][0] - sum(part) / len(part)) < 1e-9
     assert {x["g"]: x["mode"] for x in ranks.modes(df, ["g"], "v").collect()}[3] == 7.0
     assert ranks.quantiles(df.limit(0), ["g"], "v", {"m": 0.5}).count() == 0
+
+
+@pytest.mark.parametrize("many", [10_000, 50])
+def test_ranks_of_skewed_groups(spark, many, monkeypatch):
+    """One value far off, ties, a constant, few values and a null group, with brackets that must be narrowed several times."""
+    import numpy as np
+
+    from heliotab.operators import ranks
+
+    monkeypatch.setattr(ranks, "MANY", many)
+    r = np.random.default_rng(1)
+    groups = {"skewed": [*r.lognormal(0, 3, 30_000), 1e15], "ties": r.integers(0, 5, 15_000), "constant": [2.0] * 12_000, "few": r.normal(size=15), "one": [3.0], None: r.normal(size=2001)}
+    df = spark.createDataFrame([(g, float(x)) for g, own in groups.items() for x in own], "g string, v double")
+    wanted = {"a": 0.0, "q": 0.16, "m": 0.5, "t": 0.999, "z": 1.0}
+    for x in ranks.quantiles(df, ["g"], "v", wanted).collect():
+        assert np.allclose([x[k] for k in wanted], [np.quantile(groups[x["g"]], q) for q in wanted.values()], rtol=1e-12)
+    n = F.col("n")
+    for x in ranks.window_mean(df, ["g"], "v", F.floor(n * 0.25), F.ceil(n * 0.75)).collect():
+        own = np.sort(groups[x["g"]])
+        own = own[len(own) // 4 : -(-len(own) * 3 // 4)]
+        assert np.isclose(x["value"], own.mean()) and x["used"] == len(own)
