@@ -17,10 +17,10 @@ from heliotab.llm.common import chunks, written
 from heliotab.llm.words import words_of
 
 #: Bytes of text of a shard; a longer text is cut between pieces.
-SHARD_BYTES = 8_000_000
+SHARD_BYTES = 12_000_000
 #: Bytes of bitmaps that are extended at once; shards a task of a round.
 BATCH, SHARDS_A_TASK = 1 << 17, 8
-#: Bits of a number within a shard.
+#: Bits of a count within a shard, beside the shard's number.
 WITHIN = 28
 #: Between pieces, and between words.
 BREAKS = np.array([chr(b) in ".,;:!?\n\x0b\x0c\r" for b in range(256)])
@@ -44,20 +44,38 @@ def _parts(text: bytes):
 
 
 def laid_out(texts: list[bytes]) -> tuple[np.ndarray, pa.Array]:
-    """(ids, words): for each position the number of its word from 1 on, or 0 between pieces, and the distinct words."""
+    """(ids, words): for each position the number of its word from 1 on, frequent words first, or 0 between pieces, and the distinct words."""
     data = b"\n".join(texts)
     words, starts = words_of(data, BETWEEN)
     coded = words.dictionary_encode()
     breaks = np.cumsum(BREAKS[np.frombuffer(data, dtype=np.uint8)])[starts]
     places = np.arange(len(starts)) + np.cumsum(np.diff(breaks, prepend=breaks[:1]) > 0)
+    found = coded.indices.to_numpy(zero_copy_only=False)
+    order = np.argsort(-np.bincount(found, minlength=len(coded.dictionary)), kind="stable")
+    number = np.empty(len(order), dtype=np.int32)
+    number[order] = np.arange(1, len(order) + 1)
     ids = np.zeros(int(places[-1]) + 1 if len(places) else 0, dtype=np.int32)
-    ids[places] = coded.indices.to_numpy(zero_copy_only=False) + 1
-    return ids, coded.dictionary
+    ids[places] = number[found]
+    return ids, coded.dictionary.take(pa.array(order))
+
+
+def squeezed(ids: np.ndarray) -> bytes:
+    """Numbers as compressed bytes: all lowest bytes, then all second ones, and so on, of which the higher ones are mostly 0."""
+    from zstandard import ZstdCompressor
+
+    return ZstdCompressor(level=3).compress(ids.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+
+
+def unsqueezed(data: bytes) -> np.ndarray:
+    from zstandard import ZstdDecompressor
+
+    planes = np.frombuffer(ZstdDecompressor().decompress(data), dtype=np.uint8)
+    return np.ascontiguousarray(planes.reshape(4, -1).T).view("<u4").ravel().astype(np.int64)
 
 
 def shards(docs: DataFrame, lang: str) -> DataFrame:
-    """(shard, lang, ids, wide, words, counts): shards of texts of one language; ids are little-endian integers of 16 bits, or 32 if wide."""
-    schema = "shard long, lang string, ids binary, wide boolean, words array<string>, counts array<long>"
+    """(shard, lang, ids, words, counts): shards of texts of one language, with squeezed() ids."""
+    schema = "shard long, lang string, ids binary, words array<string>, counts array<long>"
 
     def run(batches):
         number, held, sizes = TaskContext.get().partitionId() << 12, {}, {}
@@ -66,11 +84,10 @@ def shards(docs: DataFrame, lang: str) -> DataFrame:
             nonlocal number
             ids, words = laid_out(held.pop(which))
             del sizes[which]
-            wide = len(words) >= 1 << 16
             counts = np.bincount(ids, minlength=len(words) + 1)[1:]
-            row = {"shard": [number], "lang": [which], "ids": [ids.astype("<u4" if wide else "<u2").tobytes()], "wide": [wide], "words": [words.cast(pa.large_string()).to_pylist()], "counts": [counts.tolist()]}
+            row = {"shard": [number], "lang": [which], "ids": [squeezed(ids)], "words": [words.cast(pa.large_string()).to_pylist()], "counts": [counts.tolist()]}
             number += 1
-            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("ids", pa.binary()), ("wide", pa.bool_()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]))
+            return pa.RecordBatch.from_pydict(row, schema=pa.schema([("shard", pa.int64()), ("lang", pa.string()), ("ids", pa.binary()), ("words", pa.list_(pa.string())), ("counts", pa.list_(pa.int64()))]))
 
         for chunk in chunks(batches):
             for text, which in zip(chunk.column("text").cast(pa.binary()).to_pylist(), chunk.column("lang").to_pylist()):
@@ -125,70 +142,77 @@ class Bitmaps:
         return node[rows[hit]], self.word[at[hit]], block[rows[hit]], both[hit]
 
 
-def longer(ids: np.ndarray, levels: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(keys, suffixes, counts) of the phrases of one word more than the last level's.
+def longer(ids: np.ndarray, levels: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(parents, suffixes, counts) of the phrases of one word more than the last level's, both by their places in that level.
 
-    levels: the shard's frequent phrases of one, two, ... words, sorted: the numbers of words, then keys (phrase without its last word) << 32 | last word, both by their places in the lists before. A suffix is the place of the phrase without its first word.
+    levels: the shard's frequent phrases of one, two, ... words. Of each level, keys and suffixes: the numbers of words, sorted, and nothing; then phrase without its last word << 32 | last word, sorted, and phrase without its first word, all by their places in the lists before.
     """
-    words = levels[0]
+    words = levels[0][0]
     code = np.full(int(max(ids.max(initial=0), words.max(initial=0))) + 1, -1)
     code[words] = np.arange(len(words))
     maps = Bitmaps(code[ids], max(len(words), 1))
-    suffix = [None, levels[1] & 0xFFFFFFFF if len(levels) > 1 else None]
-    for keys, below in zip(levels[2:], levels[1:]):
-        suffix.append(_find(below, suffix[-1][keys >> 32] << 32 | keys & 0xFFFFFFFF))
     cut = lambda depth, entries: [(depth, tuple(x[i : i + BATCH] for x in entries)) for i in range(0, len(entries[0]), BATCH)][::-1]
     found, stack = [], cut(1, maps.roots())
     while stack:
         depth, entries = stack.pop()
         node, word, block, bits = maps.extended(*entries)
-        rest = word if depth == 1 else _find(levels[depth - 1], suffix[depth - 1][node] << 32 | word)
-        key = node << 32 | word
+        rest = word if depth == 1 else _find(levels[depth - 1][0], levels[depth - 1][1][node] << 32 | word)
         if depth == len(levels):
             keep = rest >= 0
-            keys, first, which = np.unique(key[keep], return_index=True, return_inverse=True)
-            found.append((keys, rest[keep][first], np.bincount(which, np.bitwise_count(bits[keep]), len(keys)).astype(np.int64)))
+            keys, which = np.unique(node[keep] << 32 | rest[keep], return_inverse=True)
+            found.append((keys, np.bincount(which, np.bitwise_count(bits[keep]), len(keys)).astype(np.int64)))
         else:
-            child = _find(levels[depth], key)
+            child = _find(levels[depth][0], node << 32 | word)
             keep = child >= 0
             stack += cut(depth + 1, (child[keep], block[keep], bits[keep]))
-    keys, rest, counts = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 3
-    keys, first, which = np.unique(keys, return_index=True, return_inverse=True)
-    return keys, rest[first], np.bincount(which, counts, len(keys)).astype(np.int64)
-
-
-_CANDIDATES = "at long, key long, parent long, suffix long, c long"
+    keys, counts = (np.concatenate(x) for x in zip(*found)) if found else (np.zeros(0, np.int64),) * 2
+    keys, which = np.unique(keys, return_inverse=True)
+    return keys >> 32, keys & 0xFFFFFFFF, np.bincount(which, counts, len(keys)).astype(np.int64)
+
+
+def _levels(table: pa.Table, depth: int) -> tuple[list[tuple[np.ndarray, np.ndarray]], np.ndarray]:
+    """(levels as of longer(), ids of the last one) of rows (level, parent, suffix, id); those of level 1 have the word's number as parent."""
+    level, parent, suffix, id_ = (table.column(c).to_numpy() for c in ("level", "parent", "suffix", "id"))
+    out, last, ids, order = [], np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+    for k in range(1, depth + 1):
+        own = np.flatnonzero(level == k)
+        if k == 1:
+            keys, rest = parent[own], np.full(len(own), -1)
+        else:
+            head, rest = (order[_find(ids[order], x[own])] if len(own) else own for x in (parent, suffix))
+            keys = head << 32 | last[rest]
+        by = np.argsort(keys, kind="stable")
+        out.append((keys[by], rest[by]))
+        last = np.arange(len(by)) if k == 1 else keys[by] & 0xFFFFFFFF
+        ids = id_[own][by]
+        order = np.argsort(ids, kind="stable")
+    return out, ids
 
 
 def _round(laid: DataFrame, known: list[DataFrame], tasks: int) -> DataFrame:
-    """The candidates of one word more of each shard: at (shard and number in it), key (as of longer()), parent and suffix (ids of the phrase without its last and without its first word) and c. known: (at, key, id) of the frequent ones, by length."""
-
+    """The candidates of one word more of each shard: parent and suffix, the ids of the phrase without its last and without its first word, and at, the shard and the count. known: the frequent ones of each shard (parent, suffix, at, id), by length."""
     depth = len(known)
 
     def deepen(left: pa.Table, right: pa.Table) -> pa.Table:
-        out = [np.zeros(0, np.int64)] * 5
+        out = [np.zeros(0, np.int64)] * 3
         if len(left) and len(right):
-            right = right.sort_by([("level", "ascending"), ("key", "ascending")])
-            level, key, id_ = (right.column(c).to_numpy() for c in ("level", "key", "id"))
-            bounds = np.searchsorted(level, np.arange(1, depth + 2))
-            levels = [key[i:j] for i, j in zip(bounds[:-1], bounds[1:])]
-            if all(map(len, levels)):
-                ids = np.frombuffer(left.column("ids")[0].as_py(), dtype="<u4" if left.column("wide")[0].as_py() else "<u2")
-                keys, rest, counts = longer(ids, levels)
-                last = id_[bounds[-2] : bounds[-1]]
-                out = [(left.column("shard")[0].as_py() << WITHIN) + np.arange(len(keys)), keys, last[keys >> 32], last[rest], counts]
-        return pa.table(dict(zip(("at", "key", "parent", "suffix", "c"), map(pa.array, out))))
-
-    back = reduce(DataFrame.unionByName, [k.select(F.shiftright("at", WITHIN).alias("shard"), F.lit(i).alias("level"), "key", "id") for i, k in enumerate(known, 1)])
-    both = laid.select("shard", "ids", "wide").repartition(tasks, "shard").groupBy("shard").cogroup(back.repartition(tasks, "shard").groupBy("shard"))
-    return both.applyInArrow(deepen, _CANDIDATES)
+            levels, ids = _levels(right, depth)
+            if len(ids):
+                parents, suffixes, counts = longer(unsqueezed(left.column("ids")[0].as_py()), levels)
+                out = [ids[parents], ids[suffixes], (left.column("shard")[0].as_py() << WITHIN) + counts]
+        return pa.table(dict(zip(("parent", "suffix", "at"), map(pa.array, out))))
+
+    back = reduce(DataFrame.unionByName, [k.select(F.shiftright("at", WITHIN).alias("shard"), F.lit(i).alias("level"), "parent", "suffix", "id") for i, k in enumerate(known, 1)])
+    both = laid.select("shard", "ids").repartition(tasks, "shard").groupBy("shard").cogroup(back.repartition(tasks, "shard").groupBy("shard"))
+    return both.applyInArrow(deepen, "parent long, suffix long, at long")
 
 
 def _frequent(rows: DataFrame, by: list[str], least: int) -> DataFrame:
-    """The rows whose counts c sum up to `least` or more over equal columns in `by`, with the sum as f and the least `at` as id. A key has a row for each shard at most."""
+    """The rows whose counts, in the low bits of `at`, sum up to `least` or more over equal columns in `by`, with the sum as f, a number for each such group as id, and whether a row is its group's first. A group has a row for each shard at most."""
     w = Window.partitionBy(*by)
-    return written(rows.withColumn("f", F.sum("c").over(w)).withColumn("id", F.min("at").over(w)).where(F.col("f") >= least).drop("c"), "frequent")
-
+    kept = rows.withColumn("f", F.sum(F.col("at").bitwiseAND(F.lit((1 << WITHIN) - 1))).over(w)).where(F.col("f") >= least)
+    numbered = kept.withColumn("n", F.monotonically_increasing_id()).withColumn("id", F.min("n").over(w))
+    return written(numbered.withColumn("first", F.col("n") == F.col("id")).drop("n"), "frequent")
 
 
 def collocations(docs: DataFrame, *, lang: str = "lang", least: int = 100, longest: int = 5, subsumed: int = 100, best: int | None = 2000) -> DataFrame:
@@ -201,13 +225,13 @@ def collocations(docs: DataFrame, *, lang: str = "lang", least: int = 100, longe
     laid = shards(docs, lang)
     tasks = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-laid.count() // SHARDS_A_TASK))
     words = laid.select("shard", "lang", F.posexplode(F.arrays_zip("words", "counts")).alias("i", "w"))
-    words = words.select((F.shiftleft("shard", WITHIN) + F.col("i")).alias("at"), (F.col("i") + 1).cast("long").alias("key"), "lang", F.col("w.words").alias("word"), F.col("w.counts").alias("c"))
-    known = [_frequent(words, ["lang", "word"], least)]
-    level = known[0].where("at = id").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("firsts"), F.array().cast("array<long>").alias("rests"))
+    words = words.select((F.shiftleft("shard", WITHIN) + F.col("w.counts")).alias("at"), (F.col("i") + 1).cast("long").alias("parent"), "lang", F.col("w.words").alias("word"))
+    known = [_frequent(words, ["lang", "word"], least).withColumn("suffix", F.lit(0).cast("long"))]
+    level = known[0].where("first").select("id", "lang", F.col("word").alias("phrase"), F.col("word").alias("last"), "f", F.array("f").alias("firsts"), F.array().cast("array<long>").alias("rests"))
     levels, links = [], []
     for k in range(2, longest + 1):
         known.append(_frequent(_round(laid, known, tasks), ["parent", "suffix"], least))
-        own = known[-1].where("at = id").select("id", "parent", "suffix", "f")
+        own = known[-1].where("first").select("id", "parent", "suffix", "f")
         links.append(own.select(F.lit(k - 1).alias("k"), F.explode(F.array("parent", "suffix")).alias("id"), "f"))
         head = level.select(F.col("id").alias("parent"), "lang", F.col("phrase").alias("head"), "firsts")
         tail = level.select(F.col("id").alias("suffix"), F.col("f").alias("rest"), "rests", "last")
