@@ -1,41 +1,104 @@
-"""Periods of many series at once: each row adds its sines and cosines to the sums of its group at each period of a grid, before the shuffle."""
+"""Periods of many series at once: each task adds the sines and cosines of its rows to sums by group and period, which are then added up. Grids are made where they are used, from two or three numbers of a group."""
 
 import math
+from collections.abc import Callable
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from heliotab.functions import sem
 from heliotab.operators.ranks import join_groups
+from heliotab.operators.stats import period_grid
 
+#: Rows of a group that one task adds up; periods worked on at once, and rows given back at once.
+_ROWS, _PERIODS, _OUT = 8192, 512, 100_000
 
-def _spread(df: DataFrame, periods: list[float]) -> DataFrame:
-    """Each row at each period, with `_c` and `_s`, the cosine and sine of its phase."""
-    phase = 2 * math.pi / F.col("period") * F.col("_t")
-    return df.withColumn("period", F.explode(F.array(*map(F.lit, map(float, periods))))).withColumn("_c", F.cos(phase)).withColumn("_s", F.sin(phase))
 
+def logarithmic(low: float, high: float, count: int = 1024) -> Callable[[float], np.ndarray]:
+    """The same periods for every group, each larger than the last by the same factor."""
+    return lambda span: low * (high / low) ** (np.arange(count) / max(count - 1, 1))
 
-def grouped(df: DataFrame, by: list[str], t: str, y: str, periods: list[float]) -> DataFrame:
-    """(by, period, power): the Lomb-Scargle power of each group with three finite rows or more and values that differ."""
-    rows = df.select(*by, F.col(t).cast("double").alias("_t"), F.col(y).cast("double").alias("_y")).where(sem.is_finite(F.col("_t")) & sem.is_finite(F.col("_y")))
-    limits = rows.groupBy(*by).agg(F.count("*").alias("_n"), F.avg("_y").alias("_m"), F.var_samp("_y").alias("_v")).where("_n >= 3 AND _v > 0")
-    c, s, d = F.col("_c"), F.col("_s"), F.col("_y") - F.col("_m")
-    sums = _spread(join_groups(rows, limits, by), periods).groupBy(*by, "period", "_n", "_v").agg(F.sum(d * c).alias("yc"), F.sum(d * s).alias("ys"), F.sum(c * c - s * s).alias("c2"), F.sum(2 * s * c).alias("s2"))
+
+def by_span(low: float, high: float) -> Callable[[float], np.ndarray]:
+    """The periods that fit the span of a group's times: a tenth of a peak's width apart."""
+    return lambda span: np.array(list(period_grid(low, high, span)), dtype=float)
+
+
+def _summed(rows: DataFrame, by: list[str], names: list[str], terms: Callable, grid: Callable[[float], np.ndarray]) -> DataFrame:
+    """(by, period, names): sums of terms(values, cosines, sines) of each group's rows at each of its periods. rows: by, _t, _span, _n and values. A group's rows go to a task for each _ROWS of them."""
+    values = [c for c in rows.columns if c not in (*by, "_t", "_span", "_n")]
+    dealt = rows.withColumn("_part", F.pmod(F.xxhash64("_t", *values), F.ceil(F.col("_n") / _ROWS))).repartition(*by, "_part").sortWithinPartitions(*by).drop("_part")
+    schema = StructType([*[rows.schema[c] for c in by], *[StructField(c, DoubleType()) for c in ("period", *names)]])
+
+    def run(batches):
+        known: tuple[float, np.ndarray] = (math.nan, np.zeros(0))
+        held, size = [], 0
+        for batch in batches:
+            keys = list(zip(*[batch.column(c).to_pylist() for c in by])) if by else [()] * batch.num_rows
+            starts = [i for i in range(len(keys)) if not i or keys[i] != keys[i - 1]]
+            t, spans = batch.column("_t").to_numpy(), batch.column("_span").to_numpy()
+            own = {c: batch.column(c).to_numpy() for c in values}
+            for i, j in zip(starts, [*starts[1:], len(keys)]):
+                if spans[i] != known[0]:
+                    known = spans[i], np.asarray(grid(float(spans[i])), dtype=float)
+                periods = known[1]
+                if not len(periods):
+                    continue
+                sums = np.zeros((len(names), len(periods)))
+                for k in range(0, len(periods), _PERIODS):
+                    for r in range(i, j, 1024):
+                        rows_ = slice(r, min(j, r + 1024))
+                        phase = np.outer(t[rows_], 2 * math.pi / periods[k : k + _PERIODS])
+                        sums[:, k : k + _PERIODS] += terms({c: v[rows_] for c, v in own.items()}, np.cos(phase), np.sin(phase))
+                at = pa.array(np.full(len(periods), i))
+                held.append(pa.RecordBatch.from_arrays([*[batch.column(c).take(at) for c in by], pa.array(periods), *map(pa.array, sums)], names=schema.names))
+                size += len(periods)
+                if size >= _OUT:
+                    yield from held
+                    held, size = [], 0
+        yield from held
+
+    return dealt.mapInArrow(run, schema).groupBy(*by, "period").agg(*[F.sum(c).alias(c) for c in names])
+
+
+def _limited(df: DataFrame, by: list[str], **columns: str) -> tuple[DataFrame, DataFrame]:
+    """(rows, limits): the finite rows with by and the columns as doubles, and _n and _span of each group."""
+    rows = df.select(*by, *[F.col(c).cast("double").alias(k) for k, c in columns.items()])
+    for k in columns:
+        rows = rows.where(sem.is_finite(F.col(k)))
+    return rows, rows.groupBy(*by).agg(F.count("*").alias("_n"), (F.max("_t") - F.min("_t")).alias("_span"), F.avg("_y").alias("_m"), F.var_samp("_y").alias("_v"))
+
+
+def grouped(df: DataFrame, by: list[str], t: str, y: str, grid: Callable[[float], np.ndarray]) -> DataFrame:
+    """(by, period, power): the Lomb-Scargle power of each group with three finite rows or more and values that differ, at the periods of grid(span)."""
+    rows, limits = _limited(df, by, _t=t, _y=y)
+    limits = limits.where("_n >= 3 AND _v > 0")
+    both = join_groups(rows, limits, by).select(*by, "_t", "_span", "_n", (F.col("_y") - F.col("_m")).alias("d"))
+    terms = lambda v, c, s: np.stack([v["d"] @ c, v["d"] @ s, (c * c - s * s).sum(axis=0), (2 * s * c).sum(axis=0)])
+    sums = join_groups(_summed(both, by, ["yc", "ys", "c2", "s2"], terms, grid), limits.select(*by, "_n", "_v"), by)
     a, h, n = F.atan2("s2", "c2") / 2, F.hypot("c2", "s2"), F.col("_n")
     yc = F.col("yc") * F.cos(a) + F.col("ys") * F.sin(a)
     ys = F.col("ys") * F.cos(a) - F.col("yc") * F.sin(a)
-    return sums.select(*by, "period", (sem.fdiv(yc * yc, (n + h) / 2) + sem.fdiv(ys * ys, (n - h) / 2)).alias("_p"), "_v").select(*by, "period", (F.col("_p") / (2 * F.col("_v"))).alias("power"))
-
-
-def floating_mean(df: DataFrame, by: list[str], t: str, y: str, weight: str, periods: list[float]) -> DataFrame:
-    """(by, period, power): the part of the weighted variance that a sine with a mean of its own explains at each period, 0 to 1."""
-    rows = df.select(*by, F.col(t).cast("double").alias("_t"), F.col(y).cast("double").alias("_y"), F.col(weight).cast("double").alias("_w")).where(sem.is_finite(F.col("_t")) & sem.is_finite(F.col("_y")) & (F.col("_w") > 0))
-    w, v, c, s = (F.col(k) for k in ("_w", "_y", "_c", "_s"))
-    terms: dict[str, Column] = {"Y": v, "YY": v * v, "C": c, "S": s, "YC": v * c, "YS": v * s, "CC": c * c, "CS": c * s}
-    m = {k: F.col(f"m{k}") for k in terms}
-    sums = _spread(rows, periods).groupBy(*by, "period").agg(*[(F.sum(w * x) / F.sum(w)).alias(f"m{k}") for k, x in terms.items()])
-    yy, yc, ys = m["YY"] - m["Y"] * m["Y"], m["YC"] - m["Y"] * m["C"], m["YS"] - m["Y"] * m["S"]
-    cc, ss, cs = m["CC"] - m["C"] * m["C"], 1 - m["CC"] - m["S"] * m["S"], m["CS"] - m["C"] * m["S"]
-    return sums.select(*by, "period", sem.fdiv(ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys, yy * (cc * ss - cs * cs)).alias("power"))
+    return sums.select(*by, "period", ((sem.fdiv(yc * yc, (n + h) / 2) + sem.fdiv(ys * ys, (n - h) / 2)) / (2 * F.col("_v"))).alias("power"))
+
+
+def floating_mean(df: DataFrame, by: list[str], t: str, y: str, weight: str, grid: Callable[[float], np.ndarray]) -> DataFrame:
+    """(by, period, power): the part of the weighted variance that a sine with a mean of its own explains at each period of grid(span), 0 to 1. Weights must be above 0."""
+    rows, limits = _limited(df.where(F.col(weight) > 0), by, _t=t, _y=y, w=weight)
+    sides = rows.groupBy(*by).agg(F.sum("w").alias("_w"), (F.sum(F.col("w") * F.col("_y")) / F.sum("w")).alias("_my"))
+    both = join_groups(join_groups(rows, limits.select(*by, "_span", "_n"), by), sides, by).withColumn("d", F.col("_y") - F.col("_my"))
+
+    def terms(v, c, s):
+        w, wd = v["w"], v["w"] * v["d"]
+        return np.stack([w @ c, w @ s, wd @ c, wd @ s, w @ (c * c), w @ (c * s)])
+
+    sums = _summed(both.select(*by, "_t", "_span", "_n", "w", "d"), by, ["C", "S", "YC", "YS", "CC", "CS"], terms, grid)
+    yy = both.groupBy(*by).agg(F.first("_w").alias("_w"), (F.sum(F.col("w") * F.col("d") * F.col("d")) / F.sum("w")).alias("_yy"))
+    m: dict[str, Column] = {k: F.col(k) / F.col("_w") for k in ("C", "S", "YC", "YS", "CC", "CS")}
+    cc, ss, cs, yc, ys = m["CC"] - m["C"] * m["C"], 1 - m["CC"] - m["S"] * m["S"], m["CS"] - m["C"] * m["S"], m["YC"], m["YS"]
+    return join_groups(sums, yy, by).select(*by, "period", sem.fdiv(ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys, F.col("_yy") * (cc * ss - cs * cs)).alias("power"))
 
 
 def best(powers: DataFrame, by: list[str]) -> DataFrame:

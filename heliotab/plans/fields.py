@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from heliotab.operators import drizzle, harmonics, tracks
+from heliotab.operators import drizzle, harmonics, patterns, tracks
 from heliotab.operators.store import written
 from heliotab.plans.images_and_fits import _IMAGE, _image
 from heliotab.plans.registry import query, table
@@ -104,3 +104,16 @@ def harmonic_flow(spark, d):
     found = harmonics.fit_vectors(stars, 1, "ra", "dec", "e", "n")
     east, north = harmonics.apply_vectors(found, F.col("ra"), F.col("dec"))
     return stars.select("id", F.round(east, 5).alias("east"), F.round(north, 5).alias("north"))
+
+
+#: Four images of customers, each turned and shifted against its reference.
+_TURN, _P, _Q = "radians(c_custkey % 4 * 1.7 - 2.6)", "(c_custkey % 4 * 31 - 40)", "(25 - c_custkey % 4 * 17)"
+
+
+@query(f"SELECT (c_custkey % 4)::INT AS image, count(*) AS n, round(any_value(cos({_TURN})), 4) AS a, round(any_value(sin({_TURN})), 4) AS b, round(any_value({_P}), 2)::DOUBLE AS p, round(any_value({_Q}), 2)::DOUBLE AS q FROM customer GROUP BY ALL")
+def matched_lists(spark, d):
+    """The turn and shift between star lists made of customers and their references, found blind."""
+    stars = table(spark, d, "customer").selectExpr("CAST(c_custkey % 4 AS INT) AS image", "c_custkey AS id", "c_acctbal AS mag", "c_custkey * 7919 % 10007 / 20D AS x", "c_custkey * 6007 % 10009 / 20D AS y", f"{_TURN} AS turn", f"{_P} AS p", f"{_Q} AS q")
+    reference = stars.selectExpr("image", "id", "cos(turn) * x - sin(turn) * y + p AS x", "sin(turn) * x + cos(turn) * y + q AS y", "mag")
+    out = patterns.match(stars, reference)
+    return out.select("image", "n", F.round("a", 4).alias("a"), F.round("b", 4).alias("b"), F.round("p", 2).alias("p"), F.round("q", 2).alias("q"))

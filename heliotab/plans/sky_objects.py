@@ -170,18 +170,19 @@ def slope_change(spark, d):
     return s.select("o_custkey", F.round((F.col("a") - F.col("b")) / (F.col("a") + F.col("b")), 4).alias("change"), F.round((F.col("a") + F.col("b")) / 2, 2).alias("slope"))
 
 
-_GRID = "(SELECT 5 * power(1.1, unnest(range(24))) AS p)"
+_GRID = "(SELECT 5 * power(9, unnest(range(1024)) / 1023.0::DOUBLE) AS p)"
 _EACH = "SELECT user_id, event_id / 10.0::DOUBLE AS t, value AS y FROM events"
 
 
-@query(f"""WITH r AS ({_EACH}), s AS (SELECT user_id, avg(y) AS m, var_samp(y) AS v FROM r GROUP BY user_id HAVING count(*) >= 3 AND var_samp(y) > 0), g AS {_GRID},
-  a AS (SELECT user_id, p, atan2(sum(sin(4 * pi() / p * t)), sum(cos(4 * pi() / p * t))) / 2 AS a FROM g, r JOIN s USING (user_id) GROUP BY user_id, p),
+@query(f"""WITH RECURSIVE r AS ({_EACH}), s AS (SELECT user_id, avg(y) AS m, var_samp(y) AS v, max(t) - min(t) AS span FROM r GROUP BY user_id HAVING count(*) >= 3 AND var_samp(y) > 0),
+  g AS (SELECT user_id, 5.0::DOUBLE AS p, span FROM s WHERE span > 0 UNION ALL SELECT user_id, p * (1 + 0.1 * p / span), span FROM g WHERE p * (1 + 0.1 * p / span) < 45),
+  a AS (SELECT user_id, p, atan2(sum(sin(4 * pi() / p * t)), sum(cos(4 * pi() / p * t))) / 2 AS a FROM g JOIN r USING (user_id) GROUP BY user_id, p),
   w AS (SELECT user_id, p, (power(sum((y - m) * cos(2 * pi() / p * t - a)), 2) / sum(power(cos(2 * pi() / p * t - a), 2)) + power(sum((y - m) * sin(2 * pi() / p * t - a)), 2) / sum(power(sin(2 * pi() / p * t - a), 2))) / (2 * any_value(v)) AS power FROM a JOIN r USING (user_id) JOIN s USING (user_id) GROUP BY user_id, p)
   SELECT user_id, round(p, 6) AS period, round(power, 4) AS power FROM w QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY power DESC, p) = 1""")
 def object_periods(spark, d):
-    """The period of most power of each object's series."""
+    """The period of most power of each object's series, over the grid that fits its span."""
     rows = table(spark, d, "events").select("user_id", (F.col("event_id") / 10.0).alias("t"), F.col("value").alias("y"))
-    best = periods.best(periods.grouped(rows, ["user_id"], "t", "y", [5 * 1.1**k for k in range(24)]), ["user_id"])
+    best = periods.best(periods.grouped(rows, ["user_id"], "t", "y", periods.by_span(5.0, 45.0)), ["user_id"])
     return _rounded(_rounded(best, 6, "period"), 4, "power")
 
 
@@ -190,7 +191,7 @@ def object_periods(spark, d):
   e AS (SELECT k, p, YY - Y * Y AS yy, YC - Y * C AS yc, YS - Y * S AS ys, CC - C * C AS cc, 1 - CC - S * S AS ss, CS - C * S AS cs FROM c)
   SELECT k AS event_type, round(p, 6) AS period, round((ss * yc * yc + cc * ys * ys - 2 * cs * yc * ys) / (yy * (cc * ss - cs * cs)), 7) AS power FROM e""")
 def floating_mean_periods(spark, d):
-    """The power over a logarithmic grid with a mean that is fitted along, by weights 1 / (sigma^2 + 0.01)."""
+    """The power over 1,024 logarithmic periods with a mean that is fitted along, by weights 1 / (sigma^2 + 0.01)."""
     rows = table(spark, d, "events").select("event_type", (F.col("event_id") / 10.0).alias("t"), F.col("value").alias("y"), (1 / (F.pow(1 + F.col("event_id") % 5, F.lit(2)) + 0.01)).alias("w"))
-    out = periods.floating_mean(rows, ["event_type"], "t", "y", "w", [5 * 1.1**k for k in range(24)])
+    out = periods.floating_mean(rows, ["event_type"], "t", "y", "w", periods.logarithmic(5.0, 45.0))
     return _rounded(_rounded(out, 6, "period"), 7, "power")

@@ -106,7 +106,7 @@ def test_periods_of_each_object(spark):
     rows = [(g, float(t), math.sin(2 * math.pi * t / p)) for g, p in ((1, 15.0), (2, 8.0)) for t in range(200)] + [(3, 1.0, 1.0)] * 5 + [(1, NAN, 1.0)]
     df = spark.createDataFrame(rows, "g int, t double, y double").withColumn("w", F.lit(1.0))
     grid = [5 * 1.01**k for k in range(150)]
-    for found in (periods.grouped(df, ["g"], "t", "y", grid), periods.floating_mean(df, ["g"], "t", "y", "w", grid)):
+    for found in (periods.grouped(df, ["g"], "t", "y", lambda span: grid), periods.floating_mean(df, ["g"], "t", "y", "w", lambda span: grid)):
         best = {r["g"]: r["period"] for r in periods.best(found, ["g"]).collect()}
         assert abs(best[1] - 15) < 0.3 and abs(best[2] - 8) < 0.2
 
