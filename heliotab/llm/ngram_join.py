@@ -214,8 +214,6 @@ def _buckets(rows: DataFrame) -> DataFrame:
     halves = (F.sum(F.shiftright(h, 32)).alias("high"), F.sum(h.bitwiseAND(F.lit(0xFFFFFFFF))).alias("low"))
     several = dealt.groupBy("bucket").agg(F.min("node").alias("first"), F.max("node").alias("last"), F.count("*").alias("rows"), F.sum("place").alias("places"), *halves).where("first <> last")
     one = materialised(several.groupBy("first", "last", "rows", "high", "low").agg(F.min(F.struct("places", "bucket")).alias("m")).select("m.bucket", "rows"))
-    if few(one):
-        return dealt.join(F.broadcast(one), "bucket").dropDuplicates(["bucket", "node"])
     total = one.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     size = max(BUCKET_ROWS, total // MOST_SPLIT)
     split = F.broadcast(one.where(F.col("rows") > size))  # MOST_SPLIT rows at most
@@ -226,7 +224,7 @@ def _by_bucket(rows: DataFrame, values: DataFrame, size: int = BUCKET_ROWS) -> D
     """The rows of buckets, with the columns of the one row that `values` has for each bucket. Both know the number of rows of a bucket (`rows`; those of the left side may have any number up to `size` for buckets up to it); a bucket is dealt to a task for each `size` of them."""
     parts = F.ceil(F.col("rows") / size).cast("int")
     ours = rows.withColumn("part", F.pmod(F.xxhash64("node"), parts)).drop("rows")
-    return ours.join(values.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))), ["bucket", "part"]).drop("part")
+    return ours.join(values.withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1))).hint("merge"), ["bucket", "part"]).drop("part")
 
 
 def _details(docs: DataFrame, wanted: DataFrame, shared) -> DataFrame:
@@ -262,8 +260,9 @@ def _fits(a: str, b: str):
 
 
 def _both(pairs: DataFrame, values: DataFrame) -> DataFrame:
-    """The pairs (a, b) with the columns xa and xb of (node, x)."""
-    return pairs.join(values.select(F.col("node").alias("a"), F.col("x").alias("xa")), "a").join(values.select(F.col("node").alias("b"), F.col("x").alias("xb")), "b")
+    """The pairs (a, b) with the columns xa and xb of (node, x). Both grow with the corpus, so neither is broadcast, however small."""
+    xa, xb = (values.select(F.col("node").alias(k), F.col("x").alias(f"x{k}")).hint("merge") for k in "ab")
+    return pairs.join(xa, "a").join(xb, "b")
 
 
 def _folded(x: Column, other: Column) -> Column:
