@@ -3,7 +3,7 @@
 from pyspark.sql import Window, functions as F
 
 from heliotab.functions import sky
-from heliotab.operators import joins, ranks, series, stats
+from heliotab.operators import joins, ranks, series, stats, vectors
 from heliotab.operators.calibrate import alternating_means
 from heliotab.plans.registry import query, table
 
@@ -94,12 +94,10 @@ def sky_sexagesimal(spark, d):
 @query("""SELECT a.vec_id, b.vec_id AS nearest FROM embeddings a, embeddings b WHERE a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id
           QUALIFY row_number() OVER (PARTITION BY a.vec_id ORDER BY round(list_distance(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 6), b.vec_id) = 1""")
 def knn_embed(spark, d):
-    """A stated query set (every 50th vector) against all vectors, in blocks: each partition reduces its pairs to the nearest before the shuffle."""
-    vectors = table(spark, d, "embeddings")
-    asked = vectors.where("vec_id % 50 = 0").select(F.col("vec_id").alias("q"), F.col("embedding").alias("e"))
-    distance = F.round(F.sqrt(F.aggregate(F.zip_with("embedding", "e", lambda a, b: (a.cast("double") - b.cast("double")) * (a.cast("double") - b.cast("double"))), F.lit(0.0), lambda s, x: s + x)), 6)
-    pairs = vectors.join(asked, F.col("vec_id") != F.col("q"))
-    return pairs.groupBy("q").agg(F.min(F.struct(distance.alias("d"), "vec_id")).alias("m")).select(F.col("q").alias("vec_id"), F.col("m.vec_id").alias("nearest"))
+    """A stated query set (every 50th vector) against all vectors, a product of matrices for each pair of blocks."""
+    rows = table(spark, d, "embeddings")
+    found = vectors.nearest(rows, rows.where("vec_id % 50 = 0"), "vec_id", "embedding")
+    return found.select(F.col("query").alias("vec_id"), F.col("vec_id").alias("nearest"))
 
 
 _W = "OVER (PARTITION BY user_id ORDER BY ts, event_id"

@@ -65,3 +65,19 @@ def test_nearest_against_all(spark):
 def test_no_lists(spark):
     none = spark.createDataFrame([], COLUMNS)
     assert not patterns.match(none, none).collect()
+
+
+@pytest.mark.parametrize("block", [3, 512])
+def test_nearest_vectors_against_all(spark, block, monkeypatch):
+    """Ties, repeated vectors and nulls; blocks of few queries."""
+    from heliotab.operators import vectors
+
+    monkeypatch.setattr(vectors, "BLOCK", block)
+    r = random.Random(11)
+    rows = [(i, [r.choice([0.0, 1.0, 2.5]) for _ in range(4)]) for i in range(70)] + [(70, None)]
+    df = spark.createDataFrame(rows, "id long, v array<double>").repartition(3)
+    got = {x["query"]: (x["id"], x["distance"]) for x in vectors.nearest(df, df.where("id % 5 = 0"), "id", "v").collect()}
+    want = {}
+    for i, a in rows[:70:5]:
+        want[i] = min((round(math.dist(a, b), 6), j) for j, b in rows[:70] if j != i)[::-1]
+    assert got == want
