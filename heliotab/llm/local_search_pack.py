@@ -4,6 +4,7 @@ import bisect
 import zlib
 from array import array
 from functools import lru_cache
+from os.path import commonprefix
 from unicodedata import is_normalized
 
 import numpy as np
@@ -47,6 +48,7 @@ class WordBPE:
         self.library.encode_special_tokens = True
         self.whole = Tokenizer.from_file(path)
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
+        self.begin = commonprefix(self.added)
         self.model = self.library.model
         self.memory: dict[bytes, bytes] = {}
         self.characters = {b: c for b, c in byte_table()[0].items() if chr(b) != c}
@@ -77,7 +79,7 @@ class WordBPE:
         for text in texts:
             if len(self.memory) > MEMORY:
                 self.memory.clear()
-            if any(t in text for t in self.added):
+            if self.begin in text and any(t in text for t in self.added):
                 out.append(array("I", self.whole.encode(text, add_special_tokens=False).ids).tobytes())
                 continue
             words = text.encode().lower().split()  # of bytes: ASCII letters and white space alone
