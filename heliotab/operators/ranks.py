@@ -44,18 +44,19 @@ def limits_of(rows: DataFrame, by: list[str]) -> DataFrame:
     return written(rows.groupBy(*by).agg(F.count("*").alias("n"), F.min("_v").alias("low"), F.max("_v").alias("high")))
 
 
-def _narrowed(rows: DataFrame, by: list[str], state: DataFrame, names: list[str]) -> DataFrame:
-    """The brackets _lo and _hi (structs by name) of the ranks _at, made narrower where they may hold more than MANY values (_left), by percentiles of what is inside: two steps beyond those around the rank, eight times the percentiles' error."""
+def _narrowed(rows: DataFrame, by: list[str], state: DataFrame, names: list[str], shared: bool) -> DataFrame:
+    """The brackets _lo and _hi (structs by name) of the ranks _at, made narrower where they may hold more than MANY values (_left), by percentiles of what is inside: two steps beyond those around the rank, eight times the percentiles' error. shared: all ranks still have the same bracket."""
     v, grid = F.col("_v"), F.array(*[F.lit(i / STEPS) for i in range(STEPS + 1)])
+    of = (lambda k: names[0]) if shared else (lambda k: k)
     inside = lambda k: v.between(F.col(f"_lo.{k}"), F.col(f"_hi.{k}"))
     large = join_groups(rows, state.where(F.greatest(F.lit(0), *[F.col(f"_left.{k}") for k in names]) > MANY).select(*by, "_lo", "_hi"), by)
-    sums = large.groupBy(*by).agg(*[x for k in names for x in (F.count_if(v < F.col(f"_lo.{k}")).alias(f"_before_{k}"), F.count_if(inside(k)).alias(f"_m_{k}"), F.percentile_approx(F.when(inside(k), v), grid, ACCURACY).alias(f"_grid_{k}"))])
+    sums = large.groupBy(*by).agg(*[x for k in (names[:1] if shared else names) for x in (F.count_if(v < F.col(f"_lo.{k}")).alias(f"_before_{k}"), F.count_if(inside(k)).alias(f"_m_{k}"), F.percentile_approx(F.when(inside(k), v), grid, ACCURACY).alias(f"_grid_{k}"))])
     both = join_groups(state, sums, by, "left")
-    many = lambda k: (F.col(f"_left.{k}") > MANY) & F.col(f"_m_{k}").isNotNull()
-    step = lambda k: F.floor((F.col(f"_at.{k}") - F.col(f"_before_{k}")) * STEPS / F.col(f"_m_{k}")).cast("int")
-    low = {k: F.when(many(k), F.get(f"_grid_{k}", F.greatest(step(k) - 2, F.lit(0)))).otherwise(F.col(f"_lo.{k}")) for k in names}
-    high = {k: F.when(many(k), F.get(f"_grid_{k}", F.least(step(k) + 3, F.lit(STEPS)))).otherwise(F.col(f"_hi.{k}")) for k in names}
-    left = {k: F.when(many(k), F.when(low[k] == high[k], 1).otherwise(F.ceil(F.col(f"_m_{k}") * 6 / STEPS))).otherwise(F.col(f"_left.{k}")) for k in names}
+    many = lambda k: (F.col(f"_left.{k}") > MANY) & F.col(f"_m_{of(k)}").isNotNull()
+    step = lambda k: F.floor((F.col(f"_at.{k}") - F.col(f"_before_{of(k)}")) * STEPS / F.col(f"_m_{of(k)}")).cast("int")
+    low = {k: F.when(many(k), F.get(f"_grid_{of(k)}", F.greatest(step(k) - 2, F.lit(0)))).otherwise(F.col(f"_lo.{k}")) for k in names}
+    high = {k: F.when(many(k), F.get(f"_grid_{of(k)}", F.least(step(k) + 3, F.lit(STEPS)))).otherwise(F.col(f"_hi.{k}")) for k in names}
+    left = {k: F.when(many(k), F.when(low[k] == high[k], 1).otherwise(F.ceil(F.col(f"_m_{of(k)}") * 6 / STEPS))).otherwise(F.col(f"_left.{k}")) for k in names}
     pack = lambda cs, out: F.struct(*[c.alias(k) for k, c in cs.items()]).alias(out)
     return written(both.select(*by, "n", "low", "high", "_at", pack(low, "_lo"), pack(high, "_hi"), pack(left, "_left")))
 
@@ -72,7 +73,7 @@ def at_ranks(df: DataFrame, by: list[str], value: str, wanted: dict[str, Column]
     state = state.select(*by, "n", "low", "high", ranks.alias("_at"), same(F.col("low")).alias("_lo"), same(F.col("high")).alias("_hi"), same(F.when(F.col("low") == F.col("high"), 1).otherwise(F.col("n"))).alias("_left"))
     narrowed = False
     while (state.agg(F.max(F.greatest(F.lit(0), *[F.col(f"_left.{k}") for k in names]))).first()[0] or 0) > MANY:
-        state, narrowed = _narrowed(rows, by, state, names), True
+        state, narrowed = _narrowed(rows, by, state, names, not narrowed), True
     v = F.col("_v")
     if narrowed:
         # A value below or above a rank's bracket counts under one key, so only those inside are told apart.
