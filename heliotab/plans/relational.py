@@ -43,9 +43,14 @@ same("update_join_rewrite", "SELECT o_orderkey, CASE WHEN f.k IS NOT NULL THEN '
 same("delete_rewrite", "SELECT o_orderkey FROM {orders} WHERE NOT (o_orderstatus = 'P' OR o_totalprice < 500)", ("orders",))
 same("delete_join_rewrite", "SELECT o_orderkey FROM {orders} WHERE NOT EXISTS (SELECT 1 FROM {lineitem} WHERE l_discount = 0.1 AND l_orderkey = o_orderkey)", ("orders", "lineitem"), "SELECT o_orderkey FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_discount = 0.1 AND l_orderkey IS NOT NULL)")
 same("insert_select", "SELECT o_orderkey AS k, o_orderstatus AS state FROM {orders} WHERE o_orderstatus = 'F' UNION ALL SELECT -1 - c_custkey, 'new' FROM {customer} WHERE c_acctbal < -900", ("orders", "customer"))
-_PLACES = "SELECT s_suppkey, c_custkey, 2 * asin(sqrt(power(sin((cb - sb) / 2), 2) + cos(sb) * cos(cb) * power(sin((cl - sl) / 2), 2))) AS dist FROM (SELECT s_suppkey, s_nationkey, radians((s_suppkey * 37.7D) % 360) AS sl, radians(s_acctbal % 90) AS sb FROM {supplier}) s JOIN (SELECT c_custkey, c_nationkey, radians((c_custkey * 37.7D) % 360) AS cl, radians(c_acctbal % 90) AS cb FROM {customer}) c ON s_nationkey = c_nationkey"
-#: The nearest partner of the same group by great-circle distance: a minimum that is combined before the shuffle.
-same("haversine_group", f"SELECT s_suppkey, min_by(c_custkey, struct(dist, c_custkey)) AS partner, round(degrees(min(dist)), 8) AS degrees FROM ({_PLACES}) GROUP BY s_suppkey", ("supplier", "customer"), f"SELECT s_suppkey, CAST(split_part(string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY dist, c_custkey), ',', 1) AS BIGINT) AS partner, round(degrees(min(dist)), 8) AS degrees FROM ({_PLACES.replace('{', '').replace('}', '').replace('37.7D', '37.7')}) GROUP BY s_suppkey")
+_PLACES = "SELECT s_suppkey, c_custkey, 2 * asin(sqrt(power(sin((cb - sb) / 2), 2) + cos(sb) * cos(cb) * power(sin((cl - sl) / 2), 2))) AS dist FROM (SELECT s_suppkey, s_nationkey, radians((s_suppkey * 37.7) % 360) AS sl, radians(s_acctbal % 90) AS sb FROM supplier) s JOIN (SELECT c_custkey, c_nationkey, radians((c_custkey * 37.7) % 360) AS cl, radians(c_acctbal % 90) AS cb FROM customer) c ON s_nationkey = c_nationkey"
+@query(f"SELECT s_suppkey, CAST(split_part(string_agg(CAST(c_custkey AS VARCHAR), ',' ORDER BY dist, c_custkey), ',', 1) AS BIGINT) AS partner, round(degrees(min(dist)), 8) AS degrees FROM ({_PLACES}) GROUP BY s_suppkey")
+def haversine_group(spark, d):
+    """The nearest partner of the same group by great-circle distance, by cells of growing size."""
+    suppliers = table(spark, d, "supplier").selectExpr("s_suppkey", "s_nationkey AS nation", "(s_suppkey * 37.7D) % 360 AS sl", "s_acctbal % 90 AS sb")
+    customers = table(spark, d, "customer").selectExpr("c_custkey AS partner", "c_nationkey AS nation", "(c_custkey * 37.7D) % 360 AS cl", "c_acctbal % 90 AS cb")
+    out = joins.nearest_of_group(suppliers, customers, "nation", "s_suppkey", ("sl", "sb"), ("cl", "cb"), "partner")
+    return out.select("s_suppkey", "partner", F.round(F.degrees("radians"), 8).alias("degrees"))
 
 
 @query("""SELECT o_orderkey, coalesce(l_partkey, -1) AS first_part FROM orders LEFT JOIN (
