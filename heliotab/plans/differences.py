@@ -4,7 +4,7 @@ import math
 
 from pyspark.sql import functions as F
 
-from heliotab.operators import contours, peaks, sources, stacking, subtraction
+from heliotab.operators import contours, detrend, peaks, sources, stacking, subtraction
 from heliotab.plans.fields import _projected
 from heliotab.plans.images_and_fits import _COUNTS, _IMAGE, _image
 from heliotab.plans.registry import query, table
@@ -131,3 +131,23 @@ def blended_sources(spark, d):
     guess = stars.select("image", "id", (F.col("sx") + 0.3).alias("x"), (F.col("sy") - 0.2).alias("y"), (F.col("flux") * 0.8).alias("flux"), F.lit(_XX).alias("xx"), F.lit(_XY).alias("xy"), F.lit(_YY).alias("yy"))
     out = sources.fit(pixels, guess, ["image"], "id", 6.0)
     return out.select("image", "id", F.round("x", 4).alias("x"), F.round("y", 4).alias("y"), F.round("flux", 2).alias("flux"), "together")
+
+
+_TIMES = "SELECT l_returnflag AS image, CAST(l_quantity AS INT) AS x, CAST(round(l_discount * 100) AS INT) AS y, CAST(l_linenumber AS DOUBLE) AS t, CAST(count(*) AS DOUBLE) AS v FROM lineitem GROUP BY ALL"
+
+
+@query(f"SELECT image, x, y, count(*) AS n, round(regr_slope(v * (t + 0.5), t), 6) + 0.0 AS scale, round(regr_intercept(v * (t + 0.5), t), 5) + 0.0 AS level FROM ({_TIMES}) GROUP BY image, x, y HAVING count(*) > 1")
+def shutter_map(spark, d):
+    """The scale of each pixel and its level at time 0, line numbers taken as times, for a reference open by half a unit longer."""
+    c = F.col
+    times = table(spark, d, "lineitem").groupBy(c("l_returnflag").alias("image"), c("l_quantity").cast("int").alias("x"), F.round(c("l_discount") * 100).cast("int").alias("y"), c("l_linenumber").alias("t")).agg(F.count("*").cast("double").alias("v"))
+    reference = times.select("image").distinct().withColumn("reference", F.lit(0.5))
+    out = detrend.shutter(times, ["image"], "t", reference).where("n > 1")
+    return out.select("image", "x", "y", "n", (F.round("scale", 6) + 0.0).alias("scale"), (F.round(c("scale") * c("offset"), 5) + 0.0).alias("level"))
+
+
+@query(f"WITH i AS (SELECT *, sin(x * 0.7::DOUBLE + y * 0.2::DOUBLE) AS f FROM ({_COUNTS})), s AS (SELECT image, regr_slope(v, f) AS k FROM i GROUP BY image) SELECT image, x, y, round(v - k * f, 5) + 0.0 AS v FROM i JOIN s USING (image)")
+def image_without_fringes(spark, d):
+    """The counts without the share of a wave that they hold."""
+    waves = _counts(spark, d).withColumn("f", F.sin(F.col("x") * 0.7 + F.col("y") * 0.2))
+    return detrend.without_fringes(waves, detrend.fringes(waves, ["image"], ["f"], None), ["image"], ["f"]).select("image", "x", "y", (F.round("v", 5) + 0.0).alias("v"))
