@@ -20,12 +20,12 @@ def shutter_reference(df: DataFrame, by: list[str], time: str) -> DataFrame:
 
 
 def shutter(df: DataFrame, by: list[str], time: str, reference: DataFrame, clip: float | None = None) -> DataFrame:
-    """(by, x, y, scale, offset, n, chi) of each pixel, for known references (by, reference): a line of v (t + reference) over t, clipped if asked. Pixels of a single time have a null scale and offset; where the scale is 0, the offset is null."""
+    """(by, x, y, scale, level, offset, n, chi) of each pixel, for known references (by, reference): a line of v (t + reference) over t, clipped if asked; level is the line's value at 0, and offset is level / scale. Pixels of a single time have a null scale, level and offset; where the scale is 0, the offset is null."""
     t = F.col(time).cast("double")
     rows = ranks.join_groups(df.select(*by, "x", "y", time, "v"), reference, by).withColumnsRenamed(_PLACE)
     out = linear(rows, [*by, *_PLACE.values()], [t, F.lit(1.0)], F.col("v") * (t + F.col("reference")), clip=clip)
-    scale = F.get("c", F.lit(0))
-    return out.select(*by, *[F.col(c).alias(p) for p, c in _PLACE.items()], scale.alias("scale"), F.when(scale != 0, F.get("c", F.lit(1)) / scale).alias("offset"), "n", "chi")
+    scale, level = F.get("c", F.lit(0)), F.get("c", F.lit(1))
+    return out.select(*by, *[F.col(c).alias(p) for p, c in _PLACE.items()], scale.alias("scale"), level.alias("level"), F.when(scale != 0, level / scale).alias("offset"), "n", "chi")
 
 
 def shutter_corrected(df: DataFrame, corrections: DataFrame, by: list[str], time: str) -> DataFrame:

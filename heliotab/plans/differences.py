@@ -143,7 +143,7 @@ def shutter_map(spark, d):
     times = table(spark, d, "lineitem").groupBy(c("l_returnflag").alias("image"), c("l_quantity").cast("int").alias("x"), F.round(c("l_discount") * 100).cast("int").alias("y"), c("l_linenumber").alias("t")).agg(F.count("*").cast("double").alias("v"))
     reference = times.select("image").distinct().withColumn("reference", F.lit(0.5))
     out = detrend.shutter(times, ["image"], "t", reference).where("n > 1")
-    return out.select("image", "x", "y", "n", (F.round("scale", 6) + 0.0).alias("scale"), (F.round(c("scale") * c("offset"), 5) + 0.0).alias("level"))
+    return out.select("image", "x", "y", "n", (F.round("scale", 6) + 0.0).alias("scale"), (F.round("level", 5) + 0.0).alias("level"))
 
 
 @query(f"WITH i AS (SELECT *, sin(x * 0.7::DOUBLE + y * 0.2::DOUBLE) AS f FROM ({_COUNTS})), s AS (SELECT image, regr_slope(v, f) AS k FROM i GROUP BY image) SELECT image, x, y, round(v - k * f, 5) + 0.0 AS v FROM i JOIN s USING (image)")
