@@ -53,8 +53,8 @@ def from_sexagesimal(s: Column) -> Column:
 OBLIQUITY = 23.4392911
 #: Arcseconds of Newcomb's precession angles for t centuries since J2000: coefficients of t, t^2 and t^3 of zeta, z and theta (IAU 1976); fixed values.
 PRECESSION = {"zeta": (2306.2181, 0.30188, 0.017998), "z": (2306.2181, 1.09468, 0.018203), "theta": (2004.3109, -0.42665, -0.041833)}
-#: Modified Julian date of the Unix epoch; Julian date of modified date 0; days of a Julian century; Julian date of J2000; fixed values.
-MJD_UNIX, JD_MJD, CENTURY, J2000 = 40587.0, 2400000.5, 36525.0, 2451545.0
+#: Modified Julian date of the Unix epoch; Julian date of modified date 0 and of the Unix epoch; days of a Julian century; Julian date of J2000; fixed values.
+MJD_UNIX, JD_MJD, JD_UNIX, CENTURY, J2000 = 40587.0, 2400000.5, 2440587.5, 36525.0, 2451545.0
 
 
 def _turned(lon: Column, lat: Column, tilt: float) -> tuple[Column, Column]:
@@ -102,7 +102,8 @@ def from_mjd(day: Column) -> Column:
 
 
 def julian_date(ts: Column) -> Column:
-    return mjd(ts) + JD_MJD
+    """The Julian date of an instant, rounded once: through the modified date it would be rounded twice, to 40 microseconds each."""
+    return F.unix_micros(ts.cast("timestamp")) / 86_400e6 + JD_UNIX
 
 
 def sidereal_hours(day: Column, longitude: float) -> Column:
