@@ -89,11 +89,11 @@ def peak(df: DataFrame, by: list[str], x: str, y: str, start: float, end: float)
     return rows.groupBy(*by).agg(F.max(F.struct(F.col(y).alias("y"), F.col(x).alias("x"))).alias("_m")).select(*by, "_m.x", "_m.y")
 
 
-def peaks(df: DataFrame, by: list[str], order: list[str], value: str, least: float | None = None) -> DataFrame:
-    """Rows that end a rise and begin a fall, of values from `least` on; of a plateau the last row; the ends of a series are none."""
+def peaks(df: DataFrame, by: list[str], order: list[str], value: str, least: float | None = None, plateaus: bool = True) -> DataFrame:
+    """Rows that end a rise and begin a fall, of values from `least` on; of a plateau the last row, or none without `plateaus`; the ends of a series are none."""
     w = _w(by, order)
     rows = df.withColumn("_next", F.lead(value).over(w)).withColumn("_new", F.when(F.lag(value).over(w) == F.col(value), F.lit(None)).otherwise(F.lag(value).over(w)))
-    before = F.last("_new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
+    before = F.last("_new", ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0)) if plateaus else F.lag(value).over(w)
     high = F.lit(True) if least is None else F.col(value) >= least
     return rows.withColumn("_before", before).where((F.col("_before") < F.col(value)) & (F.col("_next") < F.col(value)) & high).drop("_next", "_new", "_before")
 
