@@ -93,7 +93,8 @@ def nearest_of_group(left: DataFrame, right: DataFrame, by: str, key: str, a: tu
         last = radius >= math.pi
         near = rest.withColumn("_cell", F.explode(_cells(F.col(a[0]), F.col(a[1]), radius * 1.0001, True)))
         own = right.withColumn("_cell", _cells(F.col(b[0]), F.col(b[1]), radius * 1.0001, False))
-        apart = F.radians(sky.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1])) / 3600)
+        l1, b1, l2, b2 = (F.radians(c) for c in (*a, *b))
+        apart = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin((l2 - l1) / 2), 2))))
         pairs = near.join(own, (near[by] == own["_by"]) & (near["_cell"] == own["_cell"])).select(key, tie, apart.alias("radians"))
         best = pairs.where(F.lit(last) | (F.col("radians") < radius)).groupBy(key).agg(F.min(F.struct("radians", tie)).alias("_m"))
         found.append(written(best.select(key, f"_m.{tie}", "_m.radians")))

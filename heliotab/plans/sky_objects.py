@@ -103,7 +103,7 @@ _IN = f"({_DEPTH} > 0 AND abs({_X} * cos(radians(angle)) - {_Y} * sin(radians(an
 
 
 def _images(spark, d):
-    return table(spark, d, "supplier").selectExpr("s_suppkey AS image", "CAST((s_suppkey * 37.7D + 0.2D) % 360 AS DOUBLE) AS ra0", "(s_acctbal % 80) * CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE -1 END AS dec0", "CAST(3 + s_suppkey % 4 AS DOUBLE) AS half_x", "2.5D AS half_y", "CAST((s_suppkey * 13) % 180 AS DOUBLE) AS angle", "s_nationkey AS chip")
+    return table(spark, d, "supplier").selectExpr("s_suppkey AS image", "(s_suppkey * 377 + 2) % 3600 / 10D AS ra0", "(s_acctbal % 80) * CASE WHEN s_suppkey % 2 = 0 THEN 1 ELSE -1 END AS dec0", "CAST(3 + s_suppkey % 4 AS DOUBLE) AS half_x", "2.5D AS half_y", "CAST((s_suppkey * 13) % 180 AS DOUBLE) AS angle", "s_nationkey AS chip")
 
 
 @query(f"SELECT image, id FROM {_IMAGES} i, {_STARS} s WHERE {_IN}")
