@@ -105,3 +105,39 @@ def best(powers: DataFrame, by: list[str]) -> DataFrame:
     """(by, period, power) of the greatest power of each group, the shortest period of equals."""
     top = powers.where(sem.is_finite(F.col("power"))).groupBy(*by).agg(F.max(F.struct(F.col("power"), (-F.col("period")).alias("p"))).alias("_m"))
     return top.select(*by, (-F.col("_m.p")).alias("period"), F.col("_m.power").alias("power"))
+
+
+def best_grouped(df: DataFrame, by: list[str], t: str, y: str, grid: Callable[[float], np.ndarray]) -> DataFrame:
+    """The same as best(grouped(...)). A group of up to _ROWS rows goes to one task, which keeps the best period alone, so what is shuffled grows with the rows and not with rows times periods; larger groups go by sums."""
+    rows, limits = _limited(df, by, _t=t, _y=y)
+    limits = limits.where("_n >= 3 AND _v > 0")
+    small = join_groups(rows, limits.where(F.col("_n") <= _ROWS), by).select(*by, "_t", "_span", "_n", "_v", (F.col("_y") - F.col("_m")).alias("d"))
+    schema = StructType([*[small.schema[c] for c in by], StructField("period", DoubleType()), StructField("power", DoubleType())])
+
+    def run(table: pa.Table) -> pa.Table:
+        at, d = table["_t"].to_numpy(), table["d"].to_numpy()
+        span, n, v = (table[c][0].as_py() for c in ("_span", "_n", "_v"))
+        periods, found = np.asarray(grid(float(span)), dtype=float), (None, -math.inf)
+        for k in range(0, len(periods), _PERIODS):
+            some, sums = periods[k : k + _PERIODS], 0.0
+            for r in range(0, n, 1024):
+                phase = np.outer(at[r : r + 1024], 2 * math.pi / some)
+                c, s = np.cos(phase), np.sin(phase)
+                sums = sums + np.stack([d[r : r + 1024] @ c, d[r : r + 1024] @ s, (c * c - s * s).sum(axis=0), (2 * s * c).sum(axis=0)])
+            yc, ys, c2, s2 = sums
+            a, h = np.arctan2(s2, c2) / 2, np.hypot(c2, s2)
+            with np.errstate(all="ignore"):
+                power = ((yc * np.cos(a) + ys * np.sin(a)) ** 2 / ((n + h) / 2) + (ys * np.cos(a) - yc * np.sin(a)) ** 2 / ((n - h) / 2)) / (2 * v)
+            power[~np.isfinite(power)] = -math.inf
+            if power.max() > found[1]:
+                found = float(some[power.argmax()]), float(power.max())
+        if found[0] is None:
+            return pa.Table.from_batches([], schema=pa.schema([*[table.schema.field(c) for c in by], ("period", pa.float64()), ("power", pa.float64())]))
+        return pa.table({**{c: table[c][:1] for c in by}, "period": [found[0]], "power": [found[1]]})
+
+    parts = max(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), (limits.agg(F.sum("_n")).first()[0] or 0) // _ROWS)  # stated: rows are few for their work, and would be put together
+    ours = small.repartition(parts, *by).groupBy(*by).applyInArrow(run, schema)
+    large = limits.where(F.col("_n") > _ROWS).select(*by)
+    if not large.limit(1).count():
+        return ours
+    return ours.unionByName(best(grouped(join_groups(df, large, by), by, t, y, grid), by))

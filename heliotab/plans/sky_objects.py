@@ -182,7 +182,7 @@ _EACH = "SELECT user_id, event_id / 10.0::DOUBLE AS t, value AS y FROM events"
 def object_periods(spark, d):
     """The period of most power of each object's series, over the grid that fits its span."""
     rows = table(spark, d, "events").select("user_id", (F.col("event_id") / 10.0).alias("t"), F.col("value").alias("y"))
-    best = periods.best(periods.grouped(rows, ["user_id"], "t", "y", periods.by_span(5.0, 45.0)), ["user_id"])
+    best = periods.best_grouped(rows, ["user_id"], "t", "y", periods.by_span(5.0, 45.0))
     return _rounded(_rounded(best, 6, "period"), 4, "power")
 
 

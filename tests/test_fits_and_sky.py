@@ -161,3 +161,15 @@ def test_checkpoints_need_a_shared_folder_on_clusters():
 
     with pytest.raises(RuntimeError):
         store.shared_folder(Cluster)
+
+
+def test_best_periods_are_kept_where_they_are_found(spark, monkeypatch):
+    rows = [(g, (i * 7 % 50) * 1.3 + i * 0.01, math.sin(2 * math.pi * i / (3 + g))) for g in (1, 2, 3) for i in range(20 * g)] + [(None, 1.0, 2.0), (None, 3.0, 5.0), (None, 9.0, 4.0), (4, 1.0, 1.0)]
+    df = spark.createDataFrame(rows, "g int, t double, y double")
+    grid = periods.by_span(2.0, 9.0)
+    monkeypatch.setattr(periods, "_ROWS", 40)  # the group of 60 rows goes by sums
+    expected = {r["g"]: r for r in periods.best(periods.grouped(df, ["g"], "t", "y", grid), ["g"]).collect()}
+    out = periods.best_grouped(df, ["g"], "t", "y", grid)
+    got = {r["g"]: r for r in out.collect()}
+    assert set(got) == set(expected) == {1, 2, 3, None}
+    assert all(math.isclose(got[g]["period"], expected[g]["period"]) and math.isclose(got[g]["power"], expected[g]["power"], rel_tol=1e-9) for g in got)
