@@ -28,10 +28,17 @@ def band(left: DataFrame, right: DataFrame, x: str, y: str, radius: float) -> Da
 
 
 def nearest_within(left: DataFrame, right: DataFrame, key: str, x: str, y: str, radius: float, tie: str) -> DataFrame:
-    """Each left row's key and x with `tie`, the number of the nearest right row strictly within the radius, the least among equals, or -1. The nearest is a minimum, combined before the shuffle."""
-    pairs = band(left.select(key, x), right.select(y, tie), x, y, radius)
-    best = pairs.groupBy(key).agg(F.min(F.struct(F.abs(F.col(x) - F.col(y)).alias("d"), tie)).alias("_m"))
-    return left.select(key, x).join(best, key, "left").select(key, x, F.coalesce(f"_m.{tie}", F.lit(-1)).alias(tie))
+    """Each left row's key and x with `tie`, the number of the nearest right row strictly within the radius, the least among equals, or -1. Right rows are reduced to one a value; rows and values are merged by one sort in either direction of each cell of the radius' width, so no pairs are made."""
+    marks = right.where(F.col(y).isNotNull()).groupBy(F.col(y).alias("_at")).agg(F.min(tie).alias("_tie"))
+    own = F.floor(F.col("_at") / radius)
+    marks = marks.select("_at", F.explode(F.array(own - 1, own, own + 1)).alias("_cell"), F.struct("_at", "_tie").alias("_mark"), F.lit(0).alias("_row"))
+    rows = left.where(F.col(x).isNotNull()).select(key, x, F.col(x).alias("_at"), F.floor(F.col(x) / radius).alias("_cell"), F.lit(1).alias("_row"))
+    up = Window.partitionBy("_cell").orderBy("_at", "_row").rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy("_cell").orderBy(F.desc("_at"), "_row").rowsBetween(Window.unboundedPreceding, 0)
+    both = rows.unionByName(marks, allowMissingColumns=True).withColumn("_below", F.last("_mark", ignorenulls=True).over(up)).withColumn("_above", F.last("_mark", ignorenulls=True).over(down)).where("_row = 1")
+    reached = lambda m: F.when(F.abs(F.col(x) - F.col(f"{m}._at")) < radius, F.struct(F.abs(F.col(x) - F.col(f"{m}._at")).alias("d"), F.col(f"{m}._tie").alias(tie)))
+    found = both.select(key, x, F.coalesce(F.least(reached("_below"), reached("_above"))[tie], F.lit(-1)).alias(tie))
+    return found.unionByName(left.where(F.col(x).isNull()).select(key, x, F.lit(-1).cast(found.schema[tie].dataType).alias(tie)))
 
 
 def bracket(df: DataFrame, steps: DataFrame, by: list[str], x: str, at: str, value: str) -> DataFrame:
