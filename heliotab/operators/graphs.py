@@ -5,6 +5,18 @@ from pyspark.sql import DataFrame, functions as F
 from heliotab.operators.store import written
 
 
+def chains(points: DataFrame, key: str, x: str, reach: float) -> DataFrame:
+    """(key, root): points whose numbers x differ by less than `reach` are linked, and so on from one to the next; root is the least key of a chain. Points in a cell of half the reach are all linked, so only cells, with their least and greatest numbers, are paired, each with the three above. Points without a number are alone."""
+    cells = points.where(F.col(x).isNotNull() & ~F.isnan(x)).groupBy(F.floor(F.col(x) / (reach / 2)).alias("cell")).agg(F.min(x).alias("low"), F.max(x).alias("high"), F.min(key).alias("least"))
+    cells = written(cells)
+    above = cells.select(F.explode(F.array(*[F.col("cell") - i for i in (1, 2, 3)])).alias("cell"), F.col("cell").alias("b"), F.col("low").alias("_low"))
+    roots = components(cells.join(above, "cell").where(F.col("_low") - F.col("high") < reach).select(F.col("cell").alias("a"), "b"))
+    named = cells.join(roots.withColumnRenamed("node", "cell"), "cell", "left").withColumn("root", F.coalesce("root", "cell"))
+    named = named.join(named.groupBy("root").agg(F.min("least").alias("_name")), "root").select("cell", "_name")
+    own = F.when(~F.isnan(x), F.floor(F.col(x) / (reach / 2)))
+    return points.withColumn("cell", own).join(named, "cell", "left").select(key, F.coalesce("_name", key).alias("root"))
+
+
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the edges (a, b), with the least node of each component as its root.
 

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from heliotab.operators import graphs, joins, photometry
+from heliotab.operators import graphs, photometry
 from heliotab.plans.images_and_fits import _COUNTS, _image
 from heliotab.plans.registry import query, table
 
@@ -132,6 +132,4 @@ def spectra(spark, d):
 def clusters_by_distance(spark, d):
     """Suppliers whose balances lie within 12 of each other, and so on from one to the next."""
     own = table(spark, d, "supplier").select(F.col("s_suppkey").alias("a"), F.col("s_acctbal").alias("x"))
-    pairs = joins.band(own, own.select(F.col("a").alias("b"), F.col("x").alias("y")), "x", "y", 12.0).where("a < b").select("a", "b")
-    roots = graphs.components(pairs).withColumnRenamed("node", "a")
-    return own.join(roots, "a", "left").select(F.col("a").alias("s_suppkey"), F.coalesce("root", "a").alias("cluster"))
+    return graphs.chains(own, "a", "x", 12.0).select(F.col("a").alias("s_suppkey"), F.col("root").alias("cluster"))
