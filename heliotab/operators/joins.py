@@ -19,6 +19,18 @@ def first_match(left: DataFrame, right: DataFrame, key: str, order: str, index:
     return left.join(first, key, "left").fillna({index: -1})
 
 
+def full_of_few_keys(left: DataFrame, right: DataFrame, a: str, b: str, salt: list[str], rows: int = 1024) -> DataFrame:
+    """The full join on a = b where few keys have many rows on either side. Left rows are dealt by a hash of the columns in salt into parts, one for each `rows` of them, and right rows sent to each part, in tasks as many as parts; so what a task makes grows with the right side alone. Rows without a partner are found by the keys."""
+    parts = max(1, -(-left.count() // rows))
+    dealt = left.withColumn("_part", F.pmod(F.xxhash64(*salt), F.lit(parts)))
+    sent = right.withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(parts - 1).cast("long"))))
+    tasks = max(parts, int(left.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    both = dealt.repartition(tasks, a, "_part").join(sent.repartition(tasks, b, "_part"), (dealt[a] == sent[b]) & (dealt["_part"] == sent["_part"])).drop("_part")
+    alone = left.join(right.select(F.col(b).alias("_key")).distinct(), F.col(a) == F.col("_key"), "left_anti")
+    other = right.join(left.select(F.col(a).alias("_key")).distinct(), F.col(b) == F.col("_key"), "left_anti")
+    return both.unionByName(alone, allowMissingColumns=True).unionByName(other, allowMissingColumns=True)
+
+
 def band(left: DataFrame, right: DataFrame, x: str, y: str, radius: float) -> DataFrame:
     """All pairs with |x - y| < radius. Values fall into cells of the radius' width; the right side stands in its own cell and both neighbours, so the join is one of equal keys."""
     a = left.withColumn("_cell", F.floor(F.col(x) / radius))

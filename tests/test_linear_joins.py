@@ -33,3 +33,11 @@ def test_chains_by_cells(spark, monkeypatch):
     expected.update(dict.fromkeys(run, min(run)))
     assert got == expected
     assert made[0] <= 3 * len(points) // 2  # not the 125,000 pairs of equal numbers
+
+
+def test_full_join_of_few_keys_is_dealt(spark):
+    left = spark.createDataFrame([(i % 2, i) for i in range(90)] + [(7, 100), (None, 101)], "a int, s long")
+    right = spark.createDataFrame([(i % 3, i) for i in range(30)] + [(None, 50)], "b int, c long")
+    out = joins.full_of_few_keys(left, right, "a", "b", ["s"], rows=8).select("a", "b", "s", "c")
+    expected = left.join(right, left["a"] == right["b"], "full").select("a", "b", "s", "c")
+    assert out.exceptAll(expected).count() == 0 and expected.exceptAll(out).count() == 0
