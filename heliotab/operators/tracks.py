@@ -1,4 +1,7 @@
-"""Moving objects among detections: pairs, triples on a line, and tracks of these, by cells of time and place."""
+"""Moving objects among detections: pairs, triples on a line, and tracks of these, by cells of time and place.
+
+Spark takes rows that are sent to several cells for as few as they were before, and would broadcast millions of them through the driver; so such joins are merges.
+"""
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -10,6 +13,11 @@ def _cell(c: Column | str, size: float) -> Column:
     return F.floor((F.col(c) if isinstance(c, str) else c) / size)
 
 
+def _apart(x: Column, y: Column) -> Column:
+    """The length of (x, y), as SQL writes it."""
+    return F.sqrt(x * x + y * y)
+
+
 def _around(df: DataFrame, x: Column, y: Column, size: float) -> DataFrame:
     """Each row for the cell of (x, y) and its eight neighbours, as cx and cy."""
     near = F.array(*[F.struct((_cell(x, size) + i).alias("cx"), (_cell(y, size) + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
@@ -18,40 +26,40 @@ def _around(df: DataFrame, x: Column, y: Column, size: float) -> DataFrame:
 
 def standing(detections: DataFrame, tolerance: float) -> DataFrame:
     """The ids of detections (id, t, x, y) that have one of another time within the tolerance: of what doesn't move. Cells around which all detections are of one time are left out first."""
-    size = tolerance
+    size = tolerance * 1.0001  # what is just in reach isn't two cells away
     own = detections.select("id", "t", "x", "y", _cell("x", size).alias("cx"), _cell("y", size).alias("cy"))
     places = written(own.groupBy("t", "cx", "cy").agg(F.count("*").alias("n")))
     spread = places.select("cx", "cy", "t").groupBy("cx", "cy").agg(F.min("t").alias("first"), F.max("t").alias("last"))
     around = F.array(*[F.struct((F.col("cx") + i).alias("cx"), (F.col("cy") + j).alias("cy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     near = spread.select(F.explode(around).alias("c"), "first", "last").groupBy(F.col("c.cx").alias("cx"), F.col("c.cy").alias("cy")).agg(F.min("first").alias("first"), F.max("last").alias("last"))
-    maybe = own.join(near, ["cx", "cy"]).where("first < t OR last > t").drop("first", "last")  # few, unless things stand
+    maybe = own.join(near.hint("merge"), ["cx", "cy"]).where("first < t OR last > t").drop("first", "last")  # few, unless things stand
     other = _around(maybe.select(F.col("t").alias("t2"), F.col("x").alias("x2"), F.col("y").alias("y2")), F.col("x2"), F.col("y2"), size).drop("x", "y")
-    met = maybe.join(other, ["cx", "cy"]).where((F.col("t") != F.col("t2")) & (F.hypot(F.col("x") - F.col("x2"), F.col("y") - F.col("y2")) <= tolerance))
+    met = maybe.join(other.hint("merge"), ["cx", "cy"]).where((F.col("t") != F.col("t2")) & (_apart(F.col("x") - F.col("x2"), F.col("y") - F.col("y2")) <= tolerance))
     return met.select("id").distinct()
 
 
 def tracklets(detections: DataFrame, speed: float, gap: float) -> DataFrame:
     """(a, b, t, t2, x, y, x2, y2): pairs of detections (id, t, x, y), the second up to `gap` later and no further than speed times the time between. Both are found in cells of time and place that are as large as what is in reach, so each detection meets its neighbourhood alone."""
-    size = speed * gap
+    size = speed * gap * 1.0001
     own = detections.select(F.col("id").alias("a"), "t", "x", "y", _cell("t", gap).alias("ct"))
     own = own.withColumn("ct", F.explode(F.array(F.col("ct"), F.col("ct") + 1)))
     own = _around(own, F.col("x"), F.col("y"), size)
     other = detections.select(F.col("id").alias("b"), F.col("t").alias("t2"), F.col("x").alias("x2"), F.col("y").alias("y2"), _cell("t", gap).alias("ct"), _cell("x", size).alias("cx"), _cell("y", size).alias("cy"))
     dt = F.col("t2") - F.col("t")
-    near = own.join(other, ["ct", "cx", "cy"]).where((dt > 0) & (dt <= gap) & (F.hypot(F.col("x2") - F.col("x"), F.col("y2") - F.col("y")) <= speed * dt))
+    near = own.join(other.hint("merge"), ["ct", "cx", "cy"]).where((dt > 0) & (dt <= gap) & (_apart(F.col("x2") - F.col("x"), F.col("y2") - F.col("y")) <= speed * dt))
     return near.select("a", "b", "t", "t2", "x", "y", "x2", "y2")
 
 
 def triples(detections: DataFrame, pairs: DataFrame, gap: float, tolerance: float) -> DataFrame:
-    """(a, b, c, vx, vy, off): pairs carried on to each time at which there are detections, up to `gap` after the second, and the detections there within the tolerance of the place foretold. Pairs meet detections by time and cell of that place, so no pair meets more than what stands there."""
+    """(a, b, c, vx, vy, off): pairs carried on to each time at which there are detections, up to `gap` after the second, and the detections there within the tolerance of the place foretold. Pairs meet detections by time and cell of that place, so no pair meets more than what stands there; detections, which are fewer, are sent to the cells around their own."""
     times = detections.select(F.col("t").alias("t3")).distinct().withColumn("ct", _cell("t3", gap))
     later = pairs.withColumn("ct", F.explode(F.array(_cell("t2", gap), _cell("t2", gap) + 1))).join(times, "ct").where((F.col("t3") > F.col("t2")) & (F.col("t3") <= F.col("t2") + gap))
-    rate = lambda c: (F.col(f"{c}2") - F.col(c)) / (F.col("t2") - F.col("t"))
-    foretold = later.select("a", "b", "t3", rate("x").alias("vx"), rate("y").alias("vy"), *[(F.col(f"{c}2") + rate(c) * (F.col("t3") - F.col("t2"))).alias(f"p{c}") for c in "xy"])
-    foretold = _around(foretold, F.col("px"), F.col("py"), tolerance)
-    third = detections.select(F.col("id").alias("c"), F.col("t").alias("t3"), "x", "y", _cell("x", tolerance).alias("cx"), _cell("y", tolerance).alias("cy"))
-    off = F.hypot(F.col("x") - F.col("px"), F.col("y") - F.col("py"))
-    return foretold.join(third, ["t3", "cx", "cy"]).withColumn("off", off).where(F.col("off") <= tolerance).select("a", "b", "c", "vx", "vy", "off")
+    rate = lambda c: F.try_divide(F.col(f"{c}2") - F.col(c), F.col("t2") - F.col("t"))
+    size, later_by = tolerance * 1.0001, F.col("t3") - F.col("t2")
+    foretold = later.select("a", "b", "t2", "t3", "x2", "y2", rate("x").alias("vx"), rate("y").alias("vy"), *[_cell(F.col(f"{c}2") + rate(c) * later_by, size).alias(f"c{c}") for c in "xy"])
+    third = _around(detections.select(F.col("id").alias("c"), F.col("t").alias("t3"), "x", "y"), F.col("x"), F.col("y"), size)
+    off = _apart(F.col("x") - F.col("x2") - F.col("vx") * later_by, F.col("y") - F.col("y2") - F.col("vy") * later_by)
+    return foretold.join(third.hint("merge"), ["t3", "cx", "cy"]).withColumn("off", off).where(F.col("off") <= tolerance).select("a", "b", "c", "vx", "vy", "off")
 
 
 def tracks(found: DataFrame) -> DataFrame:
@@ -60,8 +68,8 @@ def tracks(found: DataFrame) -> DataFrame:
     nodes = found.select(F.explode(F.array(pair("a", "b"), pair("b", "c"))).alias("p")).distinct()
     nodes = written(nodes.select("p.a", "p.b").withColumn("n", F.monotonically_increasing_id()))
     of = lambda a, b, out: nodes.select(F.col("a").alias(a), F.col("b").alias(b), F.col("n").alias(out))
-    edges = found.select("a", "b", "c").join(of("a", "b", "u"), ["a", "b"]).join(of("b", "c", "v"), ["b", "c"]).select(F.col("u").alias("a"), F.col("v").alias("b"))
+    edges = found.select("a", "b", "c").join(of("a", "b", "u").hint("merge"), ["a", "b"]).join(of("b", "c", "v").hint("merge"), ["b", "c"]).select(F.col("u").alias("a"), F.col("v").alias("b"))
     roots = components(edges).select(F.col("node").alias("n"), "root")
-    own = nodes.join(roots, "n", "left").select(F.coalesce("root", "n").alias("root"), F.explode(F.array("a", "b")).alias("id")).distinct()
+    own = nodes.join(roots.hint("merge"), "n", "left").select(F.coalesce("root", "n").alias("root"), F.explode(F.array("a", "b")).alias("id")).distinct()
     names = own.groupBy("root").agg(F.min("id").alias("track"))
-    return own.join(names, "root").select("track", "id").distinct()
+    return own.join(names.hint("merge"), "root").select("track", "id").distinct()

@@ -23,11 +23,12 @@ _TRIPLES = f"""WITH d AS ({_DETECTIONS}),
 
 
 def _moving(spark, d):
+    """Detections that don't stand still. Places are hundredths, exact as in the SQL, since some are just at the tolerance."""
     object_ = F.expr("event_id div 8")
     e = table(spark, d, "events").select("event_id", object_.alias("o"), (F.col("event_id") % 8).cast("double").alias("t"))
-    place = lambda p, q, r, s, u, a, b: F.when(F.col("o") % 5 == 0, F.col("o") * p % q + (F.col("o") % r - r // 2) * s * F.col("t")).when(F.col("o") % 7 == 0, F.col("o") * p % q).otherwise(F.col("event_id") * a % b * u).cast("double")
-    found = e.select(F.col("event_id").alias("id"), "t", place(377, 1009, 11, 0.37, 0.1, 7919, 10007).alias("x"), place(611, 1013, 13, 0.29, 0.1, 6007, 10009).alias("y"))
-    return written(found.join(tracks.standing(found, _TOLERANCE), "id", "left_anti"))
+    place = lambda p, q, r, s, a, b: F.when(F.col("o") % 5 == 0, F.col("o") * p % q * 100 + (F.col("o") % r - r // 2) * s * (F.col("event_id") % 8)).when(F.col("o") % 7 == 0, F.col("o") * p % q * 100).otherwise(F.col("event_id") * a % b * 10) / F.lit(100.0)
+    found = e.select(F.col("event_id").alias("id"), "t", place(377, 1009, 11, 37, 7919, 10007).alias("x"), place(611, 1013, 13, 29, 6007, 10009).alias("y"))
+    return written(found.join(tracks.standing(found, _TOLERANCE).hint("merge"), "id", "left_anti"))
 
 
 def _lines(moving):

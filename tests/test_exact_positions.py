@@ -54,3 +54,11 @@ def test_level_values_are_no_peaks(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long, user_id long, ts timestamp_ntz, value double").write.parquet(f"{tmp_path}/events.parquet")
     ours, theirs = _rows(spark, "peaks", str(tmp_path), ("events",))
     assert ours == theirs and len(ours) == 1
+
+
+def test_what_is_just_at_the_tolerance_stands(spark, tmp_path):
+    """Detection 59826 is 0.05 from 56123, which moves, at another time: both stand, by the SQL's decimals."""
+    rows = [(i,) for i in (*range(56120, 56128), 59826, 71192, *range(79960, 79968))]
+    spark.createDataFrame(rows, "event_id long").write.parquet(f"{tmp_path}/events.parquet")
+    ours, theirs = _rows(spark, "moving_triples", str(tmp_path), ("events",))
+    assert ours == theirs and len(ours) > 0
