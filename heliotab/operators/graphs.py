@@ -20,15 +20,15 @@ def chains(points: DataFrame, key: str, x: str, reach: float) -> DataFrame:
 def components(edges: DataFrame) -> DataFrame:
     """(node, root) of all nodes of the edges (a, b), with the least node of each component as its root.
 
-    Each round gives a node the least of its own label and those of its neighbours, then the label of its label; both are minima that are combined before the shuffle. Labels are written to the shared folder after each round, of which there are about as many as the logarithm of the longest path. No edges give no rows.
+    Each round gives a node the least of its own label and those of its neighbours, then the label of its label; both are minima that are combined before the shuffle. Labels are written to the shared folder after each round, of which there are about as many as the logarithm of the longest path; labels are long columns that pack into small files, so they are merged and not broadcast. No edges give no rows.
     """
     both = written(edges.select("a", "b").unionByName(edges.select(F.col("b").alias("a"), F.col("a").alias("b"))).distinct())
     labels = written(both.groupBy(F.col("a").alias("node")).agg(F.least(F.min("b"), F.col("node")).alias("root")))
     while True:
-        near = both.join(labels, both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
-        lower = labels.join(near, "node").select("node", F.least("root", "near").alias("next"), "root")
+        near = both.join(labels.hint("merge"), both["b"] == labels["node"]).groupBy(F.col("a").alias("node")).agg(F.min("root").alias("near"))
+        lower = labels.join(near.hint("merge"), "node").select("node", F.least("root", "near").alias("next"), "root")
         up = labels.select(F.col("node").alias("next"), F.col("root").alias("up"))
-        new = written(lower.join(up, "next").select("node", "root", F.least("next", "up").alias("new")))
+        new = written(lower.join(up.hint("merge"), "next").select("node", "root", F.least("next", "up").alias("new")))
         labels = new.select("node", F.col("new").alias("root"))
         if not new.where("new <> root").limit(1).count():
             return labels
