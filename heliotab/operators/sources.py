@@ -23,7 +23,7 @@ def overlapping(sources: DataFrame, by: list[str], key: str, reach: float) -> Da
     near = lambda c: F.explode(F.sequence(cell(c) - 1, cell(c) + 1))
     left = sources.select(*by, F.col(key).alias("a"), F.col("x").alias("_ax"), F.col("y").alias("_ay"), near("x").alias("_i"), F.col("y")).withColumn("_j", near("y")).drop("y")
     right = sources.select(*by, F.col(key).alias("b"), F.col("x").alias("_bx"), F.col("y").alias("_by"), cell("x").alias("_i"), cell("y").alias("_j"))
-    both = left.join(right, [*by, "_i", "_j"]).where("a < b")
+    both = left.join(right.hint("merge"), [*by, "_i", "_j"]).where("a < b")
     return both.where(F.hypot(F.col("_ax") - F.col("_bx"), F.col("_ay") - F.col("_by")) < reach).select("a", "b")
 
 
@@ -65,15 +65,15 @@ def _solve(x: np.ndarray, y: np.ndarray, v: np.ndarray, w: np.ndarray, start: np
 def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius: float, shapes: bool = False, sky: bool = False, rounds: int = 20, tolerance: float = 1e-4) -> DataFrame:
     """(by, key, x, y, flux, flux_err, xx, xy, yy, sky, chi, pixels, together, rest): the sources (by, key, x, y, flux, xx, xy, yy; the first guesses) fitted to the pixels (by, x, y, v, var) within the radius of them. xx, xy, yy are the second moments of a Gaussian; they are fitted with `shapes` and held else, and a constant sky for each fit with `sky`. flux_err holds the shape. chi and pixels are of all `together` that were fitted at once; rest: the fit came to rest.
 
-    Sources closer than two radii are fitted together, through chains of them. A chain of more than LARGEST is cut by squares of four radii: each part is fitted with the light of the others taken off as last known, round by round, until no place moves by more than the tolerance; so no task holds a crowded field. Keys are whole numbers, unique over all images. Without more good pixels than unknowns, the guesses come back with chi null and rest false. Runs jobs while the plan is built.
+    Sources closer than two radii are fitted together, through chains of them. A chain of more than LARGEST is cut by squares of four radii: each part is fitted with the light of the others taken off as last known, round by round, until no place moves by more than the tolerance; so no task holds a crowded field. Sources sent to all their pixels count as few rows with Spark, so their joins are merges and nothing is broadcast. Keys are whole numbers, unique over all images. Without more good pixels than unknowns, the guesses come back with chi null and rest false. Runs jobs while the plan is built.
     """
     names = [*by, key, "x", "y", "flux", *_SHAPE]
     own = written(sources.select(*by, key, *[F.col(c).cast("double").alias(c) for c in names[len(by) + 1 :]]))
     roots = components(overlapping(own, by, key, 2 * radius))
-    chained = own.join(roots.select(F.col("node").alias(key), F.col("root").alias("_set")), key, "left").withColumn("_set", F.coalesce("_set", key))
+    chained = own.join(roots.select(F.col("node").alias(key), F.col("root").alias("_set")).hint("merge"), key, "left").withColumn("_set", F.coalesce("_set", key))
     long_ = chained.groupBy("_set").agg((F.count("*") > LARGEST).alias("_cut"))
     cell = lambda c: F.when(F.col("_cut"), F.floor(F.col(c) / (4 * radius))).otherwise(0)
-    now = written(chained.join(long_, "_set").withColumn("_cx", cell("x")).withColumn("_cy", cell("y")).select(*names, *_SET, "_cut"))
+    now = written(chained.join(long_.hint("merge"), "_set").withColumn("_cx", cell("x")).withColumn("_cy", cell("y")).select(*names, *_SET, "_cut"))
     cut = now.where("_cut").limit(1).count() > 0
 
     reach = F.sequence(F.lit(-math.ceil(radius)), F.lit(math.ceil(radius)))
@@ -82,7 +82,7 @@ def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius:
     cover = sent.withColumn("x", at("_x", "_i")).withColumn("y", at("_y", "_j")).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) <= radius)
     cover = written(cover.select(*by, "x", "y", key, *_SET)) if cut else cover.select(*by, "x", "y", key, *_SET)
     good = pixels.where(F.col("v").isNotNull() & ~F.isnan("v") & (F.col("var") > 0) & ~F.isnan("var"))
-    seen = written(cover.select(*by, "x", "y", *_SET).distinct().join(good.select(*by, F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "v", "var"), [*by, "x", "y"]))
+    seen = written(cover.select(*by, "x", "y", *_SET).distinct().join(good.select(*by, F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "v", "var").hint("merge"), [*by, "x", "y"]))
 
     columns = [*names, "flux_err", "sky", "chi", "pixels", "together", "rest"]
 
@@ -104,12 +104,12 @@ def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius:
         if cut:
             dx, dy, area = F.col("x") - F.col("_x"), F.col("y") - F.col("_y"), F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
             shone = F.col("flux") / (2 * math.pi * F.sqrt(area)) * F.exp(-(F.col("yy") * dx * dx - 2 * F.col("xy") * dx * dy + F.col("xx") * dy * dy) / (2 * area))
-            each = cover.join(now.where("_cut").select(key, F.col("x").alias("_x"), F.col("y").alias("_y"), "flux", *_SHAPE), key)
+            each = cover.join(now.where("_cut").select(key, F.col("x").alias("_x"), F.col("y").alias("_y"), "flux", *_SHAPE).hint("merge"), key)
             mine = written(each.groupBy(*by, "x", "y", *_SET).agg(F.sum(shone).alias("_mine")))
             every = mine.groupBy(*by, "x", "y").agg(F.sum("_mine").alias("_all"))
-            light = seen.join(mine.join(every, [*by, "x", "y"]), [*by, "x", "y", *_SET], "left").withColumn("v", F.col("v") - F.coalesce(F.col("_all") - F.col("_mine"), F.lit(0.0))).drop("_all", "_mine")
+            light = seen.join(mine.join(every.hint("merge"), [*by, "x", "y"]).hint("merge"), [*by, "x", "y", *_SET], "left").withColumn("v", F.col("v") - F.coalesce(F.col("_all") - F.col("_mine"), F.lit(0.0))).drop("_all", "_mine")
         new = written(now.select(*names, *_SET, "_cut").groupBy(*_SET).cogroup(light.groupBy(*_SET)).applyInPandas(joint, schema))
-        moved = cut and new.where("_cut").join(now.select(key, F.col("x").alias("_x"), F.col("y").alias("_y")), key).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) > tolerance).limit(1).count()
+        moved = cut and new.where("_cut").join(now.select(key, F.col("x").alias("_x"), F.col("y").alias("_y")).hint("merge"), key).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) > tolerance).limit(1).count()
         now = new
         if not moved:
             break
@@ -139,4 +139,4 @@ def residual(pixels: DataFrame, fitted: DataFrame, by: list[str], radius: float)
     dx, dy, area = F.col("x") - F.col("_x"), F.col("y") - F.col("_y"), F.col("xx") * F.col("yy") - F.col("xy") * F.col("xy")
     shone: Column = F.col("flux") / (2 * math.pi * F.sqrt(area)) * F.exp(-(F.col("yy") * dx * dx - 2 * F.col("xy") * dx * dy + F.col("xx") * dy * dy) / (2 * area))
     light = cover.where(F.hypot(dx, dy) <= radius).groupBy(*by, "x", "y").agg(F.sum(shone).alias("_light"))
-    return pixels.join(light, [*by, "x", "y"], "left").withColumn("v", F.col("v") - F.coalesce("_light", F.lit(0.0))).drop("_light")
+    return pixels.join(light.hint("merge"), [*by, "x", "y"], "left").withColumn("v", F.col("v") - F.coalesce("_light", F.lit(0.0))).drop("_light")
