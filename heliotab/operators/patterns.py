@@ -1,6 +1,7 @@
 """Blind matches of star lists: the turn, scale and shift between an image's stars and those of a reference, found by votes."""
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
@@ -40,15 +41,26 @@ def _voted(stars: DataFrame, reference: DataFrame, turns: list[float], scales: l
 
 
 def nearest(stars: DataFrame, reference: DataFrame, maps: DataFrame, reach: float) -> DataFrame:
-    """(image, id, x, y, ref, u, v, off): for each star, moved by its image's map, the nearest star of the reference within reach, by cells of that size; of equals the least id."""
+    """(image, id, x, y, ref, u, v, off): for each star, moved by its image's map, the nearest star of the reference within reach, by cells; of equals the least id. Cells are first so small that the densest image has about four stars in reach, were they spread evenly; stars that find none go on with three times that, up to the reach, so a dense field makes no more pairs a star than a sparse one. Runs jobs while the plan is built."""
     c = F.col
     u, v = _moved("x", "y")
-    own = stars.join(maps.select("image", "a", "b", "p", "q"), "image").withColumn("mu", u).withColumn("mv", v)
-    near = F.array(*[F.struct((F.floor(c("mu") / reach) + i).alias("i"), (F.floor(c("mv") / reach) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
-    own = own.select("image", "id", "x", "y", "mu", "mv", F.explode(near).alias("c"))
-    ref = reference.select("image", c("id").alias("ref"), c("x").alias("u"), c("y").alias("v"), F.struct(F.floor(c("x") / reach).alias("i"), F.floor(c("y") / reach).alias("j")).alias("c"))
-    met = own.join(ref, ["image", "c"]).withColumn("off", F.hypot(c("mu") - c("u"), c("mv") - c("v"))).where(c("off") <= reach)
-    return met.groupBy("image", "id", "x", "y").agg(F.min(F.struct("off", "ref", "u", "v")).alias("m")).select("image", "id", "x", "y", "m.ref", "m.u", "m.v", "m.off")
+    rest = stars.join(maps.select("image", "a", "b", "p", "q"), "image").withColumn("mu", u).withColumn("mv", v).select("image", "id", "x", "y", "mu", "mv")
+    area = (F.max("x") - F.min("x")) * (F.max("y") - F.min("y"))
+    each = reference.groupBy("image").agg(F.count("*").alias("n"), area.alias("area")).where("area > 0").agg(F.min(c("area") / c("n"))).first()[0]
+    radius = min(reach, math.sqrt(4 * each / math.pi)) if each else reach
+    found = []
+    while True:
+        size = radius * 1.0001
+        near = F.array(*[F.struct((F.floor(c("mu") / size) + i).alias("i"), (F.floor(c("mv") / size) + j).alias("j")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
+        own = rest.withColumn("c", F.explode(near))
+        ref = reference.select("image", c("id").alias("ref"), c("x").alias("u"), c("y").alias("v"), F.struct(F.floor(c("x") / size).alias("i"), F.floor(c("y") / size).alias("j")).alias("c"))
+        met = own.join(ref.hint("merge"), ["image", "c"]).withColumn("off", F.hypot(c("mu") - c("u"), c("mv") - c("v"))).where(c("off") <= radius)
+        best = met.groupBy("image", "id", "x", "y").agg(F.min(F.struct("off", "ref", "u", "v")).alias("m")).select("image", "id", "x", "y", "m.ref", "m.u", "m.v", "m.off")
+        if radius >= reach:
+            return reduce(DataFrame.unionByName, [*found, best])
+        found.append(written(best))
+        rest = written(rest.join(found[-1].select("image", "id").hint("merge"), ["image", "id"], "left_anti"))
+        radius = min(3 * radius, reach)
 
 
 def match(stars: DataFrame, reference: DataFrame, *, turn: float = 5.0, step: float = 1.0, scales: tuple[float, ...] = (1.0,), bin_: float = 5.0, reach: float = 1.0, brightest: int = 30, share: float = 0.5, widest: int = 480) -> DataFrame:

@@ -41,3 +41,18 @@ def test_full_join_of_few_keys_is_dealt(spark):
     out = joins.full_of_few_keys(left, right, "a", "b", ["s"], rows=8).select("a", "b", "s", "c")
     expected = left.join(right, left["a"] == right["b"], "full").select("a", "b", "s", "c")
     assert out.exceptAll(expected).count() == 0 and expected.exceptAll(out).count() == 0
+
+
+def test_nearest_stars_of_a_dense_field_are_met_in_small_cells(spark, monkeypatch):
+    """All stars are found by cells far smaller than the reach, but for one that stands away from the others."""
+    from heliotab.operators import patterns, store
+
+    places = [(0, i, float(i % 40), float(i // 40)) for i in range(1600)]
+    reference = spark.createDataFrame([(*p, 1.0) for p in places], "image int, id long, x double, y double, mag double")
+    stars = spark.createDataFrame([(0, i, x + 0.25, y, 1.0) for _, i, x, y in places] + [(0, 5000, 49.0, 39.0, 1.0)], "image int, id long, x double, y double, mag double")
+    maps = spark.createDataFrame([(0, 1.0, 0.0, 0.0, 0.0)], "image int, a double, b double, p double, q double")
+    steps = []
+    monkeypatch.setattr(patterns, "written", lambda df: steps.append(store.written(df)) or steps[-1])
+    found = {r.id: (r.ref, r.off) for r in patterns.nearest(stars, reference, maps, 15.0).collect()}
+    assert found == {i: (i, 0.25) for _, i, _, _ in places} | {5000: (1599, 10.0)}
+    assert steps[0].count() == 1600 and steps[1].count() == 1  # found within two units; one is left for wider cells
