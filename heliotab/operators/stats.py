@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from heliotab.functions import sem
 from heliotab.operators import ranks
+from heliotab.operators.spectra import wave_sums
 from heliotab.operators.store import written
 
 
@@ -89,10 +90,14 @@ def period_grid(low: float, high: float, span: float) -> Iterator[float]:
 
 
 def period_search(df: DataFrame, t: str, y: str, low: float, high: float) -> DataFrame:
-    """(period, power) as from period_power, over the grid that fits the span of t. Work grows with the rows times the span: at a steady rate of rows, with the square of the table."""
-    first, last = df.where(_both_finite(t, y)).agg(F.min(F.col(t).cast("double")), F.max(F.col(t).cast("double"))).first()
+    """(period, power) as from period_power, over the grid that fits the span of t. Rows are added up by blocks of time, at a few frequencies each, from which the sums at all periods follow, so work grows with rows and periods and not with their product."""
+    rows = df.where(_both_finite(t, y)).select(F.col(t).cast("double").alias("t"), F.col(y).cast("double").alias("y"))
+    first, last, count, mean, variance = rows.agg(F.min("t"), F.max("t"), F.count("*"), F.avg("y"), F.var_samp("y")).first()
     span = 0.0 if first is None else last - first
-    return _power(df, t, y, lambda: period_grid(low, high, span))
+    if not span > 0 or low >= high:
+        return df.sparkSession.createDataFrame([], "period double, power double")
+    sums = wave_sums(rows.select("t", (F.col("y") - mean).alias("d")), first, last, low, high, lambda p: period_grid(p, high, span))
+    return _normalized(sums, count, variance)
 
 
 def period_power(df: DataFrame, t: str, y: str, periods: list[float]) -> DataFrame:
@@ -123,8 +128,12 @@ def _power(df: DataFrame, t: str, y: str, grid: Callable[[], Iterator[float]]) -
 
     spread = rows.repartition(max(1, -(-count // _TASK_ROWS)))
     by = spread.mapInArrow(sums, "period double, yc double, ys double, ss double, sc double").groupBy("period").agg(*[F.sum(x).alias(x) for x in ("yc", "ys", "ss", "sc")])
+    return _normalized(by.withColumn("c2", float(count) - 2 * F.col("ss")).withColumn("s2", 2 * F.col("sc")), count, variance)
+
+
+def _normalized(by: DataFrame, count: int, variance: float | None) -> DataFrame:
+    """(period, power) from sums of y cos w t, y sin w t, cos 2 w t and sin 2 w t."""
     n = F.lit(float(count))
-    by = by.withColumn("c2", n - 2 * F.col("ss")).withColumn("s2", 2 * F.col("sc"))  # sums of cos and sin of 2 w t
     by = by.withColumn("a", F.atan2("s2", "c2") / 2).withColumn("h", F.hypot("c2", "s2"))  # w tau, and the sum of cos 2 (w t - w tau)
     yc = F.col("yc") * F.cos("a") + F.col("ys") * F.sin("a")
     ys = F.col("ys") * F.cos("a") - F.col("yc") * F.sin("a")
