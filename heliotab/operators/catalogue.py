@@ -7,8 +7,7 @@ from heliotab.operators import joins
 
 def match_once(sources: DataFrame, objects: DataFrame, source: str, target: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
     """(source, target, arcsec): each source goes to its nearest object within the radius, and an object takes the nearest of the sources that come to it, so both are used once at most; the least number wins among equals. Both choices are minima, combined before the shuffle."""
-    pairs = joins.sky_radius(sources.select(source, *a), objects.select(target, *b), radius_arcsec, a, b)
-    nearest = pairs.groupBy(source).agg(F.min(F.struct("arcsec", target)).alias("m")).select(source, f"m.{target}", "m.arcsec")
+    nearest = joins.nearest(sources, objects, source, target, radius_arcsec, a, b).select(source, f"_m.{target}", "_m.arcsec")
     return nearest.groupBy(target).agg(F.min(F.struct("arcsec", source)).alias("m")).select(f"m.{source}", target, "m.arcsec")
 
 

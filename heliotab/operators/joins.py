@@ -5,7 +5,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from heliotab.functions import sky
+from heliotab.functions import libm, sky
 from heliotab.operators.store import written
 
 
@@ -78,19 +78,62 @@ def _cells(ra: Column, dec: Column, size: float, around: bool) -> Column:
     return F.flatten(F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: F.transform(near, lambda k: F.struct((x + i).alias("x"), (y + j).alias("y"), (z + k).alias("z")))))))
 
 
+#: Right rows of a cell that are met in one place: of a cell with more, they are dealt out, and what meets them goes to each part.
+CROWD = 4096
+
+
+def sky_cells(left: DataFrame, right: DataFrame, size: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
+    """All pairs of neighbouring cells of unit-vector space, with equal columns `by`, and the unit vectors _lx, _ly, _lz and _rx, _ry, _rz. Pairs grow with the square of a crowd, where rows stay few: so cells are dealt out by their right rows, merged, and not put together by size. The left side is the one to be repeated: give the smaller."""
+    keys = ["_x", "_y", "_z", *(by or [])]
+    vector = lambda side, c: [v.alias(f"_{side}{k}") for k, v in zip("xyz", sky.unit_vector(F.col(c[0]), F.col(c[1])))]
+    r_ = right.select("*", *vector("r", b)).select("*", *[F.floor(F.col(f"_r{k}") / size).alias(f"_{k}") for k in "xyz"])
+    l_ = left.select("*", *vector("l", a), F.explode(_cells(F.col(a[0]), F.col(a[1]), size, True)).alias("_cell")).select("*", *[F.col(f"_cell.{k}").alias(f"_{k}") for k in "xyz"]).drop("_cell")
+    crowds = F.broadcast(r_.groupBy(*keys).agg(F.ceil(F.count("*") / CROWD).alias("_parts")).where("_parts > 1"))
+    parts = F.coalesce("_parts", F.lit(1))
+    l_ = l_.join(crowds, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
+    r_ = r_.join(crowds, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*right.columns), parts)).drop("_parts")
+    tasks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    keys.append("_part")
+    return l_.repartition(tasks, *keys).hint("merge").join(r_.repartition(tasks, *keys), keys).drop("_x", "_y", "_z", "_part")
+
+
+_VECTORS = ("_lx", "_ly", "_lz", "_rx", "_ry", "_rz")
+
+
+def _chord2() -> Column:
+    x, y, z = (F.col(f"_l{k}") - F.col(f"_r{k}") for k in "xyz")
+    return x * x + y * y + z * z
+
+
+def _in_reach(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> tuple[DataFrame, float]:
+    """Pairs of sky_cells within the radius, and beyond it by rounding; the square of the radius' chord. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size."""
+    chord2 = 4 * math.sin(min(radians, math.pi) / 2) ** 2
+    return sky_cells(left, right, max(radians, 1e-9) * 1.0001, a, b, by).where(_chord2() <= chord2 * (1 + 1e-9) + 1e-24), chord2
+
+
+def sky_near(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
+    """All pairs within the radius with equal columns `by`, and such as are beyond it by rounding."""
+    return _in_reach(left, right, radians, a, b, by)[0].drop(*_VECTORS)
+
+
 def sky_radius(left: DataFrame, right: DataFrame, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
-    """All pairs within the radius, with `arcsec`. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size. The left side is the one to be repeated: give the smaller."""
-    size = max(radius_arcsec / 206264.8, 1e-9) * 1.0001
-    l_ = left.withColumn("_cell", F.explode(_cells(F.col(a[0]), F.col(a[1]), size, True)))
-    r_ = right.withColumn("_cell", _cells(F.col(b[0]), F.col(b[1]), size, False))
-    pairs = l_.join(r_, "_cell").drop("_cell").withColumn("arcsec", sky.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1])))
-    return pairs.where(F.col("arcsec") < radius_arcsec)
+    """All pairs within the radius, with `arcsec`. Pairs are told by their chords, by the haversine formula where that leaves it open; cosines are taken once a row."""
+    near, chord2 = _in_reach(left.withColumn("_lc", F.cos(F.radians(a[1]))), right.withColumn("_rc", F.cos(F.radians(b[1]))), radius_arcsec / 206264.806247, a, b)
+    p, q = F.sin(F.radians(F.col(b[1]) - F.col(a[1])) / 2), F.sin(F.radians(F.col(b[0]) - F.col(a[0])) / 2)
+    arcsec = F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), p * p + F.col("_lc") * F.col("_rc") * (q * q))))) * 3600
+    return near.where((_chord2() < chord2 * (1 - 1e-9)) | (arcsec < radius_arcsec)).withColumn("arcsec", arcsec).drop(*_VECTORS, "_lc", "_rc")
+
+
+def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
+    """(key, _m): arcsec and tie of each left row's nearest right row within the radius. Distances are the C library's, so that those which are equal but for rounding are ordered as SQL orders them."""
+    pairs = sky_near(left.select(key, *a), right.select(tie, *b), radius_arcsec / 206264.806247, a, b)
+    pairs = pairs.select(key, tie, libm.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1])).alias("arcsec"))
+    return pairs.groupBy(key).agg(F.min(F.struct("arcsec", tie)).alias("_m")).where(F.col("_m.arcsec") < radius_arcsec)
 
 
 def sky_nearest(left: DataFrame, right: DataFrame, key: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str], tie: str) -> DataFrame:
     """Each left row's key and position with `tie`, the number of its nearest right row within the radius, the least among equals, and `arcsec`. Without one, the number is -2, or -1 where the tile of TILE degrees that holds the position has no right row at all. The nearest is a minimum, combined before the shuffle; tiles of the sky are few and broadcast."""
-    pairs = sky_radius(left.select(key, *a), right.select(tie, *b), radius_arcsec, a, b)
-    best = pairs.groupBy(key).agg(F.min(F.struct("arcsec", tie)).alias("_m"))
+    best = nearest(left, right, key, tie, radius_arcsec, a, b)
     tile = lambda ra, dec: (F.floor(F.pmod(F.col(ra), F.lit(360.0)) / TILE).alias("_ra"), F.least(F.floor((F.col(dec) + 90) / TILE), F.lit(int(180 / TILE) - 1)).alias("_dec"))
     tiles = right.select(*tile(*b)).distinct().withColumn("_there", F.lit(True))
     found = left.select(key, *a, *tile(*a)).join(best, key, "left").join(F.broadcast(tiles), ["_ra", "_dec"], "left")
@@ -104,18 +147,15 @@ def nearest_of_group(left: DataFrame, right: DataFrame, by: str, key: str, a: tu
     Pairs are joined by group and cell within a radius at which the largest group has about sixteen partners in reach, were it spread over the sky; rows that find none go on with three times the radius. So a group is never paired with itself whole, and a large one is spread over its cells. Runs jobs while the plan is built.
     """
     left = left.select(key, by, *a).where(reduce(lambda m, c: m & F.col(c).isNotNull() & ~F.isnan(c), a, F.lit(True)))
-    right = written(right.select(F.col(by).alias("_by"), tie, *b).where(reduce(lambda m, c: m & F.col(c).isNotNull() & ~F.isnan(c), b, F.lit(True))))
-    most = right.groupBy("_by").agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
-    rest = written(left.join(right.select(F.col("_by").alias(by)).distinct(), by, "left_semi").select(key, by, *a))
+    right = written(right.select(by, tie, *b).where(reduce(lambda m, c: m & F.col(c).isNotNull() & ~F.isnan(c), b, F.lit(True))))
+    most = right.groupBy(by).agg(F.count("*").alias("n")).agg(F.max("n")).first()[0]
+    rest = written(left.join(right.select(by).distinct(), by, "left_semi").select(key, by, *a))
     radius, found = min(1.0, 4.0 / math.sqrt(most or 1)), []
     while True:
         last = radius >= math.pi
-        near = rest.withColumn("_cell", F.explode(_cells(F.col(a[0]), F.col(a[1]), radius * 1.0001, True)))
-        own = right.withColumn("_cell", _cells(F.col(b[0]), F.col(b[1]), radius * 1.0001, False))
         l1, b1, l2, b2 = (F.radians(c) for c in (*a, *b))
-        apart = 2 * F.asin(F.sqrt(F.least(F.lit(1.0), F.pow(F.sin((b2 - b1) / 2), 2) + F.cos(b1) * F.cos(b2) * F.pow(F.sin((l2 - l1) / 2), 2))))
-        pairs = near.join(own, (near[by] == own["_by"]) & (near["_cell"] == own["_cell"])).select(key, tie, apart.alias("radians"))
-        best = pairs.where(F.lit(last) | (F.col("radians") < radius)).groupBy(key).agg(F.min(F.struct("radians", tie)).alias("_m"))
+        pairs = sky_near(rest, right, radius, a, b, [by]).select(key, tie, libm.arc(b1, b2, b2 - b1, l2 - l1).alias("radians"))
+        best = pairs.groupBy(key).agg(F.min(F.struct("radians", tie)).alias("_m")).where(F.lit(last) | (F.col("_m.radians") < radius))
         found.append(written(best.select(key, f"_m.{tie}", "_m.radians")))
         rest = written(rest.join(found[-1].select(key), key, "left_anti"))
         if last or not rest.limit(1).count():

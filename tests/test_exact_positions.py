@@ -62,3 +62,22 @@ def test_what_is_just_at_the_tolerance_stands(spark, tmp_path):
     spark.createDataFrame(rows, "event_id long").write.parquet(f"{tmp_path}/events.parquet")
     ours, theirs = _rows(spark, "moving_triples", str(tmp_path), ("events",))
     assert ours == theirs and len(ours) > 0
+
+
+@pytest.fixture(scope="module")
+def last_bits(spark, tmp_path_factory):
+    """Where the JVM's functions differ from the C library's in the last bit: a star at right ascension 180 whose altitude lies at the border of its sixth digit; pairs of stars that are equally near to a position by the one and not by the other, the greater number the nearer one."""
+    folder = str(tmp_path_factory.mktemp("last_bits"))
+    key = lambda tenths, above=0: (tenths * pow(377, -1, 3600)) % 3600 + 3600 * above
+    stars = [(key(1800), "a", 1, 37.7990825, "A"), (key(35, 2), "b", 2, 64.92999999999999, "A"), (key(7), "c", 2, 64.92999999999999, "A"), (key(36), "d", 3, 81.705, "A"), (key(3580, 1), "e", 3, 81.705, "A")]
+    listed = [(key(21), "s", 2, 65.83), (key(6), "t", 3, 83.37)]
+    spark.createDataFrame(stars, "c_custkey long, c_name string, c_nationkey int, c_acctbal double, c_mktsegment string").write.parquet(f"{folder}/customer.parquet")
+    spark.createDataFrame(listed, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double").write.parquet(f"{folder}/supplier.parquet")
+    spark.createDataFrame([(k, s[0]) for k, s in enumerate(stars)], "o_orderkey long, o_custkey long").write.parquet(f"{folder}/orders.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name", ["sky_horizon", "haversine_group", "match_once", "merge_catalogues", "sky_nearest", "sky_nearest_measures"])
+def test_last_bits(name, spark, last_bits):
+    ours, theirs = _rows(spark, name, last_bits, ("customer", "supplier", "orders"))
+    assert ours == theirs and ours
