@@ -78,8 +78,8 @@ def _cells(ra: Column, dec: Column, size: float, around: bool) -> Column:
     return F.flatten(F.flatten(F.transform(near, lambda i: F.transform(near, lambda j: F.transform(near, lambda k: F.struct((x + i).alias("x"), (y + j).alias("y"), (z + k).alias("z")))))))
 
 
-#: Right rows of a cell that are met in one place: of a cell with more, they are dealt out, and what meets them goes to each part.
-CROWD = 4096
+#: Right rows of a cell that are met in one place: of a cell with more, they are dealt out, and what meets them goes to each part. Half of what Spark's merge join keeps of a key without a spill, since parts differ in size.
+CROWD = 2048
 
 
 def sky_cells(left: DataFrame, right: DataFrame, size: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
@@ -105,23 +105,19 @@ def _chord2() -> Column:
     return x * x + y * y + z * z
 
 
-def _in_reach(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> tuple[DataFrame, float]:
-    """Pairs of sky_cells within the radius, and beyond it by rounding; the square of the radius' chord. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size."""
-    chord2 = 4 * math.sin(min(radians, math.pi) / 2) ** 2
-    return sky_cells(left, right, max(radians, 1e-9) * 1.0001, a, b, by).where(_chord2() <= chord2 * (1 + 1e-9) + 1e-24), chord2
-
-
 def sky_near(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
-    """All pairs within the radius with equal columns `by`, and such as are beyond it by rounding."""
-    return _in_reach(left, right, radians, a, b, by)[0].drop(*_VECTORS)
+    """All pairs within the radius with equal columns `by`, and such as are beyond it by rounding. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size."""
+    chord2 = 4 * math.sin(min(radians, math.pi) / 2) ** 2
+    return sky_cells(left, right, max(radians, 1e-9) * 1.0001, a, b, by).where(_chord2() <= chord2 * (1 + 1e-9) + 1e-24).drop(*_VECTORS)
 
 
 def sky_radius(left: DataFrame, right: DataFrame, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
-    """All pairs within the radius, with `arcsec`. Pairs are told by their chords, by the haversine formula where that leaves it open; cosines are taken once a row."""
-    near, chord2 = _in_reach(left.withColumn("_lc", F.cos(F.radians(a[1]))), right.withColumn("_rc", F.cos(F.radians(b[1]))), radius_arcsec / 206264.806247, a, b)
-    p, q = F.sin(F.radians(F.col(b[1]) - F.col(a[1])) / 2), F.sin(F.radians(F.col(b[0]) - F.col(a[0])) / 2)
-    arcsec = F.degrees(2 * F.asin(F.sqrt(F.least(F.lit(1.0), p * p + F.col("_lc") * F.col("_rc") * (q * q))))) * 3600
-    return near.where((_chord2() < chord2 * (1 - 1e-9)) | (arcsec < radius_arcsec)).withColumn("arcsec", arcsec).drop(*_VECTORS, "_lc", "_rc")
+    """All pairs within the radius, with `arcsec`. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size. The left side is the one to be repeated: give the smaller."""
+    size = max(radius_arcsec / 206264.8, 1e-9) * 1.0001
+    l_ = left.withColumn("_cell", F.explode(_cells(F.col(a[0]), F.col(a[1]), size, True)))
+    r_ = right.withColumn("_cell", _cells(F.col(b[0]), F.col(b[1]), size, False))
+    pairs = l_.join(r_, "_cell").drop("_cell").withColumn("arcsec", sky.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1])))
+    return pairs.where(F.col("arcsec") < radius_arcsec)
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
