@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from heliotab.functions import libm, sky
 from heliotab.operators import footprints, joins, periods
 from heliotab.plans.registry import query, same, table
-from heliotab.plans.sky_and_series import _STARS, _sky
+from heliotab.plans.sky_and_series import _STARS, _exact, _sky
 
 _OB = "radians(23.4392911)"
 _LON = f"((degrees(atan2(sin(radians(ra)) * cos(radians(dec)) * cos({_OB}) + sin(radians(dec)) * sin({_OB}), cos(radians(ra)) * cos(radians(dec)))) % 360 + 360) % 360)"
@@ -76,9 +76,9 @@ _LA = "radians(20.7)"
 
 @query(f"SELECT id, round(degrees(asin(sin(radians(dec)) * sin({_LA}) + cos(radians(dec)) * cos({_LA}) * cos({_H}))), 6) AS alt, round((degrees(atan2(-cos(radians(dec)) * sin({_H}), sin(radians(dec)) * cos({_LA}) - cos(radians(dec)) * sin({_LA}) * cos({_H}))) + 360) % 360, 6) AS az FROM {_STARS}")
 def sky_horizon(spark, d):
-    """Altitude and azimuth at latitude 20.7 of stars whose hour angle is their right ascension less 180 degrees."""
-    alt, az = libm.altitude_azimuth(F.col("ra") - 180, F.col("dec"), 20.7)
-    return _stars(spark, d).select("id", alt.alias("alt"), az.alias("az")).select("id", libm.rounded(F.col("alt"), 6).alias("alt"), libm.rounded(F.col("az"), 6).alias("az"))
+    """Altitude and azimuth at latitude 20.7 of stars whose hour angle is their right ascension less 180 degrees, a difference of decimals as in the SQL: near the zenith azimuths turn fast."""
+    alt, az = libm.altitude_azimuth((F.col("ra") - 180).cast("double"), F.col("dec"), 20.7)
+    return _exact(spark, d)[1].select("id", alt.alias("alt"), az.alias("az")).select("id", libm.rounded(F.col("alt"), 6).alias("alt"), libm.rounded(F.col("az"), 6).alias("az"))
 
 
 _D = "(sin(radians(45)) * sin(radians(dec)) + cos(radians(45)) * cos(radians(dec)) * cos(radians(ra - 120)))"

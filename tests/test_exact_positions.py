@@ -81,3 +81,12 @@ def last_bits(spark, tmp_path_factory):
 def test_last_bits(name, spark, last_bits):
     ours, theirs = _rows(spark, name, last_bits, ("customer", "supplier", "orders"))
     assert ours == theirs and ours
+
+
+def test_hour_angles_are_exact(spark, tmp_path):
+    """A star 0.2 degrees off the meridian whose azimuth lies at the border of its sixth digit: 180.2 - 180 in doubles is 0.19999999999998863."""
+    star = (1802 * pow(377, -1, 3600)) % 3600
+    spark.createDataFrame([(star, 20.75000000050935)], "c_custkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1, 0.0)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    ours, theirs = _rows(spark, "sky_horizon", str(tmp_path), ("customer",))
+    assert ours == theirs and ours
