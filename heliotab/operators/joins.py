@@ -128,9 +128,10 @@ def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, radius_arcsec
 
 
 def sky_nearest(left: DataFrame, right: DataFrame, key: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str], tie: str) -> DataFrame:
-    """Each left row's key and position with `tie`, the number of its nearest right row within the radius, the least among equals, and `arcsec`. Without one, the number is -2, or -1 where the tile of TILE degrees that holds the position has no right row at all. The nearest is a minimum, combined before the shuffle; tiles of the sky are few and broadcast."""
+    """Each left row's key and position with `tie`, the number of its nearest right row within the radius, the least among equals, and `arcsec`. Without one, the number is -2, or -1 where the tile of TILE degrees that holds the position has no right row at all. The nearest is a minimum, combined before the shuffle; tiles of the sky are few and broadcast. A null declination is in no tile, and those that aren't numbers have tiles of their own."""
     best = nearest(left, right, key, tie, radius_arcsec, a, b)
-    tile = lambda ra, dec: (F.floor(F.pmod(F.col(ra), F.lit(360.0)) / TILE).alias("_ra"), F.least(F.floor((F.col(dec) + 90) / TILE), F.lit(int(180 / TILE) - 1)).alias("_dec"))
+    row = lambda dec: F.when(F.isnan(dec), -1).when(F.col(dec).isNotNull(), F.least(F.floor((F.col(dec) + 90) / TILE), F.lit(int(180 / TILE) - 1)))
+    tile = lambda ra, dec: (F.floor(F.pmod(F.col(ra), F.lit(360.0)) / TILE).alias("_ra"), row(dec).alias("_dec"))
     tiles = right.select(*tile(*b)).distinct().withColumn("_there", F.lit(True))
     found = left.select(key, *a, *tile(*a)).join(best, key, "left").join(F.broadcast(tiles), ["_ra", "_dec"], "left")
     missing = F.when(F.col("_there"), F.lit(-2)).otherwise(-1)
