@@ -90,3 +90,13 @@ def test_hour_angles_are_exact(spark, tmp_path):
     spark.createDataFrame([(1, 0.0)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
     ours, theirs = _rows(spark, "sky_horizon", str(tmp_path), ("customer",))
     assert ours == theirs and ours
+
+
+@pytest.mark.parametrize("name", ["match_once", "merge_catalogues", "sky_nearest"])
+def test_equally_near_stars_of_copies(name, spark, tmp_path):
+    """Pairs of stars, of six copies of the tables with shifted keys, that are equally near to a listed position: the least number wins."""
+    stars = [(22770, 2503.74), (55170, 5473.74), (68919, 516.43), (77389, 9066.43), (30553, 6733.61), (32501, 6823.61)]
+    spark.createDataFrame(stars, "c_custkey long, c_acctbal double").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.createDataFrame([(1848, 8983.84), (328, -876.23), (3701, 343.66)], "s_suppkey long, s_acctbal double").write.parquet(f"{tmp_path}/supplier.parquet")
+    ours, theirs = _rows(spark, name, str(tmp_path), ("customer", "supplier"))
+    assert ours == theirs and ours
