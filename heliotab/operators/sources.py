@@ -1,10 +1,13 @@
 """Point sources on images as elliptical Gaussians: damped least squares in two dimensions, sources that overlap fitted together, and shapes that vary over the image."""
 
 import math
+from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
 from heliotab.operators.fits import powers_2d
 from heliotab.operators.graphs import components
@@ -13,6 +16,8 @@ from heliotab.operators.store import written
 
 #: Sources that one task fits together at most, where the field isn't denser than that in a square of four radii.
 LARGEST = 12
+#: Sources whose pixels and fits one task has, about.
+STARS = 4096
 _SET = ["_set", "_cx", "_cy"]
 _SHAPE = ["xx", "xy", "yy"]
 
@@ -27,45 +32,72 @@ def overlapping(sources: DataFrame, by: list[str], key: str, reach: float) -> Da
     return both.where(F.hypot(F.col("_ax") - F.col("_bx"), F.col("_ay") - F.col("_by")) < reach).select("a", "b")
 
 
-def _solve(x: np.ndarray, y: np.ndarray, v: np.ndarray, w: np.ndarray, start: np.ndarray, shapes: bool, sky: bool) -> tuple[np.ndarray, float, np.ndarray, float, bool]:
-    """Height, place and inverse shape of each source (rows of start), and the sky: by damped least squares. With the heights' errors, chi-square and whether it came to rest."""
-    n, free = len(start), 6 if shapes else 3
-
-    def model(p: np.ndarray, s: float) -> tuple[np.ndarray, np.ndarray]:
-        dx, dy = x[:, None] - p[:, 1], y[:, None] - p[:, 2]
-        e = np.exp(-0.5 * (p[:, 3] * dx * dx + 2 * p[:, 4] * dx * dy + p[:, 5] * dy * dy))
-        f = p[:, 0] * e
-        slopes = [e, f * (p[:, 3] * dx + p[:, 4] * dy), f * (p[:, 4] * dx + p[:, 5] * dy), -f * dx * dx / 2, -f * dx * dy, -f * dy * dy / 2][:free]
-        j = np.stack(slopes, axis=2).reshape(len(x), n * free)
-        return f.sum(axis=1) + s, np.hstack([j, np.ones((len(x), 1))]) if sky else j
-
-    p, s, damp, rest = start.copy(), 0.0, 1e-3, False
-    f, j = model(p, s)
-    chi = float((w * (v - f) ** 2).sum())
+def _solve(x: np.ndarray, y: np.ndarray, v: np.ndarray, w: np.ndarray, start: np.ndarray, shapes: bool, sky: bool) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Height, place and inverse shape of each source (start: set, source, 6), and the sky: by damped least squares, of many sets at once (x, y, v, w: set, pixel; w is 0 where a set has fewer pixels). With the heights' errors, chi-square and whether it came to rest."""
+    n, free = start.shape[1], 6 if shapes else 3
+
+    def model(at: np.ndarray, p: np.ndarray, s: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        dx, dy = x[at, :, None] - p[:, None, :, 1], y[at, :, None] - p[:, None, :, 2]
+        a, b, c = (p[:, None, :, k] for k in (3, 4, 5))
+        e = np.exp(-0.5 * (a * dx * dx + 2 * b * dx * dy + c * dy * dy))
+        f = p[:, None, :, 0] * e
+        slopes = [e, f * (a * dx + b * dy), f * (b * dx + c * dy)] + ([-f * dx * dx / 2, -f * dx * dy, -f * dy * dy / 2] if shapes else [])
+        j = np.stack(slopes, axis=3).reshape(len(at), x.shape[1], n * free)
+        return f.sum(axis=2) + s[:, None], np.concatenate([j, np.ones((*j.shape[:2], 1))], axis=2) if sky else j
+
+    every = np.arange(len(x))
+    p, s, damp, rest = start.copy(), np.zeros(len(x)), np.full(len(x), 1e-3), np.zeros(len(x), dtype=bool)
+    f, j = model(every, p, s)
+    chi, light = (w * (v - f) ** 2).sum(axis=1), (w * v * v).sum(axis=1)
+    on = every
     for _ in range(200):
-        normal, slope = j.T @ (w[:, None] * j), j.T @ (w * (v - f))
-        step = np.linalg.lstsq(normal + damp * np.diag(np.maximum(np.diag(normal), 1e-300)), slope, rcond=1e-15)[0]
-        q = p.copy()
-        q[:, :free] += step[: n * free].reshape(n, free)
-        t = s + (step[-1] if sky else 0.0)
-        sound = bool(((q[:, 3] > 0) & (q[:, 3] * q[:, 5] > q[:, 4] ** 2)).all())
-        g, k = model(q, t) if sound else (f, j)
-        new = float((w * (v - g) ** 2).sum()) if sound else math.inf
-        if new <= chi:
-            rest = chi - new <= 1e-12 * chi + 1e-18 * float((w * v * v).sum())
-            p, s, f, j, chi, damp = q, t, g, k, new, damp / 10
-        else:
-            damp *= 10
-        if rest or damp > 1e12:
+        turned = j[on].transpose(0, 2, 1)
+        normal, slope = turned @ (w[on, :, None] * j[on]), turned @ (w[on] * (v[on] - f[on]))[:, :, None]
+        axis = np.arange(normal.shape[1])
+        normal[:, axis, axis] += damp[on, None] * np.maximum(normal[:, axis, axis], 1e-300)
+        step = (np.linalg.pinv(normal, rcond=1e-15) @ slope)[:, :, 0]
+        q = p[on]
+        q[:, :, :free] += step[:, : n * free].reshape(-1, n, free)
+        t = s[on] + (step[:, -1] if sky else 0.0)
+        sound = ((q[:, :, 3] > 0) & (q[:, :, 3] * q[:, :, 5] > q[:, :, 4] ** 2)).all(axis=1)
+        tried, q, t = on[sound], q[sound], t[sound]
+        g, k = model(tried, q, t)
+        new = np.full(len(x), math.inf)
+        new[tried] = (w[tried] * (v[tried] - g) ** 2).sum(axis=1)
+        good = new[tried] <= chi[tried]
+        at = tried[good]
+        rest[at] = chi[at] - new[at] <= 1e-12 * chi[at] + 1e-18 * light[at]
+        p[at], s[at], f[at], j[at], chi[at] = q[good], t[good], g[good], k[good], new[at]
+        worse = np.isin(on, at, invert=True)
+        damp[on] = np.where(worse, damp[on] * 10, damp[on] / 10)
+        on = on[~(rest[on] | (damp[on] > 1e12))]
+        if not len(on):
             break
-    errors = np.sqrt(np.maximum(np.diag(np.linalg.pinv(j.T @ (w[:, None] * j))), 0.0))[: n * free : free]
-    return p, s, errors, chi, rest or damp > 1e12
+    spread = np.linalg.pinv(j.transpose(0, 2, 1) @ (w[:, :, None] * j))
+    errors = np.sqrt(np.maximum(np.diagonal(spread, axis1=1, axis2=2), 0.0))[:, : n * free : free]
+    return p, s, errors, chi, rest | (damp > 1e12)
+
+
+def _lists(column: pa.ListArray) -> tuple[pa.StructArray, np.ndarray]:
+    """The structs of all lists one after the other, and where each list begins and ends; null lists are empty."""
+    return column.flatten(), np.concatenate([[0], np.cumsum(pc.fill_null(pc.list_value_length(column), 0).to_numpy(zero_copy_only=False))])
+
+
+def _alike(sets: np.ndarray, stars: np.ndarray, pixels: np.ndarray, free: int) -> Iterator[np.ndarray]:
+    """The sets, in order of stars and pixels, in runs of as many stars each, whose slopes have some 250,000 numbers at most or are of one set."""
+    i = 0
+    while i < len(sets):
+        j = i + 1
+        while j < len(sets) and stars[sets[j]] == stars[sets[i]] and (j + 1 - i) * pixels[sets[j]] * stars[sets[i]] * free <= 250_000:
+            j += 1
+        yield sets[i:j]
+        i = j
 
 
 def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius: float, shapes: bool = False, sky: bool = False, rounds: int = 20, tolerance: float = 1e-4) -> DataFrame:
     """(by, key, x, y, flux, flux_err, xx, xy, yy, sky, chi, pixels, together, rest): the sources (by, key, x, y, flux, xx, xy, yy; the first guesses) fitted to the pixels (by, x, y, v, var) within the radius of them. xx, xy, yy are the second moments of a Gaussian; they are fitted with `shapes` and held else, and a constant sky for each fit with `sky`. flux_err holds the shape. chi and pixels are of all `together` that were fitted at once; rest: the fit came to rest.
 
-    Sources closer than two radii are fitted together, through chains of them. A chain of more than LARGEST is cut by squares of four radii: each part is fitted with the light of the others taken off as last known, round by round, until no place moves by more than the tolerance; so no task holds a crowded field. Sources sent to all their pixels count as few rows with Spark, so their joins are merges and nothing is broadcast. Keys are whole numbers, unique over all images. Without more good pixels than unknowns, the guesses come back with chi null and rest false. Runs jobs while the plan is built.
+    Sources closer than two radii are fitted together, through chains of them. A chain of more than LARGEST is cut by squares of four radii: each part is fitted with the light of the others taken off as last known, round by round, until no place moves by more than the tolerance; so no task holds a crowded field. A set goes to its task as one row, of lists of its stars and of its light: groups of rows cost more than their fits. Sources sent to all their pixels count as few rows with Spark, so their joins are merges and nothing is broadcast. Keys are whole numbers, unique over all images. Without more good pixels than unknowns, the guesses come back with chi null and rest false. Runs jobs while the plan is built.
     """
     names = [*by, key, "x", "y", "flux", *_SHAPE]
     own = written(sources.select(*by, key, *[F.col(c).cast("double").alias(c) for c in names[len(by) + 1 :]]))
@@ -77,7 +109,9 @@ def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius:
     cut = now.where("_cut").limit(1).count() > 0
 
     reach = F.sequence(F.lit(-math.ceil(radius)), F.lit(math.ceil(radius)))
-    sent = now.select(*by, key, *_SET, F.col("x").alias("_x"), F.col("y").alias("_y"), F.explode(reach).alias("_i")).withColumn("_j", F.explode(reach))
+    tasks = max(own.sparkSession.sparkContext.defaultParallelism, own.count() // STARS)  # stated: stars are few for their pixels, and would be put together
+    dealt = now.select(*by, key, *_SET, F.col("x").alias("_x"), F.col("y").alias("_y")).repartition(tasks, *_SET)
+    sent = dealt.withColumn("_i", F.explode(reach)).withColumn("_j", F.explode(reach))
     at = lambda c, k: (F.floor(F.col(c) + 0.5) + F.col(k)).cast("bigint")
     cover = sent.withColumn("x", at("_x", "_i")).withColumn("y", at("_y", "_j")).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) <= radius)
     cover = written(cover.select(*by, "x", "y", key, *_SET)) if cut else cover.select(*by, "x", "y", key, *_SET)
@@ -85,20 +119,39 @@ def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius:
     seen = written(cover.select(*by, "x", "y", *_SET).distinct().join(good.select(*by, F.col("x").cast("bigint").alias("x"), F.col("y").cast("bigint").alias("y"), "v", "var").hint("merge"), [*by, "x", "y"]))
 
     columns = [*names, "flux_err", "sky", "chi", "pixels", "together", "rest"]
+    found = ["x", "y", "flux", "flux_err", *_SHAPE, "sky", "chi"]
+    held = [*by, key, *_SET, "_cut"]
+    schema = StructType([*[StructField(c, now.schema[c].dataType) for c in held], *[StructField(c, DoubleType()) for c in found], StructField("pixels", LongType()), StructField("together", LongType()), StructField("rest", BooleanType())])
+
+    def joint(batches):
+        """Fits each row of a batch: the stars of a set and its light, as lists."""
+        for batch in batches:
+            stars, n = _lists(batch.column("_stars"))
+            light, m = _lists(batch.column("_light"))
+            number = lambda rows, c: rows.field(c).to_numpy(zero_copy_only=False).astype(float)
+            guess, seen_ = {c: number(stars, c) for c in ("x", "y", "flux", *_SHAPE)}, {c: number(light, c) for c in ("x", "y", "v", "var")}
+            out = {c: guess.get(c, np.empty(0)).copy() if c in guess else np.full(n[-1], np.nan) for c in found}
+            rest = np.zeros(n[-1], dtype=bool)
+            sizes, pixels_ = np.diff(n), np.diff(m)
+            able = np.flatnonzero(pixels_ > sizes * (6 if shapes else 3) + sky)
+            able = able[np.lexsort((pixels_[able], sizes[able]))]
+            for some in _alike(able, sizes, pixels_, 6 if shapes else 3):
+                stars_at, light_at = n[some][:, None] + np.arange(sizes[some[0]]), m[some][:, None] + np.arange(pixels_[some].max())
+                there = light_at < m[some + 1][:, None]
+                light_at = np.where(there, light_at, 0)
+                flux, gx, gy, xx, xy, yy = (guess[c][stars_at] for c in ("flux", "x", "y", *_SHAPE))
+                area = xx * yy - xy**2
+                start = np.stack([flux / (2 * np.pi * np.sqrt(area)), gx, gy, yy / area, -xy / area, xx / area], axis=2)
+                p, s, errors, chi, rest[stars_at.T] = _solve(*(np.where(there, seen_[c][light_at], 0.0) for c in "xyv"), np.where(there, 1 / seen_["var"][light_at], 0.0), start, shapes, sky)
+                inverse = p[:, :, 3] * p[:, :, 5] - p[:, :, 4] ** 2
+                size = 2 * np.pi / np.sqrt(inverse)
+                for c, value in zip(found, (p[:, :, 1], p[:, :, 2], p[:, :, 0] * size, errors * size, p[:, :, 5] / inverse, -p[:, :, 4] / inverse, p[:, :, 3] / inverse, s[:, None], chi[:, None])):
+                    out[c][stars_at] = value
+            each = np.repeat(np.arange(len(n) - 1), np.diff(n))
+            own = [stars.field(c) if c in (*by, key, "_cut") else batch.column(c).take(pa.array(each)) for c in held]
+            counts = [pa.array(x[each]) for x in (pixels_, sizes)]
+            yield pa.RecordBatch.from_arrays([*own, *[pa.array(out[c]) for c in found], *counts, pa.array(rest)], names=schema.names)
 
-    def joint(stars: pd.DataFrame, light: pd.DataFrame) -> pd.DataFrame:
-        out = stars[[*names, *_SET, "_cut"]].assign(flux_err=np.nan, sky=np.nan, chi=np.nan, pixels=len(light), together=len(stars), rest=False)
-        if not len(stars) or len(light) <= len(stars) * (6 if shapes else 3) + sky:
-            return out
-        area = stars.xx * stars.yy - stars.xy**2
-        start = np.column_stack([stars.flux / (2 * np.pi * np.sqrt(area)), stars.x, stars.y, stars.yy / area, -stars.xy / area, stars.xx / area]).astype(float)
-        p, s, errors, chi, rest = _solve(light.x.to_numpy(float), light.y.to_numpy(float), light.v.to_numpy(float), 1 / light["var"].to_numpy(float), start, shapes, sky)
-        inverse = p[:, 3] * p[:, 5] - p[:, 4] ** 2
-        size = 2 * np.pi / np.sqrt(inverse)
-        return out.assign(x=p[:, 1], y=p[:, 2], flux=p[:, 0] * size, flux_err=errors * size, xx=p[:, 5] / inverse, xy=-p[:, 4] / inverse, yy=p[:, 3] / inverse, sky=s, chi=chi, rest=rest)
-
-    typed = lambda c: f"`{c}` {now.schema[c].dataType.simpleString()}"
-    schema = ", ".join([*map(typed, [*names, *_SET, "_cut"]), "flux_err double, sky double, chi double, pixels bigint, together bigint, rest boolean"])
     for _ in range(rounds if cut else 1):
         light = seen
         if cut:
@@ -108,7 +161,9 @@ def fit(pixels: DataFrame, sources: DataFrame, by: list[str], key: str, radius:
             mine = written(each.groupBy(*by, "x", "y", *_SET).agg(F.sum(shone).alias("_mine")))
             every = mine.groupBy(*by, "x", "y").agg(F.sum("_mine").alias("_all"))
             light = seen.join(mine.join(every.hint("merge"), [*by, "x", "y"]).hint("merge"), [*by, "x", "y", *_SET], "left").withColumn("v", F.col("v") - F.coalesce(F.col("_all") - F.col("_mine"), F.lit(0.0))).drop("_all", "_mine")
-        new = written(now.select(*names, *_SET, "_cut").groupBy(*_SET).cogroup(light.groupBy(*_SET)).applyInPandas(joint, schema))
+        stars = now.repartition(tasks, *_SET).groupBy(*_SET).agg(F.collect_list(F.struct(*names, "_cut")).alias("_stars"))
+        packed = light.repartition(tasks, *_SET).groupBy(*_SET).agg(F.collect_list(F.struct("x", "y", "v", "var")).alias("_light"))
+        new = written(stars.join(packed.hint("merge"), _SET, "left").mapInArrow(joint, schema))
         moved = cut and new.where("_cut").join(now.select(key, F.col("x").alias("_x"), F.col("y").alias("_y")).hint("merge"), key).where(F.hypot(F.col("x") - F.col("_x"), F.col("y") - F.col("_y")) > tolerance).limit(1).count()
         now = new
         if not moved:

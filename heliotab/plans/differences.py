@@ -124,7 +124,8 @@ def blended_sources(spark, d):
     place = [e.replace("//", "div").replace("3.5", "3.5D").replace("2.5", "2.5D").replace("0.1", "0.1D") for e in (_X, _Y)]
     stars = table(spark, d, "customer").selectExpr("CAST(c_custkey % 4 AS INT) AS image", "c_custkey AS id", f"{place[0]} AS sx", f"{place[1]} AS sy", "c_acctbal + 2000 AS flux")
     steps = F.sequence(F.lit(-10), F.lit(10))
-    lit = stars.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).withColumn("x", F.floor("sx") + F.col("i")).withColumn("y", F.floor("sy") + F.col("j"))
+    dealt = stars.repartition(max(spark.sparkContext.defaultParallelism, stars.count() // sources.STARS), "image", F.floor(F.col("sx") / 64), F.floor(F.col("sy") / 64))  # a star is 441 pixels
+    lit = dealt.withColumn("i", F.explode(steps)).withColumn("j", F.explode(steps)).withColumn("x", F.floor("sx") + F.col("i")).withColumn("y", F.floor("sy") + F.col("j"))
     dx, dy, area = F.col("x") - F.col("sx"), F.col("y") - F.col("sy"), _XX * _YY - _XY**2
     light = F.col("flux") / (2 * math.pi * math.sqrt(area)) * F.exp(-(_YY * dx * dx - 2 * _XY * dx * dy + _XX * dy * dy) / (2 * area))
     pixels = lit.groupBy("image", "x", "y").agg(F.sum(light).alias("v")).withColumn("var", F.lit(1.0))
