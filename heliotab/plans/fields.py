@@ -31,14 +31,10 @@ def _moving(spark, d):
     return written(found.join(tracks.standing(found, _TOLERANCE).hint("merge"), "id", "left_anti"))
 
 
-def _lines(moving):
-    return tracks.triples(moving, tracks.tracklets(moving, _SPEED, _GAP), _GAP, _TOLERANCE)
-
-
 @query(_TRIPLES + " SELECT a, b, c, round(vx, 4) + 0.0 AS vx, round(vy, 4) + 0.0 AS vy FROM r")
 def moving_triples(spark, d):
     """Three detections on a line at one speed, of what doesn't stand still."""
-    return _lines(_moving(spark, d)).select("a", "b", "c", (F.round("vx", 4) + 0.0).alias("vx"), (F.round("vy", 4) + 0.0).alias("vy"))
+    return tracks.lines(_moving(spark, d), _SPEED, _GAP, _TOLERANCE).select("a", "b", "c", (F.round("vx", 4) + 0.0).alias("vx"), (F.round("vy", 4) + 0.0).alias("vy"))
 
 
 @query(_TRIPLES.replace("WITH d", "WITH RECURSIVE d") + """, l AS (SELECT DISTINCT x.b || '-' || x.c AS n, x.a || '-' || x.b AS m FROM r x), n AS (SELECT a || '-' || b AS n, a, b FROM r UNION SELECT b || '-' || c, b, c FROM r),
@@ -46,7 +42,7 @@ def moving_triples(spark, d):
   SELECT DISTINCT track, unnest([n.a, n.b]) AS id FROM t JOIN n ON n.n = t.n""")
 def moving_tracks(spark, d):
     """The detections of each moving object, linked by triples with two in common."""
-    return tracks.tracks(written(_lines(_moving(spark, d))))
+    return tracks.tracks(written(tracks.lines(_moving(spark, d), _SPEED, _GAP, _TOLERANCE)))
 
 
 _SX, _SY, _DX, _DY, _FRACTION = 0.7, 1.3, 3.25, -1.5, 0.8
