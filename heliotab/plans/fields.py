@@ -42,7 +42,7 @@ def moving_triples(spark, d):
   SELECT DISTINCT track, unnest([n.a, n.b]) AS id FROM t JOIN n ON n.n = t.n""")
 def moving_tracks(spark, d):
     """The detections of each moving object, linked by triples with two in common."""
-    return tracks.tracks(written(tracks.lines(_moving(spark, d), _SPEED, _GAP, _TOLERANCE)))
+    return tracks.tracks_of(_moving(spark, d), _SPEED, _GAP, _TOLERANCE)
 
 
 _SX, _SY, _DX, _DY, _FRACTION = 0.7, 1.3, 3.25, -1.5, 0.8
