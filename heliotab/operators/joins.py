@@ -82,7 +82,7 @@ def _cells(ra: Column, dec: Column, size: float, around: bool) -> Column:
 CROWD = 2048
 
 
-def sky_cells(left: DataFrame, right: DataFrame, size: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
+def sky_cells(left: DataFrame, right: DataFrame, size: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """All pairs of neighbouring cells of unit-vector space, with equal columns `by`, and the unit vectors _lx, _ly, _lz and _rx, _ry, _rz. Pairs grow with the square of a crowd, where rows stay few: so cells are dealt out by their right rows, merged, and not put together by size. The left side is the one to be repeated: give the smaller."""
     keys = ["_x", "_y", "_z", *(by or [])]
     vector = lambda side, c: [v.alias(f"_{side}{k}") for k, v in zip("xyz", sky.unit_vector(F.col(c[0]), F.col(c[1])))]
@@ -92,7 +92,7 @@ def sky_cells(left: DataFrame, right: DataFrame, size: float, a: tuple[str, str]
     parts = F.coalesce("_parts", F.lit(1))
     l_ = l_.join(crowds, keys, "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), parts - 1))).drop("_parts")
     r_ = r_.join(crowds, keys, "left").withColumn("_part", F.pmod(F.xxhash64(*right.columns), parts)).drop("_parts")
-    tasks = 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    tasks = tasks or 4 * int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys.append("_part")
     return l_.repartition(tasks, *keys).hint("merge").join(r_.repartition(tasks, *keys), keys).drop("_x", "_y", "_z", "_part")
 
@@ -105,19 +105,28 @@ def _chord2() -> Column:
     return x * x + y * y + z * z
 
 
-def sky_near(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None) -> DataFrame:
+def sky_near(left: DataFrame, right: DataFrame, radians: float, a: tuple[str, str], b: tuple[str, str], by: list[str] | None = None, tasks: int | None = None) -> DataFrame:
     """All pairs within the radius with equal columns `by`, and such as are beyond it by rounding. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size."""
     chord2 = 4 * math.sin(min(radians, math.pi) / 2) ** 2
-    return sky_cells(left, right, max(radians, 1e-9) * 1.0001, a, b, by).where(_chord2() <= chord2 * (1 + 1e-9) + 1e-24).drop(*_VECTORS)
+    return sky_cells(left, right, max(radians, 1e-9) * 1.0001, a, b, by, tasks).where(_chord2() <= chord2 * (1 + 1e-9) + 1e-24).drop(*_VECTORS)
+
+
+#: Pairs that a task tells, and rows that it is sent, about.
+_PAIRS, _SENT = 50_000_000, 500_000
+
+
+def sky_tasks(left: DataFrame, right: DataFrame, radians: float) -> int:
+    """Tasks for a join of all pairs within a radius, by the pairs of neighbouring cells that there are if positions are spread over the sky. Counts both sides."""
+    few, many = left.count(), right.count()
+    pairs = few * many * min(1.0, 2 * radians**2)
+    return int(max(2 * left.sparkSession.sparkContext.defaultParallelism, pairs / _PAIRS, (27 * few + many) / _SENT))
 
 
 def sky_radius(left: DataFrame, right: DataFrame, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
-    """All pairs within the radius, with `arcsec`. A chord is shorter than its arc, so pairs in reach are in neighbouring cells of the radius' size. The left side is the one to be repeated: give the smaller."""
-    size = max(radius_arcsec / 206264.8, 1e-9) * 1.0001
-    l_ = left.withColumn("_cell", F.explode(_cells(F.col(a[0]), F.col(a[1]), size, True)))
-    r_ = right.withColumn("_cell", _cells(F.col(b[0]), F.col(b[1]), size, False))
-    pairs = l_.join(r_, "_cell").drop("_cell").withColumn("arcsec", sky.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1])))
-    return pairs.where(F.col("arcsec") < radius_arcsec)
+    """All pairs within the radius, with `arcsec`. Pairs of neighbouring cells are merged and told by chords, so neither side is broadcast and angles are taken of pairs in reach alone. The left side is the one to be repeated: give the smaller. Counts both sides while the plan is built."""
+    radians = radius_arcsec / 206264.806247
+    pairs = sky_near(left, right, radians, a, b, tasks=sky_tasks(left, right, radians))
+    return pairs.withColumn("arcsec", sky.separation_arcsec(F.col(a[0]), F.col(a[1]), F.col(b[0]), F.col(b[1]))).where(F.col("arcsec") < radius_arcsec)
 
 
 def nearest(left: DataFrame, right: DataFrame, key: str, tie: str, radius_arcsec: float, a: tuple[str, str], b: tuple[str, str]) -> DataFrame:
