@@ -3,6 +3,8 @@
 An image is a row with a centre (ra0, dec0), half sizes in degrees (half_x, half_y) on the plane that touches the sky there, and a position angle from north over east (angle).
 """
 
+import math
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from heliotab.functions import sky
@@ -16,10 +18,24 @@ def inside(ra: Column, dec: Column) -> Column:
     return F.coalesce((F.abs(x * c - y * s) <= F.col("half_x")) & (F.abs(x * s + y * c) <= F.col("half_y")), F.lit(False))
 
 
-def containing(positions: DataFrame, images: DataFrame, ra: str, dec: str, largest: float) -> DataFrame:
-    """All pairs of a position and an image that holds it. `largest`: the longest half diagonal of an image, in degrees. Images stand in the cells around their centres, positions in their own, so the join is one of equal cells; no pairs are made beyond a cell's reach."""
-    near = joins.sky_radius(images, positions, largest * 3600 * 1.001, ("ra0", "dec0"), (ra, dec))
-    return near.where(inside(F.col(ra), F.col(dec))).drop("arcsec")
+def containing(positions: DataFrame, images: DataFrame, ra: str, dec: str, largest: float, by: list[str] | None = None) -> DataFrame:
+    """All pairs of a position and an image that holds it, with equal columns `by`. `largest`: the longest half diagonal of an image, in degrees. Images are sent to the cells around their centres, positions to their own, and both are merged; no pairs are made beyond a cell's reach. Counts both sides while the plan is built."""
+    reach = math.radians(largest * 1.001)
+    near = joins.sky_near(images, positions, reach, ("ra0", "dec0"), (ra, dec), by, joins.sky_tasks(images, positions, reach))
+    return near.where(inside(F.col(ra), F.col(dec)))
+
+
+#: Rows of a key that are listed together.
+LISTED = 1024
+
+
+def listed(rows: DataFrame, keys: list[str], salt: str) -> DataFrame:
+    """(keys, rows): rows with equal keys as lists of some LISTED structs of the other columns, so that what belongs to a position is joined once and not shuffled again by each image that holds it. Rows of a key with more are dealt to several lists by a hash of the column `salt`; rows with a null key are left out."""
+    rows = rows.dropna(subset=keys)
+    crowds = F.broadcast(rows.groupBy(*keys).agg(F.ceil(F.count("*") / LISTED).alias("_parts")).where("_parts > 1"))
+    part = F.pmod(F.xxhash64(salt), F.coalesce("_parts", F.lit(1)))
+    other = [c for c in rows.columns if c not in keys]
+    return rows.join(crowds, keys, "left").groupBy(*keys, part.alias("_part")).agg(F.collect_list(F.struct(*other)).alias("rows")).drop("_part")
 
 
 def grid(images: DataFrame, step: float, largest: float) -> DataFrame:
