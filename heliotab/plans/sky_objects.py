@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from heliotab.functions import libm, sky
 from heliotab.operators import footprints, joins, periods
+from heliotab.operators.store import written
 from heliotab.plans.registry import query, same, table
 from heliotab.plans.sky_and_series import _STARS, _exact, _sky
 
@@ -115,9 +116,10 @@ def stars_in_images(spark, d):
 @query(f"SELECT i.image AS image, o_orderkey, o_totalprice FROM {_IMAGES} i, {_STARS} s, orders WHERE o_custkey = s.id AND month(o_orderdate) % 4 = i.image % 4 AND {_IN}")
 def image_measures(spark, d):
     """One column of the measures that belong to each image: of stars that it holds, at its time."""
-    held = footprints.containing(_stars(spark, d), _images(spark, d), "ra", "dec", _LARGEST).select("image", "id")
     measures = table(spark, d, "orders").select("o_orderkey", "o_totalprice", F.col("o_custkey").alias("id"), (F.month("o_orderdate") % 4).alias("time"))
-    return held.withColumn("time", (F.col("image") % 4).cast("int")).join(measures, ["id", "time"]).select("image", "o_orderkey", "o_totalprice")
+    listed = written(footprints.listed(measures, ["id", "time"], "o_orderkey").join(_stars(spark, d).hint("merge"), "id"))
+    images = _images(spark, d).withColumn("time", (F.col("image") % 4).cast("int"))
+    return footprints.containing(listed, images, "ra", "dec", _LARGEST, ["time"]).select("image", F.explode("rows").alias("m")).select("image", "m.o_orderkey", "m.o_totalprice")
 
 
 @query(f"SELECT ra, dec, count(*) AS n, min(chip) AS low, max(chip) AS high FROM {_IMAGES} i, (SELECT a.r * 2 + 1.0 AS ra, b.r * 2 - 89.0 AS dec FROM (SELECT unnest(range(180)) AS r) a, (SELECT unnest(range(90)) AS r) b) g WHERE abs(dec - dec0) < 8 AND {_IN} GROUP BY ra, dec")
