@@ -264,7 +264,7 @@ def best_grouped(df: DataFrame, by: list[str], t: str, y: str, grid: Callable[[f
 
     cores = df.sparkSession.sparkContext.defaultParallelism
     n, work = few.agg(F.sum("_n"), F.sum(F.col("_n") * F.col("_span"))).first()
-    parts = max(2 * cores, int((work or 0) / _WORK)) if isinstance(grid, Spanned) else max(2 * cores, (n or 0) // _ROWS)  # stated: rows are few for their work, and would be put together
+    parts = max(2 * cores, int((work or 0) / _WORK), (n or 0) // (64 * _ROWS)) if isinstance(grid, Spanned) else max(2 * cores, (n or 0) // _ROWS)  # stated: rows are few for their work, and would be put together
     one = small.repartition(parts, *by).groupBy(*by).agg(F.first("_span").alias("_span"), F.first("_v").alias("_v"), F.collect_list(F.struct("_t", "d")).alias("_rows"))
     ours = one.mapInArrow(run, schema)
     large = limits.where(F.col("_n") > _ROWS).select(*by)
